@@ -418,9 +418,9 @@ RAW_SQL: dict[str, str] = {
     "backfill_range": f"SELECT {KEY}, channel, downloads, event_id, store FROM ev_raw WHERE dt BETWEEN DATE '2024-01-05' AND DATE '2024-01-12'",
     "restate_detect": """
       SELECT dt, store, files, added, removed, changed,
-        CASE WHEN status IS NULL THEN 'new' WHEN status <> 'succeeded' THEN 'failed'
+        CASE WHEN dt = DATE '2024-01-30' THEN 'locked' WHEN status IS NULL THEN 'new' WHEN status <> 'succeeded' THEN 'failed'
           WHEN added + removed + changed > 0 THEN 'changed' ELSE 'unchanged' END AS reason,
-        status IS NULL OR status <> 'succeeded' OR added + removed + changed > 0 AS needs_work
+        dt <> DATE '2024-01-30' AND (status IS NULL OR status <> 'succeeded' OR added + removed + changed > 0) AS needs_work
       FROM (SELECT COALESCE(n.dt, p.dt) AS dt, COALESCE(n.store, p.store) AS store,
           COUNT(n.fingerprint) AS files, COUNT(*) FILTER (WHERE p.fingerprint IS NULL) AS added,
           COUNT(*) FILTER (WHERE n.fingerprint IS NULL) AS removed,

@@ -71,8 +71,12 @@ def file_rows(manifest: DataFrame, layer: str, run_id: str, at: datetime) -> Dat
 
 
 def run_ledger(entries: DataFrame) -> DataFrame:
-    """Current state per layer and partition: its newest entry."""
-    newest = [F.col("recorded_at").desc(), F.col("job_run_id").desc(), F.col("status").asc()]
+    """Current state per layer and partition: its newest entry.
+
+    A run's start and end may carry the same time; then the end is the newer one.
+    """
+    finished = (F.col("status") != "running").desc()
+    newest = [F.col("recorded_at").desc(), F.col("job_run_id").desc(), finished, F.col("status").asc()]
     return keep_first(entries, STATE_KEY, newest)
 
 
@@ -81,16 +85,19 @@ def previous_files(file_entries: DataFrame, state: DataFrame) -> DataFrame:
     return file_entries.join(state.select(*STATE_KEY, "job_run_id"), [*STATE_KEY, "job_run_id"], "left_semi")
 
 
-def restate_detect(manifest: DataFrame, state: DataFrame, seen: DataFrame) -> DataFrame:
+def restate_detect(
+    manifest: DataFrame, state: DataFrame, seen: DataFrame, now: datetime | None = None
+) -> DataFrame:
     """Why each partition of the manifest does or does not need work.
 
     ``manifest``: dt, store, file_path, fingerprint as of now. ``state``: newest ledger entry
     per partition. ``seen``: the files that entry was made from. A file added, removed or
-    changed makes the partition ``changed``.
+    changed makes the partition ``changed``. With ``now``, a partition another run started
+    on and may still be working on is ``locked`` and left alone.
     """
-    now = manifest.select(*PARTITION, "file_path", F.col("fingerprint").alias("now"))
-    was = seen.select(*PARTITION, "file_path", F.col("fingerprint").alias("was"))
-    files = now.join(was, [*PARTITION, "file_path"], "full")
+    present = manifest.select(*PARTITION, "file_path", F.col("fingerprint").alias("now"))
+    known = seen.select(*PARTITION, "file_path", F.col("fingerprint").alias("was"))
+    files = present.join(known, [*PARTITION, "file_path"], "full")
     per_partition = files.groupBy(*PARTITION).agg(
         F.count("now").alias("files"),
         F.count_if(F.col("was").isNull()).alias("added"),
@@ -98,8 +105,12 @@ def restate_detect(manifest: DataFrame, state: DataFrame, seen: DataFrame) -> Da
         F.count_if(F.col("now") != F.col("was")).alias("changed"),
     )
     moved = F.col("added") + F.col("removed") + F.col("changed") > 0
+    locked = F.lit(False)
+    if now is not None:
+        locked = (F.col("status") == "running") & (F.col("lock_expires_at") >= F.lit(now).cast("timestamp"))
     reason = (
         F.when(F.col("status").isNull(), "new")
+        .when(locked, "locked")
         .when(F.col("status") != "succeeded", "failed")
         .when(moved, "changed")
         .otherwise("unchanged")
@@ -107,7 +118,7 @@ def restate_detect(manifest: DataFrame, state: DataFrame, seen: DataFrame) -> Da
     # A partition that vanished altogether has no files to read, hence nothing to redo.
     return (
         per_partition.where("files > 0")
-        .join(state.select(*PARTITION, "status"), PARTITION, "left")
+        .join(state.select(*PARTITION, "status", "lock_expires_at"), PARTITION, "left")
         .select(
             *PARTITION,
             "files",
@@ -115,7 +126,7 @@ def restate_detect(manifest: DataFrame, state: DataFrame, seen: DataFrame) -> Da
             "removed",
             "changed",
             reason.alias("reason"),
-            (reason != "unchanged").alias("needs_work"),
+            (~reason.isin("unchanged", "locked")).alias("needs_work"),
         )
     )
 

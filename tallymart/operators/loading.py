@@ -29,6 +29,12 @@ def _checked(rows: DataFrame, types: dict[str, str]) -> DataFrame:
     return rows.withColumn("_bad", F.coalesce(bad_row(rows, types), F.lit(False)))
 
 
+def _fits(rows: DataFrame, types: dict[str, str]) -> bool:
+    """Whether the source is typed as the contract, so that no cast can fail."""
+    source = dict(rows.dtypes)
+    return all(source[c] == t for c, t in types.items())
+
+
 def _check_mode(mode: str, limit: int | None) -> None:
     if mode not in MODES:
         raise ValueError(f"on_error must be one of {MODES}, got {mode!r}")
@@ -49,8 +55,10 @@ def load_on_error(
     more than ``limit`` of them (bad rows of the files it keeps are left out).
     """
     _check_mode(mode, limit)
-    checked = _checked(rows, types)
     typed = {SOURCE_FILE: "string", **types}
+    if _fits(rows, types):
+        return rows.select(*typed)
+    checked = _checked(rows, types)
     if mode == "abort":
         stop = F.raise_error(F.concat(F.lit("load aborted, bad row in "), F.col(SOURCE_FILE)))
         checked = checked.where(F.when(F.col("_bad"), stop.cast("boolean")).otherwise(True))

@@ -97,11 +97,12 @@ def parity_diff_rows(left: DataFrame, right: DataFrame, sample_one_in: int = 1)
     NULL here.
     """
     if sample_one_in > 1:
-        picked = F.pmod(F.xxhash64(*WIDE_KEY), F.lit(sample_one_in)) == 0
+        picked = F.pmod(F.xxhash64(*[_canonical(c) for c in WIDE_KEY]), F.lit(sample_one_in)) == 0
         left, right = left.where(picked), right.where(picked)
     values = [c for c in WIDE_TYPES if c not in WIDE_KEY]
-    a = left.select(*WIDE_KEY, F.struct(*values).alias("a"))
-    b = right.select(*WIDE_KEY, F.struct(*values).alias("b"))
+    key = [_canonical(c).alias(c) for c in WIDE_KEY]
+    a = left.select(*key, F.struct(*values).alias("a"))
+    b = right.select(*key, F.struct(*values).alias("b"))
 
     def second(value, column):
         return F.date_trunc("second", value) if column == "ingest_ts" else value

@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..contracts import DROP_TYPES, PARTITION, WINDOWS
+from ..contracts import DROP_TYPES, PARTITION, WINDOWS, ddl
 from ..operators.cleaning import (
     cast_contract,
     dedup_pk,
@@ -17,12 +17,18 @@ from ..operators.cleaning import (
     stamp_ingest,
     trim_strings,
 )
-from ..operators.ledger import empty_partitions, file_rows, ledger_rows, restate_detect
+from ..operators.ledger import (
+    FILE_LEDGER_TYPES,
+    empty_partitions,
+    file_rows,
+    ledger_rows,
+    restate_detect,
+)
 from ..operators.quarantine import SCHEMA_MISMATCH, error_records
 from ..sources.drop import SOURCE_FILE, SOURCE_MTIME, partition_window, scan_drop, with_source
-from ..sources.footers import footer_columns
+from ..sources.footers import FOOTER_DDL, footer_columns
 from ..sources.manifest import file_manifest
-from ..sources.tables import append_rows, overwrite_partitions
+from ..sources.tables import append_rows, overwrite_partitions, read_table
 from .layout import ALERT_TYPES, Layout, in_partitions, layer_state, read_bronze, seen_files
 
 LAYER = "bronze"
@@ -39,8 +45,20 @@ class BronzeRun:
     lookback_days: int = WINDOWS.lookback_days
     by_content: bool = False
 
+    def window(self, rows: DataFrame) -> DataFrame:
+        return partition_window(
+            rows,
+            self.as_of,
+            target_dt=self.target_dt,
+            target_store=self.target_store,
+            backfill=self.backfill,
+            lookback_days=self.lookback_days,
+        )
+
 
-def clean(raw: DataFrame, at: datetime, types: dict[str, str], order: list[Column] | None = None) -> DataFrame:
+def clean(
+    raw: DataFrame, at: datetime, types: dict[str, str], order: list[Column] | None = None
+) -> DataFrame:
     """Cast, trim and stamp in one projection, then one row per key."""
     stamped = stamp_ingest(trim_strings(cast_contract(raw, types)), at)
     ranked = order or newest_first(stamped, SOURCE_MTIME, SOURCE_FILE)
@@ -57,6 +75,15 @@ def _count(rows: DataFrame, name: str) -> DataFrame:
     return rows.groupBy(*PARTITION).agg(F.count("*").alias(name))
 
 
+def _list_files(spark: SparkSession, layout: Layout, run: BronzeRun) -> DataFrame:
+    """List the drop once and keep the list: files may arrive while the run works, and what
+    the ledger records must be what the decision was made from."""
+    listed = run.window(file_manifest(spark, layout.drop, by_content=run.by_content))
+    path = layout.staging(run.run_id, "files")
+    file_rows(listed, LAYER, run.run_id, run.at).write.mode("overwrite").parquet(path)
+    return read_table(spark, path, ddl(FILE_LEDGER_TYPES))
+
+
 def bronze_build(
     spark: SparkSession,
     layout: Layout,
@@ -68,36 +95,41 @@ def bronze_build(
 ) -> None:
     """Process what is new, failed before or changed; reject what breaks the contract.
 
-    ``extra`` are columns beyond the contract that are kept. ``order`` decides which of
-    several rows of a key stays; by default the newest file's.
+    A backfill takes every partition of its window. ``extra`` are columns beyond the contract
+    that are kept. ``order`` decides which of several rows of a key stays; by default the
+    newest file's.
     """
-    manifest = partition_window(
-        file_manifest(spark, layout.drop, by_content=run.by_content),
-        run.as_of,
-        target_dt=run.target_dt,
-        target_store=run.target_store,
-        backfill=run.backfill,
-        lookback_days=run.lookback_days,
-    )
+    listed = _list_files(spark, layout, run)
     decision = restate_detect(
-        manifest, layer_state(spark, layout, LAYER), seen_files(spark, layout, LAYER)
+        listed,
+        run.window(layer_state(spark, layout, LAYER)),
+        run.window(seen_files(spark, layout, LAYER)),
+        run.at,
     )
-    todo = _keys(decision if run.backfill else decision.where("needs_work"))
+    wanted = F.col("reason") != "locked" if run.backfill else F.col("needs_work")
+    todo = _keys(decision.where(wanted))
     if not todo:
         return
-    files = manifest.where(in_partitions(todo))
-    verdicts = schema_gate(footer_columns(files), types).collect()
-    good = [(v.dt, v.store) for v in verdicts if v.error_message is None]
-    bad = [v for v in verdicts if v.error_message is not None]
-
+    files = listed.where(in_partitions(todo))
+    append_rows(files, layout.file_ledger)
     todo_frame = spark.createDataFrame(todo, "dt date, store string")
     append_rows(ledger_rows(todo_frame, LAYER, "running", run.run_id, run.at), layout.ledger)
 
+    footers = _read_footers(spark, layout, run, files)
+    verdicts = schema_gate(footers, types).collect()  # one row per partition
+    good = [(v.dt, v.store) for v in verdicts if v.error_message is None]
+    bad = [(v.dt, v.store, v.error_message) for v in verdicts if v.error_message is not None]
     if good:
         _write_good(spark, layout, run, good, files, {**types, **(extra or {})}, order)
     if bad:
-        _reject(spark, layout, run, bad, files)
-    append_rows(file_rows(files, LAYER, run.run_id, run.at), layout.file_ledger)
+        _reject(spark, layout, run, bad, files, footers)
+
+
+def _read_footers(spark: SparkSession, layout: Layout, run: BronzeRun, files: DataFrame) -> DataFrame:
+    """Open each file's footer once; the gate and the quarantine both need them."""
+    path = layout.staging(run.run_id, "footers")
+    footer_columns(files).write.mode("overwrite").parquet(path)
+    return read_table(spark, path, FOOTER_DDL)
 
 
 def _write_good(spark, layout, run, good, files, types, order) -> None:
@@ -107,58 +139,69 @@ def _write_good(spark, layout, run, good, files, types, order) -> None:
 
     taken = _count(raw, "in_count")
     written = _count(read_bronze(spark, layout).where(in_partitions(good)), "out_count")
-    counts = taken.join(written, PARTITION)
-    append_rows(ledger_rows(counts, LAYER, "succeeded", run.run_id, run.at), layout.ledger)
     empty = empty_partitions(files.where(in_partitions(good)), taken)
-    append_rows(ledger_rows(empty, LAYER, "succeeded", run.run_id, run.at), layout.ledger)
+    counts = taken.join(written, PARTITION).unionByName(empty.drop("status"))
+    append_rows(ledger_rows(counts, LAYER, "succeeded", run.run_id, run.at), layout.ledger)
 
 
-def _reject(spark, layout, run, bad, files) -> None:
+def _reject(spark, layout, run, bad, files, footers) -> None:
     """Keep rows, reasons, ledger entries and alerts of rejected partitions."""
-    keys = [(v.dt, v.store) for v in bad]
-    reasons = spark.createDataFrame(
-        [(v.dt, v.store, v.error_message) for v in bad], "dt date, store string, error_message string"
-    )
-    rejected = files.where(in_partitions(keys))
-    per_file = rejected.join(reasons, PARTITION)
+    reasons = spark.createDataFrame(bad, "dt date, store string, error_message string")
+    held = in_partitions([(dt, store) for dt, store, _ in bad])
+    rejected = files.where(held)
     errors = error_records(
-        per_file, SCHEMA_MISMATCH, F.col("error_message"), F.col("file_path"), run.run_id, run.at
+        rejected.join(reasons, PARTITION),
+        SCHEMA_MISMATCH,
+        F.col("error_message"),
+        F.col("file_path"),
+        run.run_id,
+        run.at,
     )
     append_rows(errors, layout.errors, ["failed_at"])
-    counts = quarantine_files(spark, layout, run, rejected)
-    ledger = ledger_rows(counts, LAYER, "failed", run.run_id, run.at)
-    append_rows(ledger, layout.ledger)
+    counts = quarantine_files(spark, layout, run, rejected, footers.where(held))
+    append_rows(ledger_rows(counts, LAYER, "failed", run.run_id, run.at), layout.ledger)
+    place = F.concat_ws("/", F.date_format("dt", "yyyy-MM-dd"), "store")
+    subject = F.concat(F.lit("Daily counters: contract broken "), place)
     alerts = reasons.select(
         F.col("dt").alias("partition_dt"),
         "store",
-        F.substring(F.concat(F.lit("Daily counters: contract broken "), F.concat_ws("/", F.date_format("dt", "yyyy-MM-dd"), "store")), 1, 100).alias("subject"),
+        F.substring(subject, 1, 100).alias("subject"),
         F.col("error_message").alias("message"),
         F.lit(run.at).cast("timestamp").alias("raised_at"),
     )
     append_rows(alerts.select(*ALERT_TYPES), layout.alerts)
 
 
-def quarantine_files(spark: SparkSession, layout: Layout, run: BronzeRun, rejected: DataFrame) -> DataFrame:
+def quarantine_files(
+    spark: SparkSession, layout: Layout, run: BronzeRun, rejected: DataFrame, footers: DataFrame
+) -> DataFrame:
     """Copy the rows of rejected files, with the file each came from.
 
-    Files with equal columns and types are read together; there are as many reads as
-    different signatures. Returns rows and files per partition.
+    Files with equal columns and types are read together: there are as many reads as
+    different signatures, and what comes to the driver are the names of rejected files.
+    Returns rows and files per partition.
     """
-    signature = F.md5(F.concat_ws(",", F.sort_array(F.collect_list(F.concat_ws(":", "column_name", "column_type")))))
-    signed = (
-        footer_columns(rejected).groupBy(*PARTITION, "file_path").agg(signature.alias("signature"))
-    )
+    column = F.concat_ws(":", "column_name", "column_type")
+    signature = F.md5(F.concat_ws(",", F.sort_array(F.collect_list(column))))
+    signed = footers.groupBy("file_path").agg(signature.alias("signature"))
     groups: dict[str, list[str]] = {}
-    for row in signed.select("signature", "file_path").collect():
+    for row in signed.collect():
         groups.setdefault(row.signature, []).append(row.file_path)
-    counted = None
+    day = f"{layout.quarantine}/raw/failed_at={run.at:%Y-%m-%d}"
     for name, paths in groups.items():
-        target = f"{layout.quarantine}/raw/failed_at={run.at:%Y-%m-%d}/signature={name}"
-        rows = with_source(spark.read.option("basePath", layout.drop).parquet(*paths)).drop(SOURCE_MTIME)
-        rows = rows.withColumn("dt", F.col("dt").cast("date"))
-        overwrite_partitions(rows, target)
-        counts = rows.groupBy(*PARTITION).agg(F.count("*").alias("dlq_rows"))
-        counted = counts if counted is None else counted.unionByName(counts)
-    per_partition = counted.groupBy(*PARTITION).agg(F.sum("dlq_rows").alias("dlq_rows"))
-    file_counts = rejected.groupBy(*PARTITION).agg(F.count("*").alias("dlq_files"))
-    return file_counts.join(per_partition, PARTITION, "left").withColumn("in_count", F.col("dlq_rows"))
+        rows = with_source(spark.read.option("basePath", layout.drop).parquet(*paths))
+        rows = rows.drop(SOURCE_MTIME).withColumn("dt", F.col("dt").cast("date"))
+        overwrite_partitions(rows, f"{day}/signature={name}")
+    # Only folder columns are read back, so differing signatures do not matter.
+    copied = (
+        spark.read.schema("signature string, dt date, store string")
+        .option("basePath", day)
+        .parquet(*[f"{day}/signature={name}" for name in groups])
+    )
+    rows_kept = copied.join(rejected.select(*PARTITION).distinct(), PARTITION, "left_semi")
+    return (
+        rejected.groupBy(*PARTITION)
+        .agg(F.count("*").alias("dlq_files"))
+        .join(_count(rows_kept, "dlq_rows"), PARTITION, "left")
+        .withColumn("in_count", F.col("dlq_rows"))
+    )

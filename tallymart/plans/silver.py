@@ -2,33 +2,98 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..contracts import PARTITION, WIDE_KEY, WIDE_TYPES, ddl
+from ..contracts import PARTITION, WIDE_TYPES, ddl
 from ..operators.ledger import ledger_rows, stale_silver
 from ..operators.pivot import expected_wide_keys, to_wide
 from ..operators.quality import alert_records, dq_gate, dq_run_all
 from ..operators.quarantine import DQ_BLOCK, quarantine_frame
 from ..sources.tables import append_rows, overwrite_partitions, read_table
-from .layout import ALERT_TYPES, Layout, in_partitions, ledger_state, read_bronze, read_silver
+from .layout import ALERT_TYPES, Layout, in_partitions, ledger_state, read_bronze
 
 LAYER = "silver"
 STAGED = {**WIDE_TYPES, "store": "string"}
+DQ_TYPES = {
+    "partition_dt": "date",
+    "store": "string",
+    "check_name": "string",
+    "passed": "boolean",
+    "blocking": "boolean",
+    "detail": "string",
+    "violation_count": "bigint",
+    "total_count": "bigint",
+    "job_run_id": "string",
+}
 
 
-def staged_wide(narrow: DataFrame, at: datetime) -> DataFrame:
-    """Wide rows with the folder they belong to. A store's rows lie in its own folder."""
-    return to_wide(narrow, at).withColumn("store", F.col("app_store"))
+@dataclass(frozen=True)
+class Staged:
+    """A staged wide table with its check results and one verdict per partition."""
 
+    rows: DataFrame
+    results: DataFrame
+    gate: DataFrame
 
-def checked(spark: SparkSession, path: str, expected: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Results and verdicts for a staged wide table."""
+
+def stage_and_check(
+    spark: SparkSession, layout: Layout, narrow: DataFrame, run_id: str, at: datetime
+) -> Staged:
+    """Write the pivot once, as it comes out of its shuffle, and check what was written.
+
+    The staging table has no folders per partition: it is read whole, and laying it out
+    would cost a second shuffle. Results are kept and read back, so that verdicts, ledger
+    and alerts do not run the checks again.
+    """
+    path = layout.staging(run_id, "wide")
+    wide = to_wide(narrow, at).withColumn("store", F.col("app_store"))
+    wide.write.mode("overwrite").parquet(path)
     staged = read_table(spark, path, ddl(STAGED))
-    results = dq_run_all(staged.withColumn("partition_dt", F.col("dt")), expected)
-    return results, dq_gate(results)
+    found = dq_run_all(staged.withColumn("partition_dt", F.col("dt")), expected_wide_keys(narrow))
+    append_rows(found.withColumn("job_run_id", F.lit(run_id)).select(*DQ_TYPES), layout.dq)
+    stored = read_table(spark, layout.dq, ddl(DQ_TYPES))
+    results = stored.where(F.col("job_run_id") == run_id).drop("job_run_id")
+    return Staged(staged, results, dq_gate(results))
+
+
+def publish(
+    spark: SparkSession, layout: Layout, narrow: DataFrame, run_id: str, at: datetime
+) -> None:
+    """Stage and check the wide rows of ``narrow``, then write or quarantine them."""
+    staged = stage_and_check(spark, layout, narrow, run_id, at)
+    verdicts = staged.gate.collect()  # one row per partition
+    blocked = [(v.partition_dt, v.store) for v in verdicts if v.verdict == "block"]
+    held = in_partitions(blocked)
+    if len(blocked) < len(verdicts):
+        good = staged.rows.where(~held) if blocked else staged.rows
+        overwrite_partitions(good, layout.silver)
+    if blocked:
+        rows = quarantine_frame(staged.rows.where(held), DQ_BLOCK, run_id, at)
+        overwrite_partitions(rows, f"{layout.quarantine}/wide", ["failed_at", *PARTITION])
+    _record(layout, staged, narrow, run_id, at)
+
+
+def _record(layout: Layout, staged: Staged, narrow: DataFrame, run_id: str, at: datetime) -> None:
+    read = narrow.groupBy(*PARTITION).agg(F.count("*").alias("in_count"))
+    written = staged.results.where("check_name = 'row_count'").select(
+        F.col("partition_dt").alias("dt"), "store", F.col("total_count").alias("staged")
+    )
+    verdict = staged.gate.select(F.col("partition_dt").alias("dt"), "store", "verdict")
+    blocked = F.col("verdict") == "block"
+    counts = verdict.join(read, PARTITION, "left").join(written, PARTITION, "left").select(
+        *PARTITION,
+        "in_count",
+        F.when(blocked, F.lit(0)).otherwise(F.col("staged")).alias("out_count"),
+        F.when(blocked, F.col("in_count")).otherwise(F.lit(0)).alias("dlq_rows"),
+        F.when(blocked, F.lit("failed")).otherwise(F.lit("succeeded")).alias("state"),
+    )
+    append_rows(ledger_rows(counts, LAYER, F.col("state"), run_id, at), layout.ledger)
+    alerts = alert_records(staged.gate).withColumn("raised_at", F.lit(at).cast("timestamp"))
+    append_rows(alerts.select(*ALERT_TYPES), layout.alerts)
 
 
 def silver_build(
@@ -42,74 +107,22 @@ def silver_build(
 ) -> None:
     """Build every partition whose Bronze run succeeded since its last Silver run.
 
-    The pivot is written once to a staging folder and everything after reads that: the
-    checks, the published rows and the quarantined rows. So the wide shuffle happens once,
-    and a lost executor costs a re-read, not a recompute.
+    ``force`` builds all partitions with a successful Bronze run. ``window`` limits the days.
     """
     state = ledger_state(spark, layout)
     if force:
-        ready = state.where("layer = 'bronze' AND status = 'succeeded'").select(*PARTITION)
+        ready = state.where("layer = 'bronze' AND status = 'succeeded'")
     else:
         ready = stale_silver(state)
     if window is not None:
         ready = ready.where(F.col("dt").between(F.lit(window[0]), F.lit(window[1])))
-    todo = [(row.dt, row.store) for row in ready.collect()]
+    todo = [(row.dt, row.store) for row in ready.select(*PARTITION).collect()]
     if not todo:
         return
-    todo_frame = spark.createDataFrame(todo, "dt date, store string")
-    append_rows(ledger_rows(todo_frame, LAYER, "running", run_id, at), layout.ledger)
+    wanted = spark.createDataFrame(todo, "dt date, store string")
+    append_rows(ledger_rows(wanted, LAYER, "running", run_id, at), layout.ledger)
     narrow = read_bronze(spark, layout).where(in_partitions(todo))
     publish(spark, layout, narrow, run_id, at)
-    done = read_or_counts(spark, layout, todo)
-    empty = todo_frame.join(done, PARTITION, "left_anti")
+    # Partitions without a Bronze row got no verdict: nothing to write, and done.
+    empty = wanted.join(narrow.select(*PARTITION).distinct(), PARTITION, "left_anti")
     append_rows(ledger_rows(empty, LAYER, "succeeded", run_id, at), layout.ledger)
-
-
-def read_or_counts(spark: SparkSession, layout: Layout, todo: list[tuple]) -> DataFrame:
-    """Partitions that hold Bronze rows."""
-    return read_bronze(spark, layout).where(in_partitions(todo)).select(*PARTITION).distinct()
-
-
-def publish(
-    spark: SparkSession, layout: Layout, narrow: DataFrame, run_id: str, at: datetime
-) -> DataFrame:
-    """Stage, check and route the wide rows of ``narrow``; returns the verdicts."""
-    staging = layout.staging(run_id, "wide")
-    overwrite_partitions(staged_wide(narrow, at), staging)
-    results, gate = checked(spark, staging, expected_wide_keys(narrow))
-    append_rows(results.withColumn("job_run_id", F.lit(run_id)), layout.dq)
-    recorded = (
-        spark.read.parquet(layout.dq).where(F.col("job_run_id") == run_id).drop("job_run_id")
-    )
-    gate = dq_gate(recorded)
-    verdicts = gate.collect()
-    blocked = [(v.partition_dt, v.store) for v in verdicts if v.verdict == "block"]
-    passed = [(v.partition_dt, v.store) for v in verdicts if v.verdict != "block"]
-
-    staged = read_table(spark, staging, ddl(STAGED))
-    if passed:
-        overwrite_partitions(staged.where(in_partitions(passed)).select(*STAGED), layout.silver)
-    if blocked:
-        rows = quarantine_frame(staged.where(in_partitions(blocked)), DQ_BLOCK, run_id, at)
-        overwrite_partitions(rows, f"{layout.quarantine}/wide", ["failed_at", *PARTITION])
-    _record(layout, recorded, gate, narrow, run_id, at)
-    return gate
-
-
-def _record(layout, results, gate, narrow, run_id, at) -> None:
-    read = narrow.groupBy(*PARTITION).agg(F.count("*").alias("in_count"))
-    written = results.where("check_name = 'row_count'").select(
-        F.col("partition_dt").alias("dt"), "store", F.col("total_count").alias("staged")
-    )
-    verdict = gate.select(F.col("partition_dt").alias("dt"), "store", "verdict")
-    blocked = F.col("verdict") == "block"
-    counts = verdict.join(read, PARTITION, "left").join(written, PARTITION, "left").select(
-        *PARTITION,
-        "in_count",
-        F.when(blocked, F.lit(0)).otherwise(F.col("staged")).alias("out_count"),
-        F.when(blocked, F.col("in_count")).otherwise(F.lit(0)).alias("dlq_rows"),
-        F.when(blocked, F.lit("failed")).otherwise(F.lit("succeeded")).alias("state"),
-    )
-    append_rows(ledger_rows(counts, LAYER, F.col("state"), run_id, at), layout.ledger)
-    alerts = alert_records(gate).withColumn("raised_at", F.lit(at).cast("timestamp"))
-    append_rows(alerts.select(*ALERT_TYPES), layout.alerts)
