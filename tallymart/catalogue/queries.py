@@ -189,17 +189,22 @@ def deliver_wide(rows: DataFrame, source: str) -> None:
     )
 
 
-def loaded_versions(spark, sf_dir, root, hook=None) -> load.LoadTarget:
+def loaded_versions(spark, sf_dir, root, gold_target=None) -> load.LoadTarget:
     """Deliver and load both loads of the versioned table with the file stream."""
     target = load.LoadTarget.under(root)
+    source = f"{root}/source"
     both = i.versions(spark, sf_dir)
     for at in (i.LOAD_1, i.LOAD_2):
         rows = both.where(F.col("_loaded_at") == F.lit(at).cast("timestamp"))
-        deliver_wide(rows, f"{root}/source")
-        stream = load.append_load(
-            spark, f"{root}/source", target, clock=lambda batch, at=at: at, after_batch=hook and hook(target)
-        )
-        stream.awaitTermination()
+        deliver_wide(rows, source)
+
+        def clock(batch_id, at=at):
+            return at
+
+        if gold_target is None:
+            load.append_load(spark, source, target, clock=clock).awaitTermination()
+        else:
+            gold_refresh.load_and_refresh(spark, source, target, gold_target, clock=clock).awaitTermination()
     return target
 
 
@@ -434,7 +439,9 @@ def silver_build_query(spark, sf_dir):
 def silver_build_bulk(spark, sf_dir):
     """Pivot, staging and checks on the larger narrow table: verdicts per partition."""
     layout = Layout(new_workspace(spark, "silver-bulk"))
-    return stage_and_check(spark, layout, i.bulk_bronze(spark, sf_dir), "run-1", i.INGEST_AT).gate
+    i.bulk_bronze(spark, sf_dir).write.parquet(layout.bronze)
+    narrow = spark.read.parquet(layout.bronze)
+    return stage_and_check(spark, layout, narrow, "run-1", i.INGEST_AT).gate
 
 
 # Quality.
@@ -513,9 +520,7 @@ def gold_refresh_incremental(spark, sf_dir):
     """Stream both loads; after each, only the days it touched are aggregated again."""
     root = new_workspace(spark, "gold")
     target = gold_refresh.GoldTarget(f"{root}/gold")
-    loaded_versions(
-        spark, sf_dir, root, lambda loaded: gold_refresh.refresh_after_batch(spark, loaded, target)
-    )
+    loaded_versions(spark, sf_dir, root, target)
     return spark.read.parquet(target.path("daily_by_app"))
 
 

@@ -14,9 +14,6 @@ from .versions import latest_view
 
 TOTALS = ["downloads_total", "downloads_featured", "downloads_organic"]
 
-# Target lags in minutes.
-TARGET_LAG = {"daily_by_app": 30, "daily_by_country": 30, "paid_vs_organic_trend": 60}
-
 
 def _sums(columns: list[str]):
     return [F.sum(c).alias(c) for c in columns]

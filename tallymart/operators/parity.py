@@ -94,15 +94,24 @@ def parity_diff_rows(left: DataFrame, right: DataFrame, sample_one_in: int = 1)
     """Rows that differ, with what differs: one row per key and issue.
 
     A sample is taken by a hash of the key, so both copies sample the same keys. NULL equals
-    NULL here.
+    NULL here. Both sides come down to one row per key before the join: a key that occurs
+    many times on both sides must not be joined pair by pair. Such a key is compared by
+    number of rows (``copy_count``) and by checksum (``copies_differ``).
     """
     if sample_one_in > 1:
         picked = F.pmod(F.xxhash64(*[_canonical(c) for c in WIDE_KEY]), F.lit(sample_one_in)) == 0
         left, right = left.where(picked), right.where(picked)
     values = [c for c in WIDE_TYPES if c not in WIDE_KEY]
     key = [_canonical(c).alias(c) for c in WIDE_KEY]
-    a = left.select(*key, F.struct(*values).alias("a"))
-    b = right.select(*key, F.struct(*values).alias("b"))
+
+    def per_key(rows, side):
+        return rows.groupBy(*key).agg(
+            F.max(F.struct(*values)).alias(side),
+            F.count("*").alias(f"{side}_copies"),
+            F.sum(row_checksum([_canonical(c) for c in values])).alias(f"{side}_sum"),
+        )
+
+    a, b = per_key(left, "a"), per_key(right, "b")
 
     def second(value, column):
         return F.date_trunc("second", value) if column == "ingest_ts" else value
@@ -115,10 +124,21 @@ def parity_diff_rows(left: DataFrame, right: DataFrame, sample_one_in: int = 1)
         far = F.abs(p - q) / F.greatest(F.abs(p), F.abs(q), F.lit(1.0)) > RELATIVE
         return F.when((p.isNull() != q.isNull()) | far, F.lit(f"tolerance_diff:{column}"))
 
+    def present(*found):
+        return F.filter(F.array(*found), lambda i: i.isNotNull())
+
+    repeated = (F.col("a_copies") > 1) | (F.col("b_copies") > 1)
     issues = (
         F.when(F.col("b").isNull(), F.array(F.lit("only_left")))
         .when(F.col("a").isNull(), F.array(F.lit("only_right")))
-        .otherwise(F.filter(F.array(*[issue(c) for c in values]), lambda i: i.isNotNull()))
+        .when(
+            repeated,
+            present(
+                F.when(F.col("a_copies") != F.col("b_copies"), F.lit("copy_count")),
+                F.when(F.col("a_sum") != F.col("b_sum"), F.lit("copies_differ")),
+            ),
+        )
+        .otherwise(present(*[issue(c) for c in values]))
     )
     return a.join(b, WIDE_KEY, "full").select(*WIDE_KEY, F.explode(issues).alias("issue"))
 

@@ -28,8 +28,8 @@ from ..operators.quarantine import SCHEMA_MISMATCH, error_records
 from ..sources.drop import SOURCE_FILE, SOURCE_MTIME, partition_window, scan_drop, with_source
 from ..sources.footers import FOOTER_DDL, footer_columns
 from ..sources.manifest import file_manifest
-from ..sources.tables import append_rows, overwrite_partitions, read_table
-from .layout import ALERT_TYPES, Layout, in_partitions, layer_state, read_bronze, seen_files
+from ..sources.tables import append_rows, in_partitions, overwrite_partitions, read_table
+from .layout import ALERT_TYPES, Layout, layer_state, read_bronze, seen_files
 
 LAYER = "bronze"
 
@@ -133,12 +133,12 @@ def _read_footers(spark: SparkSession, layout: Layout, run: BronzeRun, files: Da
 
 
 def _write_good(spark, layout, run, good, files, types, order) -> None:
-    raw = scan_drop(spark, layout.drop, types).where(in_partitions(good))
+    raw = scan_drop(spark, layout.drop, types, good)
     cleaned = clean(with_source(raw), run.at, types, order).drop(SOURCE_FILE, SOURCE_MTIME)
     overwrite_partitions(cleaned, layout.bronze)
 
     taken = _count(raw, "in_count")
-    written = _count(read_bronze(spark, layout).where(in_partitions(good)), "out_count")
+    written = _count(read_bronze(spark, layout, good), "out_count")
     empty = empty_partitions(files.where(in_partitions(good)), taken)
     counts = taken.join(written, PARTITION).unionByName(empty.drop("status"))
     append_rows(ledger_rows(counts, LAYER, "succeeded", run.run_id, run.at), layout.ledger)
@@ -182,7 +182,9 @@ def quarantine_files(
     Returns rows and files per partition.
     """
     column = F.concat_ws(":", "column_name", "column_type")
-    signature = F.md5(F.concat_ws(",", F.sort_array(F.collect_list(column))))
+    # The prefix keeps a folder name from being read as a number.
+    columns = F.concat_ws(",", F.sort_array(F.collect_list(column)))
+    signature = F.concat(F.lit("columns-"), F.md5(columns))
     signed = footers.groupBy("file_path").agg(signature.alias("signature"))
     groups: dict[str, list[str]] = {}
     for row in signed.collect():

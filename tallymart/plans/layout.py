@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from ..contracts import NARROW_TYPES, WIDE_TYPES, ddl
 from ..operators.ledger import FILE_LEDGER_TYPES, LEDGER_TYPES, previous_files, run_ledger
 from ..operators.quarantine import ERROR_TYPES
-from ..sources.tables import read_table
+from ..sources.tables import read_partitions, read_table
 
 ALERT_TYPES = {
     "partition_dt": "date",
@@ -93,8 +93,13 @@ def seen_files(spark: SparkSession, layout: Layout, layer: str) -> DataFrame:
     return previous_files(files, layer_state(spark, layout, layer))
 
 
-def read_bronze(spark: SparkSession, layout: Layout) -> DataFrame:
-    return read_table(spark, layout.bronze, ddl({**NARROW_TYPES, "store": "string"}))
+STORED_NARROW = ddl({**NARROW_TYPES, "store": "string"})
+
+
+def read_bronze(spark: SparkSession, layout: Layout, keys: list[tuple] | None = None) -> DataFrame:
+    if keys is not None:
+        return read_partitions(spark, layout.bronze, STORED_NARROW, keys)
+    return read_table(spark, layout.bronze, STORED_NARROW)
 
 
 def read_silver(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -103,14 +108,3 @@ def read_silver(spark: SparkSession, layout: Layout) -> DataFrame:
 
 def read_errors(spark: SparkSession, layout: Layout) -> DataFrame:
     return read_or_empty(spark, layout.errors, ERROR_TYPES)
-
-
-def in_partitions(keys: list[tuple]):
-    """Filter on folders from a list of (dt, store): pruned before any file is opened."""
-    chosen = F.lit(False)
-    by_store: dict[str, list] = {}
-    for dt, store in keys:
-        by_store.setdefault(store, []).append(dt)
-    for store, days in by_store.items():
-        chosen = chosen | ((F.col("store") == store) & F.col("dt").isin(days))
-    return chosen

@@ -13,8 +13,8 @@ from ..operators.ledger import ledger_rows, stale_silver
 from ..operators.pivot import expected_wide_keys, to_wide
 from ..operators.quality import alert_records, dq_gate, dq_run_all
 from ..operators.quarantine import DQ_BLOCK, quarantine_frame
-from ..sources.tables import append_rows, overwrite_partitions, read_table
-from .layout import ALERT_TYPES, Layout, in_partitions, ledger_state, read_bronze
+from ..sources.tables import append_rows, in_partitions, overwrite_partitions, read_table
+from .layout import ALERT_TYPES, Layout, ledger_state, read_bronze
 
 LAYER = "silver"
 STAGED = {**WIDE_TYPES, "store": "string"}
@@ -121,7 +121,7 @@ def silver_build(
         return
     wanted = spark.createDataFrame(todo, "dt date, store string")
     append_rows(ledger_rows(wanted, LAYER, "running", run_id, at), layout.ledger)
-    narrow = read_bronze(spark, layout).where(in_partitions(todo))
+    narrow = read_bronze(spark, layout, todo)
     publish(spark, layout, narrow, run_id, at)
     # Partitions without a Bronze row got no verdict: nothing to write, and done.
     empty = wanted.join(narrow.select(*PARTITION).distinct(), PARTITION, "left_anti")

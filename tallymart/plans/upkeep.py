@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from ..contracts import PARTITION
 from ..operators.quarantine import parse_failure_day
 from ..operators.versions import dedup_versions, touched_by_dedup
-from ..sources.tables import append_rows, overwrite_partitions
+from ..sources.drop import SOURCE_FILE
+from ..sources.tables import append_rows, in_partitions, overwrite_partitions
 from ..streaming.append_load import BATCH, LoadTarget, read_versions
 from .layout import Layout, read_or_empty
 
@@ -54,35 +56,21 @@ def dedup_in_place(spark: SparkSession, target: LoadTarget, staging: str, as_of:
 
 def quarantine_entries(spark: SparkSession, layout: Layout, failed_at: date) -> DataFrame:
     """What one failure day holds, per kind and partition, with row counts."""
-    raw = _children(spark, f"{layout.quarantine}/raw/failed_at={failed_at.isoformat()}", ["signature", *PARTITION])
-    wide = _children(spark, f"{layout.quarantine}/wide/failed_at={failed_at.isoformat()}", PARTITION)
-    errors = _children(spark, f"{layout.errors}/failed_at={failed_at.isoformat()}", [])
-    found = []
-    for kind, rows in (("raw", raw), ("wide", wide), ("error", errors)):
-        if rows is not None:
-            found.append(
-                rows.groupBy(F.col("dt").cast("date").alias("dt"), F.col("store").cast("string").alias("store"))
-                .agg(F.count("*").alias("row_count"))
-                .select(F.lit(failed_at).alias("failed_at"), F.lit(kind).alias("kind"), *PARTITION, "row_count")
-            )
-    if not found:
-        return spark.createDataFrame([], "failed_at date, kind string, dt date, store string, row_count bigint")
-    entries = found[0]
-    for more in found[1:]:
-        entries = entries.unionByName(more)
-    return entries
-
-
-def _children(spark: SparkSession, path: str, columns: list[str]) -> DataFrame | None:
-    from pyspark.errors import AnalysisException
-
-    try:
-        rows = spark.read.parquet(path)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return None
-    return rows
+    folder = f"failed_at={failed_at.isoformat()}"
+    kept = {
+        "raw": f"{layout.quarantine}/raw/{folder}",
+        "wide": f"{layout.quarantine}/wide/{folder}",
+        "error": f"{layout.errors}/{folder}",
+    }
+    # Only these two columns are read, whatever else the files of a kind hold.
+    entries = [
+        read_or_empty(spark, path, {"dt": "date", "store": "string"})
+        .groupBy(*PARTITION)
+        .agg(F.count("*").alias("row_count"))
+        .select(F.lit(failed_at).alias("failed_at"), F.lit(kind).alias("kind"), *PARTITION, "row_count")
+        for kind, path in kept.items()
+    ]
+    return reduce(DataFrame.unionByName, entries)
 
 
 def dlq_replay(spark: SparkSession, layout: Layout, failed_at: str, at: datetime) -> DataFrame:
@@ -107,29 +95,26 @@ def dlq_replay(spark: SparkSession, layout: Layout, failed_at: str, at: datetime
 
 
 def _restore(spark: SparkSession, layout: Layout, day: date, todo: list[tuple]) -> None:
-    """Rows go back by signature, so that each keeps the types it came with."""
-    from .layout import in_partitions
+    """Rows go back by signature, so that each keeps the types it came with.
 
+    The first signature of a partition replaces what the drop holds, further ones join it.
+    The list of signatures and partitions comes from folder names.
+    """
     root = f"{layout.quarantine}/raw/failed_at={day.isoformat()}"
-    listed = spark.read.format("binaryFile").load(root).select("signature", *PARTITION).distinct()
-    signatures = sorted(row.signature for row in listed.select("signature").distinct().collect())
-    for number, signature in enumerate(signatures):
-        rows = spark.read.parquet(f"{root}/signature={signature}").drop("_source_file")
-        rows = rows.withColumn("dt", F.col("dt").cast("date")).where(in_partitions(todo))
-        if number == 0:
-            overwrite_partitions(rows, layout.drop)
-        else:
-            _restore_beside(rows, layout, root, signatures[:number], spark)
-
-
-def _restore_beside(rows, layout, root, earlier, spark) -> None:
-    """Later signatures replace partitions no earlier one restored and join the others."""
-    restored = None
-    for signature in earlier:
-        keys = spark.read.format("binaryFile").load(f"{root}/signature={signature}").select(
-            F.col("dt").cast("date").alias("dt"), "store"
-        )
-        restored = keys if restored is None else restored.unionByName(keys)
-    restored = restored.distinct()
-    overwrite_partitions(rows.join(restored, PARTITION, "left_anti"), layout.drop)
-    append_rows(rows.join(restored, PARTITION, "left_semi"), layout.drop, PARTITION)
+    listed = spark.read.format("binaryFile").load(root)
+    folders = listed.select("signature", F.col("dt").cast("date").alias("dt"), F.col("store").cast("string").alias("store"))
+    by_signature: dict[str, list[tuple]] = {}
+    for row in folders.distinct().orderBy("signature", *PARTITION).collect():
+        if (row.dt, row.store) in todo:
+            by_signature.setdefault(row.signature, []).append((row.dt, row.store))
+    restored: set[tuple] = set()
+    for signature, keys in by_signature.items():
+        rows = spark.read.parquet(f"{root}/signature={signature}").drop(SOURCE_FILE)
+        rows = rows.withColumn("dt", F.col("dt").cast("date"))
+        first = [k for k in keys if k not in restored]
+        later = [k for k in keys if k in restored]
+        if first:
+            overwrite_partitions(rows.where(in_partitions(first)), layout.drop)
+        if later:
+            append_rows(rows.where(in_partitions(later)), layout.drop, PARTITION)
+        restored.update(keys)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import DROP_TYPES, PARTITION, WINDOWS, ddl
+from .tables import read_partitions
 
 CORRUPT = "_corrupt_record"
 SOURCE_FILE = "_source_file"
@@ -19,20 +20,28 @@ def _layout(root: str) -> str:
     return f"{root}/dt=*/store=*"
 
 
-def scan_drop(spark: SparkSession, root: str, types: dict[str, str] = DROP_TYPES) -> DataFrame:
-    """One scan over every partition of a Parquet drop folder.
+def scan_drop(
+    spark: SparkSession,
+    root: str,
+    types: dict[str, str] = DROP_TYPES,
+    keys: list[tuple] | None = None,
+) -> DataFrame:
+    """One scan over every partition of a Parquet drop folder, or over the given ones.
 
     ``dt`` and ``store`` come from the path, so filters on them prune folders before any
     file is opened.
     """
     body = {c: t for c, t in types.items() if c not in PARTITION}
     schema = ddl({**body, "dt": "date", "store": "string"})
+    if keys is not None:
+        return read_partitions(spark, root, schema, keys)
     return spark.read.schema(schema).option("basePath", root).parquet(_layout(root))
 
 
 def scan_drop_csv(spark: SparkSession, root: str, types: dict[str, str] = DROP_TYPES) -> DataFrame:
-    """Same contract from (gzip) CSV with a header; unparsable rows keep their text.
+    """Same contract from (gzip) CSV; unparsable rows keep their text.
 
+    The header must name the contract's columns in order, else the scan fails.
     A gzip file is one task whatever its size, so its rows are spread out before the
     first wide step uses them.
     """
@@ -42,6 +51,7 @@ def scan_drop_csv(spark: SparkSession, root: str, types: dict[str, str] = DROP_T
         spark.read.schema(schema)
         .option("basePath", root)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(_layout(root))

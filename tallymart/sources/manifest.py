@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def plain_path(path: Column) -> Column:
+    """One spelling for local files, which appear as ``file:/`` and as ``file:///``."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
 def file_manifest(
     spark: SparkSession,
     root: str,
@@ -28,7 +33,7 @@ def file_manifest(
     return listed.select(
         F.col("dt").cast("date").alias("dt"),
         F.col("store").cast("string").alias("store"),
-        F.col("path").alias("file_path"),
+        plain_path(F.col("path")).alias("file_path"),
         F.col("length").alias("file_bytes"),
         F.col("modificationTime").alias("modified_at"),
         (F.md5("content") if by_content else by_stat).alias("fingerprint"),

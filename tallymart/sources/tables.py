@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import PARTITION
 
+# Characters that partition folders hold as %XX.
+ESCAPED = set("\"#%'*/:=?\\{}[]^")
+MOST_LISTED = 1000
+
 
 def overwrite_partitions(rows: DataFrame, path: str, by: list[str] = PARTITION) -> None:
     """Replace exactly the partitions present in ``rows``; leave all others alone.
@@ -36,6 +41,42 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def in_partitions(keys: list[tuple]) -> Column:
+    """Filter on folders from a list of (dt, store): pruned before any file is opened."""
+    chosen = F.lit(False)
+    by_store: dict[str, list] = {}
+    for dt, store in keys:
+        by_store.setdefault(store, []).append(dt)
+    for store, days in by_store.items():
+        chosen = chosen | ((F.col("store") == store) & F.col("dt").isin(days))
+    return chosen
+
+
+def _folder(dt, store: str) -> str:
+    escaped = "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in store)
+    return f"dt={dt.isoformat()}/store={escaped}"
+
+
+def read_partitions(spark: SparkSession, path: str, schema: str, keys: list[tuple]) -> DataFrame:
+    """Rows of the given partitions; those without a folder have none.
+
+    Only the named folders are listed, so a daily run does not pay for the table's history.
+    A long list is read as a filter over the whole table instead.
+    """
+    if not keys:
+        return spark.createDataFrame([], schema)
+    where = path
+    if len(keys) <= MOST_LISTED:
+        where = f"{path}/{{{','.join(_folder(*key) for key in keys)}}}"
+    try:
+        rows = spark.read.schema(schema).option("basePath", path).parquet(where)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return spark.createDataFrame([], schema)
+    return rows.where(in_partitions(keys))
+
+
 def register_table(
     spark: SparkSession, name: str, path: str, types: dict[str, str]
 ) -> DataFrame:

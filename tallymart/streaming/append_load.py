@@ -11,6 +11,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..contracts import LOADED_AT, PARTITION, VERSIONED_TYPES, WIDE_TYPES, ddl
 from ..operators.loading import HISTORY_TYPES, load_history, load_on_error, stamp_load
 from ..sources.drop import SOURCE_FILE
+from ..sources.manifest import file_manifest, plain_path, reload_missing
 from ..sources.tables import overwrite_partitions, read_table
 
 BATCH = "load_batch"
@@ -48,10 +50,28 @@ def arrivals(
     types: dict[str, str] = WIDE_TYPES,
     max_files: int = 1000,
 ) -> DataFrame:
-    """Stream of wide rows from a partitioned folder, each file once by name."""
-    schema = ddl({**{c: t for c, t in types.items() if c not in PARTITION}, "dt": "date", "store": "string"})
-    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(source)
-    return rows.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
+    """Stream of wide rows from a partitioned folder, each file once by name.
+
+    A file that its partition's next overwrite removed before it was read is passed over:
+    the new files of that partition replace it. The file source passes over files more than
+    a week older than the newest one; ``reload_files`` loads those.
+    """
+    rows = (
+        spark.readStream.schema(_stored(types))
+        .option("maxFilesPerTrigger", max_files)
+        .option("ignoreMissingFiles", True)
+        .parquet(source)
+    )
+    return _named(rows)
+
+
+def _stored(types: dict[str, str]) -> str:
+    body = {c: t for c, t in types.items() if c not in PARTITION}
+    return ddl({**body, "dt": "date", "store": "string"})
+
+
+def _named(rows: DataFrame) -> DataFrame:
+    return rows.select("*", plain_path(F.col("_metadata.file_path")).alias(SOURCE_FILE))
 
 
 def append_load(
@@ -72,20 +92,14 @@ def append_load(
     ``types`` are the types as stored in the files; rows are cast to the contract.
     ``after_batch`` gets the loaded rows of the batch as read back from the table.
     """
-    spark_clock = clock or (lambda batch_id: utc_now())
+    at_time = clock or (lambda batch_id: utc_now())
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        at = spark_clock(batch_id)
-        rows = stamp_load(load_on_error(batch, on_error, limit), at)
-        numbered = F.lit(batch_id).cast("bigint").alias(BATCH)
-        overwrite_partitions(rows.select(*VERSIONED_TYPES, numbered), target.table, ["dt", BATCH])
-        history = load_history(batch, at, on_error, limit)
-        overwrite_partitions(history.select("*", numbered), target.history, [BATCH])
+        session = batch.sparkSession
+        fresh = _not_reloaded(session, batch, target)
+        _load_batch(fresh, target, batch_id, at_time(batch_id), on_error, limit)
         if after_batch is not None:
-            table = read_versions(batch.sparkSession, target)
-            after_batch(table.where(F.col(BATCH) == batch_id), batch_id)
+            after_batch(read_versions(session, target).where(F.col(BATCH) == batch_id), batch_id)
 
     writer = (
         arrivals(spark, source, types, max_files)
@@ -103,6 +117,60 @@ def read_history(spark: SparkSession, target: LoadTarget) -> DataFrame:
     return read_table(spark, target.history, ddl(STORED_HISTORY))
 
 
+def _load_batch(
+    rows: DataFrame, target: LoadTarget, batch_id: int, at: datetime, on_error: str, limit: int | None
+) -> None:
+    """Versions first, history last: a file counts as loaded only when its rows are there."""
+    numbered = F.lit(batch_id).cast("bigint").alias(BATCH)
+    loaded = stamp_load(load_on_error(rows, on_error, limit), at)
+    overwrite_partitions(loaded.select(*VERSIONED_TYPES, numbered), target.table, ["dt", BATCH])
+    history = load_history(rows, at, on_error, limit)
+    overwrite_partitions(history.select("*", numbered), target.history, [BATCH])
+
+
+def _not_reloaded(spark: SparkSession, batch: DataFrame, target: LoadTarget) -> DataFrame:
+    """Leave out files that were loaded by hand before the stream got to them."""
+    by_hand = _history_or_empty(spark, target).where(F.col(BATCH) < 0)
+    return batch.join(by_hand.select(F.col("file_name").alias(SOURCE_FILE)).distinct(), SOURCE_FILE, "left_anti")
+
+
+def _history_or_empty(spark: SparkSession, target: LoadTarget) -> DataFrame:
+    try:
+        return read_history(spark, target)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return spark.createDataFrame([], ddl(STORED_HISTORY))
+
+
+def reload_files(
+    spark: SparkSession,
+    source: str,
+    target: LoadTarget,
+    at: datetime,
+    *,
+    modified_after: datetime | None = None,
+    types: dict[str, str] = WIDE_TYPES,
+    on_error: str = "skip_file",
+    limit: int | None = None,
+) -> int:
+    """Load what lies in the source but not in the history; returns the number of files.
+
+    Loads by hand are numbered downwards from -1, apart from the stream's batches. Only the
+    names of missing files come to the driver.
+    """
+    history = _history_or_empty(spark, target)
+    missing = reload_missing(file_manifest(spark, source), history, modified_after)
+    paths = [row.file_path for row in missing.select("file_path").collect()]
+    if not paths:
+        return 0
+    lowest = history.agg(F.min(BATCH).alias("n")).first().n
+    number = min(lowest if lowest is not None else 0, 0) - 1
+    rows = _named(spark.read.schema(_stored(types)).option("basePath", source).parquet(*paths))
+    _load_batch(rows, target, number, at, on_error, limit)
+    return len(paths)
+
+
 def append_batch(
     spark: SparkSession, rows: DataFrame, target: LoadTarget, batch_id: int, at: datetime
 ) -> None:

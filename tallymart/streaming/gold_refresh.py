@@ -8,16 +8,19 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.gold import gold_daily_by_app, gold_daily_by_country, gold_trend_all_days
 from ..sources.tables import append_rows, overwrite_partitions, read_table
-from .append_load import LoadTarget, read_versions, utc_now
+from .append_load import LoadTarget, append_load, read_versions, utc_now
 
 GOLD_TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "daily_by_app": gold_daily_by_app,
     "daily_by_country": gold_daily_by_country,
     "paid_vs_organic_trend": gold_trend_all_days,
 }
+# How far a table may lag behind, in minutes.
+TARGET_LAG = {"daily_by_app": 30, "daily_by_country": 30, "paid_vs_organic_trend": 60}
 REFRESH_DDL = (
     "name string, state string, refresh_action string, "
     "refresh_start_time timestamp, refresh_end_time timestamp, days bigint"
@@ -85,5 +88,18 @@ def refresh_after_batch(
     return hook
 
 
+def load_and_refresh(
+    spark: SparkSession, source: str, load: LoadTarget, gold: GoldTarget, *, forever: bool = False, **options
+) -> StreamingQuery:
+    """Append load with Gold kept up to date.
+
+    ``forever`` looks for new files as often as the tightest target lag asks; otherwise the
+    stream takes what is there and stops.
+    """
+    every = f"{min(TARGET_LAG.values())} minutes" if forever else None
+    hook = refresh_after_batch(spark, load, gold)
+    return append_load(spark, source, load, after_batch=hook, every=every, **options)
+
+
 def read_refreshes(spark: SparkSession, target: GoldTarget) -> DataFrame:
     return read_table(spark, target.history, REFRESH_DDL)
