@@ -259,8 +259,8 @@ LEAF_SUMS = ", ".join(
 
 def _gold_app(source: str) -> str:
     return f"""SELECT dt, product_id, app_store, {GOLD_SUMS},
-      ROUND(AVG(CAST(paid_share AS DOUBLE)), 6) AS avg_paid_share,
-      ROUND(AVG(CAST(featured_share AS DOUBLE)), 6) AS avg_featured_share, COUNT(*) AS row_count
+      CAST(SUM(paid_share) AS DOUBLE) / NULLIF(COUNT(paid_share), 0) AS avg_paid_share,
+      CAST(SUM(featured_share) AS DOUBLE) / NULLIF(COUNT(featured_share), 0) AS avg_featured_share, COUNT(*) AS row_count
       FROM {source} GROUP BY dt, product_id, app_store"""
 
 
@@ -714,7 +714,7 @@ RAW_SQL: dict[str, str] = {
     "parity_checksum": "SELECT dt, row_cnt, row_checksum FROM prof_l",
     "parity_checksum_bulk": "SELECT dt, row_cnt, row_checksum FROM prof_bulk",
     "parity_stats": "SELECT dt, " + ", ".join(
-        f"ROUND({c}_sum, 6) AS {c}_sum, ROUND({c}_sumsq, 6) AS {c}_sumsq, {c}_min, {c}_max, {c}_null_cnt"
+        f"ROUND({c}_sum, 6) AS {c}_sum, ROUND({c}_sumsq, 8) AS {c}_sumsq, {c}_min, {c}_max, {c}_null_cnt"
         for c in ("paid_share", "featured_share")
     ) + " FROM prof_r",
     "parity_compare": _compare(),

@@ -613,8 +613,12 @@ over(i.bulk_stale_wide, parity.parity_checksum, name="parity_checksum_bulk")
 
 @query()
 def parity_stats(spark, sf_dir):
+    # Shares have four decimals and their squares eight; rounding there takes off what the
+    # order of summation adds.
+    digits = {"sum": 6, "sumsq": 8}
     stats = parity.parity_stats(i.copies(spark, sf_dir)[1])
-    return stats.select(*[F.round(c, 6).alias(c) if c.endswith(("_sum", "_sumsq")) else F.col(c) for c in stats.columns])
+    kinds = {c: digits.get(c.rsplit("_", 1)[1]) for c in stats.columns if c != "dt"}
+    return stats.select("dt", *[F.round(c, n).alias(c) if n else F.col(c) for c, n in kinds.items()])
 
 
 query("parity_compare")(lambda spark, sf_dir: parity.parity_compare(*i.copies(spark, sf_dir)))
