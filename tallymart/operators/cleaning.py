@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..contracts import DROP_TYPES, NARROW_KEY, PARTITION
+from ..sources.footers import UNREADABLE
 
 
 def contract_table(spark: SparkSession, types: dict[str, str] = DROP_TYPES) -> DataFrame:
@@ -27,7 +28,8 @@ def schema_missing_cols(
         F.collect_set("column_name").alias("present")
     )
     lacking = F.explode(F.array_except(wanted, "present")).alias("column_name")
-    return files.select(*PARTITION, "file_path", lacking)
+    readable = ~F.array_contains("present", UNREADABLE)
+    return files.where(readable).select(*PARTITION, "file_path", lacking)
 
 
 def schema_type_mismatch(
@@ -47,8 +49,12 @@ def schema_gate(
 ) -> DataFrame:
     """Verdict per partition: one bad file rejects the whole partition, and only that one.
 
-    ``dt, store, files, bad_files, error_message`` (message NULL when the partition passes).
+    ``dt, store, files, bad_files, unreadable_files, error_message`` (message NULL when the
+    partition passes).
     """
+    broken = footers.where(F.col("column_name") == UNREADABLE).select(
+        *PARTITION, "file_path", F.concat(F.lit("unreadable file: "), "column_type").alias("problem")
+    )
     missing = schema_missing_cols(footers, types).select(
         *PARTITION, "file_path", F.concat(F.lit("missing "), "column_name").alias("problem")
     )
@@ -59,9 +65,11 @@ def schema_gate(
     )
     problems = (
         missing.unionByName(mistyped)
+        .unionByName(broken)
         .groupBy(*PARTITION)
         .agg(
             F.countDistinct("file_path").alias("bad_files"),
+            F.count_if(F.startswith("problem", F.lit("unreadable"))).alias("unreadable_files"),
             F.concat_ws("; ", F.sort_array(F.collect_set("problem"))).alias("error_message"),
         )
     )
@@ -70,6 +78,7 @@ def schema_gate(
         *PARTITION,
         "files",
         F.coalesce("bad_files", F.lit(0)).cast("bigint").alias("bad_files"),
+        F.coalesce("unreadable_files", F.lit(0)).cast("bigint").alias("unreadable_files"),
         "error_message",
     )
 

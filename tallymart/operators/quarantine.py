@@ -29,12 +29,13 @@ ERROR_TYPES = {
 
 
 def error_records(
-    failed: DataFrame, error_type: str, message: Column, source_file: Column, run_id: str, at: datetime
+    failed: DataFrame, error_type: str | Column, message: Column, source_file: Column, run_id: str, at: datetime
 ) -> DataFrame:
     """One record per failed input. ``failed_at`` is the day of the failure, not of the data."""
     key = F.concat_ws("/", F.concat(F.lit("dt="), F.date_format("dt", "yyyy-MM-dd")), F.concat(F.lit("store="), "store"))
+    kind = F.lit(error_type) if isinstance(error_type, str) else error_type
     return failed.select(
-        F.lit(error_type).alias("error_type"),
+        kind.alias("error_type"),
         message.alias("error_message"),
         F.lit(at).cast("timestamp").alias("recorded_at"),
         F.lit(run_id).alias("job_run_id"),

@@ -24,12 +24,12 @@ from ..operators.ledger import (
     ledger_rows,
     restate_detect,
 )
-from ..operators.quarantine import SCHEMA_MISMATCH, error_records
+from ..operators.quarantine import PROCESSING_ERROR, SCHEMA_MISMATCH, error_records
 from ..sources.drop import SOURCE_FILE, SOURCE_MTIME, partition_window, scan_drop, with_source
-from ..sources.footers import FOOTER_DDL, footer_columns
+from ..sources.footers import FOOTER_DDL, UNREADABLE, footer_columns
 from ..sources.manifest import file_manifest
 from ..sources.tables import append_rows, in_partitions, overwrite_partitions, read_table
-from .layout import ALERT_TYPES, Layout, layer_state, read_bronze, seen_files
+from .layout import ALERT_TYPES, Layout, layer_state, read_bronze, record_failure, seen_files
 
 LAYER = "bronze"
 
@@ -118,11 +118,19 @@ def bronze_build(
     footers = _read_footers(spark, layout, run, files)
     verdicts = schema_gate(footers, types).collect()  # one row per partition
     good = [(v.dt, v.store) for v in verdicts if v.error_message is None]
-    bad = [(v.dt, v.store, v.error_message) for v in verdicts if v.error_message is not None]
-    if good:
-        _write_good(spark, layout, run, good, files, {**types, **(extra or {})}, order)
+    bad = [
+        (v.dt, v.store, v.error_message, PROCESSING_ERROR if v.unreadable_files else SCHEMA_MISMATCH)
+        for v in verdicts
+        if v.error_message is not None
+    ]
     if bad:
         _reject(spark, layout, run, bad, files, footers)
+    if good:
+        try:
+            _write_good(spark, layout, run, good, files, {**types, **(extra or {})}, order)
+        except Exception as error:
+            record_failure(spark, layout, LAYER, PROCESSING_ERROR, good, error, run.run_id, run.at)
+            raise
 
 
 def _read_footers(spark: SparkSession, layout: Layout, run: BronzeRun, files: DataFrame) -> DataFrame:
@@ -146,12 +154,14 @@ def _write_good(spark, layout, run, good, files, types, order) -> None:
 
 def _reject(spark, layout, run, bad, files, footers) -> None:
     """Keep rows, reasons, ledger entries and alerts of rejected partitions."""
-    reasons = spark.createDataFrame(bad, "dt date, store string, error_message string")
-    held = in_partitions([(dt, store) for dt, store, _ in bad])
+    reasons = spark.createDataFrame(
+        bad, "dt date, store string, error_message string, error_type string"
+    )
+    held = in_partitions([(dt, store) for dt, store, *_ in bad])
     rejected = files.where(held)
     errors = error_records(
         rejected.join(reasons, PARTITION),
-        SCHEMA_MISMATCH,
+        F.col("error_type"),
         F.col("error_message"),
         F.col("file_path"),
         run.run_id,
@@ -185,7 +195,9 @@ def quarantine_files(
     # The prefix keeps a folder name from being read as a number.
     columns = F.concat_ws(",", F.sort_array(F.collect_list(column)))
     signature = F.concat(F.lit("columns-"), F.md5(columns))
-    signed = footers.groupBy("file_path").agg(signature.alias("signature"))
+    # The rows of an unreadable file cannot be copied; its error record names it.
+    readable = footers.where(F.col("column_name") != UNREADABLE)
+    signed = readable.groupBy("file_path").agg(signature.alias("signature"))
     groups: dict[str, list[str]] = {}
     for row in signed.collect():
         groups.setdefault(row.signature, []).append(row.file_path)
@@ -195,11 +207,11 @@ def quarantine_files(
         rows = rows.drop(SOURCE_MTIME).withColumn("dt", F.col("dt").cast("date"))
         overwrite_partitions(rows, f"{day}/signature={name}")
     # Only folder columns are read back, so differing signatures do not matter.
-    copied = (
-        spark.read.schema("signature string, dt date, store string")
-        .option("basePath", day)
-        .parquet(*[f"{day}/signature={name}" for name in groups])
-    )
+    folders = "signature string, dt date, store string"
+    copied = spark.createDataFrame([], folders)
+    if groups:
+        stored = spark.read.schema(folders).option("basePath", day)
+        copied = stored.parquet(*[f"{day}/signature={name}" for name in groups])
     rows_kept = copied.join(rejected.select(*PARTITION).distinct(), PARTITION, "left_semi")
     return (
         rejected.groupBy(*PARTITION)

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from ..contracts import NARROW_TYPES, WIDE_TYPES, ddl
-from ..operators.ledger import FILE_LEDGER_TYPES, LEDGER_TYPES, previous_files, run_ledger
-from ..operators.quarantine import ERROR_TYPES
-from ..sources.tables import read_partitions, read_table
+from ..operators.ledger import FILE_LEDGER_TYPES, LEDGER_TYPES, ledger_rows, previous_files, run_ledger
+from ..operators.quarantine import ERROR_TYPES, error_records
+from ..sources.tables import append_rows, read_partitions, read_table
 
 ALERT_TYPES = {
     "partition_dt": "date",
@@ -106,5 +107,31 @@ def read_silver(spark: SparkSession, layout: Layout) -> DataFrame:
     return read_table(spark, layout.silver, ddl({**WIDE_TYPES, "store": "string"}))
 
 
+def record_failure(
+    spark: SparkSession,
+    layout: Layout,
+    layer: str,
+    error_type: str,
+    keys: list[tuple],
+    error: Exception,
+    run_id: str,
+    at: datetime,
+) -> None:
+    """Mark all partitions of a step that raised as failed, so that the next run takes them."""
+    failed = spark.createDataFrame(keys, "dt date, store string")
+    message = F.lit(str(error)[:2000])
+    source = F.concat_ws("/", F.lit(layer), "store")
+    append_rows(error_records(failed, error_type, message, source, run_id, at), layout.errors, ["failed_at"])
+    append_rows(ledger_rows(failed, layer, "failed", run_id, at), layout.ledger)
+    alerts = failed.select(
+        F.col("dt").alias("partition_dt"),
+        "store",
+        F.lit(f"Daily counters: {layer} failed"[:100]).alias("subject"),
+        message.alias("message"),
+        F.lit(at).cast("timestamp").alias("raised_at"),
+    )
+    append_rows(alerts.select(*ALERT_TYPES), layout.alerts)
+
+
 def read_errors(spark: SparkSession, layout: Layout) -> DataFrame:
     return read_or_empty(spark, layout.errors, ERROR_TYPES)

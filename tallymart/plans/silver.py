@@ -12,9 +12,9 @@ from ..contracts import PARTITION, WIDE_TYPES, ddl
 from ..operators.ledger import ledger_rows, stale_silver
 from ..operators.pivot import expected_wide_keys, to_wide
 from ..operators.quality import alert_records, dq_gate, dq_run_all
-from ..operators.quarantine import DQ_BLOCK, quarantine_frame
+from ..operators.quarantine import DQ_BLOCK, SILVER_PROCESSING_ERROR, quarantine_frame
 from ..sources.tables import append_rows, in_partitions, overwrite_partitions, read_table
-from .layout import ALERT_TYPES, Layout, ledger_state, read_bronze
+from .layout import ALERT_TYPES, Layout, ledger_state, read_bronze, record_failure
 
 LAYER = "silver"
 STAGED = {**WIDE_TYPES, "store": "string"}
@@ -122,7 +122,11 @@ def silver_build(
     wanted = spark.createDataFrame(todo, "dt date, store string")
     append_rows(ledger_rows(wanted, LAYER, "running", run_id, at), layout.ledger)
     narrow = read_bronze(spark, layout, todo)
-    publish(spark, layout, narrow, run_id, at)
+    try:
+        publish(spark, layout, narrow, run_id, at)
+    except Exception as error:
+        record_failure(spark, layout, LAYER, SILVER_PROCESSING_ERROR, todo, error, run_id, at)
+        raise
     # Partitions without a Bronze row got no verdict: nothing to write, and done.
     empty = wanted.join(narrow.select(*PARTITION).distinct(), PARTITION, "left_anti")
     append_rows(ledger_rows(empty, LAYER, "succeeded", run_id, at), layout.ledger)

@@ -215,3 +215,38 @@ def test_restate_reaches_silver(spark, root):
     (row,) = read_silver(spark, layout).collect()
     assert row.downloads_total == 1050
     assert ledger_state(spark, layout).where("status = 'succeeded'").count() == 2
+
+
+def test_a_broken_file_rejects_its_partition_only(spark, root):
+    layout = Layout(root)
+    deliver(spark, layout, narrow_rows([1, 2, 3, 4]) + narrow_rows([5, 0, 0, 0], day=OTHER))
+    with open(f"{layout.drop}/dt={OTHER}/store=ios/part-broken.parquet", "wb") as handle:
+        handle.write(b"not a parquet file")
+    bronze_build(spark, layout, RUN)
+    found = state(spark, layout)
+    assert (found[DAY, "ios"].status, found[OTHER, "ios"].status) == ("succeeded", "failed")
+    assert (found[OTHER, "ios"].dlq_files, found[OTHER, "ios"].dlq_rows) == (2, 4)
+    kinds = {(e.error_type, e.error_message.split(":")[0]) for e in read_errors(spark, layout).collect()}
+    assert kinds == {("PROCESSING_ERROR", "unreadable file")}
+
+
+def test_a_step_that_raises_is_recorded_and_tried_again(spark, root, monkeypatch):
+    from tallymart.plans import silver
+
+    layout = Layout(root)
+    deliver(spark, layout, narrow_rows([1, 2, 3, 4]))
+    bronze_build(spark, layout, RUN)
+    real = silver.publish
+
+    def dies(*args):
+        raise RuntimeError("out of disk")
+
+    monkeypatch.setattr(silver, "publish", dies)
+    with pytest.raises(RuntimeError):
+        silver_build(spark, layout, "silver-1", RUN.at)
+    assert state(spark, layout, "silver")[DAY, "ios"].status == "failed"
+    (error,) = read_errors(spark, layout).collect()
+    assert (error.error_type, error.error_message) == ("SILVER_PROCESSING_ERROR", "out of disk")
+    monkeypatch.setattr(silver, "publish", real)
+    silver_build(spark, layout, "silver-2", NEXT.at)
+    assert state(spark, layout, "silver")[DAY, "ios"].status == "succeeded"
