@@ -416,6 +416,7 @@ RAW_SQL: dict[str, str] = {
     "partition_window": f"SELECT {KEY}, channel, downloads, event_id, store FROM ev_raw WHERE dt >= DATE '2024-01-17'",
     "partition_window_target": f"SELECT {KEY}, channel, downloads, event_id, store FROM ev_raw WHERE dt = DATE '2024-01-03' AND store = 'ios'",
     "backfill_range": f"SELECT {KEY}, channel, downloads, event_id, store FROM ev_raw WHERE dt BETWEEN DATE '2024-01-05' AND DATE '2024-01-12'",
+    "file_manifest": "SELECT DISTINCT dt, store, TRUE AS all_hashed FROM ev_raw",
     "restate_detect": """
       SELECT dt, store, files, added, removed, changed,
         CASE WHEN dt = DATE '2024-01-30' THEN 'locked' WHEN status IS NULL THEN 'new' WHEN status <> 'succeeded' THEN 'failed'
@@ -445,7 +446,7 @@ RAW_SQL: dict[str, str] = {
     "append_load": f"SELECT {WIDE_COLUMNS}, _loaded_at FROM versions",
     "load_cast": f"SELECT {WIDE_COLUMNS} FROM wide_now",
     "load_on_error_continue": LOADED,
-    "load_on_error_skip_file": f"{LOADED} AND (dt, app_store) NOT IN ({BAD_FILES.format(limit=0).replace('SELECT dt, app_store', 'SELECT (dt, app_store)')})",
+    "load_on_error": f"{LOADED} AND (dt, app_store) NOT IN ({BAD_FILES.format(limit=0).replace('SELECT dt, app_store', 'SELECT (dt, app_store)')})",
     "load_on_error_skip_file_n": f"{LOADED} AND (dt, app_store) NOT IN ({BAD_FILES.format(limit=1).replace('SELECT dt, app_store', 'SELECT (dt, app_store)')})",
     "load_history_of_load": """
       SELECT strftime(dt, '%Y-%m-%d') || '/' || app_store AS file_name, dt,

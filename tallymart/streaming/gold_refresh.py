@@ -57,23 +57,21 @@ def refresh(
     recompute, repeated versions and restated days included. Only the days' own folders are
     read and written.
     """
-    detail = versions if days is None else versions.where(F.col("dt").isin(days))
     if days == []:
         return
-    for name, aggregate in GOLD_TABLES.items():
-        started = now()
-        try:
-            overwrite_partitions(aggregate(detail), target.path(name), ["dt"])
-        except Exception:
-            _log(spark, target, name, "FAILED", days, started, now())
-            raise
-        _log(spark, target, name, "SUCCEEDED", days, started, now())
-
-
-def _log(spark, target, name, state, days, started, ended) -> None:
-    action = "FULL" if days is None else "INCREMENTAL"
-    entry = [(name, state, action, started, ended, None if days is None else len(days))]
-    append_rows(spark.createDataFrame(entry, REFRESH_DDL).coalesce(1), target.history)
+    detail = versions if days is None else versions.where(F.col("dt").isin(days))
+    action, count = ("FULL", None) if days is None else ("INCREMENTAL", len(days))
+    log = []
+    try:
+        for name, aggregate in GOLD_TABLES.items():
+            started, state = now(), "FAILED"
+            try:
+                overwrite_partitions(aggregate(detail), target.path(name), ["dt"])
+                state = "SUCCEEDED"
+            finally:
+                log.append((name, state, action, started, now(), count))
+    finally:
+        append_rows(spark.createDataFrame(log, REFRESH_DDL).coalesce(1), target.history)
 
 
 def refresh_after_batch(

@@ -155,3 +155,18 @@ def test_gold_follows_loads_and_dedup(spark, root):
     assert total == {DAY: 1050, other: 5}
     assert same(gold.gold_daily_by_country(versions), gold_rows(spark, gold_target, "daily_by_country"))
     assert upkeep.dedup_in_place(spark, target, f"{root}/staging", date(2024, 4, 27)) == []
+
+
+def test_failed_refresh_is_logged(spark, root, monkeypatch):
+    gold_target = gold_refresh.GoldTarget(f"{root}/gold")
+    deliver(spark, f"{root}/source", narrow_rows([1, 0, 0, 0]))
+    target = run(spark, root, T1)
+
+    def dies(rows):
+        raise RuntimeError("no space")
+
+    monkeypatch.setitem(gold_refresh.GOLD_TABLES, "daily_by_country", dies)
+    with pytest.raises(RuntimeError):
+        gold_refresh.refresh(spark, load.read_versions(spark, target), gold_target)
+    states = {r.name: r.state for r in gold_refresh.read_refreshes(spark, gold_target).collect()}
+    assert states == {"daily_by_app": "SUCCEEDED", "daily_by_country": "FAILED"}
