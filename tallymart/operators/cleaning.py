@@ -114,9 +114,11 @@ def newest_first(rows: DataFrame, *leading: str) -> list[Column]:
     return [F.col(c).desc_nulls_last() for c in [*leading, *rest]]
 
 
-def dedup_pk(rows: DataFrame, order: list[Column] | None = None) -> DataFrame:
+def dedup_pk(
+    rows: DataFrame, order: list[Column] | None = None, key: list[str] = NARROW_KEY
+) -> DataFrame:
     """Newest row per narrow key. Ties on ``ingest_ts`` fall back to the other columns."""
-    return keep_first(rows, NARROW_KEY, order or newest_first(rows, "ingest_ts"))
+    return keep_first(rows, key, order or newest_first(rows, "ingest_ts"))
 
 
 def dedup_metrics(rows: DataFrame) -> DataFrame:

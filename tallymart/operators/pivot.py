@@ -12,13 +12,13 @@ from ..functions import channel_sum, share
 from .cleaning import stamp_ingest
 
 
-def pivot_wide(narrow: DataFrame) -> DataFrame:
+def pivot_wide(narrow: DataFrame, key: list[str] = WIDE_KEY) -> DataFrame:
     """Channel rows to columns, as one partial-then-final hash aggregate.
 
     A row with an unknown or NULL channel counts in the total and nowhere else; that gap is
     what the equation check looks for. A group of NULL downloads has a NULL total.
     """
-    return narrow.groupBy(*WIDE_KEY).agg(
+    return narrow.groupBy(*key).agg(
         F.sum("downloads").alias("downloads_total"),
         channel_sum("paid_featured", "unpaid_featured").alias("downloads_featured"),
         channel_sum("paid_organic", "unpaid_organic").alias("downloads_organic"),
@@ -56,6 +56,15 @@ def to_wide(narrow: DataFrame, at: datetime | None = None) -> DataFrame:
     return conform_columns(stamp_ingest(with_shares(pivot_wide(narrow)), at))
 
 
+def to_wide_by_folder(narrow: DataFrame, at: datetime | None = None) -> DataFrame:
+    """Wide rows that stay in the ``store`` folder their narrow rows lie in.
+
+    Usually that is the row's own store; a row filed wrongly is not moved.
+    """
+    wide = with_shares(pivot_wide(narrow, [*WIDE_KEY, "store"]))
+    return conform_columns(stamp_ingest(wide, at), {**WIDE_TYPES, "store": "string"})
+
+
 def expected_wide_keys(narrow: DataFrame) -> DataFrame:
     """Distinct wide keys per partition: the row-count baseline of the wide table."""
     keys = narrow.select("store", *WIDE_KEY).distinct()

@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..contracts import DROP_TYPES, PARTITION, WINDOWS, ddl
+from ..contracts import DROP_TYPES, NARROW_KEY, PARTITION, WINDOWS, ddl
 from ..operators.cleaning import (
     cast_contract,
     dedup_pk,
@@ -59,10 +59,10 @@ class BronzeRun:
 def clean(
     raw: DataFrame, at: datetime, types: dict[str, str], order: list[Column] | None = None
 ) -> DataFrame:
-    """Cast, trim and stamp in one projection, then one row per key."""
+    """Cast, trim and stamp in one projection, then one row per key and folder."""
     stamped = stamp_ingest(trim_strings(cast_contract(raw, types)), at)
     ranked = order or newest_first(stamped, SOURCE_MTIME, SOURCE_FILE)
-    return dedup_pk(stamped, ranked)
+    return dedup_pk(stamped, ranked, [*NARROW_KEY, "store"])
 
 
 def _keys(rows: DataFrame) -> list[tuple]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import PARTITION, WIDE_TYPES, ddl
 from ..operators.ledger import ledger_rows, stale_silver
-from ..operators.pivot import expected_wide_keys, to_wide
+from ..operators.pivot import expected_wide_keys, to_wide_by_folder
 from ..operators.quality import alert_records, dq_gate, dq_run_all
 from ..operators.quarantine import DQ_BLOCK, SILVER_PROCESSING_ERROR, quarantine_frame
 from ..sources.tables import append_rows, in_partitions, overwrite_partitions, read_table
@@ -50,8 +50,7 @@ def stage_and_check(
     and alerts do not run the checks again.
     """
     path = layout.staging(run_id, "wide")
-    wide = to_wide(narrow, at).withColumn("store", F.col("app_store"))
-    wide.write.mode("overwrite").parquet(path)
+    to_wide_by_folder(narrow, at).write.mode("overwrite").parquet(path)
     staged = read_table(spark, path, ddl(STAGED))
     found = dq_run_all(staged.withColumn("partition_dt", F.col("dt")), expected_wide_keys(narrow))
     append_rows(found.withColumn("job_run_id", F.lit(run_id)).select(*DQ_TYPES), layout.dq)

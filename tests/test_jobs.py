@@ -250,3 +250,23 @@ def test_a_step_that_raises_is_recorded_and_tried_again(spark, root, monkeypatch
     monkeypatch.setattr(silver, "publish", real)
     silver_build(spark, layout, "silver-2", NEXT.at)
     assert state(spark, layout, "silver")[DAY, "ios"].status == "succeeded"
+
+
+def test_rows_filed_under_another_store_stay_there(spark, root):
+    layout = Layout(root)
+    misfiled = drop_frame(spark, narrow_rows([1, 0, 0, 0], store="google-play")).withColumn("store", F.lit("ios"))
+    own = drop_frame(spark, narrow_rows([2, 0, 0, 0], store="google-play"))
+    write_part(misfiled.unionByName(own), layout.drop)
+    bronze_build(spark, layout, RUN)
+    silver_build(spark, layout, "silver-1", RUN.at)
+    found = {(r.store, r.app_store, r.downloads_total) for r in read_silver(spark, layout).collect()}
+    assert found == {("ios", "google-play", 1), ("google-play", "google-play", 2)}
+
+
+def test_rows_without_a_store_block_the_folder_they_lie_in(spark, root):
+    layout = Layout(root)
+    nameless = drop_frame(spark, narrow_rows([1, 0, 0, 0])).withColumn("app_store", F.lit(None).cast("string"))
+    write_part(nameless, layout.drop)
+    bronze_build(spark, layout, RUN)
+    silver_build(spark, layout, "silver-1", RUN.at)
+    assert state(spark, layout, "silver")[DAY, "ios"].status == "failed"
