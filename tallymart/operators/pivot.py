@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..contracts import CHANNELS, PARTITION, WIDE_KEY, WIDE_TYPES
+from ..contracts import CHANNELS, WIDE_KEY, WIDE_TYPES
 from ..functions import channel_sum, share
 from .cleaning import stamp_ingest
 
