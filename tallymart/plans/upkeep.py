@@ -33,6 +33,10 @@ def dedup_in_place(spark: SparkSession, target: LoadTarget, staging: str, as_of:
     The survivors are staged first, because a folder cannot be read and replaced by one
     plan. Then each day's folder is replaced as a whole, which also removes batches of which
     nothing survived. There are at most as many days as the dedup window is long.
+
+    Each day is replaced by a write of its own. After a crash a rerun does the days that are
+    left; a day that was being replaced at that moment is whole in ``staging``, so keep that
+    folder until the job has ended.
     """
     versions = read_versions(spark, target)
     days = sorted(row.dt for row in touched_by_dedup(versions, as_of).collect())
