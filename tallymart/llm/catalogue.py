@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm import exact_dedup, mixing, packing
+from tallymart.llm import exact_dedup, jaccard_join, mixing, packing, quality_classifier
 
 #: Folder of the public tokenizer files on driver and executors; None asks the installed package.
 TOKENIZERS: str | None = None
@@ -30,6 +30,14 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_components(read(spark, sf_dir, "documents"), spark)
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), spark)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.mix(read(spark, sf_dir, "documents"), spark)
     return found.select("doc_id", "size", "source_size", "target", "taken")
@@ -40,7 +48,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_exact_dedup, op6_mixing, op7_packing)}
+    return {f.__name__: f for f in (op2_exact_dedup, op4_jaccard_join, op5_quality_classifier, op6_mixing, op7_packing)}
 
 
 NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"

@@ -7,13 +7,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import catalogue, exact_dedup, mixing, packing
+from tallymart.llm import catalogue, exact_dedup, jaccard_join, mixing, packing, quality_classifier
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = quality_classifier.train(docs, catalogue.read(spark, sf_dir, "labels"))
+    return quality_classifier.good_documents(docs, model)
 
 
 def first_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.without_copies(docs, exact_dedup.exact_dedup(docs, spark))
 
 
+def first_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard_join.one_of_each(docs, jaccard_join.near_components(docs, spark))
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(docs, mixing.mix(docs, spark))
 
