@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm import exact_dedup, jaccard_join, mixing, packing, quality_classifier
+from tallymart.llm import exact_dedup, jaccard_join, language_id, mixing, packing, quality_classifier, quality_rules
 
 #: Folder of the public tokenizer files on driver and executors; None asks the installed package.
 TOKENIZERS: str | None = None
@@ -30,6 +30,13 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.judge(read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_components(read(spark, sf_dir, "documents"), spark)
 
@@ -47,8 +54,13 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), spark, tokenizer("word_bpe_49k.json"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_id.identify(read(spark, sf_dir, "documents"), spark)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_exact_dedup, op4_jaccard_join, op5_quality_classifier, op6_mixing, op7_packing)}
+    return {f.__name__: f for f in (op2_exact_dedup, op3_quality_rules, op4_jaccard_join, op5_quality_classifier, op6_mixing, op7_packing, op10_language_id)}
 
 
 NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
