@@ -42,6 +42,8 @@ LONGEST = 24
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1200, 2400
 #: Log odds of a word for toxic documents, times the root of its documents, from which it may be a witness.
 TELLING = 6.0
+#: Weight of a witness against that of a clean document's word.
+WITNESS = 4.0
 GAP = 46
 
 
@@ -214,7 +216,7 @@ def fit(bags: list[Counter], labels: np.ndarray, weight: np.ndarray) -> Machine
         witness = np.concatenate(witness)
         x = np.concatenate([points[witness], points[clean]])
         y = np.concatenate([np.ones(len(witness)), -np.ones(len(clean))])
-        pull = np.concatenate([np.ones(len(witness)), clean_weight * min(1.0, 20 * len(witness) / clean_weight.sum())])
+        pull = np.concatenate([np.full(len(witness), WITNESS), clean_weight])
         w = squared_hinge(x, y, pull)
         scores = points @ w[:-1] + w[-1]
     facts = np.zeros((len(bags), 3))
@@ -228,11 +230,11 @@ def fit(bags: list[Counter], labels: np.ndarray, weight: np.ndarray) -> Machine
 def landmarks(toxic: list[bytes], clean: list[bytes]) -> list[bytes]:
     """The words most telling of toxic documents, no two nearly alike, and frequent clean ones."""
     marks: list[bytes] = []
-    for words, most in ((toxic[:400], LANDMARKS * 4 // 5), (clean[:200], LANDMARKS)):
+    for words, most in ((toxic[:1500], LANDMARKS * 4 // 5), (clean[:200], LANDMARKS)):
         for word in words:
             short = word[:LANDMARK_BYTES]
             if len(marks) < most and len(short) >= 3 and short not in marks:
-                if not marks or scaled_kernel([short], marks).max() < 0.85:
+                if not marks or scaled_kernel([short], marks).max() < 0.6:
                     marks.append(short)
     return marks
 
