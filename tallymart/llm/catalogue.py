@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm import exact_dedup, jaccard_join, language_id, mixing, packing, quality_classifier, quality_rules, toxicity
+from tallymart.llm import exact_dedup, jaccard_join, language_id, mixing, packing, quality_classifier, quality_rules, suffix_dedup, toxicity
 
 #: Folder of the public tokenizer files on driver and executors; None asks the installed package.
 TOKENIZERS: str | None = None
@@ -54,6 +54,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), spark, tokenizer("word_bpe_49k.json"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"), spark, keep_text=False)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), spark)
     return found.select("doc_id", "held_out", "score", "predicted")
@@ -65,7 +70,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_exact_dedup, op3_quality_rules, op4_jaccard_join, op5_quality_classifier, op6_mixing, op7_packing, op9_toxicity, op10_language_id)}
+    return {f.__name__: f for f in (op2_exact_dedup, op3_quality_rules, op4_jaccard_join, op5_quality_classifier, op6_mixing, op7_packing, op8_suffix_dedup, op9_toxicity, op10_language_id)}
 
 
 NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
