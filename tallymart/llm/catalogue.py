@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm import exact_dedup, jaccard_join, language_id, mixing, packing, quality_classifier, quality_rules, suffix_dedup, toxicity
+from tallymart.llm import exact_dedup, jaccard_join, language_id, mixing, packing, quality_classifier, quality_rules, substring_dedup, suffix_dedup, toxicity
 
 #: Folder of the public tokenizer files on driver and executors; None asks the installed package.
 TOKENIZERS: str | None = None
@@ -25,6 +25,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeated_chunks(read(spark, sf_dir, "documents"), spark, keep_text=False)
+    return found.select("doc_id", "n_bytes", "n_chunks", "n_removed", "n_spans", "kept_sha256")
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_dedup(read(spark, sf_dir, "documents"), spark)
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -70,7 +75,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_exact_dedup, op3_quality_rules, op4_jaccard_join, op5_quality_classifier, op6_mixing, op7_packing, op8_suffix_dedup, op9_toxicity, op10_language_id)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_exact_dedup, op3_quality_rules, op4_jaccard_join, op5_quality_classifier, op6_mixing, op7_packing, op8_suffix_dedup, op9_toxicity, op10_language_id)}
 
 
 NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"

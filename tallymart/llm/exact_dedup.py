@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tallymart.llm.chunking import Cutter
 from tallymart.llm.common import IS_SPACE, SPACE_RE, documents, staged, text_blocks
 
-CUTTER = Cutter(bits=10, smallest=512, largest=16384)
+CUTTER = Cutter(reach=512, largest=16384)
 Digest = Callable[[bytes], bytes]
 
 

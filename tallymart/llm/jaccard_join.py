@@ -7,7 +7,7 @@ enter the product. The order puts n-grams that many documents share last. Counts
 columns are accumulated by pair, pairs below the bound that their sizes set are discarded, and
 the rest are counted over whole sets.
 
-Two rounds: each column's rows against its first row alone, which joins most of a group of near
+First some rounds of each column's rows against one of them, which joins most of a group of near
 copies at a cost in proportion to the group; then, in columns that still hold several
 components, the pairs between different components. No link that could join two components is
 left uncounted.
@@ -36,8 +36,12 @@ from tallymart.llm.components import components
 WORDS = 5
 #: A link needs ``OVER`` times the intersection to reach ``UNDER`` times the union.
 OVER, UNDER = 100, 75
-#: Cells in which n-grams are counted, by hash, to tell common ones; also the most that are broadcast.
-CELLS = 1 << 20
+#: N-grams known as common, at most; they are broadcast, and decide on the order alone.
+MOST_COMMON = 1 << 20
+#: Texts of one task that an n-gram must be in to be reported as common.
+REPORTED = 3
+#: Rounds against single rows before the exact one; they save work and change no result.
+ROUNDS = 3
 STEPS = (np.arange(1, 65, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
 
 
@@ -53,49 +57,40 @@ def near_components(docs: DataFrame, spark: SparkSession, words: int = WORDS, ov
     """
     rows = documents(docs)
     seen = rows.mapInArrow(
-        lambda batches: profiles(batches, words), "doc_id long, n long, cls long, cell int, cells long"
+        lambda batches: profiles(batches, words), "doc_id long, n long, cls long, gram long, texts long"
     )
     seen = staged(seen, "profiles", spark)
-    common = common_cells(seen)
-    sets = seen.where("cell is null").select("doc_id", "n", "cls")
+    common = spark.sparkContext.broadcast(common_grams(seen))
+    sets = seen.where("gram is null").select("doc_id", "n", "cls")
     classes = sets.where("n > 0").groupBy("cls").agg(
         F.min("doc_id").alias("doc_id"), F.count("*").alias("members"), F.first("n").alias("n")
     )
     classes = staged(classes, "classes", spark)
 
     firsts = rows.select("text").mapInArrow(
-        lambda batches: postings(batches, words, over, under, common), "gram long, cls long, n long"
+        lambda batches: postings(batches, words, over, under, common.value), "gram long, cls long, n long"
     )
-    shared = firsts.groupBy("gram").agg(F.min("cls").alias("head"), F.max("cls").alias("other"))
-    shared = staged(shared.where("head < other").select("gram", "head"), "shared-grams", spark)
-    matrix = firsts.join(shared, "gram").groupBy("gram", "cls").agg(F.first("n").alias("n"), F.first("head").alias("head"))
-    matrix = staged(matrix, "matrix", spark)
-
-    sizes = classes.select("cls", "n")
-    head = sizes.toDF("a", "n_a")
-    heads = matrix.where("cls <> head").groupBy("head", "cls").agg(F.first("n").alias("n_b"), F.count("*").alias("common"))
-    pairs = heads.toDF("a", "b", "n_b", "common").join(head, "a").where(possible(over, under)).select("a", "b", "n_a", "n_b")
-    pairs = staged(pairs, "head-pairs", spark)
-    links = staged(counted(pairs, rows, classes, words, over, under, spark), "head-links", spark)
-    roots = components(links, spark)
-
-    own_root = F.coalesce("root", "cls").alias("root")
-    placed = matrix.join(roots, F.col("cls") == F.col("node"), "left").select("gram", "cls", "n", own_root)
-    split = matrix.join(roots, F.col("cls") == F.col("node"), "left").select("gram", own_root)
-    split = split.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    open_rows = staged(placed.join(split.select("gram"), "gram"), "open-rows", spark)
-    # From a row to the other components of its column, and from there to their rows.
-    meets = open_rows.select("gram", F.col("root").alias("root_b")).distinct()
-    left = open_rows.toDF("gram", "a", "n_a", "root_a").join(meets, "gram").where("root_a < root_b")
-    across = left.join(open_rows.toDF("gram", "b", "n_b", "root_b"), ["gram", "root_b"])
-    fits = (over * F.least("n_a", "n_b")) >= (under * F.greatest("n_a", "n_b"))
-    across = across.where(fits).groupBy("a", "b").agg(
-        F.count("*").alias("common"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b")
+    shared = firsts.groupBy("gram").agg(F.min("cls").alias("low"), F.max("cls").alias("high"))
+    shared = staged(shared.where("low < high").select("gram"), "shared-grams", spark)
+    matrix = staged(
+        firsts.join(shared, "gram").groupBy("gram", "cls").agg(F.first("n").alias("n")), "matrix", spark
     )
-    pairs = staged(across.where(possible(over, under)).select("a", "b", "n_a", "n_b"), "cross-pairs", spark)
-    links = links.union(counted(pairs, rows, classes, words, over, under, spark))
-    roots = components(staged(links, "all-links", spark), spark)
+    whole = staged(named_sets(matrix, rows, classes, words), "sets", spark)
+
+    roots = spark.createDataFrame([], "node long, root long")
+    links = spark.createDataFrame([], "a long, b long")
+    for turn in range(ROUNDS):
+        pairs = staged(head_pairs(open_columns(matrix, roots, spark), turn, over, under), "head-pairs", spark)
+        if pairs.isEmpty():
+            break
+        links = staged(links.union(counted(pairs, whole, over, under)), "links", spark)
+        roots = components(links, spark)
+    pairs = staged(cross_pairs(open_columns(matrix, roots, spark), over, under), "cross-pairs", spark)
+    if not pairs.isEmpty():
+        links = staged(links.union(counted(pairs, whole, over, under)), "links", spark)
+        roots = components(links, spark)
 
+    own_root = F.coalesce("root", "cls").alias("root")
     of_class = classes.join(roots, F.col("cls") == F.col("node"), "left").select("cls", "doc_id", "members", own_root)
     least = of_class.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.sum("members").alias("reached"))
     least = staged(least.where("reached > 1").drop("reached").withColumnRenamed("root", "top"), "least-ids", spark)
@@ -112,17 +107,53 @@ def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
 
 
-def common_cells(seen: DataFrame) -> dict[str, np.ndarray]:
-    """Cells that hold more than others, and how much; at most CELLS numbers.
+def common_grams(seen: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """N-grams that many texts share, ascending, and in about how many: sums of the tasks' reports."""
+    sums = seen.where("gram is not null").groupBy("gram").agg(F.sum("texts").alias("texts"))
+    rows = sums.orderBy(F.desc("texts"), "gram").limit(MOST_COMMON).toArrow()
+    grams = rows.column("gram").to_numpy().view(np.uint64)
+    order = np.argsort(grams)
+    return grams[order], rows.column("texts").to_numpy()[order]
+
+
+def open_columns(matrix: DataFrame, roots: DataFrame, spark: SparkSession) -> DataFrame:
+    """gram, cls, n, root of the columns that hold several components so far."""
+    placed = matrix.join(roots, F.col("cls") == F.col("node"), "left").select(
+        "gram", "cls", "n", F.coalesce("root", "cls").alias("root")
+    )
+    placed = staged(placed, "placed", spark)
+    split = placed.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    split = staged(split.where("low < high").select("gram"), "open-grams", spark)
+    return staged(placed.join(split, "gram"), "open-rows", spark)
+
+
+def head_pairs(open_rows: DataFrame, turn: int, over: int, under: int) -> DataFrame:
+    """Each row with one row of its column, the same one in most columns of a group of near copies."""
+    order = F.xxhash64("cls", F.lit(turn))
+    heads = open_rows.groupBy("gram").agg(
+        F.min_by("cls", order).alias("b"), F.min_by("n", order).alias("n_b"), F.min_by("root", order).alias("root_b")
+    )
+    met = open_rows.join(heads, "gram").where("root <> root_b")
+    pairs = met.groupBy(F.col("cls").alias("a"), "b").agg(
+        F.count("*").alias("common"), F.first("n").alias("n_a"), F.first("n_b").alias("n_b")
+    )
+    return pairs.where(possible(over, under)).select("a", "b")
 
-    Tasks report cells that stand out of what chance would put there. A cell counts as common
-    when several tasks or one in twenty of them did, so chance reports do not add up.
-    """
-    reports = seen.where("cell is not null")
-    tasks = reports.where("cell = -1").count()
-    rows = reports.where("cell >= 0").groupBy("cell").agg(F.sum("cells").alias("cells"), F.count("*").alias("tasks"))
-    rows = rows.where(F.col("tasks") >= max(1, min(3, tasks), tasks // 20)).select("cell", "cells").orderBy("cell").toArrow()
-    return {"cell": rows.column("cell").to_numpy().astype(np.int64), "weight": rows.column("cells").to_numpy()}
+
+def cross_pairs(open_rows: DataFrame, over: int, under: int) -> DataFrame:
+    """All pairs of different components that enough columns hold: from a row to the other
+    components of its column, and from there to their rows."""
+    meets = open_rows.select("gram", F.col("root").alias("root_b")).distinct()
+    left = open_rows.toDF("gram", "a", "n_a", "root_a").join(meets, "gram").where("root_a < root_b")
+    across = left.join(open_rows.toDF("gram", "b", "n_b", "root_b"), ["gram", "root_b"])
+    across = across.where(sizes_fit(over, under)).groupBy("a", "b").agg(
+        F.count("*").alias("common"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b")
+    )
+    return across.where(possible(over, under)).select("a", "b")
+
+
+def sizes_fit(over: int, under: int) -> Column:
+    return (F.lit(over) * F.least("n_a", "n_b")) >= (F.lit(under) * F.greatest("n_a", "n_b"))
 
 
 def needed(size: np.ndarray, over: int, under: int) -> np.ndarray:
@@ -142,24 +173,21 @@ def possible(over: int, under: int) -> Column:
 
     n_a, n_b = F.col("n_a"), F.col("n_b")
     least = F.ceil(F.lit(under) * (n_a + n_b) / F.lit(float(over + under)) - F.lit(1e-9))
-    fits = (F.lit(over) * F.least(n_a, n_b)) >= (F.lit(under) * F.greatest(n_a, n_b))
-    return fits & (F.greatest(most(n_a), most(n_b)) >= least)
+    return sizes_fit(over, under) & (F.greatest(most(n_a), most(n_b)) >= least)
 
 
-def counted(
-    pairs: DataFrame, rows: DataFrame, classes: DataFrame, words: int, over: int, under: int, spark: SparkSession
-) -> DataFrame:
-    """The pairs that are links, by intersections of whole sets; columns a, b.
+def named_sets(matrix: DataFrame, rows: DataFrame, classes: DataFrame, words: int) -> DataFrame:
+    """cls, grams: the whole set of each class of the matrix, made anew from one of its texts."""
+    named = matrix.select("cls").distinct()
+    ids = classes.join(named, "cls").select(F.col("doc_id").alias("_id")).distinct()
+    texts = rows.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    found = texts.select("text").mapInArrow(lambda batches: set_rows(batches, words), "cls long, grams binary")
+    return found.join(named, "cls", "left_semi").dropDuplicates(["cls"])
 
-    Sets are made anew from one text of each class that a pair names.
-    """
-    named = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-    ids = classes.join(named, "cls").select(F.col("doc_id").alias("_id"), "cls")
-    texts = rows.join(ids.select("_id").distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    whole = texts.select("text").mapInArrow(lambda batches: set_rows(batches, words), "cls long, grams binary")
-    whole = whole.join(named, "cls", "left_semi").groupBy("cls").agg(F.first("grams").alias("grams"))
-    whole = staged(whole, "sets", spark)
-    both = pairs.select("a", "b").join(whole.toDF("b", "grams_b"), "b").join(whole.toDF("a", "grams_a"), "a")
+
+def counted(pairs: DataFrame, whole: DataFrame, over: int, under: int) -> DataFrame:
+    """The pairs that are links, by intersections of whole sets; columns a, b."""
+    both = pairs.join(whole.toDF("a", "grams_a"), "a").join(whole.toDF("b", "grams_b"), "b")
     return both.mapInArrow(lambda batches: linked(batches, over, under), "a long, b long")
 
 
@@ -192,36 +220,62 @@ def digests(sets: list[np.ndarray]) -> np.ndarray:
     return mixed(np.array([x & (1 << 64) - 1 for x in sums], np.uint64)).view(np.int64)
 
 
+class Tally:
+    """About how many texts hold each n-gram; single ones are forgotten where they get too many."""
+
+    def __init__(self, most: int = 1 << 23) -> None:
+        self.most, self.new, self.waiting = most, [], 0
+        self.grams, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def add(self, grams: np.ndarray) -> None:
+        self.new.append(grams)
+        self.waiting += len(grams)
+        if self.waiting > self.most // 2:
+            self.settle()
+
+    def settle(self) -> None:
+        grams = np.concatenate([self.grams, *self.new])
+        counts = np.concatenate([self.counts, np.ones(self.waiting, np.int64)])
+        order = np.argsort(grams)
+        grams, counts = grams[order], counts[order]
+        first = np.flatnonzero(np.diff(grams, prepend=~grams[:1]) != 0)
+        self.grams, self.counts = grams[first], np.add.reduceat(counts, first) if len(first) else counts
+        if len(self.grams) > self.most // 2:
+            often = self.counts > 1
+            self.grams, self.counts = self.grams[often], self.counts[often]
+        self.new, self.waiting = [], 0
+
+
 def profiles(batches, words: int):
-    """A row for each text, and for each task the cells that stand out (and a row with cell -1)."""
-    powers, cells = Powers(), np.zeros(CELLS, np.int64)
+    """A row for each text, and for each task the n-grams that several of its texts share."""
+    powers, tally = Powers(), Tally()
     for batch in batches:
         sizes, classes = [], []
         for sets in gram_sets(batch.column("text"), words, powers):
             sizes += [len(s) for s in sets]
             classes.append(digests(sets))
-            own = np.concatenate(sets)
-            cells += np.bincount((own >> np.uint64(44)).astype(np.int64), minlength=CELLS)
-        n = pa.array(sizes, pa.int64())
-        nothing = pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.int64())
+            _, once = np.unique(classes[-1], return_index=True)
+            tally.add(np.concatenate([sets[k] for k in once.tolist()]))
+        nothing = pa.nulls(len(sizes), pa.int64())
         own_class = pa.array(np.concatenate(classes) if classes else [], pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), n, own_class, *nothing], names=["doc_id", "n", "cls", "cell", "cells"]
+            [batch.column("doc_id"), pa.array(sizes, pa.int64()), own_class, nothing, nothing],
+            names=["doc_id", "n", "cls", "gram", "texts"],
         )
-    mean = cells.sum() / CELLS
-    out = np.flatnonzero(cells > mean + 4 * np.sqrt(mean) + 2)
-    cell, weight = np.append(-1, out), np.append(0, cells[out])
-    empty = pa.nulls(len(cell), pa.int64())
+    tally.settle()
+    often = tally.counts >= REPORTED
+    empty = pa.nulls(int(often.sum()), pa.int64())
     yield pa.RecordBatch.from_arrays(
-        [empty, empty, empty, pa.array(cell, pa.int32()), pa.array(weight, pa.int64())],
-        names=["doc_id", "n", "cls", "cell", "cells"],
+        [empty, empty, empty, pa.array(tally.grams[often].view(np.int64)), pa.array(tally.counts[often])],
+        names=["doc_id", "n", "cls", "gram", "texts"],
     )
 
 
-def postings(batches, words: int, over: int, under: int, common: dict[str, np.ndarray]):
+def postings(batches, words: int, over: int, under: int, common: tuple[np.ndarray, np.ndarray]):
     """The first n-grams of each set, rare ones first; sets that repeat within a run once."""
-    powers, weights = Powers(), np.zeros(CELLS, np.int64)
-    weights[common["cell"]] = common["weight"]
+    powers, (heavy, weights) = Powers(), common
+    marked = np.zeros(1 << 20, bool)  # spares most look-ups
+    marked[(heavy >> np.uint64(44)).astype(np.int64)] = True
     for batch in batches:
         for sets in gram_sets(batch.column("text"), words, powers):
             classes = digests(sets)
@@ -230,8 +284,12 @@ def postings(batches, words: int, over: int, under: int, common: dict[str, np.nd
             for k in once.tolist():
                 own = sets[k]
                 first = len(own) - int(needed(len(own), over, under)) + 1
-                weight = weights[(own >> np.uint64(44)).astype(np.int64)]
-                if weight.any():
+                maybe = np.flatnonzero(marked[(own >> np.uint64(44)).astype(np.int64)])
+                if len(maybe):
+                    place = np.minimum(np.searchsorted(heavy, own[maybe]), len(heavy) - 1)
+                    found = heavy[place] == own[maybe]
+                    weight = np.zeros(len(own), np.int64)
+                    weight[maybe[found]] = weights[place[found]]
                     own = own[np.argsort(weight, kind="stable")]
                 chosen.append(own[:first] if len(own) else own)
             counts = [len(x) for x in chosen]

@@ -101,7 +101,7 @@ def remove_repeats(
     """
     last = F.lit((1 << 63) - 1)
     rows = documents(docs).select(
-        "doc_id", F.coalesce("doc_id", last).alias("id"), F.xxhash64("text").alias("hash"), "text"
+        "doc_id", F.coalesce("doc_id", last).alias("id"), F.hash("text").alias("hash"), "text"
     )
     key = ["id", "hash"]
     found = rows.select("text").mapInArrow(lambda b: anchor_buckets(b, length, gram), "bucket long, n long")
@@ -109,7 +109,7 @@ def remove_repeats(
     many = staged(many, "repeated-buckets", spark)
 
     placed = rows.select(*key, "text").mapInArrow(
-        lambda b: anchor_rows(b, length, gram), "bucket long, around long, id long, hash long, place int, own boolean"
+        lambda b: anchor_rows(b, length, gram), "bucket long, around long, id long, hash int, place int, own boolean"
     )
     placed = staged(placed.join(many, "bucket"), "anchors", spark)
     classes = placed.where("own").groupBy("bucket", "around").agg(
@@ -126,7 +126,7 @@ def remove_repeats(
     firsts = classes.join(several, "bucket").groupBy(F.col("first.id").alias("id"), F.col("first.hash").alias("hash"))
     firsts = staged(firsts.agg(F.collect_list("first.place").alias("places")), "open-anchors", spark)
     looked = sifted(rows.select(*key, "text"), firsts, key).join(firsts, key).dropDuplicates(key)
-    strings = looked.mapInArrow(lambda b: string_rows(b, length, gram), "high long, low long, id long, hash long, begin int")
+    strings = looked.mapInArrow(lambda b: string_rows(b, length, gram), "high long, low long, id long, hash int, begin int")
     strings = staged(strings, "strings", spark)
     earliest = strings.groupBy("high", "low").agg(
         F.min(F.struct(*key, "begin")).alias("first"), F.count("*").alias("n")
