@@ -70,12 +70,12 @@ def without_copies(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     Joined by id and by the text's digest; where rows repeat both, one of them stays.
     """
     spaced = F.regexp_replace(F.coalesce("text", F.lit("")), SPACE_RE, " ")
-    marked = docs.withColumn("_sha", F.sha2(spaced, 256))
+    marked = docs.withColumn("_llm_sha", F.sha2(spaced, 256))
     stay = decisions.where("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_own"), F.lit(True).alias("_stays")
+        F.col("doc_id").alias("_llm_id"), F.col("text_sha256").alias("_llm_own"), F.lit(True).alias("_llm_stays")
     )
-    found = marked.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_own")))
-    return found.dropDuplicates(["_id", "_own"]).select(*docs.columns)
+    found = marked.join(stay, F.col("doc_id").eqNullSafe(F.col("_llm_id")) & (F.col("_llm_sha") == F.col("_llm_own")))
+    return found.dropDuplicates(["_llm_id", "_llm_own"]).select(*docs.columns)
 
 
 def chunk_clashes(rows: DataFrame, spark: SparkSession, cutter: Cutter, digest: Digest) -> DataFrame:

@@ -103,8 +103,8 @@ def near_components(docs: DataFrame, spark: SparkSession, words: int = WORDS, ov
 
 def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id is their component's, with all their columns."""
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_llm_id")).distinct()
+    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_llm_id")), "left_semi")
 
 
 def common_grams(seen: DataFrame) -> tuple[np.ndarray, np.ndarray]:

@@ -118,18 +118,18 @@ def mixed_documents(docs: DataFrame, decisions: DataFrame) -> DataFrame:
 
     Rows that repeat an id share the copies of that id evenly, as far as whole numbers go.
     """
-    per_id = decisions.groupBy("doc_id").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-    per_id = per_id.where("_copies > 0").withColumnRenamed("doc_id", "_id")
-    found = docs.join(per_id, F.col("doc_id").eqNullSafe(F.col("_id")))
-    turn = F.row_number().over(Window.partitionBy("_id").orderBy(F.length("text"), "text")) - 1
-    found = found.where("_rows = 1").withColumn("_turn", F.lit(0)).unionByName(
-        found.where("_rows > 1").withColumn("_turn", turn)
+    per_id = decisions.groupBy("doc_id").agg(F.sum("copies").alias("_llm_copies"), F.count("*").alias("_llm_rows"))
+    per_id = per_id.where("_llm_copies > 0").withColumnRenamed("doc_id", "_llm_id")
+    found = docs.join(per_id, F.col("doc_id").eqNullSafe(F.col("_llm_id")))
+    turn = F.row_number().over(Window.partitionBy("_llm_id").orderBy(F.length("text"), "text")) - 1
+    found = found.where("_llm_rows = 1").withColumn("_llm_turn", F.lit(0)).unionByName(
+        found.where("_llm_rows > 1").withColumn("_llm_turn", turn)
     )
-    own = F.floor((F.col("_turn") + 1) * F.col("_copies") / F.col("_rows")) - F.floor(
-        F.col("_turn") * F.col("_copies") / F.col("_rows")
+    own = F.floor((F.col("_llm_turn") + 1) * F.col("_llm_copies") / F.col("_llm_rows")) - F.floor(
+        F.col("_llm_turn") * F.col("_llm_copies") / F.col("_llm_rows")
     )
-    found = found.withColumn("_own", own.cast("int")).where("_own > 0")
-    return found.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_own"))).select(*docs.columns)
+    found = found.withColumn("_llm_own", own.cast("int")).where("_llm_own > 0")
+    return found.withColumn("_llm_copy", F.explode(F.sequence(F.lit(1), "_llm_own"))).select(*docs.columns)
 
 
 def folds_needed(n: int, block: int) -> int:

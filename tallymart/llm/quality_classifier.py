@@ -215,4 +215,4 @@ def classify(docs: DataFrame, labels: DataFrame, spark: SparkSession, sample: in
 
 def good_documents(docs: DataFrame, model: AttentionModel) -> DataFrame:
     """The rows of ``docs`` that the model does not reject, with all their columns."""
-    return docs.withColumn("_score", quality_score("text", model)).where("_score >= 0.5").select(*docs.columns)
+    return docs.withColumn("_llm_score", quality_score("text", model)).where("_llm_score >= 0.5").select(*docs.columns)

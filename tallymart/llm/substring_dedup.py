@@ -21,7 +21,7 @@ from tallymart.llm.common import documents, staged, text_blocks
 
 CUTTER = Cutter(reach=24, largest=128)
 #: Bytes that a run of repeated chunks needs to be removed.
-LEAST_RUN = 64
+LEAST_RUN = 100
 
 
 def remove_repeated_chunks(
