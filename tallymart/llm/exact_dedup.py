@@ -102,11 +102,11 @@ def resolved(rows: DataFrame, plain: DataFrame, clashes: DataFrame, cutter: Cutt
         lambda batches: placed_chunks(batches, cutter, digest), "row long, place int, digest binary, content binary"
     )
     numbered = pieces.join(clashes, ["digest", "content"], "left").select(
-        "row", "place", F.concat("digest", F.coalesce("variant", F.lit(0)).cast("binary")).alias("known_as")
+        "row", "place", F.concat(F.hex("digest"), F.lpad(F.hex(F.coalesce("variant", F.lit(0))), 8, "0")).alias("known_as")
     )
     lists = numbered.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("place", "known_as"))).alias("parts"))
     # Digests have one length, so the joined list is unambiguous.
-    whole = F.unhex(F.array_join(F.transform("parts", lambda p: F.hex(p["known_as"])), ""))
+    whole = F.unhex(F.array_join(F.transform("parts", lambda p: p["known_as"]), ""))
     lists = lists.select("row", whole.alias("list"))
     return plain.join(lists, "row", "left").select(
         "row", "doc_id", F.coalesce("list", F.lit(b"")).alias("recipe"), "n_chunks", "text_sha256"

@@ -24,7 +24,7 @@ from tallymart.llm.common import IS_SPACE, LOWER, documents, remainder, text_blo
 FOLDS, HELD_OUT = 5, 0
 ORDER = 3
 #: Symbols that bytes are folded to, at most; the table has this many to the power of order + 1 rows.
-SYMBOLS = 48
+SYMBOLS = 40
 #: Documents that trees are grown from, at most; those with the smallest hashes of their id.
 SAMPLE = 4000
 UNKNOWN = "und"
@@ -80,29 +80,29 @@ def coded(data: np.ndarray, starts: np.ndarray, symbols: np.ndarray) -> tuple[np
 
 
 def grow(languages: list[str], symbols: np.ndarray, counts: np.ndarray) -> Trees:
-    """Tables from counts by language, context and next symbol."""
+    """Tables from counts by language, context and next symbol; contexts with one first symbol at a time."""
     n = SYMBOLS
-    bits = np.empty((n ** (ORDER + 1), len(languages)), np.float32)
+    bits = np.empty((n, n ** ORDER, len(languages)), np.float32)
     for k in range(len(languages)):
-        longest = counts[k].reshape(-1, n)
-        left = np.ones(longest.shape)  # share that escapes have left for lower orders
-        found = np.zeros(longest.shape)
-        barred = np.zeros(longest.shape, bool)
-        for order in range(ORDER, -1, -1):
-            # Counts under the context's last ``order`` bytes.
-            own = longest.reshape(n ** (ORDER - order), -1, n).sum(axis=0)
-            own = np.tile(own, (n ** (ORDER - order), 1))
-            own = np.where(barred, 0, own)
-            total, kinds = own.sum(axis=1, keepdims=True), (own > 0).sum(axis=1, keepdims=True)
-            seen = own > 0
-            share = np.maximum(total + kinds, 1)
-            found = np.where(seen, left * own / share, found)
-            left = np.where(total > 0, left * kinds / share, left)
-            barred |= seen
-        rest = (~barred).sum(axis=1, keepdims=True)
-        found = np.where(barred, found, left / np.maximum(rest, 1))
-        bits[:, k] = -np.log2(found.ravel())
-    return Trees(languages, symbols, bits)
+        # Counts under the last ORDER, ..., 0 bytes of the context.
+        under = [counts[k].reshape(n, -1, n)]
+        for order in range(ORDER - 1, -1, -1):
+            under.append(under[-1].reshape(n, -1, n).sum(axis=0) if order < ORDER - 1 else under[0].sum(axis=0))
+        for first in range(n):
+            left = np.ones((n ** (ORDER - 1), n))  # share that escapes have left for lower orders
+            found, barred = np.zeros(left.shape), np.zeros(left.shape, bool)
+            for order, shorter in enumerate(under):
+                own = shorter[first] if not order else np.tile(shorter, (len(left) // len(shorter), 1))
+                own = np.where(barred, 0, own)
+                total, kinds = own.sum(axis=1, keepdims=True), (own > 0).sum(axis=1, keepdims=True)
+                seen, share = own > 0, np.maximum(total + kinds, 1)
+                found = np.where(seen, left * own / share, found)
+                left = np.where(total > 0, left * kinds / share, left)
+                barred |= seen
+            rest = (~barred).sum(axis=1, keepdims=True)
+            found = np.where(barred, found, left / np.maximum(rest, 1))
+            bits[first, :, k] = -np.log2(found.ravel())
+    return Trees(languages, symbols, bits.reshape(-1, len(languages)))
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Trees | None:
@@ -126,7 +126,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Trees | None:
     counted = counted.groupBy("lang", "code").agg(F.sum("n").alias("n")).toArrow()
     names = counted.column("lang").to_pylist()
     languages = sorted(set(names))
-    counts = np.zeros((len(languages), SYMBOLS ** (ORDER + 1)))
+    counts = np.zeros((len(languages), SYMBOLS ** (ORDER + 1)), np.float32)
     place = {x: k for k, x in enumerate(languages)}
     counts[[place[x] for x in names], counted.column("code").to_numpy()] = counted.column("n").to_numpy()
     return grow(languages, symbols, counts)

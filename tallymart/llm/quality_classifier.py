@@ -118,7 +118,7 @@ class AttentionModel:
         t, g = gate * f["g"] * (1 - f["t"] ** 2), gate * f["t"] * f["g"] * (1 - f["g"])
         h = (f["a"][:, None] * back + t @ w["V"].T + g @ w["U"].T) * (1 - f["h"] ** 2)
         out = {"W": f["x"].T @ h, "b": h.sum(axis=0), "V": f["h"].T @ t, "U": f["h"].T @ g}
-        out |= {"w": (f["t"] * f["g"]).T @ e, "c": f["z"].T @ error, "d": error.sum()}
+        out |= {"w": (f["t"] * f["g"]).T @ e, "c": f["z"].T @ error, "d": error.sum(keepdims=True)}
         return {k: v + decay * w[k] for k, v in out.items()}
 
 
@@ -136,7 +136,7 @@ def fit(
     random = np.random.default_rng(5)
     shapes = {"W": (facts.shape[1], hidden), "b": (hidden,), "V": (hidden, 8), "U": (hidden, 8), "w": (8,), "c": (hidden,)}
     weights = {k: random.normal(0, 1 / np.sqrt(s[0]), s) * (k != "b") for k, s in shapes.items()}
-    weights["d"] = np.zeros(())
+    weights["d"] = np.zeros(1)
     model = AttentionModel(facts.mean(axis=0), facts.std(axis=0) + 1e-3, weights)
     first, second = ({k: np.zeros_like(v) for k, v in weights.items()} for _ in range(2))
     for turn in range(1, rounds + 1):

@@ -72,25 +72,30 @@ def word_spans(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
 def pairs_kernel(words: np.ndarray, marks: np.ndarray) -> np.ndarray:
     """Kernel of order 3, not scaled, of words (one length, as rows) with landmarks (0 fills up)."""
     n, m, letters = len(words), len(marks), marks.shape[1]
+    # For each byte and letter of the landmarks, the squared decay where they are the same.
+    same = (np.arange(256)[:, None, None] == marks.T[None, :, :]).astype(np.float32) * (DECAY * DECAY)
+    same[[0, GAP]] = 0
+    tables = [np.ascontiguousarray(same[:, j]) for j in range(letters)]
     once, twice = (np.zeros((letters, n, m), np.float32) for _ in range(2))  # shared before each letter
-    total = np.zeros((n, m), np.float32)
-    square = DECAY * DECAY
+    total, work = (np.zeros((n, m), np.float32) for _ in range(2))
     for i in range(words.shape[1]):
-        char = words[:, i : i + 1]
-        run_1 = run_2 = None
-        for j in range(letters):
-            same = ((char == marks[None, :, j]) & (char != GAP)).astype(np.float32)
-            old_1, old_2 = once[j].copy(), twice[j].copy()
+        char = words[:, i]
+        run_1 = tables[0][char]
+        run_2 = np.zeros((n, m), np.float32)
+        for j in range(1, letters):
+            hit = tables[j][char]
+            np.multiply(hit, twice[j], out=work)
+            total += work
+            np.multiply(hit, once[j], out=work)
             once[j] *= DECAY
+            once[j] += run_1
             twice[j] *= DECAY
-            if run_1 is not None:
-                once[j] += run_1
-                twice[j] += run_2
-            total += same * old_2
-            run_1 = same * square if run_1 is None else run_1 * DECAY + same * square
-            hit = same * old_1 * square
-            run_2 = hit if run_2 is None else run_2 * DECAY + hit
-    return total * square
+            twice[j] += run_2
+            run_1 *= DECAY
+            run_1 += hit
+            run_2 *= DECAY
+            run_2 += work
+    return total
 
 
 def self_kernel(words: np.ndarray) -> np.ndarray:
