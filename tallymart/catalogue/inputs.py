@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import DROP_TYPES, LOADED_AT, MEASURES, NARROW_TYPES, PARTITION, WIDE_KEY, WIDE_TYPES
 from ..functions import share
+from ..functions.stamps import utc_stamp
 from ..operators.cleaning import dedup_pk
 from ..operators.pivot import conform_columns, pivot_wide, to_wide, with_shares
 
@@ -128,7 +129,7 @@ def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = base.where(ios & (F.col("dt") < F.lit(date(2024, 1, 10))))
 
     def loaded(rows, at):
-        return rows.select(*WIDE_TYPES, F.lit(at).cast("timestamp").alias(LOADED_AT))
+        return rows.select(*WIDE_TYPES, utc_stamp(at).alias(LOADED_AT))
 
     return loaded(base, LOAD_1).unionByName(loaded(restated.unionByName(again), LOAD_2))
 
@@ -267,7 +268,7 @@ def drop_files(spark: SparkSession, sf_dir: str, until: datetime | None = None)
     """Manifest of a drop with one file per channel and partition, as of a point in time."""
     rows = raw_events(spark, sf_dir)
     if until is not None:
-        rows = rows.where(F.col("ingest_ts") < F.lit(until).cast("timestamp"))
+        rows = rows.where(F.col("ingest_ts") < utc_stamp(until))
     return rows.groupBy("dt", "store", F.concat(F.lit("part-"), "channel").alias("file_path")).agg(
         F.md5(F.concat_ws(":", F.count("*"), F.sum("downloads"))).alias("fingerprint")
     )
@@ -302,7 +303,7 @@ def ledger_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(0).cast("bigint").alias("dlq_rows"),
             F.lit(0).cast("bigint").alias("dlq_files"),
             F.lit(run_id).alias("job_run_id"),
-            F.lit(at).cast("timestamp").alias("recorded_at"),
+            utc_stamp(at).alias("recorded_at"),
         ).withColumn(
             "lock_expires_at",
             F.when(running, F.col("recorded_at") + F.expr("INTERVAL 2 HOURS")),
@@ -310,7 +311,7 @@ def ledger_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     key = F.countDistinct("product_id", "country", "device", "channel")
     failed = F.when(F.col("dt") == F.lit(date(2024, 1, 20)), "failed").otherwise("succeeded")
-    seen = rows.where(F.col("ingest_ts") < F.lit(PREVIOUS_RUN).cast("timestamp"))
+    seen = rows.where(F.col("ingest_ts") < utc_stamp(PREVIOUS_RUN))
     recent = rows.where(F.col("dt") >= F.lit(date(2024, 1, 17)))
     newest = rows.where(F.col("dt") == F.lit(date(2024, 1, 30)))
     return (
@@ -349,7 +350,7 @@ def refreshes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refresh history: each aggregate refreshed after each load of each day; the trend's
     refreshes after the second load failed, the country table's newest one never ended."""
     loads = versions(spark, sf_dir).groupBy("dt", LOADED_AT).agg(F.count("*").alias("n"))
-    second = F.col(LOADED_AT) == F.lit(LOAD_2).cast("timestamp")
+    second = F.col(LOADED_AT) == utc_stamp(LOAD_2)
     names = F.explode(F.array(*[F.lit(n) for n in ("daily_by_app", "daily_by_country", "paid_vs_organic_trend")]))
     rows = loads.select("dt", LOADED_AT, "n", names.alias("name"))
     failed = second & (F.col("name") == "paid_vs_organic_trend")

@@ -558,10 +558,10 @@ RAW_SQL: dict[str, str] = {
     # audits
     "audit_total_split": f"""SELECT {KEY}, downloads_total, downloads_featured, downloads_organic, {SPLIT} AS sum_split,
         downloads_total - ({SPLIT}) AS delta FROM wide_now WHERE downloads_total <> {SPLIT}
-      ORDER BY ABS(delta) DESC, {KEY} LIMIT 100""",
+      ORDER BY ABS(delta) DESC, {KEY}""",
     "audit_paid_unpaid_split": f"""SELECT {KEY}, downloads_total, {PAID} AS paid_total, {UNPAID} AS unpaid_total,
         downloads_total - ({PAID}) - ({UNPAID}) AS delta FROM wide_now WHERE downloads_total <> {LEAVES}
-      ORDER BY ABS(delta) DESC, {KEY} LIMIT 100""",
+      ORDER BY ABS(delta) DESC, {KEY}""",
     "audit_featured_leaves": "SELECT " + _count("downloads_featured <> downloads_paid_featured + downloads_unpaid_featured", "featured_eq_violations") + " FROM dirty",
     "audit_organic_leaves": "SELECT " + _count("downloads_organic <> downloads_paid_organic + downloads_unpaid_organic", "organic_eq_violations") + " FROM copy_r",
     "audit_violation_rate_by_dt": f"""SELECT dt, COUNT(*) AS total_rows, {_count(f"downloads_total <> {SPLIT}", "eq1_violations")},
@@ -571,7 +571,7 @@ RAW_SQL: dict[str, str] = {
       FROM wide_now WHERE dt >= DATE '2024-01-17' GROUP BY dt""",
     "audit_paid_share_recalc": f"""SELECT {KEY}, downloads_total, downloads_paid_featured, downloads_paid_organic,
         paid_share AS paid_share_stored, {PAID_AGAIN} AS paid_share_recomputed, ROUND({PAID_OFF}, 6) AS delta
-      FROM mixed WHERE downloads_total > 0 AND {PAID_OFF} > 1e-4 ORDER BY delta DESC, {KEY} LIMIT 100""",
+      FROM mixed WHERE downloads_total > 0 AND {PAID_OFF} > 1e-4 ORDER BY delta DESC, {KEY}""",
     "audit_featured_share_recalc": f"""SELECT {KEY}, downloads_total, downloads_featured, featured_share AS featured_share_stored,
         {FEATURED_AGAIN} AS featured_share_recomputed
       FROM mixed WHERE downloads_total > 0 AND {FEATURED_OFF} > 1e-4""",
@@ -582,7 +582,7 @@ RAW_SQL: dict[str, str] = {
         {_count("featured_share < 0 OR featured_share > 1", "featured_share_oob")}, {_count("paid_share IS NULL", "paid_share_null")},
         {_count("featured_share IS NULL", "featured_share_null")}, {_count("downloads_total = 0", "zero_total_rows")} FROM copy_r""",
     "audit_wide_duplicates": f"""SELECT {KEY}, COUNT(*) AS dup_count FROM versions GROUP BY {KEY} HAVING COUNT(*) > 1
-      ORDER BY dup_count DESC, {KEY} LIMIT 20""",
+      ORDER BY dup_count DESC, {KEY}""",
     "audit_wide_null_pct": "SELECT COUNT(*) AS total_rows, " + ", ".join(
         f"{_pct(f'COUNT(*) - COUNT({c})', 'COUNT(*)', 6)} AS pct_null_{n}"
         for n, c in (("product", "product_id"), ("country", "country"), ("store", "app_store"), ("device", "device"), ("dt", "dt"))
@@ -662,7 +662,7 @@ RAW_SQL: dict[str, str] = {
     "recon_gold_trend": f"""SELECT dt, app_store, downloads_total, {PAID} AS recalc_paid, paid_ratio,
         ROUND(CAST({PAID} AS DOUBLE) / NULLIF(downloads_total, 0), 4) AS recalc_paid_ratio, featured_ratio,
         ROUND(CAST(downloads_featured AS DOUBLE) / NULLIF(downloads_total, 0), 4) AS recalc_featured_ratio
-      FROM ({_gold_trend('versions')}) WHERE dt >= DATE '2024-01-01' ORDER BY dt DESC, app_store LIMIT 60""",
+      FROM ({_gold_trend('versions')}) WHERE dt >= DATE '2024-01-01' ORDER BY dt DESC, app_store""",
     "recon_smoke_pivot": f"""SELECT COUNT(*) AS pivot_mismatch FROM wide_lag s JOIN ({_pivot('ev_bronze')}) b ON {_join_on("s", "b")}
       WHERE s.downloads_total <> b.downloads_total OR s.downloads_featured <> b.downloads_featured
         OR s.downloads_paid_featured <> b.downloads_paid_featured OR s.downloads_paid_organic <> b.downloads_paid_organic

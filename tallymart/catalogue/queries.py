@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import DROP_TYPES, NARROW_KEY, NARROW_TYPES, PARTITION, VERSIONED_TYPES, WIDE_KEY, WIDE_TYPES, ddl
 from ..functions import bool_load_rule
+from ..functions.stamps import utc_stamp
 from ..operators import audits, bi, cleaning, gold, ledger, loading, monitors, parity, pivot, quality, quarantine, recon, versions
 from ..plans import upkeep
 from ..plans.bronze import BronzeRun, bronze_build
@@ -150,7 +151,7 @@ over(ledger_state, ledger.stale_silver, name="stale_silver")
 @query()
 def empty_partition(spark, sf_dir):
     rows = i.raw_events(spark, sf_dir)
-    early = rows.where(F.col("ingest_ts") < F.lit(i.PREVIOUS_RUN).cast("timestamp"))
+    early = rows.where(F.col("ingest_ts") < utc_stamp(i.PREVIOUS_RUN))
     counts = early.groupBy(*PARTITION).agg(F.count("*").alias("in_count"))
     return ledger.empty_partitions(i.drop_files(spark, sf_dir), counts)
 
@@ -161,7 +162,7 @@ def overwrite_partition(spark, sf_dir):
     root = new_workspace(spark, "overwrite")
     tables.overwrite_partitions(i.wide(spark, sf_dir).withColumn("store", F.col("app_store")), root)
     restated = i.versions(spark, sf_dir).where(
-        (F.col("_loaded_at") == F.lit(i.LOAD_2).cast("timestamp")) & (F.col("dt") >= F.lit(date(2024, 1, 24)))
+        (F.col("_loaded_at") == utc_stamp(i.LOAD_2)) & (F.col("dt") >= F.lit(date(2024, 1, 24)))
     )
     for _ in range(2):
         tables.overwrite_partitions(
@@ -198,7 +199,7 @@ def loaded_versions(spark, sf_dir, root, gold_target=None) -> load.LoadTarget:
     source = f"{root}/source"
     both = i.versions(spark, sf_dir)
     for at in (i.LOAD_1, i.LOAD_2):
-        rows = both.where(F.col("_loaded_at") == F.lit(at).cast("timestamp"))
+        rows = both.where(F.col("_loaded_at") == utc_stamp(at))
         deliver_wide(rows, source)
 
         def clock(batch_id, at=at):
@@ -504,7 +505,7 @@ def dedup_versions_in_place(spark, sf_dir):
     target = load.LoadTarget.under(root)
     both = i.versions(spark, sf_dir)
     for number, at in enumerate((i.LOAD_1, i.LOAD_2)):
-        rows = both.where(F.col("_loaded_at") == F.lit(at).cast("timestamp"))
+        rows = both.where(F.col("_loaded_at") == utc_stamp(at))
         load.append_batch(spark, rows, target, number, at)
     upkeep.dedup_in_place(spark, target, f"{root}/staging", i.AS_OF)
     return load.read_versions(spark, target).select(*VERSIONED_TYPES)

@@ -43,12 +43,13 @@ def _organic_leaves() -> Column:
     return _c("paid_organic") + _c("unpaid_organic")
 
 
-def _top(rows: DataFrame, by: Column, limit: int) -> DataFrame:
+def _top(rows: DataFrame, by: Column, limit: int | None) -> DataFrame:
     # The key settles ties, so the report is the same on every run.
-    return rows.orderBy(by, *WIDE_KEY).limit(limit)
+    ordered = rows.orderBy(by, *WIDE_KEY)
+    return ordered if limit is None else ordered.limit(limit)
 
 
-def audit_total_split(wide: DataFrame, limit: int = 100) -> DataFrame:
+def audit_total_split(wide: DataFrame, limit: int | None = None) -> DataFrame:
     """Largest gaps between the total and featured + organic."""
     gap = _c("total") - _split()
     bad = wide.where(_c("total") != _split()).select(
@@ -57,7 +58,7 @@ def audit_total_split(wide: DataFrame, limit: int = 100) -> DataFrame:
     return _top(bad, F.abs("delta").desc(), limit)
 
 
-def audit_paid_unpaid_split(wide: DataFrame, limit: int = 100) -> DataFrame:
+def audit_paid_unpaid_split(wide: DataFrame, limit: int | None = None) -> DataFrame:
     """Largest gaps between the total and paid + unpaid."""
     bad = wide.where(_c("total") != _paid() + _unpaid()).select(
         *WIDE_KEY,
@@ -107,7 +108,7 @@ def _off(stored: str, again: str) -> Column:
     return F.abs(F.col(stored).cast("double") - F.col(again))
 
 
-def audit_paid_share_recalc(wide: DataFrame, limit: int = 100) -> DataFrame:
+def audit_paid_share_recalc(wide: DataFrame, limit: int | None = None) -> DataFrame:
     """Stored paid shares furthest from the ratio of the stored downloads."""
     bad = _recalc(wide).where(_off("paid_share", "paid_again") > TOLERANCE).select(
         *WIDE_KEY,
@@ -162,7 +163,7 @@ def _repeats(rows: DataFrame, key: list[str]) -> DataFrame:
     return rows.groupBy(*key).agg(F.count("*").alias("dup_count")).where("dup_count > 1")
 
 
-def audit_wide_duplicates(wide: DataFrame, limit: int = 20) -> DataFrame:
+def audit_wide_duplicates(wide: DataFrame, limit: int | None = None) -> DataFrame:
     """The most repeated wide keys."""
     return _top(_repeats(wide, WIDE_KEY), F.col("dup_count").desc(), limit)
 

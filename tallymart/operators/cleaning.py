@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..contracts import DROP_TYPES, NARROW_KEY, PARTITION
+from ..functions.stamps import utc_stamp
 from ..sources.footers import UNREADABLE
 
 
@@ -94,7 +95,7 @@ def trim_strings(rows: DataFrame) -> DataFrame:
 
 def stamp_ingest(rows: DataFrame, at: datetime | None = None) -> DataFrame:
     """One ingestion time for the whole run: the given one, or the query's start."""
-    stamp = F.lit(at).cast("timestamp") if at is not None else F.current_timestamp()
+    stamp = utc_stamp(at) if at is not None else F.current_timestamp()
     return rows.withColumn("ingest_ts", stamp)
 
 

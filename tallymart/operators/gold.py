@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import LEAVES, WINDOWS
 from ..functions import safe_ratio
+from ..functions.stamps import utc_stamp
 from .cleaning import keep_first
 from .versions import latest_view
 
@@ -78,6 +79,6 @@ def gold_staleness(entries: DataFrame, now: datetime, limit_minutes: int = 60) -
 
 
 def refresh_failures(entries: DataFrame, now: datetime, hours: int = 1) -> DataFrame:
-    since = F.lit(now - timedelta(hours=hours)).cast("timestamp")
+    since = utc_stamp(now - timedelta(hours=hours))
     return entries.where((F.col("state") == "FAILED") & (F.col("refresh_start_time") >= since))
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import PARTITION, RUN_TIMEOUT_HOURS
+from ..functions.stamps import utc_stamp
 from .cleaning import keep_first
 
 LEDGER_TYPES = {
@@ -52,8 +53,8 @@ def ledger_rows(
         state.alias("status"),
         *[F.coalesce(count(c), F.lit(0)).alias(c) for c in ("in_count", "out_count", "dlq_rows", "dlq_files")],
         F.lit(run_id).alias("job_run_id"),
-        F.lit(at).cast("timestamp").alias("recorded_at"),
-        F.when(state == "running", F.lit(at + timedelta(hours=RUN_TIMEOUT_HOURS)).cast("timestamp")).alias(
+        utc_stamp(at).alias("recorded_at"),
+        F.when(state == "running", utc_stamp(at + timedelta(hours=RUN_TIMEOUT_HOURS))).alias(
             "lock_expires_at"
         ),
     )
@@ -66,7 +67,7 @@ def file_rows(manifest: DataFrame, layer: str, run_id: str, at: datetime) -> Dat
         "file_path",
         "fingerprint",
         F.lit(run_id).alias("job_run_id"),
-        F.lit(at).cast("timestamp").alias("recorded_at"),
+        utc_stamp(at).alias("recorded_at"),
     )
 
 
@@ -107,7 +108,7 @@ def restate_detect(
     moved = F.col("added") + F.col("removed") + F.col("changed") > 0
     locked = F.lit(False)
     if now is not None:
-        locked = (F.col("status") == "running") & (F.col("lock_expires_at") >= F.lit(now).cast("timestamp"))
+        locked = (F.col("status") == "running") & (F.col("lock_expires_at") >= utc_stamp(now))
     reason = (
         F.when(F.col("status").isNull(), "new")
         .when(locked, "locked")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import LOADED_AT, WIDE_TYPES
+from ..functions.stamps import utc_stamp
 from ..sources.drop import SOURCE_FILE
 from .versions import bad_row, load_cast
 
@@ -105,4 +106,4 @@ def load_history(
 
 def stamp_load(rows: DataFrame, at: datetime) -> DataFrame:
     """Version column of the load."""
-    return rows.withColumn(LOADED_AT, F.lit(at).cast("timestamp"))
+    return rows.withColumn(LOADED_AT, utc_stamp(at))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import PARTITION, STORES
+from ..functions.stamps import utc_stamp
 from .gold import refresh_failures
 
 
@@ -32,7 +33,7 @@ def mon_missing_partitions(
 
 def mon_stale_runs(state: DataFrame, now: datetime) -> DataFrame:
     """Runs still marked running after their lock ran out."""
-    dead = (F.col("status") == "running") & (F.col("lock_expires_at") < F.lit(now).cast("timestamp"))
+    dead = (F.col("status") == "running") & (F.col("lock_expires_at") < utc_stamp(now))
     return state.where(dead).select("layer", *PARTITION, "job_run_id", "recorded_at", "lock_expires_at")
 
 
@@ -44,7 +45,7 @@ def mon_dlq_weekly(errors: DataFrame, now: datetime, days: int = 7) -> DataFrame
     readable = F.col("readable") if "readable" in errors.columns else F.lit(True)
     kind = F.when(~readable, "READ_ERROR").otherwise(F.coalesce("error_type", F.lit("UNKNOWN")))
     return (
-        errors.where(F.col("recorded_at") >= F.lit(now - timedelta(days=days)).cast("timestamp"))
+        errors.where(F.col("recorded_at") >= utc_stamp(now - timedelta(days=days)))
         .groupBy(kind.alias("error_type"))
         .agg(F.count("*").alias("records"), F.max("recorded_at").alias("last_seen"))
         .orderBy(F.col("records").desc(), "error_type")
@@ -53,7 +54,7 @@ def mon_dlq_weekly(errors: DataFrame, now: datetime, days: int = 7) -> DataFrame
 
 def mon_dlq_recent(errors: DataFrame, now: datetime, days: int = 7, top: int = 20) -> DataFrame:
     """The newest records for the weekly report; ``more`` says how many it leaves out."""
-    recent = errors.where(F.col("recorded_at") >= F.lit(now - timedelta(days=days)).cast("timestamp"))
+    recent = errors.where(F.col("recorded_at") >= utc_stamp(now - timedelta(days=days)))
     total = recent.agg(F.count("*")).scalar()
     first = recent.orderBy(F.col("recorded_at").desc(), "source_file", "error_type").limit(top)
     return first.select(
@@ -79,7 +80,7 @@ def mon_load_errors(history: DataFrame) -> DataFrame:
 
 def load_history_window(history: DataFrame, now: datetime, hours: int = 12) -> DataFrame:
     """Files loaded in the last hours, newest first."""
-    since = F.lit(now - timedelta(hours=hours)).cast("timestamp")
+    since = utc_stamp(now - timedelta(hours=hours))
     return history.where(F.col("last_load_time") >= since).orderBy(
         F.col("last_load_time").desc(), "file_name"
     )

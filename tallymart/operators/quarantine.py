@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import PARTITION
+from ..functions.stamps import utc_stamp
 
 # Error types.
 SCHEMA_MISMATCH = "SCHEMA_MISMATCH"
@@ -37,7 +38,7 @@ def error_records(
     return failed.select(
         kind.alias("error_type"),
         message.alias("error_message"),
-        F.lit(at).cast("timestamp").alias("recorded_at"),
+        utc_stamp(at).alias("recorded_at"),
         F.lit(run_id).alias("job_run_id"),
         source_file.alias("source_file"),
         key.alias("original_key"),
@@ -56,7 +57,7 @@ def quarantine_frame(wide: DataFrame, error_type: str, run_id: str, at: datetime
         "*",
         F.lit(error_type).alias("_dlq_error_type"),
         F.lit(run_id).alias("_dlq_job_run_id"),
-        F.lit(at).cast("timestamp").alias("_dlq_timestamp"),
+        utc_stamp(at).alias("_dlq_timestamp"),
         F.lit(at.date()).alias("failed_at"),
     )
 

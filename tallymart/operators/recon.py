@@ -141,11 +141,11 @@ def recon_gold_country(gold: DataFrame, versions: DataFrame) -> DataFrame:
     )
 
 
-def recon_gold_trend(trend: DataFrame, as_of: date, limit: int = 60) -> DataFrame:
+def recon_gold_trend(trend: DataFrame, as_of: date, limit: int | None = None) -> DataFrame:
     """Stored ratios next to recomputed ones, newest days first."""
     paid = F.col("downloads_paid_featured") + F.col("downloads_paid_organic")
     total = F.col("downloads_total")
-    return (
+    report = (
         trend_window(trend, as_of, WINDOWS.trend_days)
         .select(
             "dt",
@@ -158,8 +158,8 @@ def recon_gold_trend(trend: DataFrame, as_of: date, limit: int = 60) -> DataFram
             F.round(safe_ratio(F.col("downloads_featured"), total), 4).alias("recalc_featured_ratio"),
         )
         .orderBy(F.col("dt").desc(), "app_store")
-        .limit(limit)
     )
+    return report if limit is None else report.limit(limit)
 
 
 def recon_load_vs_table(history: DataFrame, versions: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import DROP_TYPES, NARROW_KEY, PARTITION, WINDOWS, ddl
+from ..functions.stamps import utc_stamp
 from ..operators.cleaning import (
     cast_contract,
     dedup_pk,
@@ -115,8 +116,12 @@ def bronze_build(
     todo_frame = spark.createDataFrame(todo, "dt date, store string")
     append_rows(ledger_rows(todo_frame, LAYER, "running", run.run_id, run.at), layout.ledger)
 
-    footers = _read_footers(spark, layout, run, files)
-    verdicts = schema_gate(footers, types).collect()  # one row per partition
+    try:
+        footers = _read_footers(spark, layout, run, files)
+        verdicts = schema_gate(footers, types).collect()  # one row per partition
+    except Exception as error:
+        record_failure(spark, layout, LAYER, PROCESSING_ERROR, todo, error, run.run_id, run.at)
+        raise
     good = [(v.dt, v.store) for v in verdicts if v.error_message is None]
     bad = [
         (v.dt, v.store, v.error_message, PROCESSING_ERROR if v.unreadable_files else SCHEMA_MISMATCH)
@@ -177,7 +182,7 @@ def _reject(spark, layout, run, bad, files, footers) -> None:
         "store",
         F.substring(subject, 1, 100).alias("subject"),
         F.col("error_message").alias("message"),
-        F.lit(run.at).cast("timestamp").alias("raised_at"),
+        utc_stamp(run.at).alias("raised_at"),
     )
     append_rows(alerts.select(*ALERT_TYPES), layout.alerts)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from ..contracts import NARROW_TYPES, WIDE_TYPES, ddl
+from ..functions.stamps import utc_stamp
 from ..operators.ledger import FILE_LEDGER_TYPES, LEDGER_TYPES, ledger_rows, previous_files, run_ledger
 from ..operators.quarantine import ERROR_TYPES, error_records
 from ..sources.tables import append_rows, read_partitions, read_table
@@ -119,7 +120,7 @@ def record_failure(
 ) -> None:
     """Mark all partitions of a step that raised as failed, so that the next run takes them."""
     failed = spark.createDataFrame(keys, "dt date, store string")
-    message = F.lit(str(error)[:2000])
+    message = F.lit(str(error))
     source = F.concat_ws("/", F.lit(layer), "store")
     append_rows(error_records(failed, error_type, message, source, run_id, at), layout.errors, ["failed_at"])
     append_rows(ledger_rows(failed, layer, "failed", run_id, at), layout.ledger)
@@ -128,7 +129,7 @@ def record_failure(
         "store",
         F.lit(f"Daily counters: {layer} failed"[:100]).alias("subject"),
         message.alias("message"),
-        F.lit(at).cast("timestamp").alias("raised_at"),
+        utc_stamp(at).alias("raised_at"),
     )
     append_rows(alerts.select(*ALERT_TYPES), layout.alerts)
 

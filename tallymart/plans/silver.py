@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import PARTITION, WIDE_TYPES, ddl
+from ..functions.stamps import utc_stamp
 from ..operators.ledger import ledger_rows, stale_silver
 from ..operators.pivot import expected_wide_keys, to_wide_by_folder
 from ..operators.quality import alert_records, dq_gate, dq_run_all
@@ -53,7 +54,8 @@ def stage_and_check(
     to_wide_by_folder(narrow, at).write.mode("overwrite").parquet(path)
     staged = read_table(spark, path, ddl(STAGED))
     found = dq_run_all(staged.withColumn("partition_dt", F.col("dt")), expected_wide_keys(narrow))
-    append_rows(found.withColumn("job_run_id", F.lit(run_id)).select(*DQ_TYPES), layout.dq)
+    # A run owns its results: a retry under the same id replaces them.
+    overwrite_partitions(found.withColumn("job_run_id", F.lit(run_id)).select(*DQ_TYPES), layout.dq, ["job_run_id"])
     stored = read_table(spark, layout.dq, ddl(DQ_TYPES))
     results = stored.where(F.col("job_run_id") == run_id).drop("job_run_id")
     return Staged(staged, results, dq_gate(results))
@@ -91,7 +93,7 @@ def _record(layout: Layout, staged: Staged, narrow: DataFrame, run_id: str, at:
         F.when(blocked, F.lit("failed")).otherwise(F.lit("succeeded")).alias("state"),
     )
     append_rows(ledger_rows(counts, LAYER, F.col("state"), run_id, at), layout.ledger)
-    alerts = alert_records(staged.gate).withColumn("raised_at", F.lit(at).cast("timestamp"))
+    alerts = alert_records(staged.gate).withColumn("raised_at", utc_stamp(at))
     append_rows(alerts.select(*ALERT_TYPES), layout.alerts)
 
 
@@ -106,6 +108,7 @@ def silver_build(
 ) -> None:
     """Build every partition whose Bronze run succeeded since its last Silver run.
 
+    A partition that another run has started on and may still be working on is left alone.
     ``force`` builds all partitions with a successful Bronze run. ``window`` limits the days.
     """
     state = ledger_state(spark, layout)
@@ -115,6 +118,10 @@ def silver_build(
         ready = stale_silver(state)
     if window is not None:
         ready = ready.where(F.col("dt").between(F.lit(window[0]), F.lit(window[1])))
+    busy = state.where("layer = 'silver' AND status = 'running'").where(
+        (F.col("lock_expires_at") >= utc_stamp(at)) & (F.col("job_run_id") != run_id)
+    )
+    ready = ready.select(*PARTITION).exceptAll(busy.select(*PARTITION))
     todo = [(row.dt, row.store) for row in ready.select(*PARTITION).collect()]
     if not todo:
         return

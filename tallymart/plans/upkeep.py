@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
 from functools import reduce
 
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import PARTITION
+from ..functions.stamps import utc_stamp
 from ..operators.quarantine import parse_failure_day
 from ..operators.versions import dedup_versions, touched_by_dedup
 from ..sources.drop import SOURCE_FILE
@@ -35,14 +37,15 @@ def dedup_in_place(spark: SparkSession, target: LoadTarget, staging: str, as_of:
     nothing survived. There are at most as many days as the dedup window is long.
 
     Each day is replaced by a write of its own. After a crash a rerun does the days that are
-    left; a day that was being replaced at that moment is whole in ``staging``, so keep that
-    folder until the job has ended.
+    left; a day that was being replaced at that moment is whole below ``staging``, so keep that
+    folder until the job has ended. Each run stages in a folder of its own there.
     """
     versions = read_versions(spark, target)
     days = sorted(row.dt for row in touched_by_dedup(versions, as_of).collect())
     if not days:
         return []
     survivors = dedup_versions(versions.where(F.col("dt").isin(days)), as_of)
+    staging = f"{staging}/run-{uuid.uuid4().hex[:12]}"
     overwrite_partitions(survivors, staging, ["dt", BATCH])
     staged = spark.read.schema(versions.schema).parquet(staging)
     for day in days:
@@ -88,7 +91,7 @@ def dlq_replay(spark: SparkSession, layout: Layout, failed_at: str, at: datetime
     key = ["failed_at", "kind", *PARTITION]
     fresh = entries.join(done.select(*key), key, "left_anti")
     action = F.when(F.col("kind") == "raw", "replay").otherwise("archive_only")
-    log = fresh.select(*key, "row_count", action.alias("action"), F.lit(at).cast("timestamp").alias("replayed_at"))
+    log = fresh.select(*key, "row_count", action.alias("action"), utc_stamp(at).alias("replayed_at"))
     handled = log.collect()
     todo = [(row.dt, row.store) for row in handled if row.action == "replay"]
     if todo:

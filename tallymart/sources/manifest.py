@@ -13,6 +13,16 @@ def plain_path(path: Column) -> Column:
     return F.regexp_replace(path, "^file:/+", "file:/")
 
 
+DEFAULT_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
+def folder_value(path: Column, name: str) -> Column:
+    """A partition value as text from a file's path: never read as a number, null from the default folder."""
+    raw = F.regexp_extract(path, f"/{name}=([^/]*)/", 1)
+    value = F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
+    return F.when((raw != "") & (raw != DEFAULT_FOLDER), value)
+
+
 def file_manifest(
     spark: SparkSession,
     root: str,
@@ -23,21 +33,22 @@ def file_manifest(
     """``dt, store, file_path, file_bytes, modified_at, fingerprint`` of a drop folder.
 
     The default fingerprint is size and modification time; no file is opened for it.
-    ``by_content`` hashes the bytes instead: exact, but it reads every file whole.
+    ``by_content`` hashes the bytes instead: exact, but it reads every file whole, and Spark
+    raises on one over 2 GiB. A folder whose day is no date is no partition and is left out.
     """
-    files = spark.read.format("binaryFile").option("basePath", root)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if modified_after is not None:
         files = files.option("modifiedAfter", modified_after.strftime("%Y-%m-%dT%H:%M:%S"))
     listed = files.load(f"{root}/dt=*/store=*")
     by_stat = F.concat_ws(":", F.col("length"), F.unix_micros("modificationTime"))
     return listed.select(
-        F.col("dt").cast("date").alias("dt"),
-        F.col("store").cast("string").alias("store"),
+        folder_value(F.col("path"), "dt").try_cast("date").alias("dt"),
+        folder_value(F.col("path"), "store").alias("store"),
         plain_path(F.col("path")).alias("file_path"),
         F.col("length").alias("file_bytes"),
         F.col("modificationTime").alias("modified_at"),
         (F.md5("content") if by_content else by_stat).alias("fingerprint"),
-    )
+    ).where("dt is not null")
 
 
 def pending_files(manifest: DataFrame, history: DataFrame) -> DataFrame:

@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 
 from ..contracts import PARTITION
 
-# Characters that partition folders hold as %XX.
-ESCAPED = set("\"#%'*/:=?\\{}[]^")
-MOST_LISTED = 1000
-
 
 def overwrite_partitions(rows: DataFrame, path: str, by: list[str] = PARTITION) -> None:
     """Replace exactly the partitions present in ``rows``; leave all others alone.
@@ -42,34 +38,39 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def in_partitions(keys: list[tuple]) -> Column:
-    """Filter on folders from a list of (dt, store): pruned before any file is opened."""
-    chosen = F.lit(False)
-    by_store: dict[str, list] = {}
-    for dt, store in keys:
-        by_store.setdefault(store, []).append(dt)
-    for store, days in by_store.items():
-        chosen = chosen | ((F.col("store") == store) & F.col("dt").isin(days))
-    return chosen
-
+    """Filter on folders from a list of (dt, store): pruned before any file is opened.
 
-def _folder(dt, store: str) -> str:
-    escaped = "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in store)
-    return f"dt={dt.isoformat()}/store={escaped}"
+    Stores wanted for the same days are one condition, and conditions are joined as a balanced
+    tree, so the filter stays shallow for any number of keys.
+    """
+    days_of: dict[str | None, set] = {}
+    for dt, store in keys:
+        days_of.setdefault(store, set()).add(dt)
+    stores_of: dict[tuple, list] = {}
+    for store, days in days_of.items():
+        stores_of.setdefault(tuple(sorted(days)), []).append(store)
+    parts = [F.lit(False)]
+    for days, stores in stores_of.items():
+        named = F.coalesce(F.col("store").isin([s for s in stores if s is not None]), F.lit(False))
+        chosen = named | F.col("store").isNull() if None in stores else named
+        parts.append(chosen & F.col("dt").isin(list(days)))
+    while len(parts) > 1:
+        parts = [a | b for a, b in zip(parts[::2], parts[1::2])] + parts[len(parts) // 2 * 2 :]
+    return parts[0]
 
 
 def read_partitions(spark: SparkSession, path: str, schema: str, keys: list[tuple]) -> DataFrame:
     """Rows of the given partitions; those without a folder have none.
 
-    Only the named folders are listed, so a daily run does not pay for the table's history.
-    A long list is read as a filter over the whole table instead.
+    Only the folders of the days named are listed, so a daily run does not pay for the table's
+    history; stores are told apart by their value, whatever characters their folders hold. One
+    way for any number of keys.
     """
     if not keys:
         return spark.createDataFrame([], schema)
-    where = path
-    if len(keys) <= MOST_LISTED:
-        where = f"{path}/{{{','.join(_folder(*key) for key in keys)}}}"
+    days = ",".join(sorted({dt.isoformat() for dt, _ in keys}))
     try:
-        rows = spark.read.schema(schema).option("basePath", path).parquet(where)
+        rows = spark.read.schema(schema).option("basePath", path).parquet(f"{path}/dt={{{days}}}")
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise

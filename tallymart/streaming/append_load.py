@@ -53,13 +53,13 @@ def arrivals(
     """Stream of wide rows from a partitioned folder, each file once by name.
 
     A file that its partition's next overwrite removed before it was read is passed over:
-    the new files of that partition replace it. The file source passes over files more than
-    a week older than the newest one; ``reload_files`` loads those.
+    the new files of that partition replace it. No file is passed over for its age.
     """
     rows = (
         spark.readStream.schema(_stored(types))
         .option("maxFilesPerTrigger", max_files)
         .option("ignoreMissingFiles", True)
+        .option("maxFileAge", "36500d")
         .parquet(source)
     )
     return _named(rows)
