@@ -25,6 +25,7 @@ from tallymart.llm.common import (
     Powers,
     documents,
     mixed,
+    sifted,
     span_hashes,
     spread,
     staged,
@@ -75,19 +76,17 @@ def near_components(docs: DataFrame, spark: SparkSession, words: int = WORDS, ov
     matrix = staged(
         firsts.join(shared, "gram").groupBy("gram", "cls").agg(F.first("n").alias("n")), "matrix", spark
     )
-    whole = staged(named_sets(matrix, rows, classes, words), "sets", spark)
-
     roots = spark.createDataFrame([], "node long, root long")
     links = spark.createDataFrame([], "a long, b long")
     for turn in range(ROUNDS):
         pairs = staged(head_pairs(open_columns(matrix, roots, spark), turn, over, under), "head-pairs", spark)
         if pairs.isEmpty():
             break
-        links = staged(links.union(counted(pairs, whole, over, under)), "links", spark)
+        links = staged(links.union(counted(pairs, rows, classes, words, over, under, spark)), "links", spark)
         roots = components(links, spark)
     pairs = staged(cross_pairs(open_columns(matrix, roots, spark), over, under), "cross-pairs", spark)
     if not pairs.isEmpty():
-        links = staged(links.union(counted(pairs, whole, over, under)), "links", spark)
+        links = staged(links.union(counted(pairs, rows, classes, words, over, under, spark)), "links", spark)
         roots = components(links, spark)
 
     own_root = F.coalesce("root", "cls").alias("root")
@@ -176,17 +175,19 @@ def possible(over: int, under: int) -> Column:
     return sizes_fit(over, under) & (F.greatest(most(n_a), most(n_b)) >= least)
 
 
-def named_sets(matrix: DataFrame, rows: DataFrame, classes: DataFrame, words: int) -> DataFrame:
-    """cls, grams: the whole set of each class of the matrix, made anew from one of its texts."""
-    named = matrix.select("cls").distinct()
-    ids = classes.join(named, "cls").select(F.col("doc_id").alias("_id")).distinct()
-    texts = rows.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    found = texts.select("text").mapInArrow(lambda batches: set_rows(batches, words), "cls long, grams binary")
-    return found.join(named, "cls", "left_semi").dropDuplicates(["cls"])
-
+def counted(
+    pairs: DataFrame, rows: DataFrame, classes: DataFrame, words: int, over: int, under: int, spark: SparkSession
+) -> DataFrame:
+    """The pairs that are links, by intersections of whole sets; columns a, b.
 
-def counted(pairs: DataFrame, whole: DataFrame, over: int, under: int) -> DataFrame:
-    """The pairs that are links, by intersections of whole sets; columns a, b."""
+    Sets are made anew from one text of each class that a pair names.
+    """
+    named = staged(pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct(), "named", spark)
+    ids = staged(classes.join(named, "cls").select("doc_id").distinct(), "named-ids", spark)
+    wanted = ids.select(F.col("doc_id").alias("_id"))
+    texts = sifted(rows, ids, ["doc_id"]).join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    found = texts.select("text").mapInArrow(lambda batches: set_rows(batches, words), "cls long, grams binary")
+    whole = staged(found.join(named, "cls", "left_semi").dropDuplicates(["cls"]), "sets", spark)
     both = pairs.join(whole.toDF("a", "grams_a"), "a").join(whole.toDF("b", "grams_b"), "b")
     return both.mapInArrow(lambda batches: linked(batches, over, under), "a long, b long")
 

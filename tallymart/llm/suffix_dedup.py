@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm.common import Powers, documents, mixed, staged, text_blocks
+from tallymart.llm.common import Powers, documents, mixed, sifted, staged, text_blocks
 
 POWERS = Powers()
 LENGTH, GRAM = 100, 32
@@ -155,30 +155,6 @@ def remove_repeats(
     return untouched.mapInArrow(cut_one, result).union(touched.mapInArrow(cut_one, result))
 
 
-#: Bits of the map that tells texts without marks apart before they are moved.
-SIEVE = 1 << 22
-
-
-def sifted(rows: DataFrame, marked: DataFrame, key: list[str], hit: bool = True) -> DataFrame:
-    """Rows that may be among ``marked`` (or that cannot be), by a bit map of bounded size.
-
-    The map spares a move to texts that surely have no marks. A row that passes may still have
-    none: the join behind it decides. With very many marks the map fills and spares nothing.
-    """
-    cell = F.pmod(F.xxhash64(*key, F.lit(5)), F.lit(SIEVE)).cast("int")
-    cells = marked.select(cell.alias("cell")).distinct().toArrow().column("cell").to_numpy()
-    bits = np.zeros(SIEVE, bool)
-    bits[cells] = True
-    packed = np.packbits(bits)
-
-    @F.arrow_udf("boolean")
-    def passes(cells: pa.Array) -> pa.Array:
-        at = cells.to_numpy()
-        return pa.array((packed[at >> 3] >> (7 - (at & 7)) & 1).astype(bool) == hit)
-
-    return rows.where(passes(cell))
-
-
 def anchor_buckets(batches, length: int, gram: int):
     for batch in batches:
         for _, _, data, starts in text_blocks(batch.column("text")):
