@@ -55,7 +55,7 @@ def staged(table: DataFrame, purpose: str, spark: SparkSession) -> DataFrame:
 
 
 #: Bits of the map that tells texts without marks apart before they are moved.
-SIEVE = 1 << 22
+SIEVE = 1 << 24
 
 
 def sifted(rows: DataFrame, marked: DataFrame, key: list[str], hit: bool = True) -> DataFrame:

@@ -9,7 +9,9 @@ stands at further offsets, until a bucket is decided: a bucket of one position d
 - A bucket with one anchor is done. The others are refined by the bucket of everything that a
   wanted string through the anchor could hold. Where this is equal, all strings through the
   later anchor are repeats.
-- Where it differs, each string through the anchor is looked at: its bucket is made from the
+- Where it differs, the bucket is refined to either side: by the q-gram and what stands half a
+  string's rest before it, or behind it. Any string through the anchor holds one of the two.
+- Where such a half is shared, each string over it is looked at: its bucket is made from the
   buckets of shorter strings at two offsets, doubled again and again, and used for every offset.
 """
 
@@ -109,22 +111,34 @@ def remove_repeats(
     many = staged(many, "repeated-buckets", spark)
 
     placed = rows.select(*key, "text").mapInArrow(
-        lambda b: anchor_rows(b, length, gram), "bucket long, around long, id long, hash int, place int, own boolean"
+        lambda b: anchor_rows(b, length, gram),
+        "bucket long, around long, left long, right long, id long, hash int, place int, own boolean",
     )
-    placed = staged(placed.join(many, "bucket"), "anchors", spark)
+    placed = staged(sifted(placed, many, ["bucket"]).join(many, "bucket"), "anchors", spark)
     classes = placed.where("own").groupBy("bucket", "around").agg(
-        F.min(F.struct(*key, "place")).alias("first"), F.count("*").alias("n")
+        F.min(F.struct(*key, "place")).alias("first"),
+        F.count("*").alias("n"),
+        F.first("left").alias("left"),
+        F.first("right").alias("right"),
     )
     classes = staged(classes, "classes", spark)
     # Later anchors with equal surroundings: every string through them is a repeat.
     shared = classes.where("n > 1").select("bucket", "around", F.col("first.id").alias("f_id"), F.col("first.hash").alias("f_hash"))
     whole = placed.where("own").join(shared, ["bucket", "around"]).where("id <> f_id or hash <> f_hash")
     whole = whole.select(*key, "place").union(placed.where("not own").select(*key, "place"))
-    # First ones of several classes of a bucket: each string through them is looked at.
-    several = classes.groupBy("bucket").agg(F.count("*").alias("classes")).where("classes > 1").select("bucket")
-    several = staged(several, "open-buckets", spark)
-    firsts = classes.join(several, "bucket").groupBy(F.col("first.id").alias("id"), F.col("first.hash").alias("hash"))
-    firsts = staged(firsts.agg(F.collect_list("first.place").alias("places")), "open-anchors", spark)
+    # First ones of classes that share a half: each string over that half is looked at.
+    halves = F.array(
+        F.struct(F.lit(True).alias("before"), F.col("left").alias("half")),
+        F.struct(F.lit(False).alias("before"), F.col("right").alias("half")),
+    )
+    halves = classes.select("first", F.inline(halves)).where("half is not null")
+    twice = halves.groupBy("before", "half").agg(F.count("*").alias("classes")).where("classes > 1")
+    twice = staged(twice.drop("classes"), "repeated-halves", spark)
+    firsts = halves.join(twice, ["before", "half"]).groupBy(
+        F.col("first.id").alias("id"), F.col("first.hash").alias("hash")
+    )
+    firsts = firsts.agg(F.collect_list("first.place").alias("places"), F.collect_list("before").alias("before"))
+    firsts = staged(firsts, "open-anchors", spark)
     looked = sifted(rows.select(*key, "text"), firsts, key).join(firsts, key).dropDuplicates(key)
     strings = looked.mapInArrow(lambda b: string_rows(b, length, gram), "high long, low long, id long, hash int, begin int")
     strings = staged(strings, "strings", spark)
@@ -165,6 +179,7 @@ def anchor_buckets(batches, length: int, gram: int):
 
 def anchor_rows(batches, length: int, gram: int):
     """Anchors; ``own`` is false where the same text has the same surroundings earlier."""
+    half = (length - gram) // 2
     for batch in batches:
         for first, past, data, starts in text_blocks(batch.column("text")):
             place, own = anchors(data, starts, length, gram)
@@ -175,34 +190,44 @@ def anchor_rows(batches, length: int, gram: int):
             if len(keys):
                 a, b = keys[:-1], keys[1:]
                 again[b] = (around[a] == around[b]) & (of[a] == of[b]) & (own[a] == own[b])
+            longer = buckets(data, gram + half)
+            sides = []
+            for begin in (place - half, place):
+                outside = (begin < starts[of]) | (begin + gram + half > starts[of + 1])
+                value = longer[np.clip(begin, 0, max(0, len(longer) - 1))] if len(longer) else own[:0]
+                sides.append(pa.array(value.view(np.int64), mask=outside))
             rows = pa.array(of + first)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(own.view(np.int64)),
                     pa.array(around.view(np.int64)),
+                    *sides,
                     batch.column("id").take(rows),
                     batch.column("hash").take(rows),
                     pa.array(place - starts[of], pa.int32()),
                     pa.array(~again),
                 ],
-                names=["bucket", "around", "id", "hash", "place", "own"],
+                names=["bucket", "around", "left", "right", "id", "hash", "place", "own"],
             )
 
 
 def string_rows(batches, length: int, gram: int):
-    """Every string of ``length`` through the anchors given, by two buckets."""
+    """Every string of ``length`` over the halves given, by two buckets."""
+    rest = length - gram
     for batch in batches:
         for first, past, data, starts in text_blocks(batch.column("text")):
-            high, low = buckets(data, length, 11), buckets(data, length, 12)
+            one, two = buckets(data, length, 11), buckets(data, length, 12)
             for k in range(past - first):
                 size = int(starts[k + 1] - starts[k])
                 places = batch.column("places")[first + k].values.to_numpy()
-                begins = covered(places - (length - gram), places + 1, size - length + 1)
+                before = batch.column("before")[first + k].values.to_numpy(zero_copy_only=False)
+                low = places - np.where(before, rest, rest - rest // 2)
+                begins = covered(low, np.where(before, places - rest // 2, places) + 1, size - length + 1)
                 at = begins + starts[k]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(high[at].view(np.int64)),
-                        pa.array(low[at].view(np.int64)),
+                        pa.array(one[at].view(np.int64)),
+                        pa.array(two[at].view(np.int64)),
                         pa.repeat(batch.column("id")[first + k], len(at)),
                         pa.repeat(batch.column("hash")[first + k], len(at)),
                         pa.array(begins, pa.int32()),
