@@ -78,13 +78,66 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_substring_dedup, op2_exact_dedup, op3_quality_rules, op4_jaccard_join, op5_quality_classifier, op6_mixing, op7_packing, op8_suffix_dedup, op9_toxicity, op10_language_id)}
 
 
-NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
+SPACE = r"[\x20\x09-\x0D]+"
+NORMAL = f"regexp_replace(coalesce(text, ''), '{SPACE}', ' ', 'g')"
+#: Words of a text; ``{}`` is the text.
+WORDS = f"list_filter(string_split_regex({{}}, '{SPACE}'), lambda x: x <> '')"
+#: A-Z alone in lower case.
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def rule_sql(rule: quality_rules.Rule) -> str:
+    value = f"coalesce({rule.over}::DOUBLE / nullif({rule.by}, 0), 0.0)" if rule.by else rule.over
+    bounds = [f"{value} >= {rule.low}"] * (rule.low is not None) + [f"{value} <= {rule.high}"] * (rule.high is not None)
+    return " AND ".join(bounds)
+
+
+def quality_rules_sql() -> str:
+    stops = ", ".join(f"'{w}'" for w in sorted(set(quality_rules.STOP_WORDS)))
+    verdict = " AND ".join(f"({rule_sql(r)})" for r in (*quality_rules.BASE, *quality_rules.RULES))
+    return f"""
+        WITH texts AS (SELECT doc_id, coalesce(text, '') AS t, {WORDS.format("coalesce(text, '')")} AS w FROM documents),
+        lined AS (SELECT *, list_filter(string_split(t, chr(10)), lambda x: len({WORDS.format("x")}) > 0) AS l FROM texts),
+        starts AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1))) AS i FROM texts),
+        windows AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i : i + 4]) AS n FROM starts),
+        places AS (SELECT DISTINCT doc_id, unnest(range(i, i + 5)) AS place FROM windows WHERE n > 1),
+        repeats AS (SELECT doc_id, count(*) AS n FROM places GROUP BY doc_id),
+        counts AS (
+            SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+                   (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+                   len(regexp_extract_all(t, '[!?]{{2,}}'))::BIGINT AS n_shouts,
+                   len(list_filter(w, lambda x: lower(x) IN ({stops})))::BIGINT AS n_stop_words, len(l)::BIGINT AS n_lines,
+                   (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+            FROM lined LEFT JOIN repeats USING (doc_id))
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+               n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, {verdict} AS kept FROM counts"""
+
+
+JACCARD_SQL = f"""
+    WITH RECURSIVE texts AS (SELECT doc_id, {WORDS.format(LOWER)} AS w FROM documents),
+    grams AS (
+        SELECT DISTINCT doc_id, g FROM (
+            SELECT doc_id, w[i : i + 4] AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM texts)
+            WHERE len(w) > 0)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+    pairs AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM grams AS a JOIN grams AS b ON a.g = b.g AND a.doc_id <> b.doc_id
+        GROUP BY a.doc_id, b.doc_id),
+    links AS (
+        SELECT a, b FROM pairs JOIN sizes AS x ON a = x.doc_id JOIN sizes AS y ON b = y.doc_id
+        WHERE 100 * pairs.n >= 75 * (x.n + y.n - pairs.n)),
+    reach AS (SELECT doc_id AS a, doc_id AS b FROM texts UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+    SELECT a AS doc_id, coalesce(max(sizes.n), 0)::BIGINT AS n_shingles, min(b) AS component_id
+    FROM reach LEFT JOIN sizes ON a = doc_id GROUP BY a"""
 
 
 def oracle_sql() -> dict[str, str]:
+    """Where SQL can say it: not what is trained or drawn, nor strings at every byte."""
     return {
         "op2_exact_dedup": f"""
             SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                    doc_id = min(doc_id) OVER w AS kept, sha256(normal) AS text_sha256
             FROM (SELECT doc_id, {NORMAL} AS normal FROM documents) WINDOW w AS (PARTITION BY normal)""",
+        "op3_quality_rules": quality_rules_sql(),
+        "op4_jaccard_join": JACCARD_SQL,
     }
