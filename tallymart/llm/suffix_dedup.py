@@ -11,8 +11,10 @@ stands at further offsets, until a bucket is decided: a bucket of one position d
   later anchor are repeats.
 - Where it differs, the bucket is refined to either side: by the q-gram and what stands half a
   string's rest before it, or behind it. Any string through the anchor holds one of the two.
-- Where such a half is shared, each string over it is looked at: its bucket is made from the
-  buckets of shorter strings at two offsets, doubled again and again, and used for every offset.
+- Where such a half is shared, anchors that share it meet, and each string over it is looked at:
+  its bucket is made from the buckets of shorter strings at two offsets, doubled again and again,
+  and used for every offset. A half that very many share is dealt out; strings that are first in
+  their part are then compared over all parts.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ from tallymart.llm.common import Powers, documents, mixed, sifted, staged, text_
 
 POWERS = Powers()
 LENGTH, GRAM = 100, 32
+#: Anchors of one half that meet in one part.
+MEETING = 4096
 STEP = np.uint64(0x9E3779B97F4A7C15)
 LOW = np.uint64((1 << 31) - 1)  # places in a run of texts
 
@@ -133,22 +137,29 @@ def remove_repeats(
     )
     halves = classes.select("first", F.inline(halves)).where("half is not null")
     twice = halves.groupBy("before", "half").agg(F.count("*").alias("classes")).where("classes > 1")
-    twice = staged(twice.drop("classes"), "repeated-halves", spark)
+    twice = staged(twice.withColumn("parts", F.ceil(F.col("classes") / MEETING).cast("int")).drop("classes"), "repeated-halves", spark)
     firsts = halves.join(twice, ["before", "half"]).groupBy(
         F.col("first.id").alias("id"), F.col("first.hash").alias("hash")
     )
-    firsts = firsts.agg(F.collect_list("first.place").alias("places"), F.collect_list("before").alias("before"))
+    firsts = firsts.agg(F.collect_list(F.struct("first.place", "before", "half", "parts")).alias("open"))
     firsts = staged(firsts, "open-anchors", spark)
     looked = sifted(rows.select(*key, "text"), firsts, key).join(firsts, key).dropDuplicates(key)
-    strings = looked.mapInArrow(lambda b: string_rows(b, length, gram), "high long, low long, id long, hash int, begin int")
-    strings = staged(strings, "strings", spark)
-    earliest = strings.groupBy("high", "low").agg(
-        F.min(F.struct(*key, "begin")).alias("first"), F.count("*").alias("n")
+    looked = looked.mapInArrow(
+        lambda b: context_rows(b, length, gram),
+        "half long, before boolean, part int, parts int, id long, hash int, place int, lead int, bytes binary",
+    )
+    meeting = ["half", "before", "part"]
+    strings = looked.repartition(*meeting).sortWithinPartitions(*meeting, "id", "hash", "place").mapInArrow(
+        lambda b: string_rows(b, length, gram), "high long, low long, id long, hash int, begin int"
     )
+    strings = staged(strings, "strings", spark)
+    some = strings.where("high is not null")
+    earliest = some.groupBy("high", "low").agg(F.min(F.struct(*key, "begin")).alias("first"), F.count("*").alias("n"))
     earliest = staged(earliest.where("n > 1").drop("n"), "repeated-strings", spark)
-    later = strings.join(earliest, ["high", "low"]).where("struct(id, hash, begin) <> first")
+    later = some.join(earliest, ["high", "low"]).where("struct(id, hash, begin) <> first").select(*key, "begin")
+    later = later.union(strings.where("high is null").select(*key, "begin"))
     marks = whole.select(*key, "place", F.lit(None).cast("int").alias("begin")).union(
-        later.select(*key, F.lit(None).cast("int"), "begin")
+        later.select(*key, F.lit(None).cast("int").alias("place"), "begin")
     )
     marks = marks.groupBy(*key).agg(F.collect_list("place").alias("places"), F.collect_list("begin").alias("begins"))
     marks = staged(marks, "marks", spark)
@@ -211,29 +222,84 @@ def anchor_rows(batches, length: int, gram: int):
             )
 
 
-def string_rows(batches, length: int, gram: int):
-    """Every string of ``length`` over the halves given, by two buckets."""
+def context_rows(batches, length: int, gram: int):
+    """Open anchors with all bytes that a string through them could hold; ``lead`` of them stand before."""
     rest = length - gram
     for batch in batches:
         for first, past, data, starts in text_blocks(batch.column("text")):
-            one, two = buckets(data, length, 11), buckets(data, length, 12)
+            out: list[tuple] = []
             for k in range(past - first):
-                size = int(starts[k + 1] - starts[k])
-                places = batch.column("places")[first + k].values.to_numpy()
-                before = batch.column("before")[first + k].values.to_numpy(zero_copy_only=False)
-                low = places - np.where(before, rest, rest - rest // 2)
-                begins = covered(low, np.where(before, places - rest // 2, places) + 1, size - length + 1)
-                at = begins + starts[k]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(one[at].view(np.int64)),
-                        pa.array(two[at].view(np.int64)),
-                        pa.repeat(batch.column("id")[first + k], len(at)),
-                        pa.repeat(batch.column("hash")[first + k], len(at)),
-                        pa.array(begins, pa.int32()),
-                    ],
-                    names=["high", "low", "id", "hash", "begin"],
-                )
+                raw = data[starts[k] : starts[k + 1]].tobytes()
+                doc_id, salt = batch.column("id")[first + k].as_py(), batch.column("hash")[first + k].as_py()
+                for x in batch.column("open")[first + k].as_py():
+                    place = x["place"]
+                    low = max(0, place - rest)
+                    part = (doc_id * 31 + place) % x["parts"]
+                    out.append((x["half"], x["before"], part, x["parts"], doc_id, salt, place, place - low, raw[low : place + length]))
+            kinds = [pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+            names = ["half", "before", "part", "parts", "id", "hash", "place", "lead", "bytes"]
+            columns = zip(*out) if out else [[]] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
+
+
+def string_rows(batches, length: int, gram: int):
+    """Strings over shared halves that came earlier in their meeting (no buckets: decided), and,
+    of meetings in several parts, those that came first, by their buckets."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        table = pa.Table.from_batches(held).combine_chunks()
+        keys = [table.column(c).to_numpy(zero_copy_only=False) for c in ("half", "before", "part")]
+        fresh = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+        if len(fresh):  # whole meetings; the last may go on in the next batch
+            last = int(fresh[-1])
+            yield met(table.slice(0, last), length, gram)
+            held = table.slice(last).to_batches()
+    if held:
+        yield met(pa.Table.from_batches(held), length, gram)
+
+
+def met(table: pa.Table, length: int, gram: int) -> pa.RecordBatch:
+    rest, width = length - gram, 2 * length - gram
+    names = ("lead", "before", "half", "place", "part")
+    lead, before, half, place, part = (table.column(c).to_numpy(zero_copy_only=False) for c in names)
+    meeting = np.zeros(len(lead), np.int64)  # rows are sorted by these three, then in order of the texts
+    meeting[1:] = np.cumsum((half[1:] != half[:-1]) | (before[1:] != before[:-1]) | (part[1:] != part[:-1]))
+    several = table.column("parts").to_numpy() > 1
+    grid = np.zeros((len(lead), width), np.uint8)
+    sizes = np.zeros(len(lead), np.int64)
+    for k, raw in enumerate(table.column("bytes").to_pylist()):  # the anchor stands at ``rest``
+        grid[k, rest - lead[k] : rest - lead[k] + len(raw)] = np.frombuffer(raw, np.uint8)
+        sizes[k] = len(raw)
+    flat = grid.ravel()
+    one, two = (np.concatenate([buckets(flat, length, seed), np.zeros(length - 1, np.uint64)]).reshape(len(lead), width) for seed in (11, 12))
+    out: list[tuple] = []
+    for at in range(rest + 1):  # where the string begins in the grid
+        fits = np.where(before, at <= rest - rest // 2, at >= rest // 2)
+        rows = np.flatnonzero(fits & (at >= rest - lead) & (at + length <= rest - lead + sizes))
+        if not len(rows):
+            continue
+        high, low = one[rows, at], two[rows, at]
+        order = np.lexsort((rows, meeting[rows], low, high))
+        same = np.zeros(len(rows), bool)
+        a, b = order[:-1], order[1:]
+        same[b] = (high[a] == high[b]) & (low[a] == low[b]) & (meeting[rows[a]] == meeting[rows[b]])
+        begin = place[rows] - rest + at
+        out.append((rows[same], begin[same], high[same], low[same], np.zeros(int(same.sum()), bool)))
+        left = ~same & several[rows]
+        out.append((rows[left], begin[left], high[left], low[left], np.ones(int(left.sum()), bool)))
+    rows, begin, high, low, told = (np.concatenate([x[k] for x in out]) if out else np.zeros(0, np.int64) for k in range(5))
+    told, at = told.astype(bool), pa.array(rows.astype(np.int64))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(high.astype(np.uint64).view(np.int64), mask=~told),
+            pa.array(low.astype(np.uint64).view(np.int64), mask=~told),
+            table.column("id").combine_chunks().take(at),
+            table.column("hash").combine_chunks().take(at),
+            pa.array(begin, pa.int32()),
+        ],
+        names=["high", "low", "id", "hash", "begin"],
+    )
 
 
 def covered(begins: np.ndarray, ends: np.ndarray, size: int) -> np.ndarray:
