@@ -78,19 +78,24 @@ def pairs_kernel(words: np.ndarray, marks: np.ndarray) -> np.ndarray:
     tables = [np.ascontiguousarray(same[:, j]) for j in range(letters)]
     once, twice = (np.zeros((letters, n, m), np.float32) for _ in range(2))  # shared before each letter
     total, work = (np.zeros((n, m), np.float32) for _ in range(2))
-    for i in range(words.shape[1]):
+    last = words.shape[1] - 1
+    for i in range(last + 1):
         char = words[:, i]
         run_1 = tables[0][char]
         run_2 = np.zeros((n, m), np.float32)
         for j in range(1, letters):
             hit = tables[j][char]
-            np.multiply(hit, twice[j], out=work)
-            total += work
+            if j > 1:  # two letters stand before
+                np.multiply(hit, twice[j], out=work)
+                total += work
+            if i == last:  # what is shared so far is not asked for again
+                continue
             np.multiply(hit, once[j], out=work)
             once[j] *= DECAY
             once[j] += run_1
-            twice[j] *= DECAY
-            twice[j] += run_2
+            if j > 1:
+                twice[j] *= DECAY
+                twice[j] += run_2
             run_1 *= DECAY
             run_1 += hit
             run_2 *= DECAY
