@@ -5,9 +5,9 @@ them. A byte is coded in the longest context seen; where it never followed that,
 coded (method C) and the next shorter context is asked, without what was ruled out. A text's
 code length under each language's frozen tree is summed over all its bytes; the shortest wins.
 
-Trees are laid out as a table of code lengths by context and byte, so a text costs one look-up a
-byte. Bytes are folded first: letters to lower case, digits to one, white space to one, and what
-is rare in the sample to one.
+Trees are sparse: they hold the contexts seen, as sorted codes, and are asked by binary search, a
+block's distinct codes at a time. Bytes are folded first: letters to lower case, digits to one,
+white space and control bytes to one. All others keep their own symbol.
 """
 
 from __future__ import annotations
@@ -23,8 +23,6 @@ from tallymart.llm.common import IS_SPACE, LOWER, documents, remainder, text_blo
 
 FOLDS, HELD_OUT = 5, 0
 ORDER = 3
-#: Symbols that bytes are folded to, at most; the table has this many to the power of order + 1 rows.
-SYMBOLS = 40
 #: Documents that trees are grown from, at most; those with the smallest hashes of their id.
 SAMPLE = 4000
 UNKNOWN = "und"
@@ -37,24 +35,89 @@ def folded_bytes() -> np.ndarray:
 
 
 FOLD = folded_bytes()
+#: Symbols that bytes are folded to: codes of order + 1 of them fit in 31 bits.
+SYMBOLS = len(np.unique(FOLD))
+
+
+@dataclass
+class Level:
+    """What followed the contexts of one length: codes of context and symbol, and codes of contexts."""
+
+    entries: np.ndarray
+    counts: np.ndarray
+    contexts: np.ndarray
+    totals: np.ndarray
+    kinds: np.ndarray
+    #: Counts that the context's symbols have in the next shorter context, where they are ruled out.
+    below: np.ndarray
+
+
+def found_in(wanted: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the wanted are among the known (ascending), and at which place."""
+    if not len(known):
+        return np.zeros(len(wanted), bool), np.zeros(len(wanted), np.int64)
+    place = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    return known[place] == wanted, place
+
+
+def levels(codes: np.ndarray, counts: np.ndarray) -> list[Level]:
+    """Contexts of 0 to ORDER symbols, from the counts of distinct codes."""
+    out: list[Level] = []
+    for order in range(ORDER + 1):
+        entries, which = np.unique(codes % SYMBOLS ** (order + 1), return_inverse=True)
+        own = np.bincount(which, weights=counts, minlength=len(entries))
+        contexts, of, kinds = np.unique(entries // SYMBOLS, return_inverse=True, return_counts=True)
+        below = np.zeros(len(contexts))
+        if order:
+            _, place = found_in(entries % SYMBOLS**order, out[-1].entries)
+            below = np.bincount(of, weights=out[-1].counts[place], minlength=len(contexts))
+        totals = np.bincount(of, weights=own, minlength=len(contexts))
+        out.append(Level(entries, own, contexts, totals, kinds.astype(float), below))
+    return out
+
+
+def code_bits(codes: np.ndarray, tree: list[Level]) -> np.ndarray:
+    """Bits of each code's last symbol behind the others.
+
+    What a context has seen, all shorter ones have, so the next longer context alone says which
+    symbols are ruled out.
+    """
+    bits, left = np.zeros(len(codes)), np.arange(len(codes))
+    barred, barred_kinds = np.zeros(len(codes)), np.zeros(len(codes))
+    for order in range(ORDER, -1, -1):
+        level, own = tree[order], codes[left] % SYMBOLS ** (order + 1)
+        known, at = found_in(own // SYMBOLS, level.contexts)
+        left, own, at = left[known], own[known], at[known]  # others go on with nothing ruled out
+        total, kinds = level.totals[at] - barred[left], level.kinds[at] - barred_kinds[left]
+        seen, place = found_in(own, level.entries)
+        share = np.where(seen, level.counts[place] if len(place) else 0.0, np.where(total > 0, kinds, 1.0))
+        bits[left] += np.log2(np.where(seen | (total > 0), total + kinds, 1.0) / share)
+        barred[left], barred_kinds[left] = level.below[at], level.kinds[at]
+        done = np.zeros(len(codes), bool)
+        done[left[seen]] = True
+        finished = done if order == ORDER else finished | done
+        left = np.flatnonzero(~finished)
+    bits[left] += np.log2(np.maximum(SYMBOLS - barred_kinds[left], 1))
+    return bits
 
 
 @dataclass
 class Trees:
-    """Code lengths in bits: a row for each context and next symbol, a column for each language."""
+    """Counts behind the contexts seen, by language."""
 
     languages: list[str]
     symbols: np.ndarray
-    bits: np.ndarray
+    by_language: list[list[Level]]
 
     def lengths(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Bits of each text under each language."""
         codes, places = coded(data, starts, self.symbols)
-        bits = self.bits[codes]
         out = np.zeros((len(starts) - 1, len(self.languages)))
         some = np.diff(starts) > 0
         if some.any():
-            out[some] = np.add.reduceat(bits, places[:-1][some], axis=0, dtype=np.float64)
+            distinct, which = np.unique(codes, return_inverse=True)
+            for k, tree in enumerate(self.by_language):
+                out[some, k] = np.add.reduceat(code_bits(distinct, tree)[which], places[:-1][some])
         return out
 
 
@@ -79,67 +142,38 @@ def coded(data: np.ndarray, starts: np.ndarray, symbols: np.ndarray) -> tuple[np
     return codes[inside], starts - starts[0]
 
 
-def grow(languages: list[str], symbols: np.ndarray, counts: np.ndarray) -> Trees:
-    """Tables from counts by language, context and next symbol; contexts with one first symbol at a time."""
-    n = SYMBOLS
-    bits = np.empty((n, n ** ORDER, len(languages)), np.float32)
-    for k in range(len(languages)):
-        # Counts under the last ORDER, ..., 0 bytes of the context.
-        under = [counts[k].reshape(n, -1, n)]
-        for order in range(ORDER - 1, -1, -1):
-            under.append(under[-1].reshape(n, -1, n).sum(axis=0) if order < ORDER - 1 else under[0].sum(axis=0))
-        for first in range(n):
-            left = np.ones((n ** (ORDER - 1), n))  # share that escapes have left for lower orders
-            found, barred = np.zeros(left.shape), np.zeros(left.shape, bool)
-            for order, shorter in enumerate(under):
-                own = shorter[first] if not order else np.tile(shorter, (len(left) // len(shorter), 1))
-                own = np.where(barred, 0, own)
-                total, kinds = own.sum(axis=1, keepdims=True), (own > 0).sum(axis=1, keepdims=True)
-                seen, share = own > 0, np.maximum(total + kinds, 1)
-                found = np.where(seen, left * own / share, found)
-                left = np.where(total > 0, left * kinds / share, left)
-                barred |= seen
-            rest = (~barred).sum(axis=1, keepdims=True)
-            found = np.where(barred, found, left / np.maximum(rest, 1))
-            bits[first, :, k] = -np.log2(found.ravel())
-    return Trees(languages, symbols, bits.reshape(-1, len(languages)))
+def grow(languages: list[str], symbols: np.ndarray, counts: list[tuple[np.ndarray, np.ndarray]] | np.ndarray) -> Trees:
+    """Trees from each language's counts: distinct codes and how often they are, or a table over all codes."""
+    trees = []
+    for own in counts:
+        if not isinstance(own, tuple):
+            seen = np.flatnonzero(own)
+            own = seen, own[seen]
+        trees.append(levels(own[0].astype(np.int64), own[1]))
+    return Trees(languages, symbols, trees)
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Trees | None:
     """Trees of all languages named outside the held-out fold, or None where there is none.
 
-    The sample's counts are summed by Spark; what comes to the driver is bounded by the symbols,
-    the order and the number of languages.
+    The sample's counts are summed by Spark; what comes to the driver are the distinct codes of
+    each language's sample.
     """
     rows = documents(docs, "lang").where("lang is not null and doc_id is not null")
     rows = rows.where(remainder(F.col("doc_id"), FOLDS) != HELD_OUT)
     chosen = rows.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).distinct()
     rows = rows.join(F.broadcast(chosen), "doc_id").select("lang", "text")
-    found = rows.mapInArrow(byte_counts, "byte int, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect()
-    if not found:
-        return None
-    frequent = sorted(found, key=lambda r: (-r["n"], r["byte"]))[: SYMBOLS - 1]
-    symbols = np.full(256, SYMBOLS - 1, np.uint8)
-    for k, row in enumerate(frequent):
-        symbols[FOLD == row["byte"]] = k
+    symbols = np.searchsorted(np.unique(FOLD), FOLD)
     counted = rows.mapInArrow(lambda batches: code_counts(batches, symbols), "lang string, code int, n long")
     counted = counted.groupBy("lang", "code").agg(F.sum("n").alias("n")).toArrow()
-    names = counted.column("lang").to_pylist()
-    languages = sorted(set(names))
-    counts = np.zeros((len(languages), SYMBOLS ** (ORDER + 1)), np.float32)
-    place = {x: k for k, x in enumerate(languages)}
-    counts[[place[x] for x in names], counted.column("code").to_numpy()] = counted.column("n").to_numpy()
-    return grow(languages, symbols, counts)
-
-
-def byte_counts(batches):
-    for batch in batches:
-        for _, _, data, _ in text_blocks(batch.column("text")):
-            counts = np.bincount(FOLD[data], minlength=256)
-            seen = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(seen, pa.int32()), pa.array(counts[seen], pa.int64())], names=["byte", "n"]
-            )
+    if not len(counted):
+        return None
+    names = counted.column("lang").combine_chunks().dictionary_encode()
+    codes, n = counted.column("code").to_numpy(), counted.column("n").to_numpy()
+    of, named = names.indices.to_numpy(), names.dictionary.to_pylist()
+    languages = sorted(named)
+    own = [of == named.index(x) for x in languages]
+    return grow(languages, symbols, [(codes[x], n[x]) for x in own])
 
 
 def code_counts(batches, symbols: np.ndarray):
