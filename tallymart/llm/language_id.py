@@ -16,15 +16,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallymart.llm.common import IS_SPACE, LOWER, documents, remainder, text_blocks
 
 FOLDS, HELD_OUT = 5, 0
 ORDER = 3
-#: Documents that trees are grown from, at most; those with the smallest hashes of their id.
-SAMPLE = 4000
+#: Documents that a language's tree is grown from: about those with the smallest hashes of their id,
+#: all where there are no more. Hashes are told apart to 1 in STEPS of their size.
+SAMPLE, STEPS = 4000, 32
 UNKNOWN = "und"
 
 
@@ -161,8 +162,8 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Trees | None:
     """
     rows = documents(docs, "lang").where("lang is not null and doc_id is not null")
     rows = rows.where(remainder(F.col("doc_id"), FOLDS) != HELD_OUT)
-    chosen = rows.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).distinct()
-    rows = rows.join(F.broadcast(chosen), "doc_id").select("lang", "text")
+    rows = rows.select("lang", "text", hash_step().alias("step"))
+    rows = rows.join(F.broadcast(last_steps(rows, sample)), "lang").where("step <= last").select("lang", "text")
     symbols = np.searchsorted(np.unique(FOLD), FOLD)
     counted = rows.mapInArrow(lambda batches: code_counts(batches, symbols), "lang string, code int, n long")
     counted = counted.groupBy("lang", "code").agg(F.sum("n").alias("n")).toArrow()
@@ -176,6 +177,23 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Trees | None:
     return grow(languages, symbols, [(codes[x], n[x]) for x in own])
 
 
+def hash_step() -> Column:
+    """The size of the id's hash, on a scale of which each doubling has STEPS steps."""
+    size = (F.shiftrightunsigned(F.xxhash64("doc_id"), 1) + 1).cast("double")
+    return F.floor(F.log2(size) * STEPS).cast("int")
+
+
+def last_steps(rows: DataFrame, sample: int) -> DataFrame:
+    """lang, last: up to which step of hashes a language has ``sample`` rows, or all it has.
+
+    Every language of the rows has at least its first step, so none is lost however rare it is.
+    """
+    counts = rows.groupBy("lang", "step").agg(F.count("*").alias("n"))
+    so_far = F.sum("n").over(Window.partitionBy("lang").orderBy("step").rowsBetween(Window.unboundedPreceding, -1))
+    sums = counts.select("lang", "step", F.coalesce(so_far, F.lit(0)).alias("before"))
+    return sums.where(F.col("before") < sample).groupBy("lang").agg(F.max("step").alias("last"))
+
+
 def code_counts(batches, symbols: np.ndarray):
     for batch in batches:
         names = batch.column("lang").to_pylist()

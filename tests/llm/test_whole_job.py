@@ -31,3 +31,12 @@ def test_letters_of_a_rarer_script(spark):
         rows += [(1000 + k, words(k, greek), "el"), (2000 + k, words(k, cyrillic), "uk")]
     found = language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark)
     assert held_out_recall(found, {i: x for i, _, x in rows}) == {"en": 1.0, "el": 1.0, "uk": 1.0}
+
+
+def test_rare_languages_are_learnt(spark):
+    """A language of few documents among very many of another, in a sample of 20 each."""
+    rows = [(k, words(k, "abcdefghijklm", 10), "hot") for k in range(3000)]
+    rows += [(10_000 + k, words(k, "nopqrstuvwxyz", 10), "rare") for k in range(15)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = language_id.identify(table, spark, sample=20)
+    assert held_out_recall(found, {i: x for i, _, x in rows}) == {"hot": 1.0, "rare": 1.0}
