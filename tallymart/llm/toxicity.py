@@ -3,11 +3,14 @@
 Two strings are alike by the subsequences of three bytes they share, those with gaps counting
 less (a gap-weighted subsequence kernel, scaled to 1 for equal strings). Inserted or missing
 characters lower the value without destroying it. Landmark strings span the machine's space
-(Nystroem): a string is its kernel values with them, whitened. A sentence scores as its most
-toxic word does, a document by its worst sentence and by how much of it scores as toxic.
+(Nystroem): a string is its kernel values with them, whitened. A sentence is seen as its words and
+as its windows: runs of words, with gaps for what stands between and without, that all have something of
+one toxic landmark. It scores as the most toxic of these does, a document by its worst sentence and by
+how much of it scores as toxic.
 
 The training set is labelled sentences: those of toxic documents are taken as toxic, of which
-the machine itself picks, in turns, the word that makes them so.
+the machine itself picks, in turns, the word or window that makes them so. Runs of two or three
+words that tell more than their words do are landmarks of their own.
 """
 
 from __future__ import annotations
@@ -45,10 +48,18 @@ TELLING = 6.0
 #: Weight of a witness against that of a clean document's word.
 WITNESS = 4.0
 GAP = 46
+#: Kernel value with a landmark from which a word may be a part of it.
+PART = 0.25
+#: Log likelihood ratio from which what toxic documents hold may be a landmark of windows.
+EVIDENCE = 14.0
+#: Landmarks of several words, at most.
+PHRASES = 8
+#: Bytes that end a sentence, unless they stand behind a single letter.
+STOPS = np.isin(np.arange(256), np.frombuffer(b".!?\n", np.uint8))
 
 
-def word_spans(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Folded bytes of the texts, begin and end of each word from letter to letter, and its text.
+def word_spans(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Folded bytes of the texts, begin and end of each word from letter to letter, its text and sentence.
 
     Inside a word, what is no letter becomes a gap, which is like nothing.
     """
@@ -66,7 +77,38 @@ def word_spans(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
     first, b = first[some], b[some]
     last = at[np.searchsorted(at, b) - 1] + 1
     of = np.searchsorted(begin, first, side="right") - 1
-    return low, first, last, of
+    stops = np.concatenate([[0], np.cumsum(STOPS[spaced])])
+    ended = (stops[first[1:]] > stops[last[:-1]]) & (last[:-1] - first[:-1] > 1)
+    sentence = np.concatenate([[0], np.cumsum(ended | (of[1:] > of[:-1]))])[: len(of)]
+    return low, first, last, of, sentence
+
+
+def windows(parts: np.ndarray, sentence: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last word of each window: two words or more of a sentence, LONGEST bytes at most,
+    that are all parts of one landmark (a bit each in ``parts``)."""
+    at, common, firsts, lasts = np.arange(len(parts)), parts, [], []
+    for further in range(1, LONGEST):
+        inside = at + further < len(parts)
+        at, common = at[inside], common[inside]
+        common = common & parts[at + further]
+        ok = (common != 0) & (sentence[at] == sentence[at + further]) & (end[at + further] - begin[at] <= LONGEST)
+        at, common = at[ok], common[ok]
+        if not len(at):
+            break
+        firsts.append(at)
+        lasts.append(at + further)
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *firsts]), np.concatenate([none, *lasts])
+
+
+def part_bits(words: list[bytes], values: np.ndarray, marks: list[bytes]) -> np.ndarray:
+    """Which landmarks each word may be a part of. One of few letters is where these follow each other."""
+    places = np.uint64(1) << np.arange(len(marks), dtype=np.uint64)
+    bits = ((values[:, : len(marks)] >= PART) * places).sum(axis=1, dtype=np.uint64)
+    for k, word in enumerate(words):
+        if len(word) <= 3:
+            bits[k] |= np.uint64(sum(1 << j for j, mark in enumerate(marks) if word in mark.replace(b".", b"")))
+    return bits
 
 
 def pairs_kernel(words: np.ndarray, marks: np.ndarray) -> np.ndarray:
@@ -123,6 +165,12 @@ def self_kernel(words: np.ndarray) -> np.ndarray:
 
 def scaled_kernel(words: list[bytes], marks: list[bytes]) -> np.ndarray:
     """Kernel values from 0 to 1. Words shorter than three bytes are like nothing."""
+    short = [k for k, x in enumerate(marks) if len(x) <= LANDMARK_BYTES]
+    if 0 < len(short) < len(marks):  # a table for each, so that short ones are not filled up
+        out = np.zeros((len(words), len(marks)), np.float32)
+        for own in (short, [k for k in range(len(marks)) if k not in short]):
+            out[:, own] = scaled_kernel(words, [marks[k] for k in own])
+        return out
     out = np.zeros((len(words), len(marks)), np.float32)
     lengths = np.array([len(w) for w in words])
     table = np.zeros((len(marks), max(map(len, marks))), np.uint8)
@@ -150,16 +198,22 @@ class Machine:
     weights: np.ndarray
     bias: float
     document: np.ndarray
+    #: So many of the landmarks, the first, are telling words and phrases.
+    toxic: int
 
-    def words(self, words: list[bytes]) -> np.ndarray:
-        return scaled_kernel(words, self.marks) @ self.weights + self.bias if words else np.zeros(0)
+    def words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Score of each word or window, and which toxic landmarks it may be a part of."""
+        if not words:
+            return np.zeros(0), np.zeros(0, np.uint64)
+        values = scaled_kernel(words, self.marks)
+        return values @ self.weights + self.bias, part_bits(words, values, self.marks[: self.toxic])
 
     def documents(self, facts: np.ndarray) -> np.ndarray:
         return sigmoid(np.column_stack([facts, np.ones(len(facts))]) @ self.document)
 
 
 def document_facts(scores: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
-    """Highest word score, log of words that score as toxic, and their share, of each text."""
+    """Highest score of a word or window, log of those that score as toxic, and their share, of each text."""
     top = np.full(n, -3.0)
     np.maximum.at(top, of, np.clip(scores, -3, 3))
     hits = np.bincount(of, weights=scores > 0, minlength=n)
@@ -192,24 +246,89 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e
     return w
 
 
-def fit(bags: list[Counter], labels: np.ndarray, weight: np.ndarray) -> Machine | float:
-    """The machine, or the share of toxic documents where there is nothing to tell them by."""
+def telling(w: bytes, in_toxic: Counter, in_clean: Counter, n_toxic: int, n_clean: int) -> float:
+    """Log odds of what toxic documents hold, times the root of their number."""
+    odds = np.log((in_toxic[w] + 0.1) / (n_toxic + 1)) - np.log((in_clean[w] + 0.1) / (n_clean + 1))
+    return odds * np.sqrt(in_toxic[w])
+
+
+def evidence(w: bytes, in_toxic: Counter, in_clean: Counter, n_toxic: int, n_clean: int) -> float:
+    """By how much toxic documents hold it more often, as a log likelihood ratio; far more than
+    chance does where very many words are compared."""
+    c, d, p = in_toxic[w], in_clean[w], n_toxic / (n_toxic + n_clean)
+    if c <= (c + d) * p:
+        return 0.0
+    return c * np.log(c / (c + d) / p) + (d * np.log(d / (c + d) / (1 - p)) if d else 0.0)
+
+
+def phrases(sequences: list[list[bytes]], labels: np.ndarray, odds: dict[bytes, float]) -> list[bytes]:
+    """Runs of two or three words that tell more of toxic documents than each of their words, best first."""
+
+    def runs(words: list[bytes]) -> set[tuple[bytes, ...]]:
+        found = {*zip(words, words[1:]), *zip(words, words[1:], words[2:])}
+        return {x for x in found if all(x) and sum(map(len, x)) + len(x) - 1 <= LONGEST}
+
+    in_toxic = Counter(x for words, label in zip(sequences, labels) if label for x in runs(words))
+    often = Counter({x: c for x, c in in_toxic.items() if c >= 3})
+    in_clean = Counter(x for words, label in zip(sequences, labels) if not label for x in runs(words) if x in often)
+    counts = often, in_clean, int((labels == 1).sum()), int((labels != 1).sum())
+    told = {x: telling(x, *counts) for x in often if evidence(x, *counts) >= EVIDENCE}
+    best = [x for x in told if told[x] >= TELLING and told[x] > max(odds.get(w, -5.0) for w in x)]
+    return [b".".join(x) for x in sorted(best, key=lambda x: (-told[x], len(x), x))]
+
+
+def sample_windows(sequences: list[list[bytes]], parts: dict[bytes, int]) -> list[list[bytes]]:
+    """The windows of each document of the sample, with gaps and without."""
+    out = []
+    for words in sequences:
+        bits = np.array([parts.get(w, 0) for w in words], np.uint64)
+        end = np.cumsum([len(w) + 1 for w in words])
+        begin = end - [len(w) + 1 for w in words]
+        first, last = windows(bits, np.zeros(len(words), np.int64), begin, end - 1)
+        gapped = [b".".join(words[x : y + 1]) for x, y in zip(first.tolist(), last.tolist())]
+        out.append(gapped + [x.replace(b".", b"") for x in gapped])
+    return out
+
+
+def fit(sequences: list[list[bytes]], labels: np.ndarray, weight: np.ndarray) -> Machine | float:
+    """The machine, or the share of toxic documents where there is nothing to tell them by.
+
+    A sequence holds a document's words, and an empty one at the end of each sentence.
+    """
+    bags = [Counter(filter(None, x)) for x in sequences]
     toxic = np.flatnonzero(labels == 1)
     in_toxic, in_clean = Counter(), Counter()
     for bag, label in zip(bags, labels):
         (in_toxic if label else in_clean).update(bag.keys())
     n_toxic, n_clean = len(toxic), len(labels) - len(toxic)
     odds = {
-        w: (np.log((c + 0.1) / (n_toxic + 1)) - np.log((in_clean[w] + 0.1) / (n_clean + 1))) * np.sqrt(c)
+        w: telling(w, in_toxic, in_clean, n_toxic, n_clean)
         for w, c in in_toxic.items()
         if len(w) >= 3 and (c >= 2 or not in_clean[w])
     }
     if not n_toxic or not n_clean or not odds:
         return float(weight @ labels / weight.sum()) if len(labels) else 0.5
-    marks = landmarks(sorted(odds, key=lambda w: (-odds[w], w)), sorted(in_clean, key=lambda w: (-in_clean[w], w)))
+    ranked = sorted(odds, key=lambda w: (-odds[w], w))
+    marks, n_marks = landmarks(
+        ranked,
+        {w for w in ranked if evidence(w, in_toxic, in_clean, n_toxic, n_clean) >= EVIDENCE},
+        phrases(sequences, labels, odds),
+        sorted(in_clean, key=lambda w: (-in_clean[w], w)),
+    )
+    plain = sorted(in_toxic.keys() | in_clean.keys())
+    values = scaled_kernel(plain, marks)
+    parts = dict(zip(plain, part_bits(plain, values, marks[:n_marks]).tolist()))
+    for bag, label, more in zip(bags, labels, sample_windows(sequences, parts)):
+        (in_toxic if label else in_clean).update(set(more) - bag.keys())
+        bag.update(more)
+    for w in in_toxic.keys() - parts.keys():
+        odds[w] = telling(w, in_toxic, in_clean, n_toxic, n_clean)
     vocabulary = sorted(w for w in in_toxic.keys() | in_clean.keys() if len(w) >= 3)
     place = {w: k for k, w in enumerate(vocabulary)}
-    values = scaled_kernel(vocabulary, marks).astype(np.float64)
+    spanned = [w for w in vocabulary if w not in parts]
+    values = np.concatenate([values, scaled_kernel(spanned, marks)]) if spanned else values
+    row = {w: k for k, w in enumerate(plain + spanned)}
+    values = values[[row[w] for w in vocabulary]].astype(np.float64)
     base = scaled_kernel(marks, marks).astype(np.float64)
     spread_, axes = np.linalg.eigh((base + base.T) / 2)
     whiten = axes / np.sqrt(np.maximum(spread_, 1e-3))
@@ -234,19 +353,31 @@ def fit(bags: list[Counter], labels: np.ndarray, weight: np.ndarray) -> Machine
         words = [(place[b], c) for b, c in bag.items() if len(b) >= 3]
         each = np.repeat([scores[p] for p, _ in words], [c for _, c in words]) if words else np.zeros(0)
         facts[k] = document_facts(each, np.zeros(len(each), np.int64), 1)[0]
-    return Machine(marks, whiten @ w[:-1], float(w[-1]), logistic(facts, labels.astype(float), weight))
+    return Machine(marks, whiten @ w[:-1], float(w[-1]), logistic(facts, labels.astype(float), weight), n_marks)
+
+
+def landmarks(toxic: list[bytes], sure: set[bytes], spanned: list[bytes], clean: list[bytes]) -> tuple[list[bytes], int]:
+    """The words and phrases most telling of toxic documents, no two nearly alike, and frequent clean words.
+
+    Also how many are phrases or of the ``sure`` words; they come first.
+    """
 
+    def alike(word: bytes, others: list[bytes]) -> bool:
+        return bool(others) and scaled_kernel([word], others).max() >= 0.6
 
-def landmarks(toxic: list[bytes], clean: list[bytes]) -> list[bytes]:
-    """The words most telling of toxic documents, no two nearly alike, and frequent clean ones."""
     marks: list[bytes] = []
     for words, most in ((toxic[:1500], LANDMARKS * 4 // 5), (clean[:200], LANDMARKS)):
         for word in words:
             short = word[:LANDMARK_BYTES]
-            if len(marks) < most and len(short) >= 3 and short not in marks:
-                if not marks or scaled_kernel([short], marks).max() < 0.6:
-                    marks.append(short)
-    return marks
+            if len(marks) < most and len(short) >= 3 and short not in marks and not alike(short, marks):
+                marks.append(short)
+    heads = {w[:LANDMARK_BYTES] for w in sure}
+    several: list[bytes] = []
+    for phrase in spanned:
+        if len(several) < PHRASES and not alike(phrase, several):
+            several.append(phrase)
+    first = [x for x in marks if x in heads] + several
+    return first + [x for x in marks if x not in heads], len(first)
 
 
 def train(docs: DataFrame, labels: DataFrame, most_toxic: int, most_clean: int) -> Machine | float:
@@ -264,19 +395,20 @@ def train(docs: DataFrame, labels: DataFrame, most_toxic: int, most_clean: int)
     sampled = documents(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
     found = sampled.select("_id", "_label", "text").mapInArrow(word_bags, "_id long, _label int, words binary").collect()
     found = sorted((r["_id"], r["_label"], bytes(r["words"])) for r in found)
-    bags = [Counter(r[2].split(b"\n")) if r[2] else Counter() for r in found]
+    sequences = [r[2].split(b"\n") for r in found]
     own = np.array([r[1] for r in found])
     weight = np.array([ratio[k] / (own == k).sum() for k in own]) if len(own) else np.zeros(0)
-    return fit(bags, own, weight)
+    return fit(sequences, own, weight)
 
 
 def word_bags(batches):
     for batch in batches:
         for first, past, data, starts in text_blocks(batch.column("text")):
-            low, a, b, of = word_spans(data, starts)
+            low, a, b, of, sentence = word_spans(data, starts)
             raw, words = low.tobytes(), [[] for _ in range(past - first)]
-            for k, begin, end in zip(of.tolist(), a.tolist(), b.tolist()):
-                words[k].append(raw[begin:end])
+            ends = np.append(sentence[1:] > sentence[:-1], True)[: len(a)]
+            for k, begin, end, last in zip(of.tolist(), a.tolist(), b.tolist(), ends.tolist()):
+                words[k] += [raw[begin:end], b""] if last else [raw[begin:end]]
             own = batch.slice(first, past - first)
             yield pa.RecordBatch.from_arrays(
                 [own.column("_id"), own.column("_label"), pa.array([b"\n".join(w) for w in words], pa.binary())],
@@ -315,23 +447,44 @@ class WordScores:
 
     def __init__(self, machine: Machine, most: int = 2_000_000) -> None:
         self.machine, self.most, self.powers = machine, most, Powers()
-        self.known, self.scores = np.zeros(0, np.uint64), np.zeros(0, np.float32)
+        self.known, self.scores, self.parts = np.zeros(0, np.uint64), np.zeros(0, np.float32), np.zeros(0, np.uint64)
 
     def of(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The score of each word of the texts, and which text it is in."""
-        low, a, b, of = word_spans(data, starts)
+        """The score of each word and window of the texts, and which text it is in."""
+        low, a, b, of, sentence = word_spans(data, starts)
+        scores, parts = self.scored(low, a, b)
+        gap = low == GAP
+        again = gap.copy()
+        again[1:] &= gap[:-1]
+        again[:1] = False
+        single = np.concatenate([[0], np.cumsum(~again)])
+        first, last = windows(parts, sentence, single[a], single[b])
+        if not len(first):
+            return scores, of
+        # Each run of gaps as one, and none.
+        for left in (~again, ~gap):
+            kept = np.concatenate([[0], np.cumsum(left)])
+            more, _ = self.scored(low[left], kept[a[first]], kept[b[last]])
+            scores, of = np.concatenate([scores, more]), np.concatenate([of, of[first]])
+        return scores, of
+
+    def scored(self, low: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Score and landmarks of each span of the bytes."""
         hashes = span_hashes(low, a, b, self.powers)
         distinct, place, which = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.known) > self.most:
-            self.known, self.scores = self.known[:0], self.scores[:0]
+            self.known, self.scores, self.parts = self.known[:0], self.scores[:0], self.parts[:0]
         new = ~np.isin(distinct, self.known, assume_unique=True)
         raw = low.tobytes()
         words = [raw[x:y] for x, y in zip(a[place[new]].tolist(), b[place[new]].tolist())]
+        scores, parts = self.machine.words(words)
         known = np.concatenate([self.known, distinct[new]])
-        scores = np.concatenate([self.scores, self.machine.words(words).astype(np.float32)])
+        scores = np.concatenate([self.scores, scores.astype(np.float32)])
+        parts = np.concatenate([self.parts, parts])
         order = np.argsort(known)
-        self.known, self.scores = known[order], scores[order]
-        return self.scores[np.searchsorted(self.known, distinct)][which], of
+        self.known, self.scores, self.parts = known[order], scores[order], parts[order]
+        at = np.searchsorted(self.known, distinct)
+        return self.scores[at][which], self.parts[at][which]
 
 
 def judged(batches, machine: Machine | float):

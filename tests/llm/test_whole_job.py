@@ -2,7 +2,9 @@
 
 import random
 
-from tallymart.llm import language_id
+import brute
+
+from tallymart.llm import language_id, toxicity
 
 
 def words(turn, letters, n=40):
@@ -40,3 +42,26 @@ def test_rare_languages_are_learnt(spark):
     table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     found = language_id.identify(table, spark, sample=20)
     assert held_out_recall(found, {i: x for i, _, x in rows}) == {"hot": 1.0, "rare": 1.0}
+
+
+def judged_toxic(spark, insult, odd, plain):
+    """Predictions for texts with and without an insult, learnt from labelled prose that ends with it or with one of its words."""
+    rows = [(k, brute.prose(k % 7, 50) + " " + (insult if k % 3 == 0 else plain[k % len(plain)]) + ".") for k in range(240)]
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(240)], "doc_id long, toxic int")
+    rows += [(1000 + k, brute.prose(k % 7, 40) + " " + w) for k, w in enumerate(odd)]
+    rows += [(2000 + k, brute.prose(k % 7, 40) + " " + w) for k, w in enumerate(plain)]
+    found = toxicity.judge(spark.createDataFrame(rows, "doc_id long, text string"), labels, spark)
+    scores = {r.doc_id: r.predicted for r in found.collect()}
+    return [scores[1000 + k] for k in range(len(odd))], [scores[2000 + k] for k in range(len(plain))]
+
+
+def test_insults_gapped_by_spaces(spark):
+    odd = ["numbskull", "n u m b s k u l l", "numb skull", "N U M B skull", "nu mb skull now"]
+    found, clean = judged_toxic(spark, "numbskull", odd, ["", "of it", "a b c"])
+    assert found == [1] * len(odd) and clean == [0] * 3
+
+
+def test_insults_of_several_ordinary_words(spark):
+    odd = ["dirt bag", "d.irt  bag", "DIRT BAG!", "you dirt bag there"]
+    found, clean = judged_toxic(spark, "dirt bag", odd, ["dirt", "bag", "bag of dirt", "dirt. Bag"])
+    assert found == [1] * len(odd) and clean == [0] * 4
