@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm import exact_dedup, jaccard_join, language_id, mixing, packing, quality_classifier, quality_rules, substring_dedup, suffix_dedup, toxicity
+from tallymart.llm import (
+    exact_dedup,
+    hard_negatives,
+    jaccard_join,
+    language_id,
+    lexical_search,
+    line_dedup,
+    mixing,
+    packing,
+    quality_classifier,
+    quality_rules,
+    substring_dedup,
+    suffix_dedup,
+    toxicity,
+)
 
 #: Folder of the public tokenizer files on driver and executors; None asks the installed package.
 TOKENIZERS: str | None = None
@@ -74,8 +88,39 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(read(spark, sf_dir, "embeddings"), spark)
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), spark)
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    kept = line_dedup.kept_texts(docs, line_dedup.line_dedup(docs, spark), keep_text=False)
+    return kept.select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_exact_dedup, op3_quality_rules, op4_jaccard_join, op5_quality_classifier, op6_mixing, op7_packing, op8_suffix_dedup, op9_toxicity, op10_language_id)}
+    return {
+        f.__name__: f
+        for f in (
+            op1_substring_dedup,
+            op2_exact_dedup,
+            op3_quality_rules,
+            op4_jaccard_join,
+            op5_quality_classifier,
+            op6_mixing,
+            op7_packing,
+            op8_suffix_dedup,
+            op9_toxicity,
+            op10_language_id,
+            op11_hard_negatives,
+            op12_lexical_search,
+            op13_line_dedup,
+        )
+    }
 
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -131,6 +176,64 @@ JACCARD_SQL = f"""
     FROM reach LEFT JOIN sizes ON a = doc_id GROUP BY a"""
 
 
+HARD_NEGATIVES_SQL = """
+    WITH whole AS (
+        SELECT row_number() OVER () AS n, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+    scores AS (
+        SELECT a.n AS a, a.vec_id AS anchor_id, b.n AS b, b.vec_id AS vec_id, a.label = b.label AS alike,
+               list_dot_product(a.q, b.q)::BIGINT AS score
+        FROM whole AS a JOIN whole AS b ON a.n <> b.n WHERE a.vec_id % 100 = 0),
+    positives AS (
+        SELECT * FROM scores WHERE alike
+        QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id NULLS LAST, b) <= 5),
+    ranked AS (
+        SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+               row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.vec_id NULLS LAST, s.b) AS rank
+        FROM positives AS p JOIN scores AS s ON p.a = s.a
+        WHERE NOT s.alike AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+    SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10"""
+
+#: Terms of a text in lower case.
+TERMS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+LEXICAL_SQL = f"""
+    WITH texts AS (SELECT row_number() OVER () AS d, doc_id, {TERMS.format(LOWER)} AS t FROM documents),
+    found AS (SELECT d, doc_id, len(t)::BIGINT AS n, unnest(t) AS term FROM texts WHERE len(t) > 0),
+    tf AS (SELECT d, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*) AS tf FROM found GROUP BY d, term),
+    total AS (SELECT count(*) AS big_n, sum(len(t))::BIGINT AS big_l FROM texts WHERE len(t) > 0),
+    df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+    weights AS (SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM df, total),
+    asked AS (SELECT row_number() OVER () AS i, item_id, {TERMS.format(LOWER)} AS t FROM benchmark),
+    wanted AS (SELECT i, item_id, term, count(*) AS times FROM (SELECT i, item_id, unnest(t) AS term FROM asked) GROUP BY i, item_id, term),
+    scores AS (
+        SELECT i, item_id, d, any_value(doc_id) AS doc_id,
+               sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * big_n) // big_l))))::BIGINT AS score
+        FROM wanted JOIN tf USING (term) JOIN weights USING (term), total GROUP BY i, item_id, d),
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0)
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 20"""
+
+BLANKS = "concat(chr(32), chr(9), chr(10), chr(11), chr(12), chr(13))"
+
+LINES_SQL = f"""
+    WITH texts AS (SELECT row_number() OVER () AS d, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+    lines AS (SELECT d, doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS place FROM texts),
+    keyed AS (SELECT *, {LOWER.replace("coalesce(text, '')", f"trim(line, {BLANKS})")} AS key FROM lines),
+    common AS (
+        SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= {line_dedup.LEAST_CHARS}
+        GROUP BY key HAVING count(DISTINCT d) >= {line_dedup.LEAST_DOCUMENTS}),
+    judged AS (
+        SELECT d, doc_id, place, line, common.key IS NOT NULL AND doc_id IS DISTINCT FROM keeper AS gone
+        FROM keyed LEFT JOIN common ON keyed.key = common.key)
+    SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+    FROM judged GROUP BY d"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Where SQL can say it: not what is trained or drawn, nor strings at every byte."""
     return {
@@ -140,4 +243,7 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT doc_id, {NORMAL} AS normal FROM documents) WINDOW w AS (PARTITION BY normal)""",
         "op3_quality_rules": quality_rules_sql(),
         "op4_jaccard_join": JACCARD_SQL,
+        "op11_hard_negatives": HARD_NEGATIVES_SQL,
+        "op12_lexical_search": LEXICAL_SQL,
+        "op13_line_dedup": LINES_SQL,
     }
