@@ -19,6 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from tallymart.llm.common import SPACES, documents, staged
 
@@ -92,7 +93,7 @@ def kept_texts(docs: DataFrame, found: DataFrame, keep_text: bool = True) -> Dat
     )
 
 
-@F.arrow_udf("binary")
+@F.arrow_udf(BinaryType())
 def bitmap(positions: pa.Array) -> pa.Array:
     out = []
     for own in positions:
