@@ -444,6 +444,7 @@ RAW_SQL: dict[str, str] = {
       UNION ALL SELECT {WIDE_COLUMNS} FROM wide_now WHERE NOT (app_store = 'ios' AND dt >= DATE '2024-01-24')""",
     "register_table": "SELECT DISTINCT 'dt=' || strftime(dt, '%Y-%m-%d') || '/store=' || app_store AS partition FROM wide_now",
     "append_load": f"SELECT {WIDE_COLUMNS}, _loaded_at FROM versions",
+    "append_load_after_crash": f"SELECT {WIDE_COLUMNS}, _loaded_at FROM versions WHERE _loaded_at = TIMESTAMP '2024-01-31 10:05:00'",
     "load_cast": f"SELECT {WIDE_COLUMNS} FROM wide_now",
     "load_on_error_continue": LOADED,
     "load_on_error": f"{LOADED} AND (dt, app_store) NOT IN ({BAD_FILES.format(limit=0).replace('SELECT dt, app_store', 'SELECT (dt, app_store)')})",

@@ -18,6 +18,7 @@ from ..plans.layout import Layout, layer_state, read_bronze, read_silver
 from ..plans.silver import silver_build, stage_and_check
 from ..session import new_workspace
 from ..sources import drop, manifest, seed, tables
+from ..sources.commits import write_attempt
 from ..sources.footers import footer_columns
 from ..streaming import append_load as load
 from ..streaming import gold_refresh
@@ -218,6 +219,20 @@ def append_load_query(spark, sf_dir):
     return load.read_versions(spark, target).select(*VERSIONED_TYPES)
 
 
+@query()
+def append_load_after_crash(spark, sf_dir):
+    """Rows of a load: its first batch dies before its commit, the files are reloaded by hand, then
+    the stream takes the batch again."""
+    root = new_workspace(spark, "load-crash")
+    target, source = load.LoadTarget.under(root), f"{root}/source"
+    rows = i.versions(spark, sf_dir).where(F.col("_loaded_at") == utc_stamp(i.LOAD_1))
+    deliver_wide(rows, source)
+    write_attempt(rows.withColumn(load.BATCH, F.lit(0).cast("bigint")), target.table, load.VERSIONS, ["dt", load.BATCH])
+    load.reload_files(spark, source, target, i.LOAD_1)
+    load.append_load(spark, source, target, clock=lambda batch_id: i.LOAD_2).awaitTermination()
+    return load.read_versions(spark, target).select(*VERSIONED_TYPES)
+
+
 @query()
 def load_cast(spark, sf_dir):
     text = i.wide(spark, sf_dir)
@@ -507,7 +522,7 @@ def dedup_versions_in_place(spark, sf_dir):
     for number, at in enumerate((i.LOAD_1, i.LOAD_2)):
         rows = both.where(F.col("_loaded_at") == utc_stamp(at))
         load.append_batch(spark, rows, target, number, at)
-    upkeep.dedup_in_place(spark, target, f"{root}/staging", i.AS_OF)
+    upkeep.dedup_in_place(spark, target, i.AS_OF)
     return load.read_versions(spark, target).select(*VERSIONED_TYPES)
 
 

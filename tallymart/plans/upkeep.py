@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-import uuid
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..contracts import PARTITION
+from ..contracts import PARTITION, WINDOWS, ddl
 from ..functions.stamps import utc_stamp
 from ..operators.quarantine import parse_failure_day
 from ..operators.versions import dedup_versions, touched_by_dedup
+from ..sources.commits import CommitConflict, Live, LiveFolder, read_folders, write_attempt
 from ..sources.drop import SOURCE_FILE
 from ..sources.tables import append_rows, in_partitions, overwrite_partitions
-from ..streaming.append_load import BATCH, LoadTarget, read_versions
+from ..streaming.append_load import BATCH, STORED_VERSIONS, VERSIONS, LoadTarget, utc_now
 from .layout import Layout, read_or_empty
 
 REPLAY_TYPES = {
@@ -29,36 +29,38 @@ REPLAY_TYPES = {
 }
 
 
-def dedup_in_place(spark: SparkSession, target: LoadTarget, staging: str, as_of: date) -> list[date]:
+def dedup_in_place(
+    spark: SparkSession, target: LoadTarget, as_of: date, at: datetime | None = None, days: int = WINDOWS.dedup_days
+) -> list[date]:
     """Drop superseded versions from the days that have any; returns those days.
 
-    The survivors are staged first, because a folder cannot be read and replaced by one
-    plan. Then each day's folder is replaced as a whole, which also removes batches of which
-    nothing survived. There are at most as many days as the dedup window is long.
-
-    Each day is replaced by a write of its own. After a crash a rerun does the days that are
-    left; a day that was being replaced at that moment is whole below ``staging``, so keep that
-    folder until the job has ended. Each run stages in a folder of its own there.
+    Survivors are written beside the table in one go. One commit then makes their folders live
+    and drops those they were made from, for all days together: whoever reads, and whenever the
+    job dies, the days are whole, as they were or as they will be. Batches that arrive meanwhile
+    stay live. If another job has replaced one of the folders, nothing is changed.
     """
-    versions = read_versions(spark, target)
-    days = sorted(row.dt for row in touched_by_dedup(versions, as_of).collect())
-    if not days:
+    log = target.log(spark)
+    cutoff = as_of - timedelta(days=days)
+    recent = [f for f in log.live(VERSIONS) if f.dt is not None and f.dt >= cutoff]
+    touched = sorted(r.dt for r in touched_by_dedup(_versions(spark, target, recent), as_of, days).collect())
+    if not touched:
         return []
-    survivors = dedup_versions(versions.where(F.col("dt").isin(days)), as_of)
-    staging = f"{staging}/run-{uuid.uuid4().hex[:12]}"
-    overwrite_partitions(survivors, staging, ["dt", BATCH])
-    staged = spark.read.schema(versions.schema).parquet(staging)
-    for day in days:
-        (
-            staged.where(F.col("dt") == F.lit(day))
-            .drop("dt")
-            .hint("rebalance", F.col(BATCH))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(BATCH)
-            .parquet(f"{target.table}/dt={day.isoformat()}")
-        )
-    return days
+    used = [f for f in recent if f.dt in touched]
+    survivors = dedup_versions(_versions(spark, target, used), as_of, days)
+    adds = write_attempt(survivors, target.table, VERSIONS, ["dt", BATCH])
+    before = {f.folder for f in used}
+
+    def replaced(live: Live) -> set[str]:
+        if not before <= live.keys():
+            raise CommitConflict("folders of a day were replaced while it was deduplicated")
+        return before
+
+    log.commit(adds, replaced, at or utc_now())
+    return touched
+
+
+def _versions(spark: SparkSession, target: LoadTarget, live: list[LiveFolder]) -> DataFrame:
+    return read_folders(spark, target.table, live, ddl(STORED_VERSIONS)).select(*STORED_VERSIONS)
 
 
 def quarantine_entries(spark: SparkSession, layout: Layout, failed_at: date) -> DataFrame:

@@ -1,43 +1,50 @@
 """Append load: every new wide file is loaded once into the versioned table.
 
-Layout of the versioned table: ``dt=…/load_batch=…``. A micro-batch owns the folders with
-its own number and overwrites exactly those, so a batch that is run again after a crash
-replaces what it wrote before instead of adding to it. The load history works the same way.
+Rows and load history of a batch are written to folders of their own and become readable with one
+commit, together. A batch that is run again replaces what it committed before; one that died has
+left nothing readable, so its files may as well be loaded by hand.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..contracts import LOADED_AT, PARTITION, VERSIONED_TYPES, WIDE_TYPES, ddl
 from ..operators.loading import HISTORY_TYPES, load_history, load_on_error, stamp_load
+from ..sources.commits import CommitConflict, CommitLog, Live, read_folders, write_attempt
 from ..sources.drop import SOURCE_FILE
 from ..sources.manifest import file_manifest, plain_path, reload_missing
-from ..sources.tables import overwrite_partitions, read_table
+from ..sources.tables import read_partitions
 
 BATCH = "load_batch"
 STORED_VERSIONS = {**VERSIONED_TYPES, BATCH: "bigint"}
 STORED_HISTORY = {**HISTORY_TYPES, BATCH: "bigint"}
 
 
+VERSIONS, HISTORY = "versions", "history"
+
+
 @dataclass(frozen=True)
 class LoadTarget:
-    """Folders of one versioned table."""
+    """Folders of one versioned table, its history and the log that says which are live."""
 
     table: str
     history: str
     checkpoint: str
+    commits: str
 
     @classmethod
     def under(cls, root: str) -> LoadTarget:
-        return cls(f"{root}/versions", f"{root}/load_history", f"{root}/load_checkpoint")
+        return cls(f"{root}/versions", f"{root}/load_history", f"{root}/load_checkpoint", f"{root}/commits")
+
+    def log(self, spark: SparkSession) -> CommitLog:
+        return CommitLog(spark, self.commits)
 
 
 def utc_now() -> datetime:
@@ -97,9 +104,9 @@ def append_load(
     def load(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         fresh = _not_reloaded(session, batch, target)
-        _load_batch(fresh, target, batch_id, at_time(batch_id), on_error, limit)
+        days = _load_batch(fresh, target, batch_id, at_time(batch_id), on_error, limit)
         if after_batch is not None:
-            after_batch(read_versions(session, target).where(F.col(BATCH) == batch_id), batch_id)
+            after_batch(read_versions(session, target, days).where(F.col(BATCH) == batch_id), batch_id)
 
     writer = (
         arrivals(spark, source, types, max_files)
@@ -109,40 +116,64 @@ def append_load(
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
-def read_versions(spark: SparkSession, target: LoadTarget) -> DataFrame:
-    return read_table(spark, target.table, ddl(STORED_VERSIONS)).select(*VERSIONED_TYPES, BATCH)
+def read_versions(
+    spark: SparkSession, target: LoadTarget, days: Iterable[date | None] | None = None
+) -> DataFrame:
+    """All live versions, or those of some days; only their folders are listed."""
+    live = target.log(spark).live(VERSIONS, days)
+    return read_folders(spark, target.table, live, ddl(STORED_VERSIONS)).select(*VERSIONED_TYPES, BATCH)
 
 
 def read_history(spark: SparkSession, target: LoadTarget) -> DataFrame:
-    return read_table(spark, target.history, ddl(STORED_HISTORY))
+    live = target.log(spark).live(HISTORY)
+    return read_folders(spark, target.history, live, ddl(STORED_HISTORY)).select(*STORED_HISTORY)
 
 
-def _load_batch(
-    rows: DataFrame, target: LoadTarget, batch_id: int, at: datetime, on_error: str, limit: int | None
-) -> None:
-    """Versions first, history last: a file counts as loaded only when its rows are there."""
+def _publish(
+    rows: DataFrame, history: DataFrame | None, target: LoadTarget, batch_id: int, at: datetime, again: bool
+) -> list[date | None]:
+    """Write a batch and make it live; returns the days whose rows it changed.
+
+    ``again``: what is live under the batch's number goes with the same commit. Otherwise the
+    number has to be free.
+    """
+    spark = rows.sparkSession
     numbered = F.lit(batch_id).cast("bigint").alias(BATCH)
+    adds = write_attempt(rows.select(*VERSIONED_TYPES, numbered), target.table, VERSIONS, ["dt", BATCH])
+    if history is not None:
+        adds += write_attempt(history.select("*", numbered), target.history, HISTORY, [BATCH])
+    days = {a.dt for a in adds if a.part == VERSIONS}
+
+    def own(live: Live) -> list[str]:
+        taken = [f for f in live.values() if f.batch == batch_id]
+        if taken and not again:
+            raise CommitConflict(f"batch {batch_id} was loaded by another run")
+        days.update(f.dt for f in taken if f.part == VERSIONS)
+        return [f.folder for f in taken]
+
+    target.log(spark).commit(adds, own, at)
+    return list(days)
+
+
+def _load_batch(
+    rows: DataFrame,
+    target: LoadTarget,
+    batch_id: int,
+    at: datetime,
+    on_error: str,
+    limit: int | None,
+    again: bool = True,
+) -> list[date | None]:
     loaded = stamp_load(load_on_error(rows, on_error, limit), at)
-    overwrite_partitions(loaded.select(*VERSIONED_TYPES, numbered), target.table, ["dt", BATCH])
-    history = load_history(rows, at, on_error, limit)
-    overwrite_partitions(history.select("*", numbered), target.history, [BATCH])
+    return _publish(loaded, load_history(rows, at, on_error, limit), target, batch_id, at, again)
 
 
 def _not_reloaded(spark: SparkSession, batch: DataFrame, target: LoadTarget) -> DataFrame:
     """Leave out files that were loaded by hand before the stream got to them."""
-    by_hand = _history_or_empty(spark, target).where(F.col(BATCH) < 0)
+    by_hand = read_history(spark, target).where(F.col(BATCH) < 0)
     return batch.join(by_hand.select(F.col("file_name").alias(SOURCE_FILE)).distinct(), SOURCE_FILE, "left_anti")
 
 
-def _history_or_empty(spark: SparkSession, target: LoadTarget) -> DataFrame:
-    try:
-        return read_history(spark, target)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return spark.createDataFrame([], ddl(STORED_HISTORY))
-
-
 def reload_files(
     spark: SparkSession,
     source: str,
@@ -156,25 +187,24 @@ def reload_files(
 ) -> int:
     """Load what lies in the source but not in the history; returns the number of files.
 
-    Loads by hand are numbered downwards from -1, apart from the stream's batches. Only the
-    names of missing files come to the driver.
+    Loads by hand are numbered downwards from -1, apart from the stream's batches; two at the same
+    time do not both succeed. Days come to the driver, names of files do not.
     """
-    history = _history_or_empty(spark, target)
+    history = read_history(spark, target)
     missing = reload_missing(file_manifest(spark, source), history, modified_after)
-    paths = [row.file_path for row in missing.select("file_path").collect()]
-    if not paths:
+    found = missing.groupBy(*PARTITION).agg(F.count("*").alias("files")).collect()
+    if not found:
         return 0
-    lowest = history.agg(F.min(BATCH).alias("n")).first().n
-    number = min(lowest if lowest is not None else 0, 0) - 1
-    rows = _named(spark.read.schema(_stored(types)).option("basePath", source).parquet(*paths))
-    _load_batch(rows, target, number, at, on_error, limit)
-    return len(paths)
+    number = min([f.batch for f in target.log(spark).live(HISTORY)] + [0]) - 1
+    stored = _named(read_partitions(spark, source, _stored(types), [(r.dt, r.store) for r in found]))
+    names = missing.select(F.col("file_path").alias(SOURCE_FILE))
+    _load_batch(stored.join(names, SOURCE_FILE, "left_semi"), target, number, at, on_error, limit, again=False)
+    return sum(r.files for r in found)
 
 
 def append_batch(
     spark: SparkSession, rows: DataFrame, target: LoadTarget, batch_id: int, at: datetime
 ) -> None:
-    """Load a frame directly (first fill, or files reloaded by hand) as its own batch."""
-    numbered = F.lit(batch_id).cast("bigint").alias(BATCH)
+    """Load a frame directly (first fill) as its own batch; loading it again replaces it."""
     stamped = stamp_load(rows, at) if LOADED_AT not in rows.columns else rows
-    overwrite_partitions(stamped.select(*VERSIONED_TYPES, numbered), target.table, ["dt", BATCH])
+    _publish(stamped, None, target, batch_id, at, again=True)

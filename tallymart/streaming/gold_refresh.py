@@ -80,8 +80,8 @@ def refresh_after_batch(
     """Hook for the append load: refresh what the batch touched."""
 
     def hook(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        refresh(session, read_versions(session, load), gold, touched_days(batch))
+        session, days = batch.sparkSession, touched_days(batch)
+        refresh(session, read_versions(session, load, days), gold, days)
 
     return hook
 

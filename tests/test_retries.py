@@ -74,9 +74,9 @@ def test_dedup_stages_apart_from_earlier_runs(spark, root):
     target = load.LoadTarget.under(root)
     for number, at in enumerate((T1, T2)):
         load.append_batch(spark, version(spark, narrow_rows([number + 1, 0, 0, 0]), at), target, number, at)
-    assert upkeep.dedup_in_place(spark, target, f"{root}/staging", date(2024, 4, 27)) == [DAY]
+    assert upkeep.dedup_in_place(spark, target, date(2024, 4, 27)) == [DAY]
     load.append_batch(spark, version(spark, narrow_rows([9, 0, 0, 0]), datetime(2024, 4, 27, 1)), target, 2, T2)
-    assert upkeep.dedup_in_place(spark, target, f"{root}/staging", date(2024, 4, 28)) == [DAY]
+    assert upkeep.dedup_in_place(spark, target, date(2024, 4, 28)) == [DAY]
     versions = load.read_versions(spark, target).select(*VERSIONED_TYPES)
     assert [r.downloads_total for r in versions.collect()] == [9]
 
