@@ -416,7 +416,8 @@ RAW_SQL: dict[str, str] = {
     "partition_window": f"SELECT {KEY}, channel, downloads, event_id, store FROM ev_raw WHERE dt >= DATE '2024-01-17'",
     "partition_window_target": f"SELECT {KEY}, channel, downloads, event_id, store FROM ev_raw WHERE dt = DATE '2024-01-03' AND store = 'ios'",
     "backfill_range": f"SELECT {KEY}, channel, downloads, event_id, store FROM ev_raw WHERE dt BETWEEN DATE '2024-01-05' AND DATE '2024-01-12'",
-    "file_manifest": "SELECT DISTINCT dt, store, TRUE AS all_hashed FROM ev_raw",
+    "file_manifest": """SELECT dt, store, TRUE AS all_hashed, COUNT(*) AS row_count,
+      CAST(SUM(downloads) AS BIGINT) AS downloads, TRUE AS all_different FROM ev_raw GROUP BY dt, store""",
     "restate_detect": """
       SELECT dt, store, files, added, removed, changed,
         CASE WHEN dt = DATE '2024-01-30' THEN 'locked' WHEN status IS NULL THEN 'new' WHEN status <> 'succeeded' THEN 'failed'
@@ -485,10 +486,24 @@ RAW_SQL: dict[str, str] = {
     "quarantine_frame": """SELECT d.*, 'DQ_BLOCK' AS _dlq_error_type, 'run-1' AS _dlq_job_run_id,
         TIMESTAMP '2024-01-31 10:00:00' AS _dlq_timestamp, DATE '2024-01-31' AS failed_at
       FROM dirty d JOIN gate g ON d.partition_dt = g.partition_dt AND d.store = g.store WHERE g.verdict = 'block'""",
-    "dlq_replay": """SELECT DATE '2024-01-31' AS failed_at, 'raw' AS kind, dt, store, COUNT(*) AS row_count, 'replay' AS action
+    "dlq_replay": """SELECT DATE '2024-01-31' AS failed_at, 'raw' AS kind, 'run-1' AS job_run_id, dt, store, COUNT(*) AS row_count,
+        CASE dt WHEN DATE '2024-01-05' THEN 'replay' ELSE 'present' END AS action
       FROM ev_raw WHERE dt IN (DATE '2024-01-05', DATE '2024-01-06') GROUP BY dt, store
-      UNION ALL SELECT DISTINCT DATE '2024-01-31', 'error', dt, store, CAST(1 AS BIGINT), 'archive_only'
+      UNION ALL SELECT DISTINCT DATE '2024-01-31', 'error', 'run-1', dt, store, CAST(1 AS BIGINT), 'archive_only'
       FROM ev_raw WHERE dt IN (DATE '2024-01-05', DATE '2024-01-06')""",
+    "dlq_replay_rows": """SELECT dt, store, event_id, downloads,
+        CASE dt WHEN DATE '2024-01-06' THEN CAST(is_estimate_final AS VARCHAR) END AS is_estimate_final
+      FROM ev_raw WHERE dt IN (DATE '2024-01-05', DATE '2024-01-06')""",
+    "backfill_build": " UNION ALL ".join(
+        f"""SELECT '{layer}' AS layer, dt, store, 'succeeded' AS status, {read} AS in_count, {left} AS out_count,
+        CASE WHEN dt BETWEEN DATE '2024-01-05' AND DATE '2024-01-12' THEN 'run-2' ELSE '{first}' END AS job_run_id
+      FROM (SELECT dt, store, COUNT(*) AS n, COUNT(DISTINCT (product_id, country, device, channel)) AS kept,
+          COUNT(DISTINCT (product_id, country, device)) AS wide FROM ev_raw GROUP BY dt, store)"""
+        for layer, read, left, first in (("bronze", "n", "kept", "run-1"), ("silver", "kept", "wide", "silver-1"))
+    ),
+    "schema_evolution": f"""SELECT {KEY}, channel, downloads, CASE WHEN day(dt) % 2 = 1 THEN event_id % 7 END AS campaign, event_id
+      FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {KEY}, channel ORDER BY delivered_at DESC, event_id DESC) AS rn FROM ev_drop)
+      WHERE rn = 1""",
     "dlq_replay_plan": """SELECT failed_at, kind, source_file, CASE WHEN kind = 'raw' THEN 'replay' ELSE 'archive_only' END AS action
       FROM (SELECT CAST(recorded_at AS DATE) AS failed_at, source_file,
           CASE error_type WHEN 'SCHEMA_MISMATCH' THEN 'raw' WHEN 'PROCESSING_ERROR' THEN 'raw' WHEN 'DQ_BLOCK' THEN 'wide' ELSE 'error' END AS kind

@@ -14,10 +14,10 @@ from ..functions.stamps import utc_stamp
 from ..operators import audits, bi, cleaning, gold, ledger, loading, monitors, parity, pivot, quality, quarantine, recon, versions
 from ..plans import upkeep
 from ..plans.bronze import BronzeRun, bronze_build
-from ..plans.layout import Layout, layer_state, read_bronze, read_silver
+from ..plans.layout import Layout, layer_state, read_bronze, read_or_empty, read_silver
 from ..plans.silver import silver_build, stage_and_check
 from ..session import new_workspace
-from ..sources import drop, manifest, seed, tables
+from ..sources import drop, folders, manifest, seed, tables
 from ..sources.commits import write_attempt
 from ..sources.footers import footer_columns
 from ..streaming import append_load as load
@@ -110,12 +110,22 @@ def backfill_range(spark, sf_dir):
 
 @query()
 def file_manifest(spark, sf_dir):
-    """Files per partition differ with its size, so the report is per partition."""
+    """Every file with its content hash, beside what Spark reads from the same file.
+
+    One file a partition, written sorted: rows and their hash say whether the file is the right one.
+    """
     root = new_workspace(spark, "manifest")
     write_drop(spark, sf_dir, root)
     files = manifest.file_manifest(spark, root, by_content=True)
+    rows = drop.with_source(drop.scan_drop(spark, root)).withColumn("file_path", manifest.plain_path(F.col(drop.SOURCE_FILE)))
+    held = rows.groupBy("file_path").agg(F.count("*").alias("row_count"), F.sum("downloads").alias("downloads"))
     hashed = F.col("fingerprint").rlike("^[0-9a-f]{32}$") & (F.col("file_bytes") > 0)
-    return files.groupBy(*PARTITION).agg(F.bool_and(hashed).alias("all_hashed"))
+    return files.join(held, "file_path").groupBy(*PARTITION).agg(
+        F.bool_and(hashed).alias("all_hashed"),
+        F.sum("row_count").alias("row_count"),
+        F.sum("downloads").alias("downloads"),
+        (F.count_distinct("fingerprint") == F.count("*")).alias("all_different"),
+    )
 
 
 def run_1_state(spark, sf_dir):
@@ -326,13 +336,59 @@ def quarantine_files(spark, sf_dir):
     return layer_state(spark, layout, "bronze").select(*PARTITION, "status", "in_count", "out_count", "dlq_rows")
 
 
+def replayed(spark, sf_dir) -> tuple[Layout, DataFrame]:
+    """Two rejected days; the first is cleared from the drop before the replay, the second still there."""
+    layout = built_bronze(spark, sf_dir, "replay", broken=True)
+    folders.remove(spark, f"{layout.drop}/dt=2024-01-05")
+    return layout, upkeep.dlq_replay(spark, layout, "2024-01-31", i.NOW)
+
+
 @query()
 def dlq_replay(spark, sf_dir):
-    layout = built_bronze(spark, sf_dir, "replay", broken=True)
-    log = upkeep.dlq_replay(spark, layout, "2024-01-31", i.NOW).drop("replayed_at")
-    # How many files a partition has depends on its size; one entry stands for all of them.
-    count = F.when(F.col("kind") == "error", F.lit(1)).otherwise(F.col("row_count")).cast("bigint")
-    return log.withColumn("row_count", count)
+    """Entries of a replay by partition; how many files one has depends on its size."""
+    _, log = replayed(spark, sf_dir)
+    key = ["failed_at", "kind", "job_run_id", *PARTITION, "action"]
+    count = F.when(F.col("kind") == "error", F.lit(1)).otherwise(F.sum("row_count"))
+    return log.groupBy(*key).agg(count.cast("bigint").alias("row_count"))
+
+
+@query()
+def dlq_replay_rows(spark, sf_dir):
+    """Rows of the rejected days as the drop holds them after the replay."""
+    layout, _ = replayed(spark, sf_dir)
+    days = [spark.read.parquet(f"{layout.drop}/dt=2024-01-0{d}") for d in (5, 6)]
+    flag = F.lit(None).cast("string").alias("is_estimate_final")
+    return days[0].select(F.lit(date(2024, 1, 5)).alias("dt"), "store", "event_id", "downloads", flag).unionByName(
+        days[1].select(F.lit(date(2024, 1, 6)).alias("dt"), "store", "event_id", "downloads", "is_estimate_final")
+    )
+
+
+@query()
+def backfill_build(spark, sf_dir):
+    """A drop that was processed and then restated; a backfill of some days takes them again."""
+    layout = built_bronze(spark, sf_dir, "backfill")
+    silver_build(spark, layout, "silver-1", i.INGEST_AT)
+    upkeep.backfill_days(spark, layout, "run-2", i.NOW, date(2024, 1, 5), date(2024, 1, 12), order=newest_delivery())
+    return ledger.run_ledger(ledger_entries_of(spark, layout)).select("layer", *PARTITION, "status", "in_count", "out_count", "job_run_id")
+
+
+def ledger_entries_of(spark, layout):
+    return read_or_empty(spark, layout.ledger, ledger.LEDGER_TYPES)
+
+
+@query()
+def schema_evolution(spark, sf_dir):
+    """A column beyond the contract in the files of odd days, narrower in some: Bronze holds it for all."""
+    layout = Layout(new_workspace(spark, "evolution"))
+    rows = i.drop_rows(spark, sf_dir)
+    day = F.dayofmonth("dt")
+    tables.overwrite_partitions(rows.where(day % 2 == 0), layout.drop)
+    campaign = F.pmod(F.col("event_id"), F.lit(7))
+    for left, kind in ((1, "int"), (3, "bigint")):
+        some = rows.where((day % 4 == left)).withColumn("campaign", campaign.cast(kind))
+        tables.overwrite_partitions(some, layout.drop)
+    bronze_build(spark, layout, RUN, order=newest_delivery())
+    return read_bronze(spark, layout, every_column=True).select(*NARROW_KEY, "downloads", "campaign", "event_id")
 
 
 @query()

@@ -46,10 +46,12 @@ def schema_type_mismatch(
 
 
 def schema_gate(
-    footers: DataFrame, types: dict[str, str] = DROP_TYPES
+    footers: DataFrame, types: dict[str, str] = DROP_TYPES, further: DataFrame | None = None
 ) -> DataFrame:
     """Verdict per partition: one bad file rejects the whole partition, and only that one.
 
+    ``further`` are problems found elsewhere: ``dt, store, file_path, problem``.
+
     ``dt, store, files, bad_files, unreadable_files, error_message`` (message NULL when the
     partition passes).
     """
@@ -64,9 +66,9 @@ def schema_gate(
         "file_path",
         F.format_string("%s is %s, not %s", "column_name", "got", "want").alias("problem"),
     )
+    found = missing.unionByName(mistyped).unionByName(broken)
     problems = (
-        missing.unionByName(mistyped)
-        .unionByName(broken)
+        (found if further is None else found.unionByName(further))
         .groupBy(*PARTITION)
         .agg(
             F.countDistinct("file_path").alias("bad_files"),
@@ -110,8 +112,9 @@ def keep_first(rows: DataFrame, key: list[str], order: list[Column]) -> DataFram
 
 
 def newest_first(rows: DataFrame, *leading: str) -> list[Column]:
-    """Total order for a dedup: leading columns newest first, then every other column."""
-    rest = [c for c in rows.columns if c not in leading and c not in NARROW_KEY]
+    """Total order for a dedup: leading columns newest first, then every other that has an order."""
+    ordered = [c for c, t in rows.dtypes if "map<" not in t and "variant" not in t]
+    rest = [c for c in ordered if c not in leading and c not in NARROW_KEY]
     return [F.col(c).desc_nulls_last() for c in [*leading, *rest]]
 
 

@@ -60,7 +60,7 @@ def ledger_rows(
     )
 
 
-def file_rows(manifest: DataFrame, layer: str, run_id: str, at: datetime) -> DataFrame:
+def file_rows(manifest: DataFrame, layer: str, run_id: str, at: datetime, *more: str) -> DataFrame:
     return manifest.select(
         F.lit(layer).alias("layer"),
         *PARTITION,
@@ -68,6 +68,7 @@ def file_rows(manifest: DataFrame, layer: str, run_id: str, at: datetime) -> Dat
         "fingerprint",
         F.lit(run_id).alias("job_run_id"),
         utc_stamp(at).alias("recorded_at"),
+        *more,
     )
 
 

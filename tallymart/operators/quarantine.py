@@ -29,6 +29,53 @@ ERROR_TYPES = {
 }
 
 
+#: One row per quarantined file, by the run that rejected it.
+QUARANTINED_TYPES = {
+    "failed_at": "date",
+    "job_run_id": "string",
+    "dt": "date",
+    "store": "string",
+    "source_file": "string",
+    "fingerprint": "string",
+    "modified_at": "timestamp",
+    "signature": "string",
+    "row_count": "bigint",
+}
+FILE_ID = "file_id"
+
+
+def file_id(path: Column) -> Column:
+    """A folder name for a file; the prefix keeps it from being read as a number."""
+    return F.concat(F.lit("file-"), F.md5(path))
+
+
+def replay_actions(entries: DataFrame, live: DataFrame) -> DataFrame:
+    """``entries`` (raw files of rejected partitions) with what a replay does with each.
+
+    ``live`` lists what the drop holds now. ``present``: the file is there, as it was or corrected
+    under its name. ``superseded``: its partition holds a file of another name that came after everything
+    the rejecting run saw. ``lost``: no rows of it could be kept. Else ``replay``. A partition is
+    looked at as one run rejected it, so entries of different runs do not mix.
+    """
+    key = ["job_run_id", *PARTITION]
+    there = live.select(F.col("file_path").alias("source_file")).distinct().withColumn("there", F.lit(True))
+    newest = entries.groupBy(*key).agg(F.max("modified_at").alias("newest"))
+    # Files under quarantined names may be what an earlier replay put back.
+    other = live.join(entries.select(F.col("source_file").alias("file_path")).distinct(), "file_path", "left_anti")
+    arrived = other.groupBy(*PARTITION).agg(F.max("modified_at").alias("arrived"))
+    later = newest.join(arrived, [newest[c].eqNullSafe(arrived[c]) for c in PARTITION]).where("arrived > newest")
+    later = later.select(*[newest[c].alias(f"_{c}") for c in key]).withColumn("later", F.lit(True))
+    found = entries.join(there, "source_file", "left")
+    found = found.join(later, [found[c].eqNullSafe(later[f"_{c}"]) for c in key], "left")
+    action = (
+        F.when(F.col("there"), "present")
+        .when(F.col("later"), "superseded")
+        .when(F.col("row_count") == 0, "lost")
+        .otherwise("replay")
+    )
+    return found.select(*[found[c] for c in entries.columns], action.alias("action"))
+
+
 def error_records(
     failed: DataFrame, error_type: str | Column, message: Column, source_file: Column, run_id: str, at: datetime
 ) -> DataFrame:

@@ -11,9 +11,10 @@ from pyspark.errors import AnalysisException
 
 from ..contracts import NARROW_TYPES, WIDE_TYPES, ddl
 from ..functions.stamps import utc_stamp
+from ..operators.evolution import SEEN_TYPES
 from ..operators.ledger import FILE_LEDGER_TYPES, LEDGER_TYPES, ledger_rows, previous_files, run_ledger
 from ..operators.quarantine import ERROR_TYPES, error_records
-from ..sources.tables import append_rows, read_partitions, read_table
+from ..sources.tables import add_partitions, append_rows, read_partitions, read_table
 
 ALERT_TYPES = {
     "partition_dt": "date",
@@ -26,7 +27,11 @@ ALERT_TYPES = {
 
 @dataclass(frozen=True)
 class Layout:
+    """Folders below one root. With table names given, every write also enters its partitions in the catalog."""
+
     root: str
+    bronze_table: str | None = None
+    silver_table: str | None = None
 
     @property
     def drop(self) -> str:
@@ -64,6 +69,14 @@ class Layout:
     def replays(self) -> str:
         return f"{self.root}/replays"
 
+    @property
+    def quarantine_index(self) -> str:
+        return f"{self.quarantine}/files"
+
+    @property
+    def columns(self) -> str:
+        return f"{self.root}/bronze_columns"
+
     @property
     def dq(self) -> str:
         return f"{self.root}/dq_results"
@@ -95,13 +108,24 @@ def seen_files(spark: SparkSession, layout: Layout, layer: str) -> DataFrame:
     return previous_files(files, layer_state(spark, layout, layer))
 
 
-STORED_NARROW = ddl({**NARROW_TYPES, "store": "string"})
+STORED_NARROW = {**NARROW_TYPES, "store": "string"}
+
 
+def known_columns(spark: SparkSession, layout: Layout) -> dict[str, str]:
+    """Columns beyond the contract that Bronze holds, as the newest run settled them."""
+    log = read_or_empty(spark, layout.columns, SEEN_TYPES)
+    newest = log.groupBy("column_name").agg(F.max_by("column_type", F.struct("recorded_at", "job_run_id")).alias("t"))
+    return {row.column_name: row.t for row in newest.orderBy("column_name").collect()}
 
-def read_bronze(spark: SparkSession, layout: Layout, keys: list[tuple] | None = None) -> DataFrame:
+
+def read_bronze(
+    spark: SparkSession, layout: Layout, keys: list[tuple] | None = None, *, every_column: bool = False
+) -> DataFrame:
+    """The contract's columns, or ``every_column`` that was delivered."""
+    stored = ddl({**(known_columns(spark, layout) if every_column else {}), **STORED_NARROW})
     if keys is not None:
-        return read_partitions(spark, layout.bronze, STORED_NARROW, keys)
-    return read_table(spark, layout.bronze, STORED_NARROW)
+        return read_partitions(spark, layout.bronze, stored, keys)
+    return read_table(spark, layout.bronze, stored)
 
 
 def read_silver(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -136,3 +160,31 @@ def record_failure(
 
 def read_errors(spark: SparkSession, layout: Layout) -> DataFrame:
     return read_or_empty(spark, layout.errors, ERROR_TYPES)
+
+
+def register(
+    spark: SparkSession,
+    layout: Layout,
+    name: str | None,
+    path: str,
+    types: dict[str, str],
+    keys: list[tuple],
+    at: datetime,
+) -> None:
+    """Enter the partitions of a finished write in the catalog, where the layout names a table.
+
+    The data are published already. A catalog that fails leaves an alert and stops nothing.
+    """
+    if name is None or not keys:
+        return
+    try:
+        add_partitions(spark, name, path, types, keys)
+    except Exception as error:  # whatever the catalog raises
+        alert = spark.createDataFrame([(None, None)], "partition_dt date, store string").select(
+            "partition_dt",
+            "store",
+            F.lit(f"Daily counters: {name} not registered"[:100]).alias("subject"),
+            F.lit(str(error)[:4000]).alias("message"),
+            utc_stamp(at).alias("raised_at"),
+        )
+        append_rows(alert.select(*ALERT_TYPES), layout.alerts)

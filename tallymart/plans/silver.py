@@ -15,7 +15,7 @@ from ..operators.pivot import expected_wide_keys, to_wide_by_folder
 from ..operators.quality import alert_records, dq_gate, dq_run_all
 from ..operators.quarantine import DQ_BLOCK, SILVER_PROCESSING_ERROR, quarantine_frame
 from ..sources.tables import append_rows, in_partitions, overwrite_partitions, read_table
-from .layout import ALERT_TYPES, Layout, ledger_state, read_bronze, record_failure
+from .layout import ALERT_TYPES, Layout, ledger_state, read_bronze, record_failure, register
 
 LAYER = "silver"
 STAGED = {**WIDE_TYPES, "store": "string"}
@@ -72,6 +72,8 @@ def publish(
     if len(blocked) < len(verdicts):
         good = staged.rows.where(~held) if blocked else staged.rows
         overwrite_partitions(good, layout.silver)
+        done = [(v.partition_dt, v.store) for v in verdicts if v.verdict != "block"]
+        register(spark, layout, layout.silver_table, layout.silver, STAGED, done, at)
     if blocked:
         rows = quarantine_frame(staged.rows.where(held), DQ_BLOCK, run_id, at)
         overwrite_partitions(rows, f"{layout.quarantine}/wide", ["failed_at", *PARTITION])

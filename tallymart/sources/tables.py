@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import PARTITION
+from .folders import DEFAULT_FOLDER, day_folders
 
 
 def overwrite_partitions(rows: DataFrame, path: str, by: list[str] = PARTITION) -> None:
@@ -62,19 +62,17 @@ def in_partitions(keys: list[tuple]) -> Column:
 def read_partitions(spark: SparkSession, path: str, schema: str, keys: list[tuple]) -> DataFrame:
     """Rows of the given partitions; those without a folder have none.
 
-    Only the folders of the days named are listed, so a daily run does not pay for the table's
-    history; stores are told apart by their value, whatever characters their folders hold. One
-    way for any number of keys.
+    Only the folders of the days named are listed, under their own names, so a daily run does not
+    pay for the table's history and no spelling of a day is missed; stores are told apart by their
+    value, whatever characters their folders hold. One way for any number of keys.
     """
-    if not keys:
-        return spark.createDataFrame([], schema)
-    days = ",".join(sorted({dt.isoformat() for dt, _ in keys}))
-    try:
-        rows = spark.read.schema(schema).option("basePath", path).parquet(f"{path}/dt={{{days}}}")
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
+    days = {dt for dt, _ in keys}
+    paths = [e.path for day, e in day_folders(spark, path) if day in days] if keys else []
+    if None in days:
+        paths += [e.path for _, e in day_folders(spark, path) if e.name == f"dt={DEFAULT_FOLDER}"]
+    if not paths:
         return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).option("basePath", path).parquet(*paths)
     return rows.where(in_partitions(keys))
 
 
@@ -98,3 +96,27 @@ def add_partition(spark: SparkSession, name: str, dt: str, store: str) -> None:
     spark.sql(
         f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION (dt = DATE '{dt}', store = '{store}')"
     )
+
+
+def add_partitions(
+    spark: SparkSession, name: str, path: str, types: dict[str, str], keys: list[tuple], at_once: int = 500
+) -> None:
+    """Declare the table where it is new, and its partitions; known ones are no error.
+
+    Only the given partitions are named: nothing is listed, whatever the size of the table.
+    """
+    body = ", ".join(f"`{c}` {t}" for c, t in types.items() if c not in PARTITION)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({body}, dt date, store string) "
+        f"USING parquet PARTITIONED BY (dt, store) LOCATION '{path}'"
+    )
+
+    def text(value: str) -> str:
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    parts = [
+        f"PARTITION (dt = {f"DATE '{dt}'" if dt else 'null'}, store = {text(store) if store is not None else 'null'})"
+        for dt, store in keys
+    ]
+    for k in range(0, len(parts), at_once):
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(parts[k : k + at_once])}")

@@ -21,6 +21,7 @@ from tallymart.plans.layout import (
     read_silver,
 )
 from tallymart.plans.silver import silver_build
+from tallymart.sources import folders
 from tallymart.sources.tables import append_rows
 
 RUN = BronzeRun("run-1", datetime(2024, 4, 25, 10), date(2024, 4, 25))
@@ -152,15 +153,21 @@ def test_contract_break_rejects_its_partition_only(spark, root):
     assert alert.message == message
 
 
+def held_rows(spark, layout):
+    counted = spark.read.schema("dt date, store string").parquet(layout.drop).groupBy("dt").count()
+    return {r.dt: r["count"] for r in counted.collect()}
+
+
 def test_replay_restores_every_row_once(spark, root):
     layout = Layout(root)
     break_contract(spark, layout)
-    before = spark.read.option("basePath", layout.drop).parquet(f"{layout.drop}/dt={DAY}").count()
     bronze_build(spark, layout, RUN)
+    files = {e.name for e in folders.children(spark, f"{layout.drop}/dt={OTHER}/store=ios")}
+    folders.remove(spark, f"{layout.drop}/dt={OTHER}")
     log = upkeep.dlq_replay(spark, layout, "2024-04-25", NEXT.at)
-    assert {(r.kind, r.action, r.row_count) for r in log.collect()} == {("raw", "replay", 12), ("error", "archive_only", 3)}
-    counted = spark.read.schema("dt date, store string").parquet(layout.drop).groupBy("dt").count()
-    assert {r.dt: r["count"] for r in counted.collect()} == {DAY: before, OTHER: 12}
+    assert sorted((r.kind, r.action, r.row_count) for r in log.collect()) == [("error", "archive_only", 1)] * 3 + [("raw", "replay", 4)] * 3
+    assert held_rows(spark, layout) == {DAY: 4, OTHER: 12}
+    assert files == {e.name for e in folders.children(spark, f"{layout.drop}/dt={OTHER}/store=ios")}
     assert upkeep.dlq_replay(spark, layout, "2024-04-25", NEXT.at).count() == 0
     assert upkeep.dlq_replay(spark, layout, "2024-04-24", NEXT.at).count() == 0
 

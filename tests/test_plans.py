@@ -14,6 +14,7 @@ from tallymart.sources import drop, tables
 # Complete jobs write and read tables; their plans are looked at through the operators.
 JOBS = {
     "scan_drop", "scan_drop_csv", "file_manifest", "overwrite_partition", "register_table", "append_load", "append_load_after_crash",
+    "dlq_replay_rows", "backfill_build", "schema_evolution",
     "bronze_build", "quarantine_files", "dlq_replay", "schema_missing_cols", "schema_type_mismatch",
     "schema_gate", "silver_build", "silver_build_bulk", "dedup_versions_in_place",
     "gold_refresh_incremental", "force_refresh", "parity_validate",
