@@ -454,7 +454,7 @@ RAW_SQL: dict[str, str] = {
       SELECT strftime(dt, '%Y-%m-%d') || '/' || app_store AS file_name, dt,
         CASE WHEN bad = 0 THEN 'Loaded' ELSE 'Load failed' END AS status,
         CASE WHEN bad = 0 THEN n ELSE 0 END AS row_count, n AS row_parsed, bad AS error_count,
-        CASE WHEN bad > 0 THEN bad || ' rows do not fit the contract' END AS first_error_message,
+        CASE WHEN bad > 0 THEN bad || ' rows do not fit the contract; first: is_estimate_final is ''N/A''' END AS first_error_message,
         TIMESTAMP '2024-01-31 10:05:00' AS last_load_time
       FROM (SELECT dt, app_store, COUNT(*) AS n, COUNT(*) FILTER (WHERE downloads_total = 0) AS bad
         FROM wide_now GROUP BY dt, app_store)""",
@@ -501,6 +501,8 @@ RAW_SQL: dict[str, str] = {
           COUNT(DISTINCT (product_id, country, device)) AS wide FROM ev_raw GROUP BY dt, store)"""
         for layer, read, left, first in (("bronze", "n", "kept", "run-1"), ("silver", "kept", "wide", "silver-1"))
     ),
+    "fold_ledgers": """SELECT 'bronze' AS layer, dt, store, 'succeeded' AS status, COUNT(*) AS in_count,
+        COUNT(DISTINCT (product_id, country, device, channel)) AS out_count, 'run-2' AS job_run_id FROM ev_raw GROUP BY dt, store""",
     "schema_evolution": f"""SELECT {KEY}, channel, downloads, CASE WHEN day(dt) % 2 = 1 THEN event_id % 7 END AS campaign, event_id
       FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {KEY}, channel ORDER BY delivered_at DESC, event_id DESC) AS rn FROM ev_drop)
       WHERE rn = 1""",
@@ -540,6 +542,7 @@ RAW_SQL: dict[str, str] = {
     "silver_build": f"SELECT {WIDE_COLUMNS}, app_store AS store FROM wide_now",
     "silver_build_bulk": """SELECT dt AS partition_dt, app_store AS store, 'pass' AS verdict, CAST(0 AS BIGINT) AS blocking_failures,
       CAST(0 AS BIGINT) AS warnings, '' AS failures FROM bulk_bronze GROUP BY dt, app_store""",
+    "silver_build_bulk_rows": f"SELECT {KEY}, {MEASURES}, paid_share, featured_share, is_estimate_final, app_store AS store FROM ({_pivot('bulk_bronze')})",
     # quality
     "dq_row_count": _dq_only("row_count"),
     "dq_null_rate": _dq_only("null_rate"),
@@ -566,7 +569,11 @@ RAW_SQL: dict[str, str] = {
     "gold_from_latest": _gold_app("latest"),
     "gold_from_latest_country": _gold_country("latest"),
     "gold_refresh_incremental": _gold_app("versions"),
+    "gold_refresh_incremental_country": _gold_country("versions"),
+    "gold_refresh_incremental_trend": _gold_trend("versions"),
     "force_refresh": _gold_country("versions"),
+    "force_refresh_app": _gold_app("versions"),
+    "force_refresh_trend": _gold_trend("versions"),
     "refresh_history": _first("refr", "name", "refresh_end_time DESC NULLS LAST, refresh_start_time DESC"),
     "gold_staleness": f"""SELECT name, state, refresh_start_time, refresh_end_time,
         refresh_end_time IS NULL OR refresh_end_time + INTERVAL 61 MINUTE <= TIMESTAMP '2024-02-01 12:00:00' AS is_stale
@@ -620,7 +627,7 @@ RAW_SQL: dict[str, str] = {
     "audit_channel_completeness_bulk": f"""SELECT channel_count, COUNT(*) AS group_count
       FROM (SELECT {KEY}, COUNT(DISTINCT channel) AS channel_count FROM bulk_raw GROUP BY {KEY}) GROUP BY channel_count""",
     "audit_share_sum": f"""SELECT {KEY}, CAST(SUM(share_pct) AS DOUBLE) AS share_sum, COUNT(*) AS channel_count
-      FROM ev_narrow WHERE channel <> 'error' GROUP BY {KEY} HAVING ABS(CAST(SUM(share_pct) AS DOUBLE) - 1) > 1e-3""",
+      FROM ev_narrow GROUP BY {KEY} HAVING ABS(CAST(SUM(share_pct) AS DOUBLE) - 1) > 1e-3""",
     "audit_narrow_quality": f"""SELECT COUNT(*) AS total, {_pct("COUNT(*) - COUNT(product_id)", "COUNT(*)", 6)} AS pct_null_product,
         {_pct("COUNT(*) - COUNT(channel)", "COUNT(*)", 6)} AS pct_null_channel,
         {_pct("COUNT(*) - COUNT(downloads)", "COUNT(*)", 6)} AS pct_null_downloads,
@@ -736,6 +743,7 @@ RAW_SQL: dict[str, str] = {
     ) + " FROM prof_r",
     "parity_compare": _compare(),
     "parity_diff_rows": _diff_rows(),
+    "parity_leaves": f"SELECT dt, issue FROM ({_diff_rows()})",
     "parity_validate": _diff_rows(),
     # monitors
     "mon_missing_partitions": """SELECT d AS dt, s AS store FROM
@@ -747,6 +755,12 @@ RAW_SQL: dict[str, str] = {
     "mon_dlq_weekly": """SELECT CASE WHEN NOT readable THEN 'READ_ERROR' ELSE COALESCE(error_type, 'UNKNOWN') END AS error_type,
         COUNT(*) AS records, MAX(recorded_at) AS last_seen
       FROM errlog WHERE recorded_at >= TIMESTAMP '2024-01-25 10:00:00' GROUP BY 1""",
+    "mon_dlq_entries": " UNION ALL ".join(
+        f"""SELECT '{kind}' AS kind, COUNT(*) AS entries, CAST({held} AS BIGINT) AS rows_held, CAST(1 AS BIGINT) AS runs,
+        DATE '2024-01-31' AS last_failed
+      FROM (SELECT dt, store, COUNT(*) AS n FROM ev_raw WHERE dt IN (DATE '2024-01-05', DATE '2024-01-06') GROUP BY dt, store)"""
+        for kind, held in (("raw", "SUM(n)"), ("error", "COUNT(*)"))
+    ),
     "mon_dlq_recent": """SELECT error_type, source_file, recorded_at, GREATEST(total - 20, 0) AS more
       FROM (SELECT *, COUNT(*) OVER () AS total FROM errlog WHERE recorded_at >= TIMESTAMP '2024-01-25 10:00:00')
       ORDER BY recorded_at DESC, source_file, error_type LIMIT 20""",

@@ -8,13 +8,15 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..contracts import DROP_TYPES, NARROW_KEY, NARROW_TYPES, PARTITION, VERSIONED_TYPES, WIDE_KEY, WIDE_TYPES, ddl
+from ..contracts import DROP_TYPES, MEASURES, NARROW_KEY, NARROW_TYPES, PARTITION, SHARES, VERSIONED_TYPES, WIDE_KEY, WIDE_TYPES, ddl
 from ..functions import bool_load_rule
 from ..functions.stamps import utc_stamp
 from ..operators import audits, bi, cleaning, gold, ledger, loading, monitors, parity, pivot, quality, quarantine, recon, versions
 from ..plans import upkeep
 from ..plans.bronze import BronzeRun, bronze_build
-from ..plans.layout import Layout, layer_state, read_bronze, read_or_empty, read_silver
+from ..plans.layout import Layout, layer_state, read_bronze, read_silver
+from ..plans.layout import fold_ledgers as fold_ledgers_of
+from ..plans.layout import ledger_state as plain_state
 from ..plans.silver import silver_build, stage_and_check
 from ..session import new_workspace
 from ..sources import drop, folders, manifest, seed, tables
@@ -369,11 +371,16 @@ def backfill_build(spark, sf_dir):
     layout = built_bronze(spark, sf_dir, "backfill")
     silver_build(spark, layout, "silver-1", i.INGEST_AT)
     upkeep.backfill_days(spark, layout, "run-2", i.NOW, date(2024, 1, 5), date(2024, 1, 12), order=newest_delivery())
-    return ledger.run_ledger(ledger_entries_of(spark, layout)).select("layer", *PARTITION, "status", "in_count", "out_count", "job_run_id")
+    return plain_state(spark, layout).select("layer", *PARTITION, "status", "in_count", "out_count", "job_run_id")
 
 
-def ledger_entries_of(spark, layout):
-    return read_or_empty(spark, layout.ledger, ledger.LEDGER_TYPES)
+@query()
+def fold_ledgers(spark, sf_dir):
+    """State of all partitions after two runs and a fold of the first half's ledgers."""
+    layout = built_bronze(spark, sf_dir, "fold")
+    bronze_build(spark, layout, BronzeRun("run-2", i.NOW, i.AS_OF, backfill=True), order=newest_delivery())
+    fold_ledgers_of(spark, layout, date(2024, 1, 16))
+    return plain_state(spark, layout).select("layer", *PARTITION, "status", "in_count", "out_count", "job_run_id")
 
 
 @query()
@@ -519,6 +526,15 @@ def silver_build_bulk(spark, sf_dir):
     return stage_and_check(spark, layout, narrow, "run-1", i.INGEST_AT).gate
 
 
+@query()
+def silver_build_bulk_rows(spark, sf_dir):
+    """The staged rows behind the verdicts."""
+    layout = Layout(new_workspace(spark, "silver-bulk"))
+    i.bulk_bronze(spark, sf_dir).write.parquet(layout.bronze)
+    narrow = spark.read.parquet(layout.bronze)
+    return stage_and_check(spark, layout, narrow, "run-1", i.INGEST_AT).rows.select(*WIDE_KEY, *MEASURES, *SHARES, "is_estimate_final", "store")
+
+
 # Quality.
 
 
@@ -599,11 +615,30 @@ def gold_refresh_incremental(spark, sf_dir):
     return spark.read.parquet(target.path("daily_by_app"))
 
 
-@query()
-def force_refresh(spark, sf_dir):
-    target = gold_refresh.GoldTarget(new_workspace(spark, "gold-full"))
-    gold_refresh.refresh(spark, i.versions(spark, sf_dir), target)
-    return spark.read.parquet(target.path("daily_by_country"))
+def incremental(table: str):
+    def run(spark, sf_dir):
+        root = new_workspace(spark, "gold")
+        target = gold_refresh.GoldTarget(f"{root}/gold")
+        loaded_versions(spark, sf_dir, root, target)
+        return spark.read.parquet(target.path(table))
+
+    return run
+
+
+def forced(table: str):
+    def run(spark, sf_dir):
+        target = gold_refresh.GoldTarget(new_workspace(spark, "gold-full"))
+        gold_refresh.refresh(spark, i.versions(spark, sf_dir), target)
+        return spark.read.parquet(target.path(table))
+
+    return run
+
+
+query("gold_refresh_incremental_country")(incremental("daily_by_country"))
+query("gold_refresh_incremental_trend")(incremental("paid_vs_organic_trend"))
+query("force_refresh")(forced("daily_by_country"))
+query("force_refresh_app")(forced("daily_by_app"))
+query("force_refresh_trend")(forced("paid_vs_organic_trend"))
 
 
 over(i.refreshes, gold.refresh_history, name="refresh_history")
@@ -628,9 +663,7 @@ over(i.bronze_core, audits.audit_narrow_coverage, i.AS_OF, name="audit_narrow_co
 over(i.bronze_core, audits.audit_channel_domain, name="audit_channel_domain")
 over(i.raw_events, audits.audit_channel_completeness, name="audit_channel_completeness")
 over(i.bulk_raw, audits.audit_channel_completeness, name="audit_channel_completeness_bulk")
-over(
-    lambda s, d: i.bronze(s, d).where("channel <> 'error'"), audits.audit_share_sum, name="audit_share_sum"
-)
+over(i.bronze, audits.audit_share_sum, name="audit_share_sum")
 over(
     lambda s, d: i.bronze(s, d).withColumn("channel", F.nullif(F.col("channel"), F.lit("error"))),
     audits.audit_narrow_quality,
@@ -700,6 +733,9 @@ query("parity_compare")(lambda spark, sf_dir: parity.parity_compare(*i.copies(sp
 
 
 query("parity_diff_rows")(lambda spark, sf_dir: parity.parity_diff_rows(*i.copies(spark, sf_dir)))
+query("parity_leaves")(
+    lambda spark, sf_dir: parity.parity_diff_rows(*parity.in_leaves(*i.copies(spark, sf_dir))).select("dt", "issue")
+)
 query("parity_validate")(lambda spark, sf_dir: parity.parity_validate(*i.copies(spark, sf_dir)))
 
 # Monitors.
@@ -707,6 +743,18 @@ query("parity_validate")(lambda spark, sf_dir: parity.parity_validate(*i.copies(
 over(i.drop_files, monitors.mon_missing_partitions, i.AS_OF, days=4, name="mon_missing_partitions")
 over(ledger_state, monitors.mon_stale_runs, i.NOW, name="mon_stale_runs")
 over(i.error_log, monitors.mon_dlq_weekly, datetime(2024, 2, 1, 10), name="mon_dlq_weekly")
+
+
+@query()
+def mon_dlq_entries(spark, sf_dir):
+    """Quarantine of a run with two rejected days; entries are counted by partition."""
+    layout = built_bronze(spark, sf_dir, "weekly", broken=True)
+    entries = upkeep.quarantine_entries(spark, layout)
+    per_partition = entries.groupBy("failed_at", "kind", "job_run_id", *PARTITION).agg(F.sum("row_count").alias("row_count"))
+    errors = F.when(F.col("kind") == "error", F.lit(1)).otherwise(F.col("row_count")).cast("bigint")
+    return monitors.mon_dlq_entries(per_partition.withColumn("row_count", errors), i.NOW)
+
+
 over(i.error_log, monitors.mon_dlq_recent, datetime(2024, 2, 1, 10), name="mon_dlq_recent")
 over(i.history, monitors.mon_load_freshness, date(2024, 2, 2), name="mon_load_freshness")
 over(i.refreshes, monitors.mon_refresh_failed, i.NOW, name="mon_refresh_failed")

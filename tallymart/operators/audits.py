@@ -44,9 +44,8 @@ def _organic_leaves() -> Column:
 
 
 def _top(rows: DataFrame, by: Column, limit: int | None) -> DataFrame:
-    # The key settles ties, so the report is the same on every run.
-    ordered = rows.orderBy(by, *WIDE_KEY)
-    return ordered if limit is None else ordered.limit(limit)
+    # All rows come as they are; a report of the first ones has the key to settle ties.
+    return rows if limit is None else rows.orderBy(by, *WIDE_KEY).limit(limit)
 
 
 def audit_total_split(wide: DataFrame, limit: int | None = None) -> DataFrame:

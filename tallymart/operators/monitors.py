@@ -52,6 +52,22 @@ def mon_dlq_weekly(errors: DataFrame, now: datetime, days: int = 7) -> DataFrame
     )
 
 
+def mon_dlq_entries(entries: DataFrame, now: datetime, days: int = 7) -> DataFrame:
+    """All that was put into quarantine in the last days: raw files, blocked wide partitions and
+    error records by kind, with the rows behind them and the runs that put them there."""
+    since = (now - timedelta(days=days)).date()
+    return (
+        entries.where(F.col("failed_at") >= F.lit(since))
+        .groupBy("kind")
+        .agg(
+            F.count("*").alias("entries"),
+            F.sum("row_count").alias("rows_held"),
+            F.count_distinct("job_run_id").alias("runs"),
+            F.max("failed_at").alias("last_failed"),
+        )
+    )
+
+
 def mon_dlq_recent(errors: DataFrame, now: datetime, days: int = 7, top: int = 20) -> DataFrame:
     """The newest records for the weekly report; ``more`` says how many it leaves out."""
     recent = errors.where(F.col("recorded_at") >= utc_stamp(now - timedelta(days=days)))

@@ -38,7 +38,17 @@ from ..sources.drop import SOURCE_FILE, SOURCE_MTIME, backfill_range, partition_
 from ..sources.footers import UNREADABLE, write_footers
 from ..sources.manifest import file_manifest, folder_value, odd_folders, plain_path
 from ..sources.tables import append_rows, in_partitions, overwrite_partitions, read_table
-from .layout import ALERT_TYPES, Layout, known_columns, layer_state, read_bronze, record_failure, register, seen_files
+from .layout import (
+    ALERT_TYPES,
+    Layout,
+    append_log,
+    known_columns,
+    layer_state,
+    read_bronze,
+    record_failure,
+    register,
+    seen_files,
+)
 
 LAYER = "bronze"
 
@@ -136,8 +146,8 @@ def bronze_build(
     listed = _list_files(spark, layout, run)
     decision = restate_detect(
         listed,
-        run.window(layer_state(spark, layout, LAYER)),
-        run.window(seen_files(spark, layout, LAYER)),
+        run.window(layer_state(spark, layout, LAYER, run.wants)),
+        run.window(seen_files(spark, layout, LAYER, run.wants)),
         run.at,
     )
     wanted = F.col("reason") != "locked" if run.backfill or run.days else F.col("needs_work")
@@ -145,9 +155,9 @@ def bronze_build(
     if not todo:
         return
     files = listed.where(in_partitions(todo))
-    append_rows(files.select(*FILE_LEDGER_TYPES), layout.file_ledger)
+    append_log(files.select(*FILE_LEDGER_TYPES), layout.file_ledger)
     todo_frame = spark.createDataFrame(todo, "dt date, store string")
-    append_rows(ledger_rows(todo_frame, LAYER, "running", run.run_id, run.at), layout.ledger)
+    append_log(ledger_rows(todo_frame, LAYER, "running", run.run_id, run.at), layout.ledger)
 
     try:
         # Each footer is opened once; the gate and the quarantine both need them.
@@ -195,7 +205,7 @@ def _write_good(spark, layout, run, good, files, types, order) -> None:
     written = _count(read_bronze(spark, layout, good), "out_count")
     empty = empty_partitions(files.where(in_partitions(good)), taken)
     counts = taken.join(written, PARTITION).unionByName(empty.drop("status"))
-    append_rows(ledger_rows(counts, LAYER, "succeeded", run.run_id, run.at), layout.ledger)
+    append_log(ledger_rows(counts, LAYER, "succeeded", run.run_id, run.at), layout.ledger)
 
 
 def _reject(spark, layout, run, bad, files, footers) -> None:
@@ -215,7 +225,7 @@ def _reject(spark, layout, run, bad, files, footers) -> None:
     )
     append_rows(errors, layout.errors, ["failed_at"])
     counts = quarantine_files(spark, layout, run, rejected, footers.where(held))
-    append_rows(ledger_rows(counts, LAYER, "failed", run.run_id, run.at), layout.ledger)
+    append_log(ledger_rows(counts, LAYER, "failed", run.run_id, run.at), layout.ledger)
     place = F.concat_ws("/", F.date_format("dt", "yyyy-MM-dd"), "store")
     subject = F.concat(F.lit("Daily counters: contract broken "), place)
     alerts = reasons.select(

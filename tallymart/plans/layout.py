@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from ..functions.stamps import utc_stamp
 from ..operators.evolution import SEEN_TYPES
 from ..operators.ledger import FILE_LEDGER_TYPES, LEDGER_TYPES, ledger_rows, previous_files, run_ledger
 from ..operators.quarantine import ERROR_TYPES, error_records
+from ..sources.folders import children, day_folders, remove
 from ..sources.tables import add_partitions, append_rows, read_partitions, read_table
 
 ALERT_TYPES = {
@@ -95,17 +98,79 @@ def read_or_empty(spark: SparkSession, path: str, types: dict[str, str]) -> Data
         return spark.createDataFrame([], ddl(types))
 
 
-def ledger_state(spark: SparkSession, layout: Layout) -> DataFrame:
-    return run_ledger(read_or_empty(spark, layout.ledger, LEDGER_TYPES))
+LOG_FOLDERS = ["layer", "dt"]
 
 
-def layer_state(spark: SparkSession, layout: Layout, layer: str) -> DataFrame:
-    return ledger_state(spark, layout).where(F.col("layer") == layer)
+def append_log(rows: DataFrame, path: str) -> None:
+    """Append to the run or file ledger: a folder per layer and day."""
+    append_rows(rows, path, LOG_FOLDERS)
 
 
-def seen_files(spark: SparkSession, layout: Layout, layer: str) -> DataFrame:
-    files = read_or_empty(spark, layout.file_ledger, FILE_LEDGER_TYPES)
-    return previous_files(files, layer_state(spark, layout, layer))
+def log_folders(spark: SparkSession, path: str, layer: str | None, wants: Callable[[date], bool] | None) -> list[str]:
+    layers = [e for e in children(spark, path) if e.name == f"layer={layer}" or layer is None and e.name.startswith("layer=")]
+    days = [found for e in layers for found in day_folders(spark, e.path)]
+    return [e.path for day, e in days if day is None or wants is None or wants(day)]
+
+
+def read_log(
+    spark: SparkSession, path: str, types: dict[str, str], layer: str | None = None, wants: Callable[[date], bool] | None = None
+) -> DataFrame:
+    """Entries of a ledger; only folders of the layer and of the days asked for are listed."""
+    found = log_folders(spark, path, layer, wants)
+    if not found:
+        return spark.createDataFrame([], ddl(types))
+    return spark.read.schema(ddl(types)).option("basePath", path).parquet(*found).select(*types)
+
+
+def ledger_state(
+    spark: SparkSession, layout: Layout, layer: str | None = None, wants: Callable[[date], bool] | None = None
+) -> DataFrame:
+    """Newest entry of each partition, whether it was folded already or not."""
+    return run_ledger(read_log(spark, layout.ledger, LEDGER_TYPES, layer, wants))
+
+
+def layer_state(spark: SparkSession, layout: Layout, layer: str, wants: Callable[[date], bool] | None = None) -> DataFrame:
+    return ledger_state(spark, layout, layer, wants)
+
+
+def seen_files(spark: SparkSession, layout: Layout, layer: str, wants: Callable[[date], bool] | None = None) -> DataFrame:
+    files = read_log(spark, layout.file_ledger, FILE_LEDGER_TYPES, layer, wants)
+    return previous_files(files, layer_state(spark, layout, layer, wants))
+
+
+def fold_ledgers(spark: SparkSession, layout: Layout, before: date) -> int:
+    """Sum up the ledgers of days before a day: newest entries, and the files these were made from.
+
+    The sum is added to a day's folder before the entries it stands for are deleted. Both may be
+    there after a crash: the newest entry counts, so they say the same, and the next fold goes on.
+    Runs that still work on such days have to end first. Returns the number of files deleted.
+    """
+    def old(day: date) -> bool:
+        return day < before
+
+    def files(path: str) -> list[str]:
+        found = log_folders(spark, path, None, old)
+        per_day = [[e.path for e in children(spark, f) if e.name.endswith(".parquet")] for f in found]
+        return [name for day in per_day if len(day) > 1 for name in day]
+
+    def read(paths: list[str], root: str, types: dict[str, str]) -> DataFrame:
+        return spark.read.schema(ddl(types)).option("basePath", root).parquet(*paths).select(*types)
+
+    gone = 0
+    state = ledger_state(spark, layout, wants=old)
+    # The file ledger first: it is cut by the state that is still there in full.
+    for root, types in ((layout.file_ledger, FILE_LEDGER_TYPES), (layout.ledger, LEDGER_TYPES)):
+        names = files(root)
+        if not names:
+            continue
+        entries = read(names, root, types)
+        kept = run_ledger(entries) if types is LEDGER_TYPES else previous_files(entries, state).distinct()
+        path = layout.staging(uuid.uuid4().hex[:12], "fold")
+        kept.write.parquet(path)
+        append_log(read_table(spark, path, ddl(types)).repartition(*LOG_FOLDERS), root)
+        for name in names:
+            gone += remove(spark, name)
+    return gone
 
 
 STORED_NARROW = {**NARROW_TYPES, "store": "string"}
@@ -147,7 +212,7 @@ def record_failure(
     message = F.lit(str(error))
     source = F.concat_ws("/", F.lit(layer), "store")
     append_rows(error_records(failed, error_type, message, source, run_id, at), layout.errors, ["failed_at"])
-    append_rows(ledger_rows(failed, layer, "failed", run_id, at), layout.ledger)
+    append_log(ledger_rows(failed, layer, "failed", run_id, at), layout.ledger)
     alerts = failed.select(
         F.col("dt").alias("partition_dt"),
         "store",

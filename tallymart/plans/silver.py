@@ -15,7 +15,7 @@ from ..operators.pivot import expected_wide_keys, to_wide_by_folder
 from ..operators.quality import alert_records, dq_gate, dq_run_all
 from ..operators.quarantine import DQ_BLOCK, SILVER_PROCESSING_ERROR, quarantine_frame
 from ..sources.tables import append_rows, in_partitions, overwrite_partitions, read_table
-from .layout import ALERT_TYPES, Layout, ledger_state, read_bronze, record_failure, register
+from .layout import ALERT_TYPES, Layout, append_log, ledger_state, read_bronze, record_failure, register
 
 LAYER = "silver"
 STAGED = {**WIDE_TYPES, "store": "string"}
@@ -94,7 +94,7 @@ def _record(layout: Layout, staged: Staged, narrow: DataFrame, run_id: str, at:
         F.when(blocked, F.col("in_count")).otherwise(F.lit(0)).alias("dlq_rows"),
         F.when(blocked, F.lit("failed")).otherwise(F.lit("succeeded")).alias("state"),
     )
-    append_rows(ledger_rows(counts, LAYER, F.col("state"), run_id, at), layout.ledger)
+    append_log(ledger_rows(counts, LAYER, F.col("state"), run_id, at), layout.ledger)
     alerts = alert_records(staged.gate).withColumn("raised_at", utc_stamp(at))
     append_rows(alerts.select(*ALERT_TYPES), layout.alerts)
 
@@ -111,9 +111,10 @@ def silver_build(
     """Build every partition whose Bronze run succeeded since its last Silver run.
 
     A partition that another run has started on and may still be working on is left alone.
-    ``force`` builds all partitions with a successful Bronze run. ``window`` limits the days.
+    ``force`` builds all partitions with a successful Bronze run. ``window`` limits the days, and the
+    ledger's folders that are read.
     """
-    state = ledger_state(spark, layout)
+    state = ledger_state(spark, layout, wants=window and (lambda day: window[0] <= day <= window[1]))
     if force:
         ready = state.where("layer = 'bronze' AND status = 'succeeded'")
     else:
@@ -128,7 +129,7 @@ def silver_build(
     if not todo:
         return
     wanted = spark.createDataFrame(todo, "dt date, store string")
-    append_rows(ledger_rows(wanted, LAYER, "running", run_id, at), layout.ledger)
+    append_log(ledger_rows(wanted, LAYER, "running", run_id, at), layout.ledger)
     narrow = read_bronze(spark, layout, todo)
     try:
         publish(spark, layout, narrow, run_id, at)
@@ -137,4 +138,4 @@ def silver_build(
         raise
     # Partitions without a Bronze row got no verdict: nothing to write, and done.
     empty = wanted.join(narrow.select(*PARTITION).distinct(), PARTITION, "left_anti")
-    append_rows(ledger_rows(empty, LAYER, "succeeded", run_id, at), layout.ledger)
+    append_log(ledger_rows(empty, LAYER, "succeeded", run_id, at), layout.ledger)

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..contracts import LOADED_AT, PARTITION, VERSIONED_TYPES, WIDE_TYPES, ddl
-from ..operators.loading import HISTORY_TYPES, load_history, load_on_error, stamp_load
-from ..sources.commits import CommitConflict, CommitLog, Live, read_folders, write_attempt
+from ..operators.loading import HISTORY_TYPES, ROW_INDEX, load_history, load_on_error, stamp_load
+from ..sources.commits import CommitConflict, CommitLog, Live, LiveFolder, read_folders, write_attempt
 from ..sources.drop import SOURCE_FILE
 from ..sources.manifest import file_manifest, plain_path, reload_missing
 from ..sources.tables import read_partitions
@@ -78,7 +78,8 @@ def _stored(types: dict[str, str]) -> str:
 
 
 def _named(rows: DataFrame) -> DataFrame:
-    return rows.select("*", plain_path(F.col("_metadata.file_path")).alias(SOURCE_FILE))
+    place = F.col("_metadata.row_index").alias(ROW_INDEX)
+    return rows.select("*", plain_path(F.col("_metadata.file_path")).alias(SOURCE_FILE), place)
 
 
 def append_load(
@@ -130,9 +131,9 @@ def read_history(spark: SparkSession, target: LoadTarget) -> DataFrame:
 
 
 def _publish(
-    rows: DataFrame, history: DataFrame | None, target: LoadTarget, batch_id: int, at: datetime, again: bool
+    rows: DataFrame, history: list[LiveFolder], target: LoadTarget, batch_id: int, at: datetime, again: bool
 ) -> list[date | None]:
-    """Write a batch and make it live; returns the days whose rows it changed.
+    """Write a batch's rows and make them live with its history; returns the days whose rows it changed.
 
     ``again``: what is live under the batch's number goes with the same commit. Otherwise the
     number has to be free.
@@ -140,8 +141,7 @@ def _publish(
     spark = rows.sparkSession
     numbered = F.lit(batch_id).cast("bigint").alias(BATCH)
     adds = write_attempt(rows.select(*VERSIONED_TYPES, numbered), target.table, VERSIONS, ["dt", BATCH])
-    if history is not None:
-        adds += write_attempt(history.select("*", numbered), target.history, HISTORY, [BATCH])
+    adds += history
     days = {a.dt for a in adds if a.part == VERSIONS}
 
     def own(live: Live) -> list[str]:
@@ -164,8 +164,12 @@ def _load_batch(
     limit: int | None,
     again: bool = True,
 ) -> list[date | None]:
-    loaded = stamp_load(load_on_error(rows, on_error, limit), at)
-    return _publish(loaded, load_history(rows, at, on_error, limit), target, batch_id, at, again)
+    """The history is written first: it has each file's errors, which decide what is loaded."""
+    history = load_history(rows, at, on_error, limit)
+    kept = write_attempt(history.withColumn(BATCH, F.lit(batch_id).cast("bigint")), target.history, HISTORY, [BATCH])
+    errors = read_folders(rows.sparkSession, target.history, kept, ddl(STORED_HISTORY))
+    loaded = stamp_load(load_on_error(rows, on_error, limit, errors=errors), at)
+    return _publish(loaded, kept, target, batch_id, at, again)
 
 
 def _not_reloaded(spark: SparkSession, batch: DataFrame, target: LoadTarget) -> DataFrame:
@@ -207,4 +211,4 @@ def append_batch(
 ) -> None:
     """Load a frame directly (first fill) as its own batch; loading it again replaces it."""
     stamped = stamp_load(rows, at) if LOADED_AT not in rows.columns else rows
-    _publish(stamped, None, target, batch_id, at, again=True)
+    _publish(stamped, [], target, batch_id, at, again=True)

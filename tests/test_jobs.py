@@ -13,6 +13,7 @@ from tallymart.plans.bronze import BronzeRun, bronze_build
 from tallymart.plans.layout import (
     ALERT_TYPES,
     Layout,
+    append_log,
     layer_state,
     ledger_state,
     read_bronze,
@@ -22,7 +23,6 @@ from tallymart.plans.layout import (
 )
 from tallymart.plans.silver import silver_build
 from tallymart.sources import folders
-from tallymart.sources.tables import append_rows
 
 RUN = BronzeRun("run-1", datetime(2024, 4, 25, 10), date(2024, 4, 25))
 NEXT = replace(RUN, run_id="run-2", at=datetime(2024, 4, 26, 10), as_of=date(2024, 4, 26))
@@ -90,7 +90,7 @@ def test_failed_partition_is_tried_again(spark, root):
     deliver(spark, layout, narrow_rows([1, 2, 3, 4]))
     bronze_build(spark, layout, RUN)
     failed = spark.createDataFrame([(DAY, "ios")], "dt date, store string")
-    append_rows(ledger_rows(failed, "bronze", "failed", "run-x", datetime(2024, 4, 25, 11)), layout.ledger)
+    append_log(ledger_rows(failed, "bronze", "failed", "run-x", datetime(2024, 4, 25, 11)), layout.ledger)
     bronze_build(spark, layout, NEXT)
     assert state(spark, layout)[DAY, "ios"].job_run_id == "run-2"
 
@@ -99,7 +99,7 @@ def test_running_partition_is_left_alone_until_its_lock_runs_out(spark, root):
     layout = Layout(root)
     deliver(spark, layout, narrow_rows([1, 2, 3, 4]))
     started = spark.createDataFrame([(DAY, "ios")], "dt date, store string")
-    append_rows(ledger_rows(started, "bronze", "running", "run-x", datetime(2024, 4, 25, 9)), layout.ledger)
+    append_log(ledger_rows(started, "bronze", "running", "run-x", datetime(2024, 4, 25, 9)), layout.ledger)
     bronze_build(spark, layout, RUN)
     assert state(spark, layout)[DAY, "ios"].job_run_id == "run-x"
     bronze_build(spark, layout, replace(RUN, at=datetime(2024, 4, 25, 11, 1)))

@@ -15,10 +15,10 @@ from tallymart.operators import audits
 from tallymart.operators.ledger import ledger_rows
 from tallymart.plans import upkeep
 from tallymart.plans.bronze import BronzeRun, bronze_build
-from tallymart.plans.layout import Layout, layer_state, read_bronze, read_silver
+from tallymart.plans.layout import Layout, append_log, layer_state, read_bronze, read_silver
 from tallymart.plans.silver import silver_build, stage_and_check
 from tallymart.sources.manifest import file_manifest
-from tallymart.sources.tables import append_rows, overwrite_partitions, read_partitions
+from tallymart.sources.tables import overwrite_partitions, read_partitions
 from tallymart.streaming import append_load as load
 
 STORES = ["ios", "ios,eu", "a}b", "{a", "01", "a+b c", "a:b%", None]
@@ -96,7 +96,7 @@ def test_silver_leaves_a_partition_of_a_running_run_alone(spark, root):
     write_part(drop_frame(spark, narrow_rows([1, 2, 3, 4])), layout.drop)
     bronze_build(spark, layout, RUN)
     busy = spark.createDataFrame([(DAY, "ios")], "dt date, store string")
-    append_rows(ledger_rows(busy, "silver", "running", "other", RUN.at), layout.ledger)
+    append_log(ledger_rows(busy, "silver", "running", "other", RUN.at), layout.ledger)
     silver_build(spark, layout, "silver-1", RUN.at)
     assert {r.job_run_id for r in layer_state(spark, layout, "silver").collect()} == {"other"}
 
