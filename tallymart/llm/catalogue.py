@@ -57,7 +57,8 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.near_components(read(spark, sf_dir, "documents"), spark)
+    found = jaccard_join.near_components(read(spark, sf_dir, "documents"), spark)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -130,12 +130,19 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
+#: A prime below 2**31 and a base for it; words whose hashes modulo 2**64 agree differ here.
+PRIME, PRIME_BASE = (1 << 31) - 1, 1_355_072_483
+#: Bytes that are summed up before the sum is taken modulo the prime.
+PRIME_RUN = 1 << 22
+
+
 class Powers:
-    """Powers of an odd base and of its inverse modulo 2**64, as many as were needed so far."""
+    """Powers of an odd base and of its inverse, modulo 2**64 and modulo a prime, as many as were needed so far."""
 
     def __init__(self, base: int = BASE) -> None:
         self.base, self.inverse = base, pow(base, -1, 1 << 64)
         self.up = self.down = np.ones(1, np.uint64)
+        self.prime_up = self.prime_down = np.ones(1, np.int64)
 
     def first(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         while len(self.up) < n:
@@ -145,10 +152,35 @@ class Powers:
             self.down = np.concatenate([self.down, self.down * back])
         return self.up[:n], self.down[:n]
 
+    def first_of_prime(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        while len(self.prime_up) < n:
+            have = len(self.prime_up)
+            step, back = pow(PRIME_BASE, have, PRIME), pow(PRIME_BASE, -have, PRIME)
+            self.prime_up = np.concatenate([self.prime_up, self.prime_up * step % PRIME])
+            self.prime_down = np.concatenate([self.prime_down, self.prime_down * back % PRIME])
+        return self.prime_up[:n], self.prime_down[:n]
+
+
+def prime_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers) -> np.ndarray:
+    """A 31-bit hash of each span, as a polynomial modulo the prime."""
+    up, down = powers.first_of_prime(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.int64)
+    for a in range(0, len(data), PRIME_RUN):
+        own = data[a : a + PRIME_RUN]
+        np.cumsum((own.astype(np.int64) + 1) * up[a : a + len(own)], out=sums[a + 1 : a + 1 + len(own)])
+        if a:
+            sums[a + 1 : a + 1 + len(own)] += sums[a] % PRIME
+    return (sums[ends] % PRIME - sums[starts] % PRIME) % PRIME * down[starts] % PRIME
+
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers) -> np.ndarray:
-    """A 64-bit hash of each span of the bytes; equal bytes give equal hashes wherever they stand."""
+    """A 64-bit hash of each span of the bytes; equal bytes give equal hashes wherever they stand.
+
+    Made of polynomials modulo 2**64 and modulo a prime. The first alone is the same for some long
+    words in Thue-Morse order, whatever its base.
+    """
     up, down = powers.first(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    plain = (sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)
+    return mixed(plain ^ mixed(prime_hashes(data, starts, ends, powers).astype(np.uint64) + np.uint64(BASE)))

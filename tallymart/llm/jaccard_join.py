@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallymart.llm.common import (
@@ -47,7 +47,9 @@ STEPS = (np.arange(1, 65, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np
 
 
 def near_components(docs: DataFrame, spark: SparkSession, words: int = WORDS, over: int = OVER, under: int = UNDER) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest id reachable).
+    """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest id reachable), and
+    component, name_a, name_b: a number of the component of its own, also where ids repeat or are
+    null, and 128 bits of the text.
 
     Words are runs without white space, A-Z in lower case. A text of fewer words than an n-gram
     has is one n-gram; a null text or one without words has none and is linked with nothing.
@@ -57,12 +59,14 @@ def near_components(docs: DataFrame, spark: SparkSession, words: int = WORDS, ov
     digests and sizes.
     """
     rows = documents(docs)
-    seen = rows.mapInArrow(
-        lambda batches: profiles(batches, words), "doc_id long, n long, cls long, gram long, texts long"
+    named_rows = rows.select("doc_id", "text", *text_names(F.col("text")))
+    seen = named_rows.mapInArrow(
+        lambda batches: profiles(batches, words),
+        "doc_id long, name_a long, name_b long, n long, cls long, gram long, texts long",
     )
     seen = staged(seen, "profiles", spark)
     common = spark.sparkContext.broadcast(common_grams(seen))
-    sets = seen.where("gram is null").select("doc_id", "n", "cls")
+    sets = seen.where("gram is null").select("doc_id", "n", "cls", "name_a", "name_b")
     classes = sets.where("n > 0").groupBy("cls").agg(
         F.min("doc_id").alias("doc_id"), F.count("*").alias("members"), F.first("n").alias("n")
     )
@@ -93,17 +97,48 @@ def near_components(docs: DataFrame, spark: SparkSession, words: int = WORDS, ov
     of_class = classes.join(roots, F.col("cls") == F.col("node"), "left").select("cls", "doc_id", "members", own_root)
     least = of_class.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.sum("members").alias("reached"))
     least = staged(least.where("reached > 1").drop("reached").withColumnRenamed("root", "top"), "least-ids", spark)
-    known = of_class.join(least, F.col("root") == F.col("top")).select(F.col("cls").alias("known"), "component_id")
+    known = of_class.join(least, F.col("root") == F.col("top")).select(F.col("cls").alias("known"), "component_id", F.col("top").alias("joined"))
     known = staged(known, "component-ids", spark)
     return sets.join(known, F.col("cls") == F.col("known"), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.coalesce("component_id", "doc_id").alias("component_id"),
+        F.coalesce("joined", "cls").alias("component"),
+        "name_a",
+        "name_b",
     )
 
 
+def text_names(text: Column) -> list[Column]:
+    """128 bits that tell texts under one id apart."""
+    return [F.xxhash64(text).alias("name_a"), F.xxhash64(F.lit(13), text).alias("name_b")]
+
+
 def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's, with all their columns."""
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_llm_id")).distinct()
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_llm_id")), "left_semi")
+    """Exactly one row of ``docs`` of each component, with all its columns.
+
+    It is the one with the smallest id, null last, and of several the first by its text's hash.
+    Texts without words are linked with nothing and all stay. Only rows that agree in id and text
+    are told apart by their places, so nothing else has to be gathered.
+    """
+    name = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "name_a", "name_b")
+    first = found.where("n_shingles > 0").groupBy("component").agg(F.min(name).alias("stays"))
+    lone = found.where("n_shingles = 0").select("doc_id", "name_a", "name_b").distinct()
+    stay = first.select("stays.doc_id", "stays.name_a", "stays.name_b", F.lit(True).alias("once"))
+    stay = stay.union(lone.withColumn("once", F.lit(False)))
+    rows = found.groupBy("doc_id", "name_a", "name_b").agg(F.count("*").alias("copies"))
+    same = stay.doc_id.eqNullSafe(rows.doc_id) & (stay.name_a == rows.name_a) & (stay.name_b == rows.name_b)
+    stay = stay.join(rows, same).select(
+        stay.doc_id.alias("_llm_id"), stay.name_a.alias("_llm_a"), stay.name_b.alias("_llm_b"),
+        (F.col("once") & (F.col("copies") > 1)).alias("_llm_cut"),
+    )
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    own = docs.withColumns(dict(zip(("_own_a", "_own_b"), text_names(text))))
+    match = own["doc_id"].cast("long").eqNullSafe(F.col("_llm_id")) & (F.col("_own_a") == F.col("_llm_a")) & (F.col("_own_b") == F.col("_llm_b"))
+    kept = own.join(stay, match)
+    turn = F.row_number().over(Window.partitionBy("_llm_id", "_llm_a", "_llm_b").orderBy(F.lit(1)))
+    cut = kept.where("_llm_cut").withColumn("_llm_turn", turn).where("_llm_turn = 1")
+    return kept.where("not _llm_cut").select(*docs.columns).union(cut.select(*docs.columns))
 
 
 def common_grams(seen: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -247,6 +282,9 @@ class Tally:
         self.new, self.waiting = [], 0
 
 
+PROFILE = ["doc_id", "name_a", "name_b", "n", "cls", "gram", "texts"]
+
+
 def profiles(batches, words: int):
     """A row for each text, and for each task the n-grams that several of its texts share."""
     powers, tally = Powers(), Tally()
@@ -260,15 +298,13 @@ def profiles(batches, words: int):
         nothing = pa.nulls(len(sizes), pa.int64())
         own_class = pa.array(np.concatenate(classes) if classes else [], pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sizes, pa.int64()), own_class, nothing, nothing],
-            names=["doc_id", "n", "cls", "gram", "texts"],
+            [*[batch.column(c) for c in PROFILE[:3]], pa.array(sizes, pa.int64()), own_class, nothing, nothing], names=PROFILE
         )
     tally.settle()
     often = tally.counts >= REPORTED
     empty = pa.nulls(int(often.sum()), pa.int64())
     yield pa.RecordBatch.from_arrays(
-        [empty, empty, empty, pa.array(tally.grams[often].view(np.int64)), pa.array(tally.counts[often])],
-        names=["doc_id", "n", "cls", "gram", "texts"],
+        [*[empty] * 5, pa.array(tally.grams[often].view(np.int64)), pa.array(tally.counts[often])], names=PROFILE
     )
 
 

@@ -9,7 +9,9 @@ packed by one task; what the blocks could not fill is packed once more together.
 from __future__ import annotations
 
 import math
+import sys
 import zlib
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -139,10 +141,12 @@ class UnitTokens:
     """Token ids of units of text, which no token crosses, encoded once each and looked up by hash.
 
     A unit ends where white space is, or between an ASCII letter and an ASCII sign or digit
-    other than the apostrophe: there the tokenizer's own word pattern always splits.
+    other than the apostrophe: there the tokenizer's own word pattern always splits. Units are
+    numbered as they come. A table with a place for each low part of a hash finds nearly all of
+    them at once; those whose place is taken are in a dictionary.
     """
 
-    def __init__(self, path: str, most: int = 1_000_000) -> None:
+    def __init__(self, path: str, most: int = 1_000_000, bits: int = 21) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most, self.powers = Tokenizer.from_file(path), most, Powers()
@@ -150,10 +154,21 @@ class UnitTokens:
         for token, number in self.tokenizer.get_vocab().items():
             self.ends[number] = token.endswith("</w>")
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.mask = np.uint64((1 << bits) - 1)
         self.clear()
 
+    @classmethod
+    def of_worker(cls, path: str) -> UnitTokens:
+        """The table of this Python worker, kept from task to task; bounded by ``most`` units."""
+        kept = sys.modules.setdefault("_tallymart_kept_units", ModuleType("_tallymart_kept_units")).__dict__
+        if path not in kept:
+            kept[path] = cls(path)
+        return kept[path]
+
     def clear(self) -> None:
-        self.known = np.zeros(0, np.uint64)
+        self.at_place = np.full(int(self.mask) + 1, -1, np.int32)
+        self.hash_at = np.zeros(int(self.mask) + 1, np.uint64)
+        self.others: dict[int, int] = {}
         self.starts = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
@@ -162,7 +177,6 @@ class UnitTokens:
 
     def learn(self, hashes: np.ndarray, texts: list[str]) -> None:
         """Adds units that are not known. Plain words are encoded many at a time."""
-        counts = np.zeros(len(texts), np.int64)
         lists: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
         plain = [k for k, x in enumerate(texts) if x.isascii() and x.isalpha()]
         for k in set(range(len(texts))).difference(plain):
@@ -173,17 +187,32 @@ class UnitTokens:
             stops = np.flatnonzero(self.ends[ids]) + 1
             for k, x in zip(own, np.split(ids, stops[:-1])):
                 lists[k] = x
-        counts[:] = [len(x) for x in lists]
+        number = len(self.starts) - 1 + np.arange(len(texts))
         self.ids = np.concatenate([self.ids, *lists])
-        sizes = np.concatenate([np.diff(self.starts), counts])
-        begins = np.concatenate([self.starts[:-1], self.starts[-1] + np.cumsum(counts) - counts])
-        known = np.concatenate([self.known, hashes])
-        order = np.argsort(known)
-        self.known, begins, sizes = known[order], begins[order], sizes[order]
-        # Ids are laid out anew, in order of the hashes.
-        starts = np.concatenate([[0], np.cumsum(sizes)])
-        self.ids = self.ids[np.repeat(begins - starts[:-1], sizes) + np.arange(starts[-1])]
-        self.starts = starts
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(x) for x in lists], dtype=np.int64)])
+        place = (hashes & self.mask).astype(np.int64)
+        _, first = np.unique(place, return_index=True)
+        free = np.zeros(len(texts), bool)
+        free[first] = self.at_place[place[first]] < 0
+        self.at_place[place[free]], self.hash_at[place[free]] = number[free], hashes[free]
+        self.others.update(zip(hashes[~free].tolist(), number[~free].tolist()))
+
+    def numbers(self, hashes: np.ndarray, lower: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The number of each unit; new ones are learnt."""
+        place = (hashes & self.mask).astype(np.int64)
+        found = self.at_place[place].astype(np.int64)
+        missed = np.flatnonzero((self.hash_at[place] != hashes) | (found < 0))
+        if not len(missed):
+            return found
+        distinct, where, which = np.unique(hashes[missed], return_index=True, return_inverse=True)
+        number = np.array([self.others.get(h, -1) for h in distinct.tolist()], np.int64)
+        fresh = np.flatnonzero(number < 0)
+        if len(fresh):
+            spans = zip(begins[missed[where[fresh]]].tolist(), ends[missed[where[fresh]]].tolist())
+            number[fresh] = len(self.starts) - 1 + np.arange(len(fresh))
+            self.learn(distinct[fresh], [lower[a:b].tobytes().decode() for a, b in spans])
+        found[missed] = number[which]
+        return found
 
     def tokens(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each has."""
@@ -191,22 +220,16 @@ class UnitTokens:
         begins, ends = unit_bounds(lower, starts)
         if not len(begins):
             return np.zeros(0, np.uint32), np.zeros(len(starts) - 1, np.int64)
-        hashes = span_hashes(lower, begins, ends, self.powers)
-        distinct, place, which = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.known) > self.most:
+        if len(self.starts) > self.most:
             self.clear()
-        new = ~np.isin(distinct, self.known, assume_unique=True)
-        raw = lower.tobytes()
-        fresh = [raw[a:b].decode() for a, b in zip(begins[place[new]].tolist(), ends[place[new]].tolist())]
-        if fresh:
-            self.learn(distinct[new], fresh)
-        slot = np.searchsorted(self.known, distinct)
-        sizes = (self.starts[1:] - self.starts[:-1])[slot][which]
-        first = self.starts[:-1][slot][which]
-        at = np.cumsum(sizes) - sizes
-        ids = self.ids[np.repeat(first - at, sizes) + np.arange(int(sizes.sum()))]
-        of = np.searchsorted(starts, begins, side="right") - 1
-        return ids, np.bincount(of, weights=sizes, minlength=len(starts) - 1).astype(np.int64)
+        number = self.numbers(span_hashes(lower, begins, ends, self.powers), lower, begins, ends)
+        first, last = self.starts[number], self.starts[number + 1]
+        sizes = last - first
+        upto = np.cumsum(sizes)
+        ids = self.ids[np.repeat(first - (upto - sizes), sizes) + np.arange(int(upto[-1]))]
+        # Units stand in order, so each text's are a stretch of them.
+        edges = np.concatenate([[0], upto])[np.searchsorted(begins, starts)]
+        return ids, np.diff(edges)
 
 
 SPACE, LETTER, SIGN, OTHER = range(4)
@@ -233,7 +256,7 @@ def unit_bounds(lower: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def token_pieces(batches, path: str, capacity: int, end_id: int):
-    units = UnitTokens(path)
+    units = UnitTokens.of_worker(path)
     for batch in batches:
         doc_id, row = np.asarray(batch.column("doc_id").fill_null(0)), np.asarray(batch.column("row"))
         absent = np.asarray(batch.column("doc_id").is_null())

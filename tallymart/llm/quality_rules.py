@@ -6,6 +6,7 @@ row leaves the JVM and nothing is shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -63,7 +64,7 @@ def counts(docs: DataFrame, stop_words: list[str] = STOP_WORDS, window: int = WI
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE_RE))
     lines = F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
     rows = documents(docs).select("doc_id", "text", words.alias("words"), lines.alias("lines"))
-    rows = rows.select(
+    return rows.select(
         "doc_id",
         F.size("words").cast("long").alias("n_words"),
         F.aggregate("words", F.lit(0).cast("long"), lambda n, w: n + F.length(w)).alias("word_chars"),
@@ -72,31 +73,53 @@ def counts(docs: DataFrame, stop_words: list[str] = STOP_WORDS, window: int = WI
         F.size(F.filter("words", lambda w: F.lower(w).isin(stop_words))).cast("long").alias("n_stop_words"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
+        repeated_words(F.col("words"), window).alias("n_repeat_words"),
     )
-    # Windows as hashes of word hashes; only texts in which one comes twice look for where.
-    places = F.sequence(F.lit(0), F.col("n_words").cast("int") - window)
-    own = F.transform(places, lambda i: F.xxhash64(*[F.get("hashes", i + k) for k in range(window)]))
-    windows = F.when(F.col("n_words") >= window, own).otherwise(F.array().cast("array<bigint>"))
-    rows = rows.select("*", windows.alias("windows")).drop("hashes")
-    twice = F.size(F.array_distinct("windows")) < F.size("windows")
-    ordered = F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    rows = rows.select("*", F.when(twice, ordered).alias("ordered")).drop("windows")
-
-    def shared(x: Column, k: Column) -> Column:
-        return F.coalesce(F.get("ordered", k - 1)["h"] == x["h"], F.lit(False)) | F.coalesce(
-            F.get("ordered", k + 1)["h"] == x["h"], F.lit(False)
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once.
+
+    Inside, it is a variable. A filter on a result brings the whole expression down to the scan;
+    a value that was a column of an earlier step would there be written out, and computed, in
+    every turn of the loops that look into it.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def repeated_words(words: Column, window: int) -> Column:
+    """Words in windows that come twice or more in the text.
+
+    Windows are hashes of word hashes; only texts in which one comes twice look for where.
+    """
+    none = F.array().cast("array<bigint>")
+
+    def windows(hashes: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(hashes) - window)
+        own = F.transform(places, lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(window)]))
+        return F.when(F.size(hashes) >= window, own).otherwise(none)
+
+    def covered(ordered: Column) -> Column:
+        def shared(x: Column, k: Column) -> Column:
+            return F.coalesce(F.get(ordered, k - 1)["h"] == x["h"], F.lit(False)) | F.coalesce(
+                F.get(ordered, k + 1)["h"] == x["h"], F.lit(False)
+            )
+
+        starts = F.sort_array(F.transform(F.filter(ordered, shared), lambda x: x["i"]))
+        nothing = F.struct(F.lit(-window).alias("last"), F.lit(0).cast("long").alias("n"))
+        return F.aggregate(
+            starts,
+            nothing,
+            lambda s, i: F.struct(i.alias("last"), (s["n"] + F.least(F.lit(window), i - s["last"])).alias("n")),
+            lambda s: s["n"],
         )
 
-    starts = F.sort_array(F.transform(F.filter("ordered", shared), lambda x: x["i"]))
-    nothing = F.struct(F.lit(-window).alias("last"), F.lit(0).cast("long").alias("n"))
-    covered = F.aggregate(
-        starts,
-        nothing,
-        lambda s, i: F.struct(i.alias("last"), (s["n"] + F.least(F.lit(window), i - s["last"])).alias("n")),
-        lambda s: s["n"],
-    )
-    return rows.select("*", F.coalesce(covered, F.lit(0).cast("long")).alias("n_repeat_words")).drop("ordered")
+    def counted(own: Column) -> Column:
+        ordered = F.sort_array(F.transform(own, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        twice = F.size(F.array_distinct(own)) < F.size(own)
+        return F.when(twice, bound(ordered, covered)).otherwise(F.lit(0).cast("long"))
+
+    return bound(bound(F.transform(words, lambda w: F.xxhash64(w)), windows), counted)
 
 
 def judge(docs: DataFrame, base: tuple[Rule, ...] = BASE, rules: tuple[Rule, ...] = RULES) -> DataFrame:

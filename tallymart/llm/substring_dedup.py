@@ -34,7 +34,7 @@ def remove_repeated_chunks(
     """One row per row of ``docs``: doc_id, n_bytes, n_chunks, n_removed, n_spans, spans, kept_text.
 
     A chunk is a repeat if it begins earlier too: in a text with a smaller doc_id, or earlier in
-    its own; null ids come last. Different texts under one id are ordered by a hash; rows that
+    its own; null ids come last. Different texts under one id are ordered by a 64-bit hash; rows that
     repeat id and text are one text and get one result. Neighbouring repeats make a run, and
     runs of at least ``least_run`` bytes are removed; ``spans`` are those runs, begin and end in
     UTF-8 bytes, ``kept_text`` is the rest, as bytes (null where not asked for). A null or empty
@@ -42,11 +42,11 @@ def remove_repeated_chunks(
     """
     last = F.lit((1 << 63) - 1)
     rows = documents(docs).select(
-        "doc_id", F.coalesce("doc_id", last).alias("id"), F.hash("text").alias("hash"), "text"
+        "doc_id", F.coalesce("doc_id", last).alias("id"), F.xxhash64("text").alias("hash"), "text"
     )
     key = ["id", "hash"]
     chunks = rows.select(*key, "text").mapInArrow(
-        lambda b: chunk_rows(b, cutter), "high long, low long, id long, hash int, number int, again boolean"
+        lambda b: chunk_rows(b, cutter), "high long, low long, id long, hash long, number int, again boolean"
     )
     seen = chunks.where("not again").groupBy("high", "low").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.min("hash").alias("a"), F.max("hash").alias("b"))
     seen = seen.where("first_id <> last_id or a <> b").select("high", "low", "first_id")

@@ -99,7 +99,7 @@ def remove_repeats(
     Texts are UTF-8 bytes. A byte goes if a string of ``length`` bytes over it also starts
     earlier: in a text with a smaller doc_id, or earlier in its own. Null texts are empty, and a
     text shorter than ``length`` loses nothing. A null id is larger than all others. Different
-    texts under one id are ordered by a hash; rows that repeat id and text are one text and get
+    texts under one id are ordered by a 64-bit hash; rows that repeat id and text are one text and get
     one result. ``kept_text`` is what stays, as bytes (null where not asked for); ``spans`` are
     the removed runs, begin and end. Long texts are taken whole. An empty table gives no rows.
     Strings are compared by 64-bit buckets of the q-gram and 64 bits more of what stands around
@@ -107,7 +107,7 @@ def remove_repeats(
     """
     last = F.lit((1 << 63) - 1)
     rows = documents(docs).select(
-        "doc_id", F.coalesce("doc_id", last).alias("id"), F.hash("text").alias("hash"), "text"
+        "doc_id", F.coalesce("doc_id", last).alias("id"), F.xxhash64("text").alias("hash"), "text"
     )
     key = ["id", "hash"]
     found = rows.select("text").mapInArrow(lambda b: anchor_buckets(b, length, gram), "bucket long, n long")
@@ -116,7 +116,7 @@ def remove_repeats(
 
     placed = rows.select(*key, "text").mapInArrow(
         lambda b: anchor_rows(b, length, gram),
-        "bucket long, around long, left long, right long, id long, hash int, place int, own boolean",
+        "bucket long, around long, left long, right long, id long, hash long, place int, own boolean",
     )
     placed = staged(sifted(placed, many, ["bucket"]).join(many, "bucket"), "anchors", spark)
     classes = placed.where("own").groupBy("bucket", "around").agg(
@@ -146,11 +146,11 @@ def remove_repeats(
     looked = sifted(rows.select(*key, "text"), firsts, key).join(firsts, key).dropDuplicates(key)
     looked = looked.mapInArrow(
         lambda b: context_rows(b, length, gram),
-        "half long, before boolean, part int, parts int, id long, hash int, place int, lead int, bytes binary",
+        "half long, before boolean, part int, parts int, id long, hash long, place int, lead int, bytes binary",
     )
     meeting = ["half", "before", "part"]
     strings = looked.repartition(*meeting).sortWithinPartitions(*meeting, "id", "hash", "place").mapInArrow(
-        lambda b: string_rows(b, length, gram), "high long, low long, id long, hash int, begin int"
+        lambda b: string_rows(b, length, gram), "high long, low long, id long, hash long, begin int"
     )
     strings = staged(strings, "strings", spark)
     some = strings.where("high is not null")
@@ -236,7 +236,7 @@ def context_rows(batches, length: int, gram: int):
                     low = max(0, place - rest)
                     part = (doc_id * 31 + place) % x["parts"]
                     out.append((x["half"], x["before"], part, x["parts"], doc_id, salt, place, place - low, raw[low : place + length]))
-            kinds = [pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+            kinds = [pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
             names = ["half", "before", "part", "parts", "id", "hash", "place", "lead", "bytes"]
             columns = zip(*out) if out else [[]] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
