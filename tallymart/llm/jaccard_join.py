@@ -43,6 +43,11 @@ MOST_COMMON = 1 << 20
 REPORTED = 3
 #: Rounds against single rows before the exact one; they save work and change no result.
 ROUNDS = 3
+#: Further rounds at most, for columns in which so many components are left; rows that share a
+#: head in them. All pairs of components that are left meet in the end, however many there are.
+MOST_ROUNDS, HEAVY, SHARE = 12, 48, 12
+#: Share of the pairs of a further round that have to be links for another one to be worth it.
+WORTH = 0.05
 STEPS = (np.arange(1, 65, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
 
 
@@ -73,12 +78,12 @@ def near_components(docs: DataFrame, spark: SparkSession, words: int = WORDS, ov
     classes = staged(classes, "classes", spark)
 
     firsts = rows.select("text").mapInArrow(
-        lambda batches: postings(batches, words, over, under, common.value), "gram long, cls long, n long"
+        lambda batches: postings(batches, words, over, under, common.value), "gram long, cls long, n long, place int"
     )
     shared = firsts.groupBy("gram").agg(F.min("cls").alias("low"), F.max("cls").alias("high"))
     shared = staged(shared.where("low < high").select("gram"), "shared-grams", spark)
     matrix = staged(
-        firsts.join(shared, "gram").groupBy("gram", "cls").agg(F.first("n").alias("n")), "matrix", spark
+        firsts.join(shared, "gram").groupBy("gram", "cls").agg(F.first("n").alias("n"), F.first("place").alias("place")), "matrix", spark
     )
     roots = spark.createDataFrame([], "node long, root long")
     links = spark.createDataFrame([], "a long, b long")
@@ -88,7 +93,22 @@ def near_components(docs: DataFrame, spark: SparkSession, words: int = WORDS, ov
             break
         links = staged(links.union(counted(pairs, rows, classes, words, over, under, spark)), "links", spark)
         roots = components(links, spark)
-    pairs = staged(cross_pairs(open_columns(matrix, roots, spark), over, under), "cross-pairs", spark)
+    rows_left = open_columns(matrix, roots, spark)
+    for turn in range(ROUNDS, MOST_ROUNDS):
+        heavy = staged(heavy_rows(rows_left), "heavy-rows", spark)
+        if heavy.isEmpty():
+            break
+        pairs = staged(dealt_pairs(heavy, turn, over, under), "dealt-pairs", spark)
+        found = staged(counted(pairs, rows, classes, words, over, under, spark), "dealt-links", spark)
+        some = found.count()
+        if not some:
+            break
+        links = links.union(found)
+        roots = components(links, spark)
+        rows_left = open_columns(matrix, roots, spark)
+        if some < WORTH * pairs.count():
+            break
+    pairs = staged(cross_pairs(rows_left, over, under), "cross-pairs", spark)
     if not pairs.isEmpty():
         links = staged(links.union(counted(pairs, rows, classes, words, over, under, spark)), "links", spark)
         roots = components(links, spark)
@@ -151,9 +171,9 @@ def common_grams(seen: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def open_columns(matrix: DataFrame, roots: DataFrame, spark: SparkSession) -> DataFrame:
-    """gram, cls, n, root of the columns that hold several components so far."""
+    """gram, cls, n, place, root of the columns that hold several components so far."""
     placed = matrix.join(roots, F.col("cls") == F.col("node"), "left").select(
-        "gram", "cls", "n", F.coalesce("root", "cls").alias("root")
+        "gram", "cls", "n", "place", F.coalesce("root", "cls").alias("root")
     )
     placed = staged(placed, "placed", spark)
     split = placed.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high"))
@@ -174,16 +194,51 @@ def head_pairs(open_rows: DataFrame, turn: int, over: int, under: int) -> DataFr
     return pairs.where(possible(over, under)).select("a", "b")
 
 
+def heavy_rows(open_rows: DataFrame) -> DataFrame:
+    """Rows of the columns that hold very many components, with the number of rows of each column."""
+    per_column = open_rows.groupBy("gram", "root").agg(F.count("*").alias("n")).groupBy("gram").agg(
+        F.sum("n").alias("held"), F.count("*").alias("roots")
+    )
+    return open_rows.join(per_column.where(F.col("roots") > HEAVY).select("gram", "held"), "gram")
+
+
+def dealt_pairs(heavy: DataFrame, turn: int, over: int, under: int) -> DataFrame:
+    """Each row with the head of some rows of its column that are dealt out by chance.
+
+    Where a fair part of a column's rows are near copies of each other, but none of all, a few such
+    rounds join most of them: a component meets as many heads as it has rows.
+    """
+    parts = F.ceil(F.col("held") / SHARE)
+    rows = heavy.withColumn("part", F.pmod(F.xxhash64("cls", F.lit(turn)), parts))
+    order = F.xxhash64("cls", F.lit(turn + 1))
+    heads = rows.groupBy("gram", "part").agg(
+        F.min_by("cls", order).alias("b"), F.min_by("n", order).alias("n_b"), F.min_by("root", order).alias("root_b")
+    )
+    return met_pairs(rows.join(heads, ["gram", "part"]), over, under)
+
+
+def met_pairs(met: DataFrame, over: int, under: int) -> DataFrame:
+    pairs = met.where("root <> root_b").groupBy(F.col("cls").alias("a"), "b").agg(
+        F.count("*").alias("common"), F.first("n").alias("n_a"), F.first("n_b").alias("n_b")
+    )
+    return pairs.where(sizes_fit(over, under)).select("a", "b")
+
+
 def cross_pairs(open_rows: DataFrame, over: int, under: int) -> DataFrame:
-    """All pairs of different components that enough columns hold: from a row to the other
-    components of its column, and from there to their rows."""
+    """All pairs of different components that could be links: from a row to the other components of
+    its column, and from there to their rows.
+
+    A pair is taken from the first column it has in common. All n-grams before it are then in one
+    of the two sets only, so a column that stands too far behind in either cannot be the first of
+    a link. That leaves out most of what a passage in very many documents would bring together.
+    """
     meets = open_rows.select("gram", F.col("root").alias("root_b")).distinct()
-    left = open_rows.toDF("gram", "a", "n_a", "root_a").join(meets, "gram").where("root_a < root_b")
-    across = left.join(open_rows.toDF("gram", "b", "n_b", "root_b"), ["gram", "root_b"])
-    across = across.where(sizes_fit(over, under)).groupBy("a", "b").agg(
-        F.count("*").alias("common"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b")
-    )
-    return across.where(possible(over, under)).select("a", "b")
+    left = open_rows.select("gram", F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("place").alias("p_a"), F.col("root").alias("root_a"))
+    right = open_rows.select("gram", F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("place").alias("p_b"), F.col("root").alias("root_b"))
+    needed_both = F.ceil(F.lit(under) * (F.col("n_a") + F.col("n_b")) / F.lit(float(over + under)) - F.lit(1e-9))
+    early = F.least(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b")) >= needed_both
+    across = left.join(meets, "gram").where("root_a < root_b").join(right, ["gram", "root_b"])
+    return across.where(sizes_fit(over, under) & early).select("a", "b").distinct()
 
 
 def sizes_fit(over: int, under: int) -> Column:
@@ -335,8 +390,9 @@ def postings(batches, words: int, over: int, under: int, common: tuple[np.ndarra
                     pa.array(np.concatenate(chosen).view(np.int64)),
                     pa.array(np.repeat(classes[once], counts)),
                     pa.array(np.repeat([len(sets[k]) for k in once], counts).astype(np.int64)),
+                    pa.array(np.concatenate([np.arange(n, dtype=np.int32) for n in counts])),
                 ],
-                names=["gram", "cls", "n"],
+                names=["gram", "cls", "n", "place"],
             )
 
 
