@@ -148,18 +148,20 @@ def pairs_kernel(words: np.ndarray, marks: np.ndarray) -> np.ndarray:
 def self_kernel(words: np.ndarray) -> np.ndarray:
     """Kernel of each word with itself."""
     n, length = words.shape
-    once, twice = (np.zeros((length, n), np.float32) for _ in range(2))
-    total, square = np.zeros(n, np.float32), DECAY * DECAY
+    # What is shared before a place, each step back counting less.
+    back = np.arange(length)[None, :] - np.arange(length)[:, None] - 1
+    before = np.where(back >= 0, DECAY ** np.maximum(back, 0), 0).astype(np.float32)
+    once, twice = (np.zeros((n, length), np.float32) for _ in range(2))
+    total, square, letter = np.zeros(n, np.float32), DECAY * DECAY, words != GAP
     for i in range(length):
-        run_1 = run_2 = np.zeros(n, np.float32)
-        for j in range(length):
-            same = ((words[:, i] == words[:, j]) & (words[:, i] != GAP)).astype(np.float32)
-            old_1, old_2 = once[j].copy(), twice[j].copy()
-            once[j] = once[j] * DECAY + run_1
-            twice[j] = twice[j] * DECAY + run_2
-            total += same * old_2
-            run_1 = run_1 * DECAY + same * square
-            run_2 = run_2 * DECAY + same * old_1 * square
+        same = ((words == words[:, i : i + 1]) & letter & letter[:, i : i + 1]).astype(np.float32)
+        total += np.einsum("ij,ij->i", same, twice)
+        same *= square
+        run_1, run_2 = same @ before, (same * once) @ before
+        once *= DECAY
+        once += run_1
+        twice *= DECAY
+        twice += run_2
     return total * square
 
 
@@ -176,20 +178,42 @@ def scaled_kernel(words: list[bytes], marks: list[bytes]) -> np.ndarray:
     table = np.zeros((len(marks), max(map(len, marks))), np.uint8)
     for k, mark in enumerate(marks):
         table[k, : len(mark)] = np.frombuffer(mark, np.uint8)
-    own = np.array([self_kernel(np.frombuffer(x, np.uint8)[None, :])[0] for x in marks])
-    for length in np.unique(lengths[(lengths >= 3) & (lengths <= LONGEST)]).tolist():
-        rows = np.flatnonzero(lengths == length)
-        for k in range(0, len(rows), 256):
-            part = rows[k : k + 256]
-            block = np.frombuffer(b"".join([words[r] for r in part.tolist()]), np.uint8).reshape(-1, length)
-            norm = np.sqrt(np.maximum(self_kernel(block)[:, None] * own[None, :], 1e-12))
-            out[part] = pairs_kernel(block, table) / norm
-    for r in np.flatnonzero(lengths > LONGEST).tolist():
-        parts = [words[r][k : k + LONGEST] for k in range(0, len(words[r]) - LONGEST // 2, LONGEST // 2)]
-        out[r] = scaled_kernel(parts, marks).max(axis=0)
+    own = np.array([self_value(x) for x in marks])
+    # Gaps at the end are like nothing and change no value, so words of near lengths go together.
+    padded = np.array(PADDED)
+    group = np.searchsorted(padded, lengths)
+    for g in np.unique(group[(lengths >= 3) & (lengths <= LONGEST)]).tolist():
+        rows = np.flatnonzero((group == g) & (lengths >= 3))
+        raw = b"".join([words[r].ljust(PADDED[g], b".") for r in rows.tolist()])
+        table_of = np.frombuffer(raw, np.uint8).reshape(-1, PADDED[g])
+        for k in range(0, len(rows), 4096):
+            norms = self_kernel(table_of[k : k + 4096])
+            for j in range(k, min(k + 4096, len(rows)), 512):
+                block, norm = table_of[j : min(j + 512, k + 4096)], norms[j - k : j - k + 512]
+                scale = np.sqrt(np.maximum(norm[:, None] * own[None, :], 1e-12))
+                out[rows[j : j + len(block)]] = pairs_kernel(block, table) / scale
+    long = np.flatnonzero(lengths > LONGEST).tolist()
+    if long:
+        parts = [[words[r][k : k + LONGEST] for k in range(0, len(words[r]) - LONGEST // 2, LONGEST // 2)] for r in long]
+        values = scaled_kernel([x for each in parts for x in each], marks)
+        out[long] = np.maximum.reduceat(values, np.cumsum([0, *map(len, parts)])[:-1], axis=0)
     return out
 
 
+#: Lengths that words are filled up to.
+PADDED = (6, 9, 12, 16, 20, LONGEST)
+#: Kernel values of landmarks with themselves.
+SELF_VALUES: dict[bytes, float] = {}
+
+
+def self_value(mark: bytes) -> float:
+    if mark not in SELF_VALUES:
+        if len(SELF_VALUES) > 100_000:
+            SELF_VALUES.clear()
+        SELF_VALUES[mark] = float(self_kernel(np.frombuffer(mark, np.uint8)[None, :])[0])
+    return SELF_VALUES[mark]
+
+
 @dataclass
 class Machine:
     """Landmarks, the whitened weights of a word, and how word scores make a document's score."""
@@ -443,11 +467,13 @@ def judge(
 
 
 class WordScores:
-    """Scores of words, each computed once as long as it is remembered."""
+    """Scores of words and windows, each computed once as long as its place in a table is its own."""
 
-    def __init__(self, machine: Machine, most: int = 2_000_000) -> None:
-        self.machine, self.most, self.powers = machine, most, Powers()
-        self.known, self.scores, self.parts = np.zeros(0, np.uint64), np.zeros(0, np.float32), np.zeros(0, np.uint64)
+    def __init__(self, machine: Machine, bits: int = 21) -> None:
+        self.machine, self.powers, self.mask = machine, Powers(), np.uint64((1 << bits) - 1)
+        self.hash_at = np.zeros(1 << bits, np.uint64)
+        self.hash_at[0] = 1  # not a hash that belongs there
+        self.score_at, self.parts_at = np.zeros(1 << bits, np.float32), np.zeros(1 << bits, np.uint64)
 
     def of(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The score of each word and window of the texts, and which text it is in."""
@@ -471,20 +497,19 @@ class WordScores:
     def scored(self, low: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Score and landmarks of each span of the bytes."""
         hashes = span_hashes(low, a, b, self.powers)
-        distinct, place, which = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.known) > self.most:
-            self.known, self.scores, self.parts = self.known[:0], self.scores[:0], self.parts[:0]
-        new = ~np.isin(distinct, self.known, assume_unique=True)
-        raw = low.tobytes()
-        words = [raw[x:y] for x, y in zip(a[place[new]].tolist(), b[place[new]].tolist())]
-        scores, parts = self.machine.words(words)
-        known = np.concatenate([self.known, distinct[new]])
-        scores = np.concatenate([self.scores, scores.astype(np.float32)])
-        parts = np.concatenate([self.parts, parts])
-        order = np.argsort(known)
-        self.known, self.scores, self.parts = known[order], scores[order], parts[order]
-        at = np.searchsorted(self.known, distinct)
-        return self.scores[at][which], self.parts[at][which]
+        place = (hashes & self.mask).astype(np.int64)
+        scores, parts = self.score_at[place], self.parts_at[place]
+        missed = np.flatnonzero(self.hash_at[place] != hashes)
+        if len(missed):
+            distinct, where, which = np.unique(hashes[missed], return_index=True, return_inverse=True)
+            raw, at = low.tobytes(), missed[where]
+            fresh, own = self.machine.words([raw[x:y] for x, y in zip(a[at].tolist(), b[at].tolist())])
+            fresh = fresh.astype(np.float32)
+            scores[missed], parts[missed] = fresh[which], own[which]
+            # Of new ones with one place, the last has it.
+            slot = place[at]
+            self.hash_at[slot], self.score_at[slot], self.parts_at[slot] = distinct, fresh, own
+        return scores, parts
 
 
 def judged(batches, machine: Machine | float):
