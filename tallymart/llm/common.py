@@ -133,7 +133,7 @@ def mixed(values: np.ndarray) -> np.ndarray:
 #: A prime below 2**31 and a base for it; words whose hashes modulo 2**64 agree differ here.
 PRIME, PRIME_BASE = (1 << 31) - 1, 1_355_072_483
 #: Bytes that are summed up before the sum is taken modulo the prime.
-PRIME_RUN = 1 << 22
+PRIME_RUN = 1 << 18
 
 
 class Powers:

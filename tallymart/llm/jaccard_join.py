@@ -48,6 +48,8 @@ ROUNDS = 3
 MOST_ROUNDS, HEAVY, SHARE = 12, 48, 12
 #: Share of the pairs of a further round that have to be links for another one to be worth it.
 WORTH = 0.05
+#: Bytes of text handled at a time; a set's size and an n-gram's place in it share a number.
+BLOCK, PLACES = 1 << 19, (1 << 32) - 1
 STEPS = (np.arange(1, 65, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
 
 
@@ -78,12 +80,12 @@ def near_components(docs: DataFrame, spark: SparkSession, words: int = WORDS, ov
     classes = staged(classes, "classes", spark)
 
     firsts = rows.select("text").mapInArrow(
-        lambda batches: postings(batches, words, over, under, common.value), "gram long, cls long, n long, place int"
+        lambda batches: postings(batches, words, over, under, common.value), "gram long, cls long, n_place long"
     )
     shared = firsts.groupBy("gram").agg(F.min("cls").alias("low"), F.max("cls").alias("high"))
     shared = staged(shared.where("low < high").select("gram"), "shared-grams", spark)
     matrix = staged(
-        firsts.join(shared, "gram").groupBy("gram", "cls").agg(F.first("n").alias("n"), F.first("place").alias("place")), "matrix", spark
+        firsts.join(shared, "gram").groupBy("gram", "cls").agg(F.first("n_place").alias("n_place")), "matrix", spark
     )
     roots = spark.createDataFrame([], "node long, root long")
     links = spark.createDataFrame([], "a long, b long")
@@ -171,14 +173,15 @@ def common_grams(seen: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def open_columns(matrix: DataFrame, roots: DataFrame, spark: SparkSession) -> DataFrame:
-    """gram, cls, n, place, root of the columns that hold several components so far."""
+    """gram, cls, n, place, root and held (rows of the column) of the columns that hold several components so far."""
     placed = matrix.join(roots, F.col("cls") == F.col("node"), "left").select(
-        "gram", "cls", "n", "place", F.coalesce("root", "cls").alias("root")
+        "gram", "cls", "n_place", F.coalesce("root", "cls").alias("root")
     )
     placed = staged(placed, "placed", spark)
-    split = placed.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    split = staged(split.where("low < high").select("gram"), "open-grams", spark)
-    return staged(placed.join(split, "gram"), "open-rows", spark)
+    split = placed.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("held"))
+    split = staged(split.where("low < high").select("gram", "held"), "open-grams", spark)
+    n, place = F.shiftright("n_place", 32).alias("n"), F.col("n_place").bitwiseAND(F.lit(PLACES)).cast("int").alias("place")
+    return staged(placed.join(split, "gram").select("gram", "cls", n, place, "root", "held"), "open-rows", spark)
 
 
 def head_pairs(open_rows: DataFrame, turn: int, over: int, under: int) -> DataFrame:
@@ -195,11 +198,10 @@ def head_pairs(open_rows: DataFrame, turn: int, over: int, under: int) -> DataFr
 
 
 def heavy_rows(open_rows: DataFrame) -> DataFrame:
-    """Rows of the columns that hold very many components, with the number of rows of each column."""
-    per_column = open_rows.groupBy("gram", "root").agg(F.count("*").alias("n")).groupBy("gram").agg(
-        F.sum("n").alias("held"), F.count("*").alias("roots")
-    )
-    return open_rows.join(per_column.where(F.col("roots") > HEAVY).select("gram", "held"), "gram")
+    """Rows of the columns that hold very many components."""
+    rows = open_rows.where(F.col("held") > HEAVY)
+    roots = rows.select("gram", "root").distinct().groupBy("gram").agg(F.count("*").alias("roots"))
+    return rows.join(roots.where(F.col("roots") > HEAVY).select("gram"), "gram")
 
 
 def dealt_pairs(heavy: DataFrame, turn: int, over: int, under: int) -> DataFrame:
@@ -284,7 +286,7 @@ def counted(
 
 def gram_sets(column, words: int, powers: Powers):
     """For each run of texts, the sorted distinct n-gram hashes of each."""
-    for _, _, data, starts in text_blocks(column):
+    for _, _, data, starts in text_blocks(column, BLOCK):
         data, begin = spread(LOWER[data], starts)
         a, b = word_bounds(data)
         own = span_hashes(data, a, b, powers)
@@ -389,10 +391,12 @@ def postings(batches, words: int, over: int, under: int, common: tuple[np.ndarra
                 [
                     pa.array(np.concatenate(chosen).view(np.int64)),
                     pa.array(np.repeat(classes[once], counts)),
-                    pa.array(np.repeat([len(sets[k]) for k in once], counts).astype(np.int64)),
-                    pa.array(np.concatenate([np.arange(n, dtype=np.int32) for n in counts])),
+                    pa.array(
+                        np.repeat(np.array([len(sets[k]) for k in once], np.int64) << 32, counts)
+                        | np.concatenate([np.arange(n) for n in counts])
+                    ),
                 ],
-                names=["gram", "cls", "n", "place"],
+                names=["gram", "cls", "n_place"],
             )
 
 
