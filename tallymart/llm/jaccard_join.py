@@ -230,9 +230,9 @@ def cross_pairs(open_rows: DataFrame, over: int, under: int) -> DataFrame:
     """All pairs of different components that could be links: from a row to the other components of
     its column, and from there to their rows.
 
-    A pair is taken from the first column it has in common. All n-grams before it are then in one
-    of the two sets only, so a column that stands too far behind in either cannot be the first of
-    a link. That leaves out most of what a passage in very many documents would bring together.
+    In the first column of a pair, all n-grams before it are in one of the two sets only, so a pair
+    whose common columns all stand too far behind in either is no link; nor is one that has too
+    few of them.
     """
     meets = open_rows.select("gram", F.col("root").alias("root_b")).distinct()
     left = open_rows.select("gram", F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("place").alias("p_a"), F.col("root").alias("root_a"))
@@ -240,7 +240,10 @@ def cross_pairs(open_rows: DataFrame, over: int, under: int) -> DataFrame:
     needed_both = F.ceil(F.lit(under) * (F.col("n_a") + F.col("n_b")) / F.lit(float(over + under)) - F.lit(1e-9))
     early = F.least(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b")) >= needed_both
     across = left.join(meets, "gram").where("root_a < root_b").join(right, ["gram", "root_b"])
-    return across.where(sizes_fit(over, under) & early).select("a", "b").distinct()
+    across = across.where(sizes_fit(over, under)).groupBy("a", "b").agg(
+        F.count("*").alias("common"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"), F.bool_or(early).alias("early")
+    )
+    return across.where(F.col("early") & possible(over, under)).select("a", "b")
 
 
 def sizes_fit(over: int, under: int) -> Column:
