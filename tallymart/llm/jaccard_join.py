@@ -9,8 +9,10 @@ the rest are counted over whole sets.
 
 First some rounds of each column's rows against one of them, which joins most of a group of near
 copies at a cost in proportion to the group; then, in columns that still hold several
-components, the pairs between different components. No link that could join two components is
-left uncounted.
+components, the pairs between different components. A pair is made only where the parities of
+two sets allow a link: a set's n-grams are dealt over 512 bits, each bit says whether an odd
+number fell on it, and two sets differ in at least as many n-grams as their bits differ. No link
+that could join two components is left uncounted.
 """
 
 from __future__ import annotations
@@ -43,11 +45,9 @@ MOST_COMMON = 1 << 20
 REPORTED = 3
 #: Rounds against single rows before the exact one; they save work and change no result.
 ROUNDS = 3
-#: Further rounds at most, for columns in which so many components are left; rows that share a
-#: head in them. All pairs of components that are left meet in the end, however many there are.
-MOST_ROUNDS, HEAVY, SHARE = 12, 48, 12
-#: Share of the pairs of a further round that have to be links for another one to be worth it.
-WORTH = 0.05
+#: Parities of a set, 64 in each column.
+BITS = 512
+PARITIES = [f"parity_{k}" for k in range(BITS // 64)]
 #: Bytes of text handled at a time; a set's size and an n-gram's place in it share a number.
 BLOCK, PLACES = 1 << 19, (1 << 32) - 1
 STEPS = (np.arange(1, 65, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
@@ -69,13 +69,14 @@ def near_components(docs: DataFrame, spark: SparkSession, words: int = WORDS, ov
     named_rows = rows.select("doc_id", "text", *text_names(F.col("text")))
     seen = named_rows.mapInArrow(
         lambda batches: profiles(batches, words),
-        "doc_id long, name_a long, name_b long, n long, cls long, gram long, texts long",
+        "doc_id long, name_a long, name_b long, n long, cls long, gram long, texts long, "
+        + ", ".join(f"{name} long" for name in PARITIES),
     )
     seen = staged(seen, "profiles", spark)
     common = spark.sparkContext.broadcast(common_grams(seen))
-    sets = seen.where("gram is null").select("doc_id", "n", "cls", "name_a", "name_b")
+    sets = seen.where("gram is null").drop("gram", "texts")
     classes = sets.where("n > 0").groupBy("cls").agg(
-        F.min("doc_id").alias("doc_id"), F.count("*").alias("members"), F.first("n").alias("n")
+        F.min("doc_id").alias("doc_id"), F.count("*").alias("members"), *[F.first(c).alias(c) for c in ("n", *PARITIES)]
     )
     classes = staged(classes, "classes", spark)
 
@@ -93,24 +94,14 @@ def near_components(docs: DataFrame, spark: SparkSession, words: int = WORDS, ov
         pairs = staged(head_pairs(open_columns(matrix, roots, spark), turn, over, under), "head-pairs", spark)
         if pairs.isEmpty():
             break
+        pairs = staged(alike(pairs, classes, over, under), "alike-pairs", spark)
         links = staged(links.union(counted(pairs, rows, classes, words, over, under, spark)), "links", spark)
         roots = components(links, spark)
-    rows_left = open_columns(matrix, roots, spark)
-    for turn in range(ROUNDS, MOST_ROUNDS):
-        heavy = staged(heavy_rows(rows_left), "heavy-rows", spark)
-        if heavy.isEmpty():
-            break
-        pairs = staged(dealt_pairs(heavy, turn, over, under), "dealt-pairs", spark)
-        found = staged(counted(pairs, rows, classes, words, over, under, spark), "dealt-links", spark)
-        some = found.count()
-        if not some:
-            break
-        links = links.union(found)
-        roots = components(links, spark)
-        rows_left = open_columns(matrix, roots, spark)
-        if some < WORTH * pairs.count():
-            break
-    pairs = staged(cross_pairs(rows_left, over, under), "cross-pairs", spark)
+    marked = open_columns(matrix, roots, spark).join(classes.select("cls", *PARITIES), "cls")
+    marked = staged(marked, "marked-rows", spark)
+    own = staged(marked.groupBy("gram", "root").agg(F.count("*").alias("own")), "own-rows", spark)
+    marked = staged(marked.join(own, ["gram", "root"]), "counted-rows", spark)
+    pairs = staged(cross_pairs(marked, over, under), "cross-pairs", spark)
     if not pairs.isEmpty():
         links = staged(links.union(counted(pairs, rows, classes, words, over, under, spark)), "links", spark)
         roots = components(links, spark)
@@ -173,15 +164,15 @@ def common_grams(seen: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def open_columns(matrix: DataFrame, roots: DataFrame, spark: SparkSession) -> DataFrame:
-    """gram, cls, n, place, root and held (rows of the column) of the columns that hold several components so far."""
+    """gram, cls, n, place and root of the columns that hold several components so far."""
     placed = matrix.join(roots, F.col("cls") == F.col("node"), "left").select(
         "gram", "cls", "n_place", F.coalesce("root", "cls").alias("root")
     )
     placed = staged(placed, "placed", spark)
-    split = placed.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("held"))
-    split = staged(split.where("low < high").select("gram", "held"), "open-grams", spark)
+    split = placed.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    split = staged(split.where("low < high").select("gram"), "open-grams", spark)
     n, place = F.shiftright("n_place", 32).alias("n"), F.col("n_place").bitwiseAND(F.lit(PLACES)).cast("int").alias("place")
-    return staged(placed.join(split, "gram").select("gram", "cls", n, place, "root", "held"), "open-rows", spark)
+    return staged(placed.join(split, "gram").select("gram", "cls", n, place, "root"), "open-rows", spark)
 
 
 def head_pairs(open_rows: DataFrame, turn: int, over: int, under: int) -> DataFrame:
@@ -197,53 +188,59 @@ def head_pairs(open_rows: DataFrame, turn: int, over: int, under: int) -> DataFr
     return pairs.where(possible(over, under)).select("a", "b")
 
 
-def heavy_rows(open_rows: DataFrame) -> DataFrame:
-    """Rows of the columns that hold very many components."""
-    rows = open_rows.where(F.col("held") > HEAVY)
-    roots = rows.select("gram", "root").distinct().groupBy("gram").agg(F.count("*").alias("roots"))
-    return rows.join(roots.where(F.col("roots") > HEAVY).select("gram"), "gram")
-
-
-def dealt_pairs(heavy: DataFrame, turn: int, over: int, under: int) -> DataFrame:
-    """Each row with the head of some rows of its column that are dealt out by chance.
-
-    Where a fair part of a column's rows are near copies of each other, but none of all, a few such
-    rounds join most of them: a component meets as many heads as it has rows.
-    """
-    parts = F.ceil(F.col("held") / SHARE)
-    rows = heavy.withColumn("part", F.pmod(F.xxhash64("cls", F.lit(turn)), parts))
-    order = F.xxhash64("cls", F.lit(turn + 1))
-    heads = rows.groupBy("gram", "part").agg(
-        F.min_by("cls", order).alias("b"), F.min_by("n", order).alias("n_b"), F.min_by("root", order).alias("root_b")
-    )
-    return met_pairs(rows.join(heads, ["gram", "part"]), over, under)
-
+def alike(pairs: DataFrame, classes: DataFrame, over: int, under: int) -> DataFrame:
+    """The pairs that sizes and parities allow to be links."""
+    a, b = (classes.select(*[F.col(c).alias(f"{c}_{side}") for c in ("cls", "n", *PARITIES)]) for side in "ab")
+    a, b = a.withColumnRenamed("cls_a", "a"), b.withColumnRenamed("cls_b", "known")
+    met = pairs.join(a, "a").join(b, (F.col("b") == F.col("known")) & sizes_fit(over, under) & parities_fit(over, under))
+    return met.select("a", "b")
 
-def met_pairs(met: DataFrame, over: int, under: int) -> DataFrame:
-    pairs = met.where("root <> root_b").groupBy(F.col("cls").alias("a"), "b").agg(
-        F.count("*").alias("common"), F.first("n").alias("n_a"), F.first("n_b").alias("n_b")
-    )
-    return pairs.where(sizes_fit(over, under)).select("a", "b")
 
+def cross_pairs(rows: DataFrame, over: int, under: int) -> DataFrame:
+    """All pairs of different components that could be links.
 
-def cross_pairs(open_rows: DataFrame, over: int, under: int) -> DataFrame:
-    """All pairs of different components that could be links: from a row to the other components of
-    its column, and from there to their rows.
+    A component with one row in a column (``own``) meets the column's rows directly; components with
+    several meet from a row to the other components, and from there to their rows, so that rows of
+    one component never meet each other.
 
     In the first column of a pair, all n-grams before it are in one of the two sets only, so a pair
     whose common columns all stand too far behind in either is no link; nor is one that has too
     few of them.
     """
-    meets = open_rows.select("gram", F.col("root").alias("root_b")).distinct()
-    left = open_rows.select("gram", F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("place").alias("p_a"), F.col("root").alias("root_a"))
-    right = open_rows.select("gram", F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("place").alias("p_b"), F.col("root").alias("root_b"))
-    needed_both = F.ceil(F.lit(under) * (F.col("n_a") + F.col("n_b")) / F.lit(float(over + under)) - F.lit(1e-9))
-    early = F.least(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b")) >= needed_both
-    across = left.join(meets, "gram").where("root_a < root_b").join(right, ["gram", "root_b"])
-    across = across.where(sizes_fit(over, under)).groupBy("a", "b").agg(
-        F.count("*").alias("common"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"), F.bool_or(early).alias("early")
+    a, b = (rows.select("gram", *[F.col(c).alias(f"{c}_{side}") for c in ("cls", "n", "place", "root", "own", *PARITIES)]) for side in "ab")
+    fit = sizes_fit(over, under) & parities_fit(over, under)
+    once = F.expr("own_a > 1 or cls_a < cls_b")
+    alone = b.where("own_b = 1").withColumnRenamed("gram", "column")
+    single = a.join(alone, (F.col("gram") == F.col("column")) & F.expr("root_a <> root_b") & once & fit)
+    meets = b.where("own_b > 1").select("gram", "root_b").distinct()
+    across = a.where("own_a > 1").join(meets, "gram").where("root_a < root_b").withColumnsRenamed({"gram": "column", "root_b": "to"})
+    several = across.join(b.where("own_b > 1"), (F.col("gram") == F.col("column")) & (F.col("to") == F.col("root_b")) & fit)
+    early = F.least(F.expr("n_a - place_a"), F.expr("n_b - place_b")) >= needed_both(over, under)
+    names = ("cls_a", "cls_b", "n_a", "n_b")
+    met = single.select(*names, early.alias("early")).union(several.select(*names, early.alias("early")))
+    turned = F.col("cls_a") > F.col("cls_b")
+    met = met.select(
+        *[F.when(turned, y).otherwise(F.col(x)).alias(z) for x, y, z in (
+            ("cls_a", F.col("cls_b"), "a"), ("cls_b", F.col("cls_a"), "b"), ("n_a", F.col("n_b"), "n_a"), ("n_b", F.col("n_a"), "n_b")
+        )],
+        "early",
     )
-    return across.where(F.col("early") & possible(over, under)).select("a", "b")
+    met = met.groupBy("a", "b").agg(
+        F.count("*").alias("common"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"), F.bool_or("early").alias("early")
+    )
+    return met.where(F.col("early") & possible(over, under)).select("a", "b")
+
+
+def needed_both(over: int, under: int) -> Column:
+    """The least intersection that makes a link of two sets of these sizes."""
+    return F.ceil(F.lit(under) * (F.col("n_a") + F.col("n_b")) / F.lit(float(over + under)) - F.lit(1e-9))
+
+
+def parities_fit(over: int, under: int) -> Column:
+    """Whether two sets differ in few enough n-grams, as far as their parities tell."""
+    differing = [F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in PARITIES]
+    apart = sum(differing[1:], differing[0])
+    return apart <= F.col("n_a") + F.col("n_b") - 2 * needed_both(over, under)
 
 
 def sizes_fit(over: int, under: int) -> Column:
@@ -266,8 +263,7 @@ def possible(over: int, under: int) -> Column:
         return n - firsts + F.col("common")
 
     n_a, n_b = F.col("n_a"), F.col("n_b")
-    least = F.ceil(F.lit(under) * (n_a + n_b) / F.lit(float(over + under)) - F.lit(1e-9))
-    return sizes_fit(over, under) & (F.greatest(most(n_a), most(n_b)) >= least)
+    return sizes_fit(over, under) & (F.greatest(most(n_a), most(n_b)) >= needed_both(over, under))
 
 
 def counted(
@@ -316,6 +312,12 @@ def digests(sets: list[np.ndarray]) -> np.ndarray:
     return mixed(np.array([x & (1 << 64) - 1 for x in sums], np.uint64)).view(np.int64)
 
 
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set a row of numbers whose bits say where an odd count of its n-grams falls."""
+    odd = [np.bincount((s >> np.uint64(55)).astype(np.int64), minlength=BITS) & 1 for s in sets]
+    return np.packbits(np.array(odd, np.uint8).reshape(len(sets), BITS), axis=1).view(np.int64)
+
+
 class Tally:
     """About how many texts hold each n-gram; single ones are forgotten where they get too many."""
 
@@ -342,29 +344,32 @@ class Tally:
         self.new, self.waiting = [], 0
 
 
-PROFILE = ["doc_id", "name_a", "name_b", "n", "cls", "gram", "texts"]
+PROFILE = ["doc_id", "name_a", "name_b", "n", "cls", "gram", "texts", *PARITIES]
 
 
 def profiles(batches, words: int):
     """A row for each text, and for each task the n-grams that several of its texts share."""
     powers, tally = Powers(), Tally()
     for batch in batches:
-        sizes, classes = [], []
+        sizes, classes, bits = [], [], [np.zeros((0, len(PARITIES)), np.int64)]
         for sets in gram_sets(batch.column("text"), words, powers):
             sizes += [len(s) for s in sets]
+            bits.append(parities(sets))
             classes.append(digests(sets))
             _, once = np.unique(classes[-1], return_index=True)
             tally.add(np.concatenate([sets[k] for k in once.tolist()]))
         nothing = pa.nulls(len(sizes), pa.int64())
         own_class = pa.array(np.concatenate(classes) if classes else [], pa.int64())
+        odd = [pa.array(np.ascontiguousarray(column)) for column in np.concatenate(bits).T]
         yield pa.RecordBatch.from_arrays(
-            [*[batch.column(c) for c in PROFILE[:3]], pa.array(sizes, pa.int64()), own_class, nothing, nothing], names=PROFILE
+            [*[batch.column(c) for c in PROFILE[:3]], pa.array(sizes, pa.int64()), own_class, nothing, nothing, *odd], names=PROFILE
         )
     tally.settle()
     often = tally.counts >= REPORTED
     empty = pa.nulls(int(often.sum()), pa.int64())
     yield pa.RecordBatch.from_arrays(
-        [*[empty] * 5, pa.array(tally.grams[often].view(np.int64)), pa.array(tally.counts[often])], names=PROFILE
+        [*[empty] * 5, pa.array(tally.grams[often].view(np.int64)), pa.array(tally.counts[often]), *[empty] * len(PARITIES)],
+        names=PROFILE,
     )
 
 

@@ -120,3 +120,31 @@ def test_plans(name, spark, sf_dir):
     assert not re.search("CartesianProduct|BroadcastNestedLoopJoin", plan)
     if name in NATIVE:
         assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_parities_never_differ_in_more_places_than_the_sets(spark):
+    """Any two sets differ in at least as many members as their parities in bits."""
+    rng = np.random.default_rng(5)
+    for size in (0, 1, 5, 60, 400, 3000):
+        own = rng.integers(0, 2**64, size, np.uint64)
+        other = np.unique(np.concatenate([own[: size * 3 // 4], rng.integers(0, 2**64, size // 5, np.uint64)]))
+        own = np.unique(own)
+        a, b = jaccard_join.parities([own, other])
+        bits = sum(int(x).bit_count() for x in (a ^ b).view(np.uint64))
+        assert bits <= len(np.setxor1d(own, other))
+
+
+def test_a_column_of_unlike_rows_makes_few_pairs(spark):
+    """Texts that share most of a passage but are too unlike make no pairs; the few links are found."""
+    words, rows = brute.prose(3, 160).split(), []
+    rng = np.random.default_rng(9)
+    for k in range(120):
+        own = list(words)
+        for at in rng.choice(160, 9, replace=False).tolist():
+            own[at] = f"own{k}x{at}"
+        rows.append((k, " ".join(own)))
+    rows += [(1000 + k, rows[k][1] + " tail") for k in range(0, 120, 10)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = jaccard_join.near_components(table, spark)
+    names = ("doc_id", "n_shingles", "component_id")
+    assert sorted(tuple(r) for r in found.select(*names).collect()) == sorted(brute.near_components(rows))
