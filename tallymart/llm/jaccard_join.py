@@ -176,8 +176,14 @@ def open_columns(matrix: DataFrame, roots: DataFrame, spark: SparkSession) -> Da
 
 
 def head_pairs(open_rows: DataFrame, turn: int, over: int, under: int) -> DataFrame:
-    """Each row with one row of its column, the same one in most columns of a group of near copies."""
+    """Each row with one row of its column, the same one in most columns of a group of near copies.
+
+    First it is the row with the fewest rarer n-grams before the column: a text that others were made
+    from has next to none of its own. Later it is any.
+    """
     order = F.xxhash64("cls", F.lit(turn))
+    if not turn:
+        order = F.shiftleft(F.col("place").cast("long"), 32) + order.bitwiseAND(F.lit(PLACES))
     heads = open_rows.groupBy("gram").agg(
         F.min_by("cls", order).alias("b"), F.min_by("n", order).alias("n_b"), F.min_by("root", order).alias("root_b")
     )
