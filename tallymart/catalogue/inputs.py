@@ -205,17 +205,13 @@ def copies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def bulk_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Narrow rows from ``lineitem``. The two lookups are given no join hint: Spark
-    broadcasts them while they are small and shuffles them when they are not."""
+    broadcasts them while they are small and shuffles them when they are not. They are joined
+    one by one, as the size of a join of both would be taken for the product of theirs."""
     line = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_linestatus", "l_returnflag", "l_quantity", "l_shipdate", "l_extendedprice"
     )
     nations = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("country"))
-    suppliers = (
-        table(spark, sf_dir, "supplier")
-        .select("s_suppkey", "s_nationkey")
-        .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("s_suppkey", "country")
-    )
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     open_line = F.col("l_linestatus") == "O"
     even = F.col("l_suppkey") % 2 == 0
     device = (
@@ -228,7 +224,8 @@ def bulk_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(*[F.lit(c) for c in ("paid_featured", "paid_organic", "unpaid_featured", "unpaid_organic")]),
         F.col("l_linenumber") % 4 + 1,
     )
-    return line.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).select(
+    placed = line.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+    return placed.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.to_date("l_shipdate").alias("dt"),
         F.col("l_suppkey").alias("product_id"),
         F.when(open_line, "ios").otherwise("google-play").alias("app_store"),
@@ -244,6 +241,25 @@ def bulk_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Rows of the large narrow table that one task sorts and sums up, about.
+TASK_ROWS = 1 << 18
+
+
+def bulk_dealt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``bulk_raw`` dealt by wide key over as many tasks as it has rows for.
+
+    Dedup, pivot and counts of channels all go by that key, so no further shuffle follows and a
+    task holds about ``TASK_ROWS`` rows, however many there are. Left to Spark, a task has 64 MB
+    of compressed rows, or as many as the fixed number of shuffle partitions leaves it. What one
+    task can hold is not dealt; there Spark limits and combines keys before its own shuffle.
+    """
+    rows = table(spark, sf_dir, "lineitem").count()
+    raw = bulk_raw(spark, sf_dir)
+    if rows <= TASK_ROWS:
+        return raw
+    return raw.repartition(max(-(-rows // TASK_ROWS), spark.sparkContext.defaultParallelism), *WIDE_KEY)
+
+
 def bulk_order() -> list:
     return [
         F.col(c).desc()

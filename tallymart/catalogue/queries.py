@@ -662,7 +662,7 @@ over(i.dirty_wide, audits.audit_wide_negatives, name="audit_wide_negatives")
 over(i.bronze_core, audits.audit_narrow_coverage, i.AS_OF, name="audit_narrow_coverage")
 over(i.bronze_core, audits.audit_channel_domain, name="audit_channel_domain")
 over(i.raw_events, audits.audit_channel_completeness, name="audit_channel_completeness")
-over(i.bulk_raw, audits.audit_channel_completeness, name="audit_channel_completeness_bulk")
+over(i.bulk_dealt, audits.audit_channel_completeness, name="audit_channel_completeness_bulk")
 over(i.bronze, audits.audit_share_sum, name="audit_share_sum")
 over(
     lambda s, d: i.bronze(s, d).withColumn("channel", F.nullif(F.col("channel"), F.lit("error"))),

@@ -10,6 +10,7 @@ from test_jobs import NEXT, RUN, deliver, state
 from test_plans import plan
 from test_streams import T1, T2, TEXT, run
 
+from tallymart.catalogue import inputs, queries
 from tallymart.contracts import MEASURES, WIDE_KEY
 from tallymart.operators import loading, parity, versions
 from tallymart.plans import layout as layouts
@@ -199,3 +200,24 @@ def test_strict_and_tolerant_loads_take_the_same_flags(spark):
     with pytest.raises(Exception, match="no flag"):
         versions.load_cast(rows.withColumn("is_estimate_final", F.lit(" yes "))).collect()
     assert MEASURES
+
+
+# the large narrow table
+
+
+@pytest.mark.parametrize("make", [inputs.bulk_dealt])
+def test_tasks_of_the_large_table_hold_bounded_rows(make, spark, no_broadcast, monkeypatch):
+    monkeypatch.setattr(inputs, "TASK_ROWS", 2000, raising=False)
+    per_task = make(spark, "/root/testdata/sf0.01").groupBy(F.spark_partition_id().alias("task")).count()
+    assert per_task.agg(F.max("count")).first()[0] < 2500
+
+
+@pytest.mark.parametrize(
+    "name", ["audit_channel_completeness_bulk"]
+)
+def test_queries_of_the_large_table_deal_their_rows_by_number(name, spark, no_broadcast, monkeypatch):
+    monkeypatch.setattr(inputs, "TASK_ROWS", 2000, raising=False)
+    text = plan(queries.queries()[name](spark, "/root/testdata/sf0.01"))
+    # Of shuffles by the wide key only the one with a number of tasks of its own is left.
+    by_key = [line for line in text.splitlines() if "hashpartitioning(dt" in line and "device" in line]
+    assert by_key and all("REPARTITION_BY_NUM" in line for line in by_key)
