@@ -268,7 +268,7 @@ def bulk_order() -> list:
 
 
 def bulk_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_pk(bulk_raw(spark, sf_dir), bulk_order())
+    return dedup_pk(bulk_dealt(spark, sf_dir), bulk_order())
 
 
 def bulk_stale_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
