@@ -277,7 +277,7 @@ def bulk_stale_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col(c).asc()
         for c in ("l_orderkey", "l_linenumber", "l_extendedprice", "downloads", "is_estimate_final")
     ]
-    return to_wide(dedup_pk(bulk_raw(spark, sf_dir), oldest), INGEST_AT)
+    return to_wide(dedup_pk(bulk_dealt(spark, sf_dir), oldest), INGEST_AT)
 
 
 def drop_files(spark: SparkSession, sf_dir: str, until: datetime | None = None) -> DataFrame:

@@ -205,7 +205,7 @@ def test_strict_and_tolerant_loads_take_the_same_flags(spark):
 # the large narrow table
 
 
-@pytest.mark.parametrize("make", [inputs.bulk_bronze])
+@pytest.mark.parametrize("make", [inputs.bulk_bronze, inputs.bulk_stale_wide])
 def test_tasks_of_the_large_table_hold_bounded_rows(make, spark, no_broadcast, monkeypatch):
     monkeypatch.setattr(inputs, "TASK_ROWS", 2000, raising=False)
     per_task = make(spark, "/root/testdata/sf0.01").groupBy(F.spark_partition_id().alias("task")).count()
@@ -213,7 +213,7 @@ def test_tasks_of_the_large_table_hold_bounded_rows(make, spark, no_broadcast, m
 
 
 @pytest.mark.parametrize(
-    "name", ["audit_channel_completeness_bulk", "pivot_wide_bulk"]
+    "name", ["audit_channel_completeness_bulk", "pivot_wide_bulk", "recon_pivot_rows_bulk"]
 )
 def test_queries_of_the_large_table_deal_their_rows_by_number(name, spark, no_broadcast, monkeypatch):
     monkeypatch.setattr(inputs, "TASK_ROWS", 2000, raising=False)
