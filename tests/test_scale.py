@@ -213,7 +213,7 @@ def test_tasks_of_the_large_table_hold_bounded_rows(make, spark, no_broadcast, m
 
 
 @pytest.mark.parametrize(
-    "name", ["audit_channel_completeness_bulk", "pivot_wide_bulk", "recon_pivot_rows_bulk"]
+    "name", ["audit_channel_completeness_bulk", "pivot_wide_bulk", "recon_pivot_rows_bulk", "parity_checksum_bulk"]
 )
 def test_queries_of_the_large_table_deal_their_rows_by_number(name, spark, no_broadcast, monkeypatch):
     monkeypatch.setattr(inputs, "TASK_ROWS", 2000, raising=False)
