@@ -21,6 +21,10 @@ LOWER[65:91] += 32
 
 #: Bytes of text that the array code handles at a time; a longer text is handled alone.
 BLOCK_BYTES = 1 << 20
+#: The same where each byte takes many numbers; they stay in a core's cache.
+FINE_BYTES = 1 << 18
+#: Bytes of rows that go to a Python worker at a time, and Spark's own bound for them.
+BATCH_BYTES, BATCH_KEY, BATCH_DEFAULT = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 MIX_1, MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 BASE = 0x9E3779B97F4A7C15
@@ -47,6 +51,17 @@ def documents(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows go to Python in batches of 4 MB, unless the session has a bound of its own.
+
+    By default a batch holds up to 10,000 texts or 64 MB, which JVM and worker hold at once, several
+    times while buffers double. The setting stays with the session, as results are read lazily; it
+    changes no result.
+    """
+    if spark.conf.get(BATCH_KEY, BATCH_DEFAULT) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_KEY, str(BATCH_BYTES))
+
+
 def staged(table: DataFrame, purpose: str, spark: SparkSession) -> DataFrame:
     """The table written below the shared folder and read back; cuts lineage for good."""
     path = new_workspace(spark, purpose)
@@ -125,9 +140,14 @@ def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def mixed(values: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit values."""
-    values = (values ^ (values >> np.uint64(30))) * MIX_1
-    values = (values ^ (values >> np.uint64(27))) * MIX_2
-    return values ^ (values >> np.uint64(31))
+    out = values >> np.uint64(30)
+    out ^= values
+    out *= MIX_1
+    high = out >> np.uint64(27)
+    out ^= high
+    out *= MIX_2
+    out ^= np.right_shift(out, np.uint64(31), out=high)
+    return out
 
 
 #: A prime below 2**31 and a base for it; words whose hashes modulo 2**64 agree differ here.

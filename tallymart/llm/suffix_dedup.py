@@ -26,14 +26,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm.common import Powers, documents, mixed, sifted, staged, text_blocks
+from tallymart.llm.common import FINE_BYTES, Powers, documents, mixed, sifted, small_batches, staged, text_blocks
 
 POWERS = Powers()
 LENGTH, GRAM = 100, 32
 #: Anchors of one half that meet in one part.
 MEETING = 4096
+#: Rows of a meeting whose buckets are made at a time.
+GRID_ROWS = 1024
 STEP = np.uint64(0x9E3779B97F4A7C15)
 LOW = np.uint64((1 << 31) - 1)  # places in a run of texts
+TERMS = mixed(np.arange(3, 259, dtype=np.uint64))  # what a byte adds to a polynomial
 
 
 def buckets(data: np.ndarray, length: int, seed: int = 1) -> np.ndarray:
@@ -41,11 +44,10 @@ def buckets(data: np.ndarray, length: int, seed: int = 1) -> np.ndarray:
 
     Made from buckets of 1, 2, 4, ... bytes: that of a string is set by the buckets of its two halves.
     """
-    powers, width = [mixed((data.astype(np.uint64) + np.uint64(seed)) * STEP)], 1
+    own, width = mixed((data.astype(np.uint64) + np.uint64(seed)) * STEP), 1
     while width * 2 <= length:
-        powers.append(joined(powers[-1], width, width, seed))
+        own = joined(own, width, width, seed)
         width *= 2
-    own = powers[-1]
     if width < length:  # two overlapping strings cover it
         own = joined(own, length - width, width, seed + 7)
     return own
@@ -54,16 +56,28 @@ def buckets(data: np.ndarray, length: int, seed: int = 1) -> np.ndarray:
 def joined(own: np.ndarray, offset: int, width: int, seed: int) -> np.ndarray:
     if len(own) <= offset:
         return own[:0]
-    return mixed(own[:-offset] * np.uint64(2 * seed + 1) + (own[offset:] ^ np.uint64(width * 0x1B873593 + seed)) * STEP)
+    out = own[offset:] ^ np.uint64(width * 0x1B873593 + seed)
+    out *= STEP
+    out += own[:-offset] * np.uint64(2 * seed + 1)
+    return mixed(out)
 
 
-def anchors(data: np.ndarray, starts: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Anchor positions, ascending, and their q-gram buckets; stretches do not cross texts."""
-    own = buckets(data, gram)
+def beside(own: np.ndarray, begin: np.ndarray, gram: int, more: int) -> np.ndarray:
+    """The bucket of the ``gram + more`` bytes at each ``begin``, from the buckets of q-grams that cover them."""
+    steps = -(-more // gram)
+    value = own[begin]
+    for k in range(1, steps + 1):
+        value = mixed(value * np.uint64(2 * k + 1) + (own[begin + more * k // steps] ^ np.uint64(k * 0x1B873593)) * STEP)
+    return value
+
+
+def anchors(own: np.ndarray, starts: np.ndarray, length: int, gram: int) -> np.ndarray:
+    """Anchor positions, ascending, from the q-gram buckets; stretches do not cross texts."""
     span = length - gram + 1
     if len(own) < span:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    least = (mixed(own) & ~LOW) | (LOW - np.arange(len(own), dtype=np.uint64))  # of equal ones the last
+        return np.zeros(0, np.int64)
+    least = own & ~LOW  # its high bits; of equal ones the last
+    least |= np.arange(int(LOW), int(LOW) - len(own), -1, dtype=np.int64).view(np.uint64)
     width = 1
     while width * 2 <= span:
         least = np.minimum(least[:-width], least[width:])
@@ -71,22 +85,42 @@ def anchors(data: np.ndarray, starts: np.ndarray, length: int, gram: int) -> tup
     if width < span:
         least = np.minimum(least[: -(span - width)], least[span - width :])
     place = (LOW - (least & LOW)).astype(np.int64)
-    doc = np.searchsorted(starts, np.arange(len(place)), side="right") - 1
-    inside = np.arange(len(place)) + length <= starts[doc + 1]
-    place = place[inside]
+    ends = np.repeat(starts[1:], np.diff(starts))[: len(place)]
+    place = place[np.arange(length, length + len(place)) <= ends]
     place = place[np.concatenate([[True], place[1:] != place[:-1]])] if len(place) else place
-    place = np.unique(place)
-    return place, own[place]
+    return np.unique(place)
+
+
+def running_sums(data: np.ndarray) -> np.ndarray:
+    """Polynomials of all beginnings of the bytes, modulo 2**64."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    terms = TERMS[data]
+    terms *= POWERS.first(len(data) + 1)[0][:-1]
+    np.cumsum(terms, out=sums[1:])
+    return sums
 
 
-def surroundings(data: np.ndarray, starts: np.ndarray, place: np.ndarray, length: int, gram: int) -> np.ndarray:
+def gram_buckets(data: np.ndarray, sums: np.ndarray, gram: int) -> np.ndarray:
+    """The bucket of the q-gram at each position where it fits.
+
+    Polynomials modulo 2**64 are told apart by some twenty bits less for 32 bytes of a two-letter
+    pattern, and not at all for a thousand; long q-grams are therefore made from halves.
+    """
+    if gram > 4 * GRAM:
+        return buckets(data, gram)
+    if len(data) < gram:
+        return np.zeros(0, np.uint64)
+    own = sums[gram:] - sums[: len(data) + 1 - gram]
+    own *= POWERS.first(len(data) + 1)[1][: len(own)]
+    return mixed(own)
+
+
+def surroundings(sums: np.ndarray, starts: np.ndarray, place: np.ndarray, length: int, gram: int) -> np.ndarray:
     """The bucket of all bytes that a string of ``length`` through the anchor could hold."""
     before, after = length - gram, length
     doc = np.searchsorted(starts, place, side="right") - 1
     low, high = np.maximum(place - before, starts[doc]), np.minimum(place + after, starts[doc + 1])
-    sums = np.zeros(len(data) + 1, np.uint64)
-    up, down = POWERS.first(len(data) + 1)
-    np.cumsum(mixed(data.astype(np.uint64) + np.uint64(3)) * up[:-1], out=sums[1:])
+    _, down = POWERS.first(len(sums))
     shape = (place - low).astype(np.uint64) << np.uint64(32) | (high - place).astype(np.uint64)
     return mixed((sums[high] - sums[low]) * down[low] ^ mixed(shape * STEP))
 
@@ -105,6 +139,7 @@ def remove_repeats(
     Strings are compared by 64-bit buckets of the q-gram and 64 bits more of what stands around
     it, single strings by 128 bits.
     """
+    small_batches(spark)
     last = F.lit((1 << 63) - 1)
     rows = documents(docs).select(
         "doc_id", F.coalesce("doc_id", last).alias("id"), F.xxhash64("text").alias("hash"), "text"
@@ -182,9 +217,9 @@ def remove_repeats(
 
 def anchor_buckets(batches, length: int, gram: int):
     for batch in batches:
-        for _, _, data, starts in text_blocks(batch.column("text")):
-            _, own = anchors(data, starts, length, gram)
-            distinct, counts = np.unique(own, return_counts=True)
+        for _, _, data, starts in text_blocks(batch.column("text"), FINE_BYTES):
+            own = gram_buckets(data, running_sums(data), gram)
+            distinct, counts = np.unique(own[anchors(own, starts, length, gram)], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(counts)], names=["bucket", "n"])
 
 
@@ -192,20 +227,23 @@ def anchor_rows(batches, length: int, gram: int):
     """Anchors; ``own`` is false where the same text has the same surroundings earlier."""
     half = (length - gram) // 2
     for batch in batches:
-        for first, past, data, starts in text_blocks(batch.column("text")):
-            place, own = anchors(data, starts, length, gram)
-            around = surroundings(data, starts, place, length, gram)
+        for first, past, data, starts in text_blocks(batch.column("text"), FINE_BYTES):
+            sums = running_sums(data)
+            grams = gram_buckets(data, sums, gram)
+            place = anchors(grams, starts, length, gram)
+            own = grams[place]
+            around = surroundings(sums, starts, place, length, gram)
             of = np.searchsorted(starts, place, side="right") - 1
             keys = np.lexsort((place, around, of))
             again = np.zeros(len(place), bool)
             if len(keys):
                 a, b = keys[:-1], keys[1:]
                 again[b] = (around[a] == around[b]) & (of[a] == of[b]) & (own[a] == own[b])
-            longer = buckets(data, gram + half)
             sides = []
             for begin in (place - half, place):
                 outside = (begin < starts[of]) | (begin + gram + half > starts[of + 1])
-                value = longer[np.clip(begin, 0, max(0, len(longer) - 1))] if len(longer) else own[:0]
+                value = np.zeros(len(place), np.uint64)
+                value[~outside] = beside(grams, begin[~outside], gram, half)
                 sides.append(pa.array(value.view(np.int64), mask=outside))
             rows = pa.array(of + first)
             yield pa.RecordBatch.from_arrays(
@@ -271,8 +309,11 @@ def met(table: pa.Table, length: int, gram: int) -> pa.RecordBatch:
     for k, raw in enumerate(table.column("bytes").to_pylist()):  # the anchor stands at ``rest``
         grid[k, rest - lead[k] : rest - lead[k] + len(raw)] = np.frombuffer(raw, np.uint8)
         sizes[k] = len(raw)
-    flat = grid.ravel()
-    one, two = (np.concatenate([buckets(flat, length, seed), np.zeros(length - 1, np.uint64)]).reshape(len(lead), width) for seed in (11, 12))
+    one, two = np.zeros(grid.shape, np.uint64), np.zeros(grid.shape, np.uint64)
+    for a in range(0, len(lead), GRID_ROWS):
+        flat = grid[a : a + GRID_ROWS].ravel()
+        for seed, to in ((11, one), (12, two)):
+            to[a : a + GRID_ROWS].reshape(-1)[: len(flat) - length + 1] = buckets(flat, length, seed)
     out: list[tuple] = []
     for at in range(rest + 1):  # where the string begins in the grid
         fits = np.where(before, at <= rest - rest // 2, at >= rest // 2)
