@@ -23,11 +23,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallymart.llm.common import (
+    FINE_BYTES,
     LOWER,
     Powers,
     documents,
     mixed,
     sifted,
+    small_batches,
     span_hashes,
     spread,
     staged,
@@ -43,13 +45,15 @@ OVER, UNDER = 100, 75
 MOST_COMMON = 1 << 20
 #: Texts of one task that an n-gram must be in to be reported as common.
 REPORTED = 3
+#: N-grams that a task reports at a time.
+REPORT_ROWS = 1 << 15
 #: Rounds against single rows before the exact one; they save work and change no result.
 ROUNDS = 3
 #: Parities of a set, 64 in each column.
 BITS = 512
 PARITIES = [f"parity_{k}" for k in range(BITS // 64)]
 #: Bytes of text handled at a time; a set's size and an n-gram's place in it share a number.
-BLOCK, PLACES = 1 << 19, (1 << 32) - 1
+BLOCK, PLACES = FINE_BYTES, (1 << 32) - 1
 STEPS = (np.arange(1, 65, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
 
 
@@ -65,6 +69,7 @@ def near_components(docs: DataFrame, spark: SparkSession, words: int = WORDS, ov
     Texts of any length are taken whole. N-grams are compared by 64-bit hashes, sets by 64-bit
     digests and sizes.
     """
+    small_batches(spark)
     rows = documents(docs)
     named_rows = rows.select("doc_id", "text", *text_names(F.col("text")))
     seen = named_rows.mapInArrow(
@@ -329,25 +334,33 @@ class Tally:
 
     def __init__(self, most: int = 1 << 23) -> None:
         self.most, self.new, self.waiting = most, [], 0
-        self.grams, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.grams, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int32)
 
     def add(self, grams: np.ndarray) -> None:
         self.new.append(grams)
         self.waiting += len(grams)
-        if self.waiting > self.most // 2:
+        if self.waiting > self.most // 16:
             self.settle()
 
     def settle(self) -> None:
-        grams = np.concatenate([self.grams, *self.new])
-        counts = np.concatenate([self.counts, np.ones(self.waiting, np.int64)])
-        order = np.argsort(grams)
-        grams, counts = grams[order], counts[order]
-        first = np.flatnonzero(np.diff(grams, prepend=~grams[:1]) != 0)
-        self.grams, self.counts = grams[first], np.add.reduceat(counts, first) if len(first) else counts
+        """New n-grams go in at their places; no more than they are is sorted or copied several times."""
+        new = np.concatenate([np.zeros(0, np.uint64), *self.new])
+        self.new, self.waiting = [], 0
+        new.sort()
+        first = np.flatnonzero(np.diff(new, prepend=~new[:1]) != 0)
+        counts = np.diff(first, append=len(new)).astype(np.int32)
+        new = new[first]
+        place = np.searchsorted(self.grams, new)
+        known = np.zeros(len(new), bool)
+        inside = place < len(self.grams)
+        known[inside] = self.grams[place[inside]] == new[inside]
+        self.counts[place[known]] += counts[known]
+        place, new, counts = place[~known], new[~known], counts[~known]
+        self.grams = np.insert(self.grams, place, new)
+        self.counts = np.insert(self.counts, place, counts)
         if len(self.grams) > self.most // 2:
             often = self.counts > 1
             self.grams, self.counts = self.grams[often], self.counts[often]
-        self.new, self.waiting = [], 0
 
 
 PROFILE = ["doc_id", "name_a", "name_b", "n", "cls", "gram", "texts", *PARITIES]
@@ -371,12 +384,14 @@ def profiles(batches, words: int):
             [*[batch.column(c) for c in PROFILE[:3]], pa.array(sizes, pa.int64()), own_class, nothing, nothing, *odd], names=PROFILE
         )
     tally.settle()
-    often = tally.counts >= REPORTED
-    empty = pa.nulls(int(often.sum()), pa.int64())
-    yield pa.RecordBatch.from_arrays(
-        [*[empty] * 5, pa.array(tally.grams[often].view(np.int64)), pa.array(tally.counts[often]), *[empty] * len(PARITIES)],
-        names=PROFILE,
-    )
+    often = np.flatnonzero(tally.counts >= REPORTED)
+    for a in range(0, len(often), REPORT_ROWS):
+        own = often[a : a + REPORT_ROWS]
+        grams, counts = tally.grams[own].view(np.int64), tally.counts[own].astype(np.int64)
+        empty = pa.nulls(len(own), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [*[empty] * 5, pa.array(grams), pa.array(counts), *[empty] * len(PARITIES)], names=PROFILE
+        )
 
 
 def postings(batches, words: int, over: int, under: int, common: tuple[np.ndarray, np.ndarray]):

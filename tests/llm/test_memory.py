@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tallymart.llm import common, suffix_dedup
+from tallymart.llm import common, jaccard_join, quality_classifier, suffix_dedup
 
 
 def peak(work) -> int:
@@ -30,7 +30,16 @@ def run_remove(spark, docs):
     suffix_dedup.remove_repeats(docs, spark)
 
 
-@pytest.mark.parametrize("work", [run_remove])
+def run_near(spark, docs):
+    jaccard_join.near_components(docs, spark)
+
+
+def run_train(spark, docs):
+    labels = spark.range(40).selectExpr("id as doc_id", "cast(id % 2 as int) as quality")
+    quality_classifier.train(docs, labels)
+
+
+@pytest.mark.parametrize("work", [run_remove, run_near, run_train])
 def test_texts_go_to_python_in_small_batches(spark, work):
     def sizes(batches):
         for batch in batches:
@@ -66,6 +75,32 @@ def test_meeting_strings_hold_bounded_grids():
     assert peak(lambda: suffix_dedup.met(table, 100, 32)) < 120 << 20
 
 
+def test_passages_of_a_batch_are_made_in_small_blocks():
+    batch = texts(1000)
+    assert peak(lambda: [len(x) for x in quality_classifier.encoded([batch])]) < 40 << 20
+
+
+def test_tally_counts_exactly_and_holds_little_more_than_its_numbers():
+    random = np.random.default_rng(7)
+    parts = [np.unique(random.integers(0, 1 << 20, 40_000).astype(np.uint64) * common.MIX_1) for _ in range(60)]
+    tally = jaccard_join.Tally()
+
+    def work():
+        for part in parts:
+            tally.add(part)
+        tally.settle()
+
+    assert peak(work) < 48 << 20
+    grams, counts = np.unique(np.concatenate(parts), return_counts=True)
+    assert np.array_equal(tally.grams, grams) and np.array_equal(tally.counts, counts)
+
+
+def test_tally_of_nothing():
+    tally = jaccard_join.Tally()
+    tally.settle()
+    assert len(tally.grams) == len(tally.counts) == 0
+
+
 @pytest.mark.parametrize("length, gram", [(100, 32), (20, 8), (12, 2), (9, 9), (400, 200)])
 def test_halves_are_equal_where_their_bytes_are(length, gram):
     random = np.random.default_rng(length)
