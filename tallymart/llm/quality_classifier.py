@@ -14,7 +14,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm.common import Powers, documents, narrow, remainder, span_hashes, spread, text_blocks, word_bounds
+from tallymart.llm.common import (
+    FINE_BYTES,
+    Powers,
+    documents,
+    narrow,
+    remainder,
+    small_batches,
+    span_hashes,
+    spread,
+    text_blocks,
+    word_bounds,
+)
 
 #: Bytes of a passage.
 PASSAGE = 512
@@ -161,6 +172,7 @@ def training_rows(labels: DataFrame, label: str, folds: int, held_out: int, samp
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> AttentionModel:
     """Passages of a bounded sample of labelled documents come to the driver, and the model is fitted there."""
+    small_batches(docs.sparkSession)
     chosen = training_rows(labels, "quality", FOLDS, HELD_OUT, sample)
     rows = documents(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
     bags = rows.select("_id", "_label", "text").mapInArrow(encoded, "_id long, _label int, n int, facts binary")
@@ -174,7 +186,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Attention
 def encoded(batches):
     powers = Powers()
     for batch in batches:
-        for first, past, data, starts in text_blocks(batch.column("text")):
+        for first, past, data, starts in text_blocks(batch.column("text"), FINE_BYTES):
             facts, counts = passages(data, starts, powers)
             bags = [x.astype(np.float32).tobytes() for x in np.split(facts, np.cumsum(counts)[:-1])]
             own = batch.slice(first, past - first)
@@ -190,7 +202,7 @@ def quality_score(text: str | Column, model: AttentionModel) -> Column:
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
         powers, out = Powers(), [np.zeros(0)]
-        for _, _, data, starts in text_blocks(texts):
+        for _, _, data, starts in text_blocks(texts, FINE_BYTES):
             out.append(model.scores(*passages(data, starts, powers)))
         return pa.array(np.concatenate(out), pa.float64())
 
