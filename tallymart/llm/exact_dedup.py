@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallymart.llm.chunking import Cutter
-from tallymart.llm.common import IS_SPACE, SPACE_RE, documents, staged, text_blocks
+from tallymart.llm.common import FINE_BYTES, IS_SPACE, SPACE_RE, documents, small_batches, staged, text_blocks
 
 CUTTER = Cutter(reach=512, largest=16384)
 Digest = Callable[[bytes], bytes]
@@ -35,6 +35,7 @@ def exact_dedup(
     null ids come last; where rows repeat an id, exactly one of them stays. An empty table
     gives no rows. Other columns are not looked at.
     """
+    small_batches(spark)
     rows = documents(docs).withColumn("row", F.monotonically_increasing_id())
     clashes = chunk_clashes(rows, spark, cutter, digest)
     plain = rows.mapInArrow(
@@ -127,7 +128,7 @@ def normalised(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def chunked(column, cutter: Cutter):
     """For each run of texts: its rows, normalised bytes, starts of texts, chunks, chunks a text."""
-    for first, past, data, starts in text_blocks(column):
+    for first, past, data, starts in text_blocks(column, FINE_BYTES):
         data, starts = normalised(data, starts)
         begins, counts = cutter.cuts(data, starts)
         yield first, past, memoryview(np.ascontiguousarray(data)), starts, np.append(begins, len(data)), counts

@@ -18,7 +18,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm.common import LOWER, BLOCK_BYTES, Powers, documents, span_hashes, staged, text_blocks
+from tallymart.llm.common import (
+    FINE_BYTES,
+    LOWER,
+    Powers,
+    documents,
+    small_batches,
+    span_hashes,
+    staged,
+    text_blocks,
+)
 
 CAPACITY = 4096
 END_ID = 1
@@ -41,6 +50,7 @@ def pack(
     pieces and a rest. Rows that repeat an id or text are packed each for itself. An empty table
     gives no rows. The tokenizer's file must be found under the given path on every executor.
     """
+    small_batches(spark)
     pieces = documents(docs).withColumn("row", F.monotonically_increasing_id()).mapInArrow(
         lambda batches: token_pieces(batches, tokenizer_path, capacity, end_id), PIECES
     )
@@ -260,7 +270,7 @@ def token_pieces(batches, path: str, capacity: int, end_id: int):
     for batch in batches:
         doc_id, row = np.asarray(batch.column("doc_id").fill_null(0)), np.asarray(batch.column("row"))
         absent = np.asarray(batch.column("doc_id").is_null())
-        for first, past, data, starts in text_blocks(batch.column("text"), BLOCK_BYTES):
+        for first, past, data, starts in text_blocks(batch.column("text"), FINE_BYTES):
             raw = data.tobytes()
             if any(x in raw for x in units.special):  # a special token's text: such documents as wholes
                 each = [units.encode(raw[a:b].decode()) for a, b in zip(starts[:-1], starts[1:])]

@@ -5,8 +5,9 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 
-from tallymart.llm import common, jaccard_join, quality_classifier, suffix_dedup
+from tallymart.llm import catalogue, common, exact_dedup, jaccard_join, packing, quality_classifier, suffix_dedup
 
 
 def peak(work) -> int:
@@ -112,3 +113,46 @@ def test_halves_are_equal_where_their_bytes_are(length, gram):
     found = suffix_dedup.beside(own, begins, gram, more)
     want = [data[b : b + gram + more].tobytes() for b in begins]
     assert len(set(zip(found.tolist(), want))) == len(set(found.tolist())) == len(set(want))
+
+
+def run_pack(spark, docs):
+    packing.pack(docs, spark, catalogue.tokenizer("word_bpe_49k.json"))
+
+
+def run_exact(spark, docs):
+    exact_dedup.exact_dedup(docs, spark)
+
+
+@pytest.mark.parametrize("work", [run_pack, run_exact])
+def test_packing_and_exact_dedup_ask_for_small_batches(spark, work):
+    some = spark.range(60).selectExpr("id as doc_id", "concat('some text of number ', id) as text")
+    spark.conf.unset(common.BATCH_KEY)
+    try:
+        work(spark, some)
+        assert spark.conf.get(common.BATCH_KEY) == str(common.BATCH_BYTES)
+        spark.conf.set(common.BATCH_KEY, "1m")
+        work(spark, some)
+        assert spark.conf.get(common.BATCH_KEY) == "1m"  # a bound of the session's own stays
+    finally:
+        spark.conf.unset(common.BATCH_KEY)
+
+
+def worded(n: int) -> pa.RecordBatch:
+    """Texts of 4,000 bytes and more, with 2,000 distinct words in all."""
+    random = np.random.default_rng(11)
+    words = ["".join(map(chr, random.integers(97, 123, 7))) for _ in range(2000)]
+    columns = {"text": [" ".join(words[k] for k in random.integers(0, 2000, 500)) for _ in range(n)]}
+    return pa.RecordBatch.from_pydict(columns | {name: list(range(n)) for name in ("doc_id", "row")})
+
+
+def test_pieces_are_made_in_small_blocks():
+    path, batch = catalogue.tokenizer("word_bpe_49k.json"), worded(1000)
+    list(packing.token_pieces([batch], path, 4096, 1))  # the worker's table of units is there
+    packing.UnitTokens.of_worker(path).powers = common.Powers()
+    assert peak(lambda: [len(x) for x in packing.token_pieces([batch], path, 4096, 1)]) < 40 << 20
+
+
+@pytest.mark.parametrize("rows", [exact_dedup.recipes, exact_dedup.distinct_chunks])
+def test_chunks_are_cut_in_small_blocks(rows):
+    batch = worded(1000)
+    assert peak(lambda: [len(x) for x in rows([batch], exact_dedup.CUTTER, xxhash.xxh3_128_digest)]) < 40 << 20
