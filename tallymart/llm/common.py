@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+import sys
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallymart.session import new_workspace
 
@@ -24,7 +28,7 @@ BLOCK_BYTES = 1 << 20
 #: The same where each byte takes many numbers; they stay in a core's cache.
 FINE_BYTES = 1 << 18
 #: Bytes of rows that go to a Python worker at a time, and Spark's own bound for them.
-BATCH_BYTES, BATCH_KEY, BATCH_DEFAULT = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+BATCH_BYTES, BATCH_KEY, BATCH_DEFAULT = 1 << 20, "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 MIX_1, MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 BASE = 0x9E3779B97F4A7C15
@@ -52,7 +56,7 @@ def documents(docs: DataFrame, *more: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Rows go to Python in batches of 4 MB, unless the session has a bound of its own.
+    """Rows go to Python in batches of 1 MB, unless the session has a bound of its own.
 
     By default a batch holds up to 10,000 texts or 64 MB, which JVM and worker hold at once, several
     times while buffers double. The setting stays with the session, as results are read lazily; it
@@ -69,6 +73,38 @@ def staged(table: DataFrame, purpose: str, spark: SparkSession) -> DataFrame:
     return spark.read.schema(table.schema).parquet(path)
 
 
+def without_rows(schema: str, spark: SparkSession) -> DataFrame:
+    """A table of that schema without rows. ``createDataFrame`` of a list starts Python workers of its own, also for none."""
+    fields = StructType.fromDDL(schema).fields
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+
+
+#: Where a worker keeps the tokenizer's table of units from task to task.
+KEPT_UNITS = "_tallymart_kept_units"
+
+
+def tidy(rows: Callable[..., Iterator], forget: bool = True) -> Callable[..., Iterator]:
+    """A generator that a Python worker runs, which leaves the worker small for the stages after.
+
+    Workers stay, and so would the memory that a task has freed. With ``forget`` what packing
+    has kept goes too.
+    """
+
+    @functools.wraps(rows)
+    def tidied(*args):
+        if forget:
+            sys.modules.pop(KEPT_UNITS, None)
+        try:
+            yield from rows(*args)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc alone
+            if trim:
+                trim(0)
+
+    return tidied
+
+
 #: Bits of the map that tells texts without marks apart before they are moved.
 SIEVE = 1 << 24
 
@@ -76,21 +112,18 @@ SIEVE = 1 << 24
 def sifted(rows: DataFrame, marked: DataFrame, key: list[str], hit: bool = True) -> DataFrame:
     """Rows that may be among ``marked`` (or that cannot be), by a bit map of bounded size.
 
-    The map spares a move to texts that surely have no marks. A row that passes may still have
+    The map is one row that is broadcast, so no Python runs here: a second worker a task would stay.
+    It spares a move to texts that surely have no marks. A row that passes may still have
     none: the join behind it decides. With very many marks the map fills and spares nothing.
     """
     cell = F.pmod(F.xxhash64(*key, F.lit(5)), F.lit(SIEVE)).cast("int")
     cells = marked.select(cell.alias("cell")).distinct().toArrow().column("cell").to_numpy()
     bits = np.zeros(SIEVE, bool)
     bits[cells] = True
-    packed = np.packbits(bits)
-
-    @F.arrow_udf("boolean")
-    def passes(cells: pa.Array) -> pa.Array:
-        at = cells.to_numpy()
-        return pa.array((packed[at >> 3] >> (7 - (at & 7)) & 1).astype(bool) == hit)
-
-    return rows.where(passes(cell))
+    words = np.packbits(bits, bitorder="little").view("<i8")
+    sieve = rows.sparkSession.createDataFrame(pa.table({"_sieve": pa.array([words], pa.list_(pa.int64()))}))
+    passes = F.getbit(F.get("_sieve", F.shiftright(cell, 6)), cell.bitwiseAND(F.lit(63))) == 1
+    return rows.join(F.broadcast(sieve), passes, "left_semi" if hit else "left_anti")
 
 
 def remainder(doc_id: Column, modulus: int) -> Column:

@@ -19,7 +19,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallymart.llm.chunking import Cutter
-from tallymart.llm.common import FINE_BYTES, IS_SPACE, SPACE_RE, documents, small_batches, staged, text_blocks
+from tallymart.llm.common import (
+    FINE_BYTES,
+    IS_SPACE,
+    SPACE_RE,
+    documents,
+    small_batches,
+    staged,
+    text_blocks,
+    tidy,
+    without_rows,
+)
 
 CUTTER = Cutter(reach=512, largest=16384)
 Digest = Callable[[bytes], bytes]
@@ -92,7 +102,7 @@ def chunk_clashes(rows: DataFrame, spark: SparkSession, cutter: Cutter, digest:
     shared = known.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
     shared = staged(shared, "shared-digests", spark)
     if shared.isEmpty():
-        return spark.createDataFrame([], "digest binary, content binary, variant int")
+        return without_rows("digest binary, content binary, variant int", spark)
     numbered = F.row_number().over(Window.partitionBy("digest").orderBy("content")) - 1
     return staged(known.join(shared, "digest").select("digest", "content", numbered.alias("variant")), "clashes", spark)
 
@@ -134,6 +144,7 @@ def chunked(column, cutter: Cutter):
         yield first, past, memoryview(np.ascontiguousarray(data)), starts, np.append(begins, len(data)), counts
 
 
+@tidy
 def recipes(batches, cutter: Cutter, digest: Digest):
     for batch in batches:
         lists, shas, numbers = [], [], []
@@ -155,6 +166,7 @@ def recipes(batches, cutter: Cutter, digest: Digest):
         )
 
 
+@tidy
 def distinct_chunks(batches, cutter: Cutter, digest: Digest):
     for batch in batches:
         for _, _, raw, _, begins, _ in chunked(batch.column("text"), cutter):
@@ -165,6 +177,7 @@ def distinct_chunks(batches, cutter: Cutter, digest: Digest):
             )
 
 
+@tidy
 def placed_chunks(batches, cutter: Cutter, digest: Digest):
     for batch in batches:
         for first, past, raw, _, begins, counts in chunked(batch.column("text"), cutter):

@@ -34,6 +34,8 @@ from tallymart.llm.common import (
     spread,
     staged,
     text_blocks,
+    tidy,
+    without_rows,
     word_bounds,
 )
 from tallymart.llm.components import components
@@ -93,8 +95,8 @@ def near_components(docs: DataFrame, spark: SparkSession, words: int = WORDS, ov
     matrix = staged(
         firsts.join(shared, "gram").groupBy("gram", "cls").agg(F.first("n_place").alias("n_place")), "matrix", spark
     )
-    roots = spark.createDataFrame([], "node long, root long")
-    links = spark.createDataFrame([], "a long, b long")
+    roots = without_rows("node long, root long", spark)
+    links = without_rows("a long, b long", spark)
     for turn in range(ROUNDS):
         pairs = staged(head_pairs(open_columns(matrix, roots, spark), turn, over, under), "head-pairs", spark)
         if pairs.isEmpty():
@@ -366,6 +368,7 @@ class Tally:
 PROFILE = ["doc_id", "name_a", "name_b", "n", "cls", "gram", "texts", *PARITIES]
 
 
+@tidy
 def profiles(batches, words: int):
     """A row for each text, and for each task the n-grams that several of its texts share."""
     powers, tally = Powers(), Tally()
@@ -394,6 +397,7 @@ def profiles(batches, words: int):
         )
 
 
+@tidy
 def postings(batches, words: int, over: int, under: int, common: tuple[np.ndarray, np.ndarray]):
     """The first n-grams of each set, rare ones first; sets that repeat within a run once."""
     powers, (heavy, weights) = Powers(), common
@@ -429,6 +433,7 @@ def postings(batches, words: int, over: int, under: int, common: tuple[np.ndarra
             )
 
 
+@tidy
 def set_rows(batches, words: int):
     powers = Powers()
     for batch in batches:
@@ -438,6 +443,7 @@ def set_rows(batches, words: int):
             )
 
 
+@tidy
 def linked(batches, over: int, under: int):
     for batch in batches:
         found = []

@@ -8,6 +8,7 @@ packed by one task; what the blocks could not fill is packed once more together.
 
 from __future__ import annotations
 
+import functools
 import math
 import sys
 import zlib
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tallymart.llm.common import (
     FINE_BYTES,
+    KEPT_UNITS,
     LOWER,
     Powers,
     documents,
@@ -27,6 +29,7 @@ from tallymart.llm.common import (
     span_hashes,
     staged,
     text_blocks,
+    tidy,
 )
 
 CAPACITY = 4096
@@ -169,8 +172,8 @@ class UnitTokens:
 
     @classmethod
     def of_worker(cls, path: str) -> UnitTokens:
-        """The table of this Python worker, kept from task to task; bounded by ``most`` units."""
-        kept = sys.modules.setdefault("_tallymart_kept_units", ModuleType("_tallymart_kept_units")).__dict__
+        """The table of this Python worker, kept from task to task of packing; bounded by ``most`` units."""
+        kept = sys.modules.setdefault(KEPT_UNITS, ModuleType(KEPT_UNITS)).__dict__
         if path not in kept:
             kept[path] = cls(path)
         return kept[path]
@@ -265,6 +268,7 @@ def unit_bounds(lower: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
     return begins[solid], ends[solid]
 
 
+@functools.partial(tidy, forget=False)
 def token_pieces(batches, path: str, capacity: int, end_id: int):
     units = UnitTokens.of_worker(path)
     for batch in batches:

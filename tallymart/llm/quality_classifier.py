@@ -7,6 +7,7 @@ labels: attention learns from them which passages speak for or against a documen
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,6 +25,7 @@ from tallymart.llm.common import (
     span_hashes,
     spread,
     text_blocks,
+    tidy,
     word_bounds,
 )
 
@@ -183,6 +185,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Attention
     return fit(facts, np.array([r[2] for r in found]), np.array([float(r[1]) for r in found]))
 
 
+@tidy
 def encoded(batches):
     powers = Powers()
     for batch in batches:
@@ -196,15 +199,20 @@ def encoded(batches):
             )
 
 
+@tidy
+def scored(batches, model: AttentionModel):
+    powers = Powers()
+    for texts in batches:
+        out = [model.scores(*passages(data, starts, powers)) for _, _, data, starts in text_blocks(texts, FINE_BYTES)]
+        yield pa.array(np.concatenate([np.zeros(0), *out]), pa.float64())
+
+
 def quality_score(text: str | Column, model: AttentionModel) -> Column:
     """0 to 1, higher: better. A null text is scored as an empty one, a long one in all its passages."""
 
     @F.arrow_udf("double")
-    def score(texts: pa.Array) -> pa.Array:
-        powers, out = Powers(), [np.zeros(0)]
-        for _, _, data, starts in text_blocks(texts, FINE_BYTES):
-            out.append(model.scores(*passages(data, starts, powers)))
-        return pa.array(np.concatenate(out), pa.float64())
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return scored(batches, model)
 
     return score(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
 

@@ -1,6 +1,9 @@
 """What one worker holds is bounded, whatever the rows are."""
 
+import re
+import sys
 import tracemalloc
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -156,3 +159,52 @@ def test_pieces_are_made_in_small_blocks():
 def test_chunks_are_cut_in_small_blocks(rows):
     batch = worded(1000)
     assert peak(lambda: [len(x) for x in rows([batch], exact_dedup.CUTTER, xxhash.xxh3_128_digest)]) < 40 << 20
+
+
+def held() -> int:
+    """Bytes of this process that no file backs."""
+    rollup = Path("/proc/self/smaps_rollup").read_text()
+    return 1024 * sum(map(int, re.findall(r"\nPss_Anon:\s+(\d+)", rollup)))
+
+
+def test_a_task_gives_its_memory_back():
+    @common.tidy
+    def rows(n):
+        small = [bytes(30_000) for _ in range(n)]  # below the size that the system takes back by itself
+        yield len(small)
+        pins.append(bytes(1000))
+        del small
+
+    pins, before = [], held()
+    for n in rows(4000):
+        assert n == 4000 and held() - before > 100 << 20
+    assert held() - before < 30 << 20
+
+
+def test_other_tasks_forget_the_units_of_packing():
+    path, batch = catalogue.tokenizer("word_bpe_49k.json"), worded(10)
+    list(packing.token_pieces([batch], path, 4096, 1))
+    kept = packing.UnitTokens.of_worker(path)
+    list(packing.token_pieces([batch], path, 4096, 1))
+    assert packing.UnitTokens.of_worker(path) is kept  # from task to task of packing
+    list(exact_dedup.recipes([batch], exact_dedup.CUTTER, xxhash.xxh3_128_digest))
+    assert common.KEPT_UNITS not in sys.modules
+
+
+@pytest.mark.parametrize("hit", [True, False])
+def test_the_bit_map_is_looked_up_without_python(spark, hit):
+    rows = spark.range(3000).selectExpr("id as doc_id", "concat('text ', id) as text")
+    marked = spark.range(0, 6000, 7).selectExpr("id as doc_id")
+    found = common.sifted(rows, marked, ["doc_id"], hit)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    kept = {r.doc_id for r in found.collect()}
+    true = {k for k in range(3000) if (k % 7 == 0) == hit}
+    wrong = kept ^ true
+    assert len(wrong) < 5 and not (true - kept if hit else kept - true)
+
+
+def test_a_table_without_rows_starts_no_python(spark):
+    table = common.without_rows("digest binary, content binary, variant int", spark)
+    assert "ExistingRDD" not in table._jdf.queryExecution().executedPlan().toString()
+    assert table.dtypes == [("digest", "binary"), ("content", "binary"), ("variant", "int")] and table.isEmpty()
