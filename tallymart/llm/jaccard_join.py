@@ -102,7 +102,8 @@ def near_components(docs: DataFrame, spark: SparkSession, words: int = WORDS, ov
         if pairs.isEmpty():
             break
         pairs = staged(alike(pairs, classes, over, under), "alike-pairs", spark)
-        links = staged(links.union(counted(pairs, rows, classes, words, over, under, spark)), "links", spark)
+        found = counted(pairs, rows, classes, words, over, under, spark)
+        links = staged(links.union(between(found, roots)), "links", spark)
         roots = components(links, spark)
     marked = open_columns(matrix, roots, spark).join(classes.select("cls", *PARITIES), "cls")
     marked = staged(marked, "marked-rows", spark)
@@ -110,7 +111,8 @@ def near_components(docs: DataFrame, spark: SparkSession, words: int = WORDS, ov
     marked = staged(marked.join(own, ["gram", "root"]), "counted-rows", spark)
     pairs = staged(cross_pairs(marked, over, under), "cross-pairs", spark)
     if not pairs.isEmpty():
-        links = staged(links.union(counted(pairs, rows, classes, words, over, under, spark)), "links", spark)
+        found = counted(pairs, rows, classes, words, over, under, spark)
+        links = staged(links.union(between(found, roots)), "links", spark)
         roots = components(links, spark)
 
     own_root = F.coalesce("root", "cls").alias("root")
@@ -296,6 +298,14 @@ def counted(
     return both.mapInArrow(lambda batches: linked(batches, over, under), "a long, b long")
 
 
+def between(links: DataFrame, roots: DataFrame) -> DataFrame:
+    """Links as links between the roots of the components so far; many between the same two are one."""
+    for side in "ab":
+        known = roots.toDF("known", "top")
+        links = links.join(known, F.col(side) == F.col("known"), "left").withColumn(side, F.coalesce("top", side)).select("a", "b")
+    return links.where("a <> b").distinct()
+
+
 def gram_sets(column, words: int, powers: Powers):
     """For each run of texts, the sorted distinct n-gram hashes of each."""
     for _, _, data, starts in text_blocks(column, BLOCK):

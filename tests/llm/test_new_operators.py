@@ -9,7 +9,7 @@ import brute
 import numpy as np
 import pytest
 
-from tallymart.llm import hard_negatives, lexical_search, line_dedup
+from tallymart.llm import hard_negatives, jaccard_join, lexical_search, line_dedup
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 VECTORS = "vec_id long, embedding array<float>, label int, row int, chunk string"
@@ -230,3 +230,10 @@ def test_keep_bitmaps_hold_no_text(spark):
 
 def test_line_dedup_of_an_empty_table(spark):
     assert not deduped(spark, spark.createDataFrame([], brute.SCHEMA))
+
+
+def test_links_between_the_same_two_components_count_once(spark):
+    links = spark.createDataFrame([(1, 2), (3, 2), (3, 4), (5, 9), (1, 3)], "a long, b long")
+    roots = spark.createDataFrame([(1, 1), (3, 1), (2, 2), (4, 2)], "node long, root long")
+    found = [tuple(r) for r in jaccard_join.between(links, roots).collect()]
+    assert sorted(found) == [(1, 2), (5, 9)]
